@@ -13,6 +13,7 @@ from dataclasses import dataclass, field, replace
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomwork.functions.templates import ChatTemplate, get_template
 
@@ -34,6 +35,8 @@ class Tokenizer:
     # True when the first n ids of a text depend on its first n units only, so a cut may happen
     # on the text before it is encoded.
     cuts_text: bool = False
+    # True when the ids of joined texts are the joined ids, so literal pieces become constants.
+    joins: bool = False
 
     def for_template(self, template: str | ChatTemplate) -> "Tokenizer":
         """A copy that has an end token, a pad token and an id for each special token in use."""
@@ -66,6 +69,10 @@ class Tokenizer:
     def encode(self, text: Column) -> Column:
         raise NotImplementedError
 
+    def literal_ids(self, text: str) -> list[int]:
+        """Ids of a literal, known on the driver; only for tokenizers that join."""
+        raise NotImplementedError
+
     def length(self, text: Column) -> Column:
         return F.size(self.encode(text))
 
@@ -91,6 +98,10 @@ class CodepointTokenizer(Tokenizer):
 
     base: int = 0x110000
     cuts_text: bool = True
+    joins: bool = True
+
+    def literal_ids(self, text: str) -> list[int]:
+        return [ord(c) for c in text]
 
     def encode(self, text: Column) -> Column:
         return F.when(text == "", F.array().cast("array<int>")).otherwise(
@@ -116,6 +127,10 @@ class ByteTokenizer(Tokenizer):
 
     base: int = 256
     cuts_text: bool = True
+    joins: bool = True
+
+    def literal_ids(self, text: str) -> list[int]:
+        return list(text.encode("utf-8"))
 
     def encode(self, text: Column) -> Column:
         # Read as Latin-1, byte n is code point n. ``head`` may hand over bytes already.
@@ -158,7 +173,7 @@ class PandasTokenizer(Tokenizer):
     def encode(self, text: Column) -> Column:
         codec = self._codec()
 
-        @F.pandas_udf("array<int>")
+        @F.pandas_udf(T.ArrayType(T.IntegerType()))
         def encode_batch(texts: pd.Series) -> pd.Series:
             return pd.Series(codec()[0](texts.tolist()))
         return encode_batch(text)
@@ -167,7 +182,7 @@ class PandasTokenizer(Tokenizer):
         codec = self._codec()
         hidden = set(self.specials.values()) if skip_special else set()
 
-        @F.pandas_udf("string")
+        @F.pandas_udf(T.StringType())
         def decode_batch(rows: pd.Series) -> pd.Series:
             return pd.Series(codec()[1]([[i for i in row if i not in hidden] for row in rows]))
         return decode_batch(ids)

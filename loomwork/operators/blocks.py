@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomwork.session import shared_dir
+
 HOT_ROWS = 1_000_000
 BLOCK = "_block"
 
@@ -89,3 +91,24 @@ def running_total(df: DataFrame, keys: list[str], order: list[str | Column], val
 def row_index(df: DataFrame, keys: list[str], order: list[str | Column], out: str) -> DataFrame:
     """Add ``out``: 0-based position of the row within its key."""
     return running_total(df, keys, order, F.lit(1), out)
+
+
+def add_sorted_blocks(df: DataFrame, keys: list[str], order: list[str | Column],
+                      hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Add ``_block`` for an order that has no number to divide, such as score, then name.
+
+    Rows of hot keys are range-partitioned by key and order, and the partition number is the
+    block. It is fixed by a checkpoint, so a lost executor cannot change it. Looks for hot keys
+    first (one map-side combined count); without any, nothing is shuffled or written here.
+    """
+    hot = df.groupBy(*keys).count().filter(F.col("count") > hot_rows).select(*keys, F.lit(True).alias("_hot"))
+    if hot.isEmpty():
+        return df.withColumn(BLOCK, F.lit(-1).cast("bigint"))
+    shared_dir(df.sparkSession)
+    tagged = df.join(F.broadcast(hot), keys, "left")
+    ranged = (
+        tagged.filter(F.col("_hot")).drop("_hot").repartitionByRange(*keys, *order)
+        .withColumn(BLOCK, F.spark_partition_id().cast("bigint")).checkpoint()
+    )
+    ordinary = tagged.filter(F.col("_hot").isNull()).drop("_hot").withColumn(BLOCK, F.lit(-1).cast("bigint"))
+    return ordinary.unionByName(ranged)

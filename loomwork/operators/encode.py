@@ -9,6 +9,8 @@ Two shapes share the same per-turn expressions:
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,24 +33,95 @@ def effective_cutoff(block_size: Column) -> Column:
 
 # ---------------------------------------------------------------- rendering
 
-def _piece_text(piece: str, values: dict[str, Column]) -> list[str | Column]:
-    return [values[p.name] if isinstance(p, Slot) else p for p in split_slots(piece, tuple(values))]
+@dataclass(frozen=True)
+class Known:
+    """A text Column that usually equals one known text."""
+
+    column: Column
+    usual: str
 
 
-def render(part: tuple, values: dict[str, Column]) -> list[Special | list[str | Column]]:
-    """A template part with its slots filled: specials, and texts as lists of literals and Columns."""
-    filled = [p if isinstance(p, Special) else _piece_text(p, values) for p in part]
-    return [p for p in filled if isinstance(p, Special) or p]
+@dataclass(frozen=True)
+class FirstTurn:
+    """Text that only the first turn has."""
 
+    t: Column
+    parts: list
 
-def _text(parts: list[str | Column]) -> Column:
-    cols = [F.lit(p) if isinstance(p, str) else p for p in parts]
-    return cols[0] if len(cols) == 1 else F.concat(*cols)
+
+# One text piece is a list of parts: a literal ``str``, a ``Column``, a ``Known`` or a ``FirstTurn``.
+
+def render(part: tuple, values: dict[str, list]) -> list:
+    """A template part with its slots filled: specials, and texts as lists of parts."""
+    out = []
+    for piece in part:
+        if isinstance(piece, Special):
+            out.append(piece)
+            continue
+        filled: list = []
+        for p in split_slots(piece, tuple(values)):
+            filled += values[p.name] if isinstance(p, Slot) else [p]
+        if filled:
+            out.append(filled)
+    return out
+
+
+def _text(parts: list) -> Column:
+    def one(p) -> Column:
+        if isinstance(p, str):
+            return F.lit(p)
+        if isinstance(p, Known):
+            return p.column
+        if isinstance(p, FirstTurn):
+            return F.when(p.t == 0, _text(p.parts)).otherwise(F.lit(""))
+        return p
+    return F.concat(*map(one, parts)) if len(parts) > 1 else one(parts[0])
+
+
+def _no_ids() -> Column:
+    return F.array().cast(NO_IDS)
+
+
+def _text_ids(parts: list, tok: Tokenizer, limit: int | None) -> Column:
+    def encode(text: Column) -> Column:
+        return tok.encode(tok.head(text, limit) if limit and tok.cuts_text else text)
+
+    if not tok.joins:
+        return encode(_text(parts))
+
+    def one(p) -> Column:
+        if isinstance(p, str):
+            return F.lit(tok.literal_ids(p))
+        if isinstance(p, Known):
+            usual = F.lit(tok.literal_ids(p.usual)) if p.usual else _no_ids()
+            return F.when(p.column == p.usual, usual).otherwise(encode(p.column))
+        if isinstance(p, FirstTurn):
+            return F.when(p.t == 0, _text_ids(p.parts, tok, limit)).otherwise(_no_ids())
+        return encode(p)
+    return F.concat(*map(one, parts))
+
+
+def _text_length(parts: list, tok: Tokenizer) -> Column:
+    if not tok.joins:
+        return tok.length(_text(parts))
+
+    def one(p) -> Column:
+        if isinstance(p, str):
+            return F.lit(len(tok.literal_ids(p)))
+        if isinstance(p, Known):
+            return tok.length(p.column)
+        if isinstance(p, FirstTurn):
+            return F.when(p.t == 0, _text_length(p.parts, tok)).otherwise(F.lit(0))
+        return tok.length(p)
+    total = one(parts[0])
+    for p in parts[1:]:
+        total = total + one(p)
+    return total
 
 
 def part_text(rendered: list) -> Column:
     """Rendered part as text; specials print as their token."""
-    flat: list[str | Column] = []
+    flat: list = []
     for piece in rendered:
         flat += [piece.token] if isinstance(piece, Special) else piece
     return _text(flat or [""])
@@ -56,50 +129,38 @@ def part_text(rendered: list) -> Column:
 
 def part_ids(rendered: list, tok: Tokenizer, limit: int | None) -> Column:
     """Rendered part as ids; with a limit, at least the first ``limit`` ids of it."""
-    out = []
-    for piece in rendered:
-        if isinstance(piece, Special):
-            out.append(F.lit([tok.special_id(piece.token)]))
-        else:
-            text = _text(piece)
-            out.append(tok.encode(tok.head(text, limit) if limit and tok.cuts_text else text))
-    return F.concat(*out) if out else F.array().cast(NO_IDS)
+    out = [F.lit([tok.special_id(p.token)]) if isinstance(p, Special) else _text_ids(p, tok, limit)
+           for p in rendered]
+    return F.concat(*out) if out else _no_ids()
 
 
 def part_length(rendered: list, tok: Tokenizer) -> Column:
     """Number of ids of a rendered part, without encoding where the tokenizer allows it."""
     n = F.lit(0)
     for piece in rendered:
-        n = n + (F.lit(1) if isinstance(piece, Special) else tok.length(_text(piece)))
+        n = n + (F.lit(1) if isinstance(piece, Special) else _text_length(piece, tok))
     return n
 
 
 # ---------------------------------------------------------------- one turn
 
 def _turn_parts(template: ChatTemplate, t: Column, query: Column, system: Column):
-    """What stands before the answer: first-turn opening, later-turn opening, prompt.
-
-    An opening is a list of rendered pieces plus the two flags that place the start token.
-    """
+    """What stands before the answer: prefix and separator pieces, prompt pieces."""
+    prefix = render(template.prefix, {"system": [Known(system, template.system)]})
     if template.system_in_query:
-        block = render(template.prefix, {"system": system})
-        first_query = F.concat(part_text(block), query)
-        prompt = render(template.prompt, {"query": F.when(t == 0, first_query).otherwise(query)})
-        return [], [], prompt
-    prefix = render(template.prefix, {"system": system})
-    sep = render(template.sep, {})
-    prompt = render(template.prompt, {"query": query, "idx": t.cast("string")})
-    return prefix, sep, prompt
+        block = FirstTurn(t, [p for piece in prefix for p in piece])
+        return [], [], render(template.prompt, {"query": [block, query]})
+    return prefix, render(template.sep, {}), render(template.prompt, {"query": [query], "idx": [t.cast("string")]})
 
 
 def _only_system(prefix: list) -> bool:
     """True when the prefix is nothing but the system text, so it may be empty."""
-    return all(not isinstance(p, Special) and not any(isinstance(x, str) for x in p) for p in prefix)
+    return all(not isinstance(p, Special) and all(isinstance(x, Known) for x in p) for p in prefix)
 
 
 def source_ids(template: ChatTemplate, tok: Tokenizer, t: Column, query: Column, system: Column,
                limit: int | None = None) -> Column:
-    bos = F.lit(tok.bos_ids).cast(NO_IDS) if tok.bos_ids else F.array().cast(NO_IDS)
+    bos = F.lit(tok.bos_ids) if tok.bos_ids else _no_ids()
     prefix, sep, prompt = _turn_parts(template, t, query, system)
     asked = part_ids(prompt, tok, limit)
     if template.system_in_query:
@@ -223,7 +284,7 @@ def mask_labels(df: DataFrame, template: str | ChatTemplate, tokenizer: str | To
 
 def close_example(df: DataFrame, template: ChatTemplate, tok: Tokenizer, cutoff: int, keep: list[str]) -> DataFrame:
     """Join the turns of ``labelled``, add the closing end token, cut, add the attention mask."""
-    tail = F.lit([tok.eos_id]) if template.efficient_eos else F.array().cast(NO_IDS)
+    tail = F.lit([tok.eos_id]) if template.efficient_eos else _no_ids()
 
     def joined(name: str) -> Column:
         return arrays.head(F.concat(F.flatten(F.transform("labelled", lambda x: x[name])), tail), cutoff)
@@ -243,8 +304,8 @@ def encode_sft(df: DataFrame, template: str | ChatTemplate = "llama2", cutoff: i
     template = get_template(template)
     tok = get_tokenizer(tokenizer, template)
     keep = keep or []
-    if not _is_native(tok):
-        return _encode_sft_rows(df, template, cutoff, tok, keep)
+    if "history" not in df.columns or not template.use_history:
+        return _encode_single(df, template, cutoff, tok, keep)
     valid = df.filter((F.col("query") != "") & (F.col("response") != ""))
     return (
         with_turns(valid, template)
@@ -255,15 +316,14 @@ def encode_sft(df: DataFrame, template: str | ChatTemplate = "llama2", cutoff: i
     )
 
 
-def _encode_sft_rows(df: DataFrame, template: ChatTemplate, cutoff: int, tok: Tokenizer,
-                     keep: list[str]) -> DataFrame:
-    """Single-turn examples with a Python tokenizer. Conversations go through ``encode_conversations``."""
-    if "history" in df.columns and template.use_history:
-        raise ValueError("nested history needs a JVM tokenizer; pass message rows to encode_conversations")
-    valid = df.filter((F.col("query") != "") & (F.col("response") != ""))
-    turn = turn_struct(template, tok, F.lit(0), F.col("query"), F.col("response"), F.col("system"))
+def _encode_single(df: DataFrame, template: ChatTemplate, cutoff: int, tok: Tokenizer,
+                   keep: list[str]) -> DataFrame:
+    """Examples without history: plain columns instead of one-element arrays."""
+    limit = cutoff if tok.cuts_text else None
+    turn = turn_struct(template, tok, F.lit(0), F.col("query"), F.col("response"), F.col("system"), limit)
     return (
-        valid.withColumn("system", _system(valid, template))
+        df.filter((F.col("query") != "") & (F.col("response") != ""))
+        .withColumn("system", _system(df, template))
         .withColumn("_turn", turn)
         .withColumn("_turn", cut_turn(F.col("_turn"), cutoff))
         .withColumn("labelled", F.array(label_turn(F.col("_turn"), template, tok)))
