@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -151,41 +152,46 @@ class ByteTokenizer(Tokenizer):
         return F.try_validate_utf8(F.unhex(F.array_join(F.transform(ids, piece), "")).cast("string"))
 
 
+Codec = tuple[Callable[[list[str]], list[list[int]]], Callable[[list[list[int]]], list[str]]]
+
+
+@lru_cache(maxsize=None)
+def _codec_udfs(load: Callable[[], Codec], hidden: frozenset[int]):
+    """Encode and decode functions over Arrow batches; ``load`` runs once per Python worker."""
+    loaded: list[Codec] = []
+
+    def codec() -> Codec:
+        if not loaded:
+            loaded.append(load())
+        return loaded[0]
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def encode_batch(texts: pd.Series) -> pd.Series:
+        return pd.Series(codec()[0](texts.tolist()))
+
+    @F.pandas_udf(T.StringType())
+    def decode_batch(rows: pd.Series) -> pd.Series:
+        return pd.Series(codec()[1]([[i for i in row if i not in hidden] for row in rows]))
+
+    return encode_batch, decode_batch
+
+
 @dataclass(frozen=True)
 class PandasTokenizer(Tokenizer):
     """Any tokenizer with a list-in, list-out encoder, run in Arrow batches.
 
-    ``load`` is called once per Python worker and returns ``(encode, decode)``: ``encode`` maps a
-    list of texts to a list of id lists, ``decode`` a list of id lists to texts.
+    ``load`` returns ``(encode, decode)``: ``encode`` maps a list of texts to a list of id lists,
+    ``decode`` a list of id lists to texts.
     """
 
-    load: Callable[[], tuple[Callable, Callable]] | None = None
-
-    def _codec(self):
-        load, cache = self.load, {}
-
-        def codec():
-            if "codec" not in cache:
-                cache["codec"] = load()
-            return cache["codec"]
-        return codec
+    load: Callable[[], Codec] | None = None
 
     def encode(self, text: Column) -> Column:
-        codec = self._codec()
-
-        @F.pandas_udf(T.ArrayType(T.IntegerType()))
-        def encode_batch(texts: pd.Series) -> pd.Series:
-            return pd.Series(codec()[0](texts.tolist()))
-        return encode_batch(text)
+        return _codec_udfs(self.load, frozenset())[0](text)
 
     def decode(self, ids: Column, skip_special: bool = False) -> Column:
-        codec = self._codec()
-        hidden = set(self.specials.values()) if skip_special else set()
-
-        @F.pandas_udf(T.StringType())
-        def decode_batch(rows: pd.Series) -> pd.Series:
-            return pd.Series(codec()[1]([[i for i in row if i not in hidden] for row in rows]))
-        return decode_batch(ids)
+        hidden = frozenset(self.specials.values()) if skip_special else frozenset()
+        return _codec_udfs(self.load, hidden)[1](ids)
 
 
 TOKENIZERS: dict[str, Tokenizer] = {

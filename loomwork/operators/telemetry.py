@@ -22,8 +22,17 @@ RAW_NAMES = {
 }
 
 
+def micros(ts: Column | str) -> Column:
+    return F.unix_micros(col(ts).cast("timestamp"))
+
+
 def seconds(ts: Column | str) -> Column:
-    return F.unix_micros(col(ts).cast("timestamp")) / 1e6
+    return micros(ts) / 1e6
+
+
+def seconds_between(start: Column | str, end: Column | str) -> Column:
+    """The difference is taken in microseconds: epoch seconds as doubles would lose them."""
+    return (micros(end) - micros(start)) / 1e6
 
 
 def route_logs(df: DataFrame) -> DataFrame:
@@ -45,7 +54,7 @@ def parse_lines(lines: DataFrame, line: str = "value") -> DataFrame:
 
 def _timing(df: DataFrame) -> DataFrame:
     """Add elapsed, per-step and remaining seconds and the percentage from ``started_at`` and ``ts``."""
-    elapsed = seconds("ts") - seconds("started_at")
+    elapsed = seconds_between("started_at", "ts")
     step = F.coalesce(F.col("elapsed_seconds") / F.nullif(F.col("current_steps"), F.lit(0)), F.lit(0.0))
     return (
         df.withColumn("elapsed_seconds", elapsed)

@@ -315,7 +315,7 @@ def eval_metrics(spark, sf):
 
 
 def eval_speed(spark, sf):
-    rows = numbered_logs(spark, sf).withColumn("runtime", telemetry.seconds("ts") - telemetry.seconds("started_at"))
+    rows = numbered_logs(spark, sf).withColumn("runtime", telemetry.seconds_between("started_at", "ts"))
     return telemetry.eval_speed(rows, ["uid"], 4, 2)
 
 
@@ -503,7 +503,8 @@ def stream_logs(spark, sf):
     folder = scratch_path(spark, "stream-logs")
     lines = numbered_logs(spark, sf).select(F.to_json(F.struct(
         "uid", "current_steps", "total_steps", "started_at", "ts", "loss", "learning_rate", "epoch",
-        *(F.when(F.col("eval_loss").isNotNull(), F.col(c)).alias(c) for c in ("eval_loss", "eval_perplexity")))).alias("value"))
+        *(F.when(F.col("eval_loss").isNotNull(), F.col(c)).alias(c) for c in ("eval_loss", "eval_perplexity"))),
+        {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}).alias("value"))
     lines.write.text(f"{folder}/in")
     _drain(streams.stream_logs(streams.read_lines(spark, f"{folder}/in", 1), f"{folder}/out", f"{folder}/checkpoint"))
     rows = versions.read_appended(spark, f"{folder}/out/train", schemas.TRAIN_LOG)
