@@ -36,8 +36,9 @@ def build_vocabulary(df: DataFrame, columns: list[str], size: int = 50_000) -> D
 def encode_words(df: DataFrame, key: str, text: str, vocabulary: DataFrame) -> DataFrame:
     """``(key, ids)``: pieces looked up in a broadcast vocabulary, unknown ones as 0, in text order."""
     placed = df.select(key, F.posexplode_outer(pieces(text)).alias("_pos", "piece"))
-    found = placed.join(F.broadcast(vocabulary.limit(MAX_VOCABULARY).select("piece", "id")), "piece", "left")
-    entry = F.when(F.col("_pos").isNotNull(), F.struct("_pos", F.coalesce("id", F.lit(UNKNOWN_ID)).alias("id")))
+    known = vocabulary.limit(MAX_VOCABULARY).select("piece", F.col("id").alias("_id"))
+    found = placed.join(F.broadcast(known), "piece", "left")
+    entry = F.when(F.col("_pos").isNotNull(), F.struct("_pos", F.coalesce("_id", F.lit(UNKNOWN_ID)).alias("id")))
     return found.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("_e")).select(
         key, F.transform("_e", lambda e: e["id"]).alias("ids"))
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loomwork import schemas
 from loomwork.operators import registry, telemetry
+from loomwork.session import path_exists
 
 # Folder and names of the two log streams and of the predictions.
 WATCH = "watch"
@@ -50,5 +51,6 @@ def read_timeseries(spark: SparkSession, path: str) -> DataFrame:
 
 def append_absent(spark: SparkSession, desired: DataFrame, path: str, keys: list[str] = registry.KEY) -> None:
     """Append the registry rows whose key is not in the table at ``path``; running it twice adds nothing."""
-    existing = spark.read.schema(desired.schema).option("ignoreMissingFiles", True).parquet(path)
+    existing = spark.read.schema(desired.schema).parquet(path) if path_exists(spark, path) \
+        else spark.createDataFrame([], desired.schema)
     registry.create_if_absent(existing, desired, keys).write.mode("append").parquet(path)
