@@ -50,7 +50,7 @@ def assign_batches(df: DataFrame, batch: int, key: str, by: tuple[str, ...] = ("
 
 
 def _number(tagged: DataFrame, batch: int, by: list[str], order: list) -> DataFrame:
-    numbered = blocks.row_index(tagged, by, order, "_row").drop(blocks.BLOCK)
+    numbered = blocks.drop_blocks(blocks.row_index(tagged, by, order, "_row"))
     return numbered.withColumn("batch_id", F.floor(F.col("_row") / batch)).drop("_row")
 
 

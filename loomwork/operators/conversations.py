@@ -2,12 +2,13 @@
 
 The natural unit at scale is the pair row ``(conv_id, t, query, response)``. A conversation is
 brought onto one row only where its size is bounded, see ``encode.encode_conversations`` and
-``assemble_conversations``.
+``assemble_conversations``. Unless a conversation is hot, every step here runs on one shuffle by
+conversation.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomwork.operators import blocks
@@ -15,17 +16,43 @@ from loomwork.operators import blocks
 MESSAGE_BLOCK = 8192
 
 
+def pair_rows(messages: DataFrame, key: str, width: int, hot_rows: int) -> DataFrame:
+    """Pairs with what the encoder needs: ``key, turn, t, query, response, system, is_last``.
+
+    ``system`` is the first system message of the conversation; only its first pair carries it.
+    ``_block`` is kept when there are hot conversations.
+    """
+    rows = blocks.add_blocks(messages.select(key, "turn", "role", "text"), [key], F.col("turn"), width, hot_rows)
+    whole = blocks.in_block(rows, [key]).orderBy("turn").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
+    said = F.first(F.when(F.col("role") == "system", F.col("text")), ignorenulls=True).over(whole)
+    paired = blocks.next_row(rows.withColumn("system", said), [key], "turn", ["role", "text"], "_next")
+    pairs = (
+        paired.filter((F.col("role") == "user") & (F.col("_next.role") == "assistant"))
+        .withColumn("query", F.col("text")).withColumn("response", F.col("_next.text"))
+        .drop("role", "text", "_next")
+    )
+    numbered = blocks.row_index(pairs, [key], ["turn"], "t").withColumn("system", F.when(F.col("t") == 0, F.col("system")))
+    if blocks.has_blocks(rows):
+        # A hot conversation may have its system message in another block. Joining by number as
+        # well spreads its pairs over all tasks.
+        hot = system_texts(rows.filter(F.col(blocks.BLOCK) >= 0), key).withColumnRenamed("system", "_hot_system")
+        numbered = (
+            numbered.join(hot.withColumn("t", F.lit(0).cast("bigint")), [key, "t"], "left")
+            .withColumn("system", F.coalesce("_hot_system", "system")).drop("_hot_system")
+        )
+    return blocks.next_row(numbered, [key], "turn", ["t"], "_following") \
+        .withColumn("is_last", F.col("_following").isNull()).drop("_following")
+
+
 def pair_turns(messages: DataFrame, key: str = "conv_id", width: int = MESSAGE_BLOCK,
                hot_rows: int = blocks.HOT_ROWS) -> DataFrame:
     """A user message and the assistant message directly after it, numbered ``t`` from 0.
 
-    Output ``(key, t, query, response)``. A user message with no answer yields no pair.
+    Output ``(key, t, query, response, system)``; the system text is on the first pair only. A user
+    message with no answer yields no pair.
     """
-    rows = blocks.add_blocks(messages.select(key, "turn", "role", "text"), [key], F.col("turn"), width, hot_rows)
-    paired = blocks.next_row(rows, [key], "turn", ["role", "text"], "_next")
-    is_pair = (F.col("role") == "user") & (F.col("_next.role") == "assistant")
-    paired = paired.filter(is_pair).withColumn("query", F.col("text")).withColumn("response", F.col("_next.text"))
-    return blocks.row_index(paired, [key], ["turn"], "t").select(key, "t", "query", "response")
+    return pair_rows(messages, key, width, hot_rows).select(key, "t", "query", "response", "system")
 
 
 def system_texts(messages: DataFrame, key: str = "conv_id") -> DataFrame:
@@ -42,15 +69,15 @@ def assemble_conversations(messages: DataFrame, key: str = "conv_id", part_turns
 
     The last pair is ``query, response``; the earlier ones are ``history``. No row holds more than
     ``part_turns`` pairs: a longer conversation goes on in further rows, numbered by ``part``,
-    so that no task ever collects an unbounded group.
+    so that no task ever collects an unbounded group. The parts are pieces of one conversation;
+    the system text is on the first.
     """
-    pairs = pair_turns(messages, key, width, hot_rows).withColumn("part", F.floor(F.col("t") / part_turns))
-    nested = (
-        pairs.groupBy(key, "part")
-        .agg(F.array_sort(F.collect_list(F.struct("t", "query", "response"))).alias("_pairs"))
-        .withColumn("_turns", F.transform("_pairs", lambda p: F.struct(p["query"], p["response"])))
-    )
-    return nested.join(system_texts(messages, key), key, "left").select(
+    pairs = pair_rows(messages, key, width, hot_rows).withColumn("part", F.floor(F.col("t") / part_turns))
+    nested = pairs.groupBy(key, "part").agg(
+        F.array_sort(F.collect_list(F.struct("t", "query", "response"))).alias("_pairs"),
+        F.max("system").alias("system"))
+    turns = nested.withColumn("_turns", F.transform("_pairs", lambda p: F.struct(p["query"], p["response"])))
+    return turns.select(
         key, "part", "system",
         F.slice("_turns", F.lit(1), F.size("_turns") - 1).alias("history"),
         F.element_at("_turns", -1)["query"].alias("query"),

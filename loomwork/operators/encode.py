@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.functions import arrays
@@ -365,54 +365,48 @@ def min_turn_ids(template: ChatTemplate, tok: Tokenizer) -> int:
     return sure
 
 
+def _only_last(pairs: DataFrame, key: str) -> DataFrame:
+    """The last pair alone, as turn 0, with the system text its first pair carried."""
+    ends = pairs.filter((F.col("t") == 0) | F.col("is_last"))
+    alone = ends.groupBy(key).agg(
+        F.max("system").alias("system"), F.max_by(F.struct("turn", "query", "response"), "t").alias("_last"))
+    return alone.select(key, "_last.*", "system", F.lit(0).cast("bigint").alias("t"), F.lit(True).alias("is_last"))
+
+
 def encode_conversations(messages: DataFrame, template: str | ChatTemplate = "llama2",
                          cutoff: int = DEFAULT_CUTOFF, tokenizer: str | Tokenizer = "codepoint",
                          key: str = "conv_id", width: int = conversations.MESSAGE_BLOCK,
                          hot_rows: int = blocks.HOT_ROWS) -> DataFrame:
-    """Message rows to one encoded example per conversation.
+    """Message rows to one encoded example per conversation, on one shuffle.
 
     Equal to nesting each conversation and calling ``encode_sft``, but bounded: a turn that starts
     at or behind the cutoff cannot leave a trace in the result, and it is dropped before the turns
-    of a conversation meet in one task. Since a turn has at least one id, turn number ``cutoff``
-    and later ones go first, by their number alone.
+    of a conversation meet in one row. Where every turn has at least one id, turn number ``cutoff``
+    and later ones go first, by their number alone; only the last pair stays, since an example
+    counts only when its current turn has both texts.
     """
     template = get_template(template)
     tok = get_tokenizer(tokenizer, template)
-    pairs = conversations.pair_turns(messages, key, width, hot_rows)
-    # The example is valid when its current turn, the last pair, has both texts.
-    facts = (
-        pairs.groupBy(key)
-        .agg(F.max_by(((F.col("query") != "") & (F.col("response") != "")).cast("int"), "t").alias("_valid"),
-             F.max("t").alias("_max_t"))
-        .filter(F.col("_valid") == 1).select(key, "_max_t")
-    )
+    pairs = conversations.pair_rows(messages, key, width, hot_rows)
     if not template.use_history:
-        rows = pairs.join(facts, key).filter(F.col("t") == F.col("_max_t")).withColumn("t", F.lit(0).cast("bigint"))
-    else:
-        if min_turn_ids(template, tok) > 0:
-            pairs = pairs.filter(F.col("t") < cutoff)
-        rows = pairs.join(facts, key)
-    rows = (
-        rows.join(conversations.system_texts(messages, key), key, "left")
-        .withColumn("system", F.coalesce(blank_to_null("system"), F.lit(template.system)))
-        .select(key, "t", "query", "response", "system")
-    )
-    cut = (
-        encode_turn_rows(rows, template, tok, cutoff)
-        .withColumn("encoded", cut_turn(F.col("encoded"), cutoff))
-        .select(key, "t", "encoded", (F.col("encoded.n_src") + F.col("encoded.n_tgt")).alias("_n"))
-    )
-    if template.use_history and min_turn_ids(template, tok) == 0:
-        # Empty turns are possible, so the number alone proves nothing: use the running length.
-        cut = blocks.running_total(
-            blocks.add_blocks(cut, [key], F.col("t"), width, hot_rows), [key], ["t"], F.col("_n"), "_start")
-    else:
-        so_far = Window.partitionBy(key).orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
-        cut = cut.withColumn("_start", F.coalesce(F.sum("_n").over(so_far), F.lit(0)))
+        pairs = _only_last(pairs, key)
+    sure = not template.use_history or min_turn_ids(template, tok) > 0
+    if sure:
+        # At most cutoff + 1 pairs per conversation are left, so blocks are no longer needed.
+        pairs = blocks.drop_blocks(pairs.filter((F.col("t") < cutoff) | F.col("is_last")))
+    rows = pairs.withColumn("system", F.coalesce(blank_to_null("system"), F.lit(template.system)))
+    cut = encode_turn_rows(rows, template, tok, cutoff).withColumn("encoded", cut_turn(F.col("encoded"), cutoff))
+    n = F.col("encoded.n_src") + F.col("encoded.n_tgt")
+    placed = blocks.running_total(cut, [key], ["turn"], n, "_start")
+    counts = (F.col("_start") < cutoff) & (n > 0)
+    valid = (F.col("query") != "") & (F.col("response") != "")
     kept = (
-        cut.filter((F.col("_start") < cutoff) & ((F.col("_n") > 0) | (F.col("t") == 0)))
-        .withColumn("_turn", label_turn(F.col("encoded"), template, tok))
-        .groupBy(key).agg(F.array_sort(F.collect_list("_turn")).alias("labelled"))
+        # Rows that only bear witness to the last pair have a null turn, which no list collects.
+        placed.filter(counts | F.col("is_last"))
+        .select(key, F.when(counts, label_turn(F.col("encoded"), template, tok)).alias("_turn"),
+                (F.col("is_last") & valid).alias("_valid"))
+        .groupBy(key).agg(F.array_sort(F.collect_list("_turn")).alias("labelled"), F.bool_or("_valid").alias("_valid"))
+        .filter("_valid")
     )
     return close_example(kept, template, tok, cutoff, [key])
 

@@ -90,7 +90,13 @@ def resolve_runs(runs: DataFrame, datasets: DataFrame, hyperparameters: DataFram
 
 def run_configs(runs: DataFrame, datasets: DataFrame, hyperparameters: DataFrame, models: DataFrame) -> DataFrame:
     """``config`` struct per run: merged parameters, split files, columns map, quantization, workers."""
-    resolved = resolve_runs(runs, resolve_splits(datasets), hyperparameters, models)
+    # Columns maps are built once per dataset, not once per run.
+    described = (
+        resolve_splits(datasets).withColumn("columns", features_map("features"))
+        .withColumn("columns_text", features_json("features"))
+        .select(*KEY, "train_path", "evaluation_path", "columns", "columns_text")
+    )
+    resolved = resolve_runs(runs, described, hyperparameters, models)
     merged = resolved.withColumn(
         "_p", merged_parameters(F.col("hyperparameter_row.parameters"), F.col("overrides")))
     return merged.select(
@@ -99,8 +105,8 @@ def run_configs(runs: DataFrame, datasets: DataFrame, hyperparameters: DataFrame
             F.col("image.path").alias("model_name_or_path"),
             F.col("dataset_row.train_path").alias("train_path"),
             F.col("dataset_row.evaluation_path").alias("evaluation_path"),
-            features_map(F.col("dataset_row.features")).alias("columns"),
-            features_json(F.col("dataset_row.features")).alias("columns_text"),
+            F.col("dataset_row.columns").alias("columns"),
+            F.coalesce(F.col("dataset_row.columns_text"), F.lit("")).alias("columns_text"),
             quantization(F.col("_p.int8"), F.col("_p.int4")).alias("quantization"),
             F.when(F.col("node") > 0, F.col("node")).otherwise(F.lit(1)).alias("num_workers"),
             F.col("_p").alias("parameters"),

@@ -103,7 +103,7 @@ def rank_jobs(jobs: DataFrame, hot_rows: int = blocks.HOT_ROWS) -> DataFrame:
     order = [F.col("points").desc(), F.col("name").asc()]
     scored = jobs.withColumn("points", parse_score("score"))
     tagged = blocks.add_sorted_blocks(scored, keys, order, hot_rows)
-    return blocks.row_index(tagged, keys, order, "rank").withColumn("rank", F.col("rank") + 1).drop(blocks.BLOCK)
+    return blocks.drop_blocks(blocks.row_index(tagged, keys, order, "rank")).withColumn("rank", F.col("rank") + 1)
 
 
 def top_runs(jobs: DataFrame, k: int = 1) -> DataFrame:

@@ -6,15 +6,17 @@ pair averaged per group; BLEU-4 follows Papineni et al. (2002) on the counts of
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_NGRAM = 4
+# Rows counted together inside a batch; bounds the memory whole documents may take.
+ROWS_AT_ONCE = 256
 
 OVERLAP = T.StructType([T.StructField(name, T.IntegerType()) for name in
                         ["n_predict", "n_label", *(f"match_{n}" for n in range(1, MAX_NGRAM + 1)), "lcs"]])
@@ -33,20 +35,66 @@ def lcs_length(a: list, b: list) -> int:
     return len(b) - row.bit_count()
 
 
-def clipped_matches(a: list, b: list, n: int) -> int:
-    """N-grams of ``a`` found in ``b``, each at most as often as ``b`` has it."""
-    grams_a = Counter(zip(*(a[i:] for i in range(n))))
-    grams_b = Counter(zip(*(b[i:] for i in range(n))))
-    return (grams_a & grams_b).total()
+def _words(texts: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All words of the texts in a row, the text each belongs to, and the number of words per text."""
+    split = [(text or "").split() for text in texts]
+    lengths = np.array([len(words) for words in split], dtype=np.int64)
+    flat = np.array([word for words in split for word in words], dtype=object)
+    return flat, np.repeat(np.arange(len(split)), lengths), lengths
+
+
+def clipped_matches(codes: list[np.ndarray], rows: list[np.ndarray], n_rows: int) -> np.ndarray:
+    """Per row, the n-grams of one side found in the other, each at most as often as that has it."""
+    _, grams = np.unique(np.concatenate(codes), return_inverse=True)
+    first = len(codes[0])
+    width = int(grams.max(initial=0)) + 1
+    counted = [np.unique(r * width + g, return_counts=True) for r, g in zip(rows, (grams[:first], grams[first:]))]
+    shared, at_a, at_b = np.intersect1d(counted[0][0], counted[1][0], assume_unique=True, return_indices=True)
+    hits = np.minimum(counted[0][1][at_a], counted[1][1][at_b])
+    return np.bincount(shared // width, weights=hits, minlength=n_rows).astype(np.int64)
+
+
+def count_overlap(predict: pd.Series, label: pd.Series) -> pd.DataFrame:
+    """The overlap columns for a slice of rows; n-grams of all rows are counted together."""
+    sides = [_words(predict), _words(label)]
+    n_rows, first = len(predict), len(sides[0][0])
+    words, _ = pd.factorize(np.concatenate([s[0] for s in sides]))
+    words = words.astype(np.int64)
+    base = int(words.max(initial=0)) + 1
+    tokens = [words[:first], words[first:]]
+    rows = [s[1] for s in sides]
+    out = {"n_predict": sides[0][2], "n_label": sides[1][2]}
+    grams, owners = tokens, rows
+    for n in range(1, MAX_NGRAM + 1):
+        if n > 1:
+            # Number the shorter n-grams, then append the next word where it is of the same text.
+            _, numbers = np.unique(np.concatenate(grams), return_inverse=True)
+            numbered = [numbers[:len(grams[0])], numbers[len(grams[0]):]]
+            longer, kept = [], []
+            for side in (0, 1):
+                last = len(tokens[side]) - n + 1
+                same = rows[side][:max(last, 0)] == rows[side][n - 1:]
+                starts = starts_of[side][:0] if last <= 0 else np.flatnonzero(same)
+                position = np.searchsorted(starts_of[side], starts)
+                longer.append(numbered[side][position] * base + tokens[side][starts + n - 1])
+                kept.append(starts)
+            grams, starts_of = longer, kept
+            owners = [rows[side][kept[side]] for side in (0, 1)]
+        else:
+            starts_of = [np.arange(len(t)) for t in tokens]
+        out[f"match_{n}"] = clipped_matches(grams, owners, n_rows)
+    ends = [np.cumsum(s[2]) for s in sides]
+    out["lcs"] = [
+        lcs_length(tokens[0][ea - na:ea].tolist(), tokens[1][eb - nb:eb].tolist())
+        for ea, na, eb, nb in zip(ends[0], sides[0][2], ends[1], sides[1][2])]
+    return pd.DataFrame(out, columns=OVERLAP.names)
 
 
 @F.pandas_udf(OVERLAP)
 def overlap_counts(predict: pd.Series, label: pd.Series) -> pd.DataFrame:
-    rows = []
-    for p, r in zip(predict, label):
-        a, b = (p or "").split(), (r or "").split()
-        rows.append([len(a), len(b), *(clipped_matches(a, b, n) for n in range(1, MAX_NGRAM + 1)), lcs_length(a, b)])
-    return pd.DataFrame(rows, columns=OVERLAP.names)
+    parts = [count_overlap(predict[i:i + ROWS_AT_ONCE], label[i:i + ROWS_AT_ONCE])
+             for i in range(0, len(predict), ROWS_AT_ONCE)]
+    return pd.concat(parts, ignore_index=True)
 
 
 def with_overlap(pairs: DataFrame) -> DataFrame:

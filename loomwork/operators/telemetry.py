@@ -165,7 +165,7 @@ def state_changes(df: DataFrame, key: str, order: str, cols: list[str], include_
     kind = df.schema[order].dataType.typeName()
     position = seconds(order) if kind.startswith("timestamp") else F.col(order)
     tagged = blocks.add_blocks(df, [key], position, width, hot_rows)
-    seen = blocks.previous_row(tagged, [key], order, cols, "previous").drop(blocks.BLOCK)
+    seen = blocks.drop_blocks(blocks.previous_row(tagged, [key], order, cols, "previous"))
     first = F.col("previous").isNull()
     changed = ~first & ~F.col("previous").eqNullSafe(F.struct(*cols))
     return seen.filter(changed | first if include_first else changed)
@@ -175,4 +175,4 @@ def number_steps(df: DataFrame, key: str, order: str, out: str = "current_steps"
                  hot_rows: int = blocks.HOT_ROWS) -> DataFrame:
     """Add the 1-based step number of each row within its run, by time."""
     tagged = blocks.add_blocks(df, [key], seconds(order), width, hot_rows)
-    return blocks.row_index(tagged, [key], [order], out).withColumn(out, F.col(out) + 1).drop(blocks.BLOCK)
+    return blocks.drop_blocks(blocks.row_index(tagged, [key], [order], out)).withColumn(out, F.col(out) + 1)

@@ -41,7 +41,7 @@ def flat_encoded(encoded: DataFrame, key: str) -> DataFrame:
 # ---------------------------------------------------------------- conversations and encoding
 
 def pair_turns(spark, sf):
-    return conversations.pair_turns(t.messages(spark, sf))
+    return conversations.pair_turns(t.messages(spark, sf)).drop("system")
 
 
 def assemble_conversations(spark, sf):
@@ -74,15 +74,9 @@ def encode_oneturn(spark, sf):
         "conv_id", joined("prompt_ids").alias("prompt_ids"), joined("answer_ids").alias("answer_ids"))
 
 
-def turns_with_system(spark, sf, default: str | None = None):
-    pairs = conversations.pair_turns(t.messages(spark, sf))
-    rows = pairs.join(conversations.system_texts(t.messages(spark, sf)), "conv_id", "left")
-    return rows.withColumn("system", F.coalesce(text.blank_to_null("system"), F.lit(default))) if default is not None else rows
-
-
 def render_chat(spark, sf):
     """Every turn in every template, in one pass over the pairs."""
-    rows = turns_with_system(spark, sf)
+    rows = conversations.pair_turns(t.messages(spark, sf))
 
     def one(template):
         system = F.coalesce(text.blank_to_null("system"), F.lit(template.system))
@@ -417,7 +411,7 @@ def unpivot_metrics(spark, sf):
 
 def predictions_raw(spark, sf) -> DataFrame:
     """Generated ids: the encoded prompt of a turn, then the characters of its question."""
-    rows = turns_with_system(spark, sf, "")
+    rows = conversations.pair_turns(t.messages(spark, sf))
     tok = get_tokenizer("codepoint", "vanilla")
     encoded = encode.encode_turn_rows(rows, "vanilla", tok)
     masked = F.concat(F.array_repeat(F.lit(arrays.IGNORE_INDEX), F.size("encoded.src")), F.col("encoded.tgt"))
@@ -448,7 +442,7 @@ def pad_generated(spark, sf):
 
 def pairs_to_score(spark, sf) -> DataFrame:
     """Answers as predictions of their questions; conversations are spread over eight runs."""
-    return pair_turns(spark, sf).select(
+    return conversations.pair_turns(t.messages(spark, sf)).select(
         F.concat(F.lit("run-"), F.pmod("conv_id", F.lit(8))).alias("run"), "conv_id", "t",
         F.col("response").alias("predict"), F.col("query").alias("label"))
 

@@ -190,4 +190,4 @@ def test_closed_windows_equal_batch_windows(spark, tmp_path):
     limit = rows[-1][1] - timedelta(minutes=30)
     want = [r for r in streams.windowed_loss(df, "1 hour", "30 minutes").collect() if r.window_end <= limit]
     got = spark.read.parquet(out).collect()
-    assert len(want) == 19 and sorted(map(str, got)) == sorted(map(str, want))
+    assert len(want) == 18 and sorted(map(str, got)) == sorted(map(str, want))

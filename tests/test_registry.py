@@ -187,14 +187,29 @@ def test_lcs_and_matches_against_brute_force():
     for _ in range(300):
         a, b = ([rng.choice("abcd") for _ in range(rng.randrange(90))] for _ in range(2))
         assert scoring.lcs_length(a, b) == slow_lcs(a, b)
-        for n in (1, 2, 3):
-            left = [tuple(b[i:i + n]) for i in range(len(b) - n + 1)]
+
+
+def test_matches_against_brute_force():
+    import random
+
+    import pandas as pd
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice("abc") for _ in range(rng.randrange(12))) for _ in range(400)]
+    pred, label = pd.Series([None, "", "a", *texts[:200]]), pd.Series(["a", "", "a", *texts[200:]])
+    got = scoring.count_overlap(pred, label)
+    for i, (p, r) in enumerate(zip(pred, label)):
+        a, b = (p or "").split(), (r or "").split()
+        assert (got.n_predict[i], got.n_label[i], got.lcs[i]) == (len(a), len(b), slow_lcs(a, b))
+        for n in range(1, 5):
+            left = [tuple(b[j:j + n]) for j in range(len(b) - n + 1)]
             hits = 0
-            for i in range(len(a) - n + 1):
-                if tuple(a[i:i + n]) in left:
-                    left.remove(tuple(a[i:i + n]))
+            for j in range(len(a) - n + 1):
+                if tuple(a[j:j + n]) in left:
+                    left.remove(tuple(a[j:j + n]))
                     hits += 1
-            assert scoring.clipped_matches(a, b, n) == hits
+            assert got[f"match_{n}"][i] == hits
+    empty = scoring.count_overlap(pd.Series([""]), pd.Series([None]))
+    assert empty.iloc[0].tolist() == [0] * 7
 
 
 def test_document_scores_against_brute_force(spark):
