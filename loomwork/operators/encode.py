@@ -24,8 +24,6 @@ from loomwork.operators import blocks, conversations
 # Fixed value: tokens kept per example when nothing else is asked for.
 DEFAULT_CUTOFF = 1024
 
-NO_IDS = "array<int>"
-
 
 def effective_cutoff(block_size: Column) -> Column:
     return F.when(block_size > 0, block_size).otherwise(F.lit(DEFAULT_CUTOFF))
@@ -78,10 +76,6 @@ def _text(parts: list) -> Column:
     return F.concat(*map(one, parts)) if len(parts) > 1 else one(parts[0])
 
 
-def _no_ids() -> Column:
-    return F.array().cast(NO_IDS)
-
-
 def _text_ids(parts: list, tok: Tokenizer, limit: int | None) -> Column:
     def encode(text: Column) -> Column:
         return tok.encode(tok.head(text, limit) if limit and tok.cuts_text else text)
@@ -91,12 +85,12 @@ def _text_ids(parts: list, tok: Tokenizer, limit: int | None) -> Column:
 
     def one(p) -> Column:
         if isinstance(p, str):
-            return F.lit(tok.literal_ids(p))
+            return arrays.literal(tok.literal_ids(p))
         if isinstance(p, Known):
-            usual = F.lit(tok.literal_ids(p.usual)) if p.usual else _no_ids()
+            usual = arrays.literal(tok.literal_ids(p.usual))
             return F.when(p.column == p.usual, usual).otherwise(encode(p.column))
         if isinstance(p, FirstTurn):
-            return F.when(p.t == 0, _text_ids(p.parts, tok, limit)).otherwise(_no_ids())
+            return F.when(p.t == 0, _text_ids(p.parts, tok, limit)).otherwise(arrays.literal([]))
         return encode(p)
     return F.concat(*map(one, parts))
 
@@ -129,9 +123,9 @@ def part_text(rendered: list) -> Column:
 
 def part_ids(rendered: list, tok: Tokenizer, limit: int | None) -> Column:
     """Rendered part as ids; with a limit, at least the first ``limit`` ids of it."""
-    out = [F.lit([tok.special_id(p.token)]) if isinstance(p, Special) else _text_ids(p, tok, limit)
+    out = [arrays.literal([tok.special_id(p.token)]) if isinstance(p, Special) else _text_ids(p, tok, limit)
            for p in rendered]
-    return F.concat(*out) if out else _no_ids()
+    return F.concat(*out) if out else arrays.literal([])
 
 
 def part_length(rendered: list, tok: Tokenizer) -> Column:
@@ -160,7 +154,7 @@ def _only_system(prefix: list) -> bool:
 
 def source_ids(template: ChatTemplate, tok: Tokenizer, t: Column, query: Column, system: Column,
                limit: int | None = None) -> Column:
-    bos = F.lit(tok.bos_ids) if tok.bos_ids else _no_ids()
+    bos = arrays.literal(tok.bos_ids)
     prefix, sep, prompt = _turn_parts(template, t, query, system)
     asked = part_ids(prompt, tok, limit)
     if template.system_in_query:
@@ -187,7 +181,7 @@ def source_length(template: ChatTemplate, tok: Tokenizer, t: Column, query: Colu
 
 def _target(template: ChatTemplate, tok: Tokenizer, response: Column, limit: int | None) -> Column:
     ids = tok.encode(tok.head(response, limit) if limit and tok.cuts_text else response)
-    return ids if template.efficient_eos else F.concat(ids, F.lit([tok.eos_id]))
+    return ids if template.efficient_eos else F.concat(ids, arrays.literal([tok.eos_id]))
 
 
 def turn_struct(template: ChatTemplate, tok: Tokenizer, t: Column, query: Column, response: Column,
@@ -229,7 +223,7 @@ def label_turn(turn: Column, template: ChatTemplate, tok: Tokenizer) -> Column:
     n = F.size(turn["src"])
     mask = F.array_repeat(F.lit(IGNORE_INDEX), n)
     if template.efficient_eos:
-        eos_first = F.concat(F.lit([tok.eos_id]), F.array_repeat(F.lit(IGNORE_INDEX), n - 1))
+        eos_first = F.concat(arrays.literal([tok.eos_id]), F.array_repeat(F.lit(IGNORE_INDEX), n - 1))
         mask = F.when((turn["t"] != 0) & (n > 0), eos_first).otherwise(mask)
     return F.struct(turn["t"].alias("t"), F.concat(turn["src"], turn["tgt"]).alias("ids"),
                     F.concat(mask, turn["tgt"]).alias("labels"))
@@ -284,7 +278,7 @@ def mask_labels(df: DataFrame, template: str | ChatTemplate, tokenizer: str | To
 
 def close_example(df: DataFrame, template: ChatTemplate, tok: Tokenizer, cutoff: int, keep: list[str]) -> DataFrame:
     """Join the turns of ``labelled``, add the closing end token, cut, add the attention mask."""
-    tail = F.lit([tok.eos_id]) if template.efficient_eos else _no_ids()
+    tail = arrays.literal([tok.eos_id] if template.efficient_eos else [])
 
     def joined(name: str) -> Column:
         return arrays.head(F.concat(F.flatten(F.transform("labelled", lambda x: x[name])), tail), cutoff)

@@ -25,6 +25,9 @@ last_pair AS (SELECT conv_id, max(t) AS last_t FROM pairs GROUP BY conv_id)
 """
 
 
+WORDS = "list_filter(string_split_regex({}, '\\s+'), lambda w: w <> '')"
+
+
 # ---------------------------------------------------------------- encoding
 
 def chars(text: str) -> str:
@@ -183,6 +186,13 @@ FROM pairs p JOIN last_pair USING (conv_id) LEFT JOIN systems USING (conv_id) GR
     "decode_labels": conversation_sql("vanilla") + """
 SELECT conv_id, array_to_string(list_transform(list_filter(labels, lambda x: x <> -100),
        lambda x: CASE WHEN x < 1114112 THEN chr(x) ELSE '</s>' END), '') AS text FROM examples""",
+    "word_ids": f"""WITH words AS (
+  SELECT doc_id, unnest({WORDS.format('text')}) AS piece, generate_subscripts({WORDS.format('text')}, 1) AS pos FROM documents),
+vocab AS (SELECT piece, row_number() OVER (ORDER BY count(*) DESC, encode(piece)) AS id FROM words GROUP BY piece
+  ORDER BY count(*) DESC, encode(piece) LIMIT 2000),
+coded AS (SELECT doc_id, count(*) AS n, string_agg(CAST(coalesce(id, 0) AS VARCHAR), ' ' ORDER BY pos) AS ids
+  FROM words LEFT JOIN vocab USING (piece) GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n, coalesce(ids, '') AS ids FROM documents LEFT JOIN coded USING (doc_id)""",
     "sft_examples": f"WITH {SFT} SELECT doc_id, query, response FROM built WHERE query <> '' AND response <> ''",
     "sft_rejects": f"""WITH {SFT} SELECT doc_id, CASE WHEN query = '' AND response = '' THEN 'empty query and response'
   WHEN query = '' THEN 'empty query' ELSE 'empty response' END AS reason FROM built WHERE query = '' OR response = ''""",
@@ -332,6 +342,17 @@ FROM jobs JOIN orders ON o_orderkey = l_orderkey""",
     "first_by": """SELECT concat('exp-', o_custkey) AS owner_experiment,
   first(concat('job-', o_orderkey) ORDER BY o_orderdate, concat('job-', o_orderkey)) AS first_name
 FROM orders GROUP BY o_custkey""",
+    "text_functions": """SELECT o_orderkey, CAST(split_part(o_orderpriority, '-', 1) AS BIGINT) AS score, 0 AS no_score,
+  concat(CASE WHEN o_orderstatus = 'F' THEN '' ELSE o_orderstatus || '/' END, o_orderpriority, '/', o_orderkey) AS path,
+  concat(CASE WHEN s >= 172800 THEN concat(s // 86400, ' days, ') WHEN s >= 86400 THEN '1 day, ' ELSE '' END, s % 86400 // 3600,
+         ':', lpad(CAST(s % 3600 // 60 AS VARCHAR), 2, '0'), ':', lpad(CAST(s % 60 AS VARCHAR), 2, '0')) AS duration,
+  CASE WHEN o_custkey % 8 = 0 THEN 100 ELSE round(o_orderkey % 100 / (o_custkey % 8 * 100) * 100, 2) END AS percent,
+  CASE WHEN strpos(o_orderpriority, 'O') = 0 THEN o_orderpriority ELSE concat(substr(o_orderpriority, 1, strpos(o_orderpriority, 'O') - 1),
+    '{{O}}', substr(o_orderpriority, strpos(o_orderpriority, 'O') + 1)) END AS replaced,
+  epoch_us(o_orderdate) // 1000000 * 1000 AS epoch_ms, strftime(o_orderdate, '%Y%m%d') AS day,
+  strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS stamp, concat(o_orderstatus, '|', o_orderpriority) AS items
+FROM (SELECT *, CAST(trunc(o_totalprice) AS BIGINT) AS s FROM orders)""",
+    "map_functions": """SELECT p_partkey, concat('brand=', p_brand, ',name=', p_name, ',size=', p_size, ',type=', p_type) AS labels FROM part""",
     "rollup_runs": f"""WITH {RUNS} SELECT name, CASE
   WHEN l_linenumber = 2 THEN 'FAILED'
   WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN
@@ -489,8 +510,6 @@ gen AS (
   FROM pairs)
 """
 
-WORDS = "list_filter(string_split_regex({}, '\\s+'), lambda w: w <> '')"
-
 
 def score_sql(ctes: str, by: str, with_lcs: bool) -> str:
     """``ctes`` must end in ``scored(id, by, predict, label)``."""

@@ -13,7 +13,7 @@ from loomwork.functions import arrays, maps, text
 from loomwork.functions.templates import TEMPLATES
 from loomwork.functions.tokenizers import CodepointTokenizer, get_tokenizer
 from loomwork.operators import (batching, conversations, encode, ingest, predictions, registry, rollup, scoring,
-                                telemetry, timeseries)
+                                telemetry, timeseries, vocabulary)
 from loomwork.plans import tables as t
 from loomwork.session import scratch_path
 from loomwork.sources import sft
@@ -96,6 +96,13 @@ def sft_rows(spark, sf) -> DataFrame:
     return ingest.build_examples(mapped, ["doc_id", "lang", "source"])
 
 
+def word_ids(spark, sf):
+    """Documents in ids of a vocabulary counted from them."""
+    docs = t.table(spark, sf, "documents").select("doc_id", "text")
+    vocab = vocabulary.build_vocabulary(docs, ["text"], 2000)
+    return vocabulary.encode_words(docs, "doc_id", "text", vocab).select("doc_id", F.size("ids").alias("n"), joined("ids").alias("ids"))
+
+
 def sft_examples(spark, sf):
     return ingest.filter_valid(sft_rows(spark, sf)).select("doc_id", "query", "response")
 
@@ -236,6 +243,33 @@ def first_by(spark, sf):
         .select("owner_experiment", "first_name")
 
 
+def text_functions(spark, sf):
+    """The scalar functions over orders and their customers' numbers."""
+    o = t.table(spark, sf, "orders")
+    path = F.concat_ws("/", F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("o_orderkey").cast("string"))
+    return o.select(
+        "o_orderkey",
+        text.parse_score(F.substring_index("o_orderpriority", "-", 1)).alias("score"),
+        text.parse_score("o_orderpriority").alias("no_score"),
+        text.strip_bucket(path, "F").alias("path"),
+        text.format_duration(F.col("o_totalprice")).alias("duration"),
+        text.percent(F.col("o_orderkey") % 100, F.col("o_custkey") % 8 * 100).alias("percent"),
+        text.replace_first("o_orderpriority", "O", F.lit("{{O}}")).alias("replaced"),
+        text.epoch_ms("o_orderdate").alias("epoch_ms"), text.day_tag("o_orderdate").alias("day"),
+        text.stamp("o_orderdate").alias("stamp"),
+        F.array_join(text.split_list(F.concat_ws(" , ", F.col("o_orderstatus"), F.col("o_orderpriority"))), "|").alias("items"))
+
+
+def map_functions(spark, sf):
+    """Labels of each part, merged under the labels its brand fixes."""
+    p = t.table(spark, sf, "part")
+    fixed = F.create_map(F.lit("brand"), F.col("p_brand"), F.lit("size"), F.col("p_size").cast("string"))
+    own = F.create_map(F.lit("brand"), F.lit("own"), F.lit("type"), F.col("p_type"), F.lit("name"), F.col("p_name"))
+    merged = F.array_sort(F.map_entries(maps.merge_maps(fixed, own)))
+    return p.select("p_partkey", F.array_join(F.transform(
+        merged, lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",").alias("labels"))
+
+
 # ---------------------------------------------------------------- states and ranks
 
 def rollup_runs(spark, sf):
@@ -459,7 +493,8 @@ def document_scores(spark, sf):
     """Each document against the next one by id, whole texts, grouped by language."""
     docs = t.table(spark, sf, "documents")
     labels = docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("label"))
-    pairs = docs.select("doc_id", "lang", F.col("text").alias("predict")).join(labels, "doc_id")
+    # Both sides are the corpus: a shuffle join whatever the size estimate says.
+    pairs = docs.select("doc_id", "lang", F.col("text").alias("predict")).join(labels.hint("merge"), "doc_id")
     return rounded(scoring.text_scores(pairs, ["lang"]))
 
 
@@ -558,7 +593,7 @@ def in_utc(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         return query(spark, sf_dir)
-    run.__doc__ = query.__doc__
+    run.__name__, run.__doc__ = query.__name__, query.__doc__
     return run
 
 
@@ -566,9 +601,10 @@ QUERIES: dict[str, Query] = {
     f"encode_{name}": in_utc(encode_with(name)) for name in TEMPLATES
 } | {q.__name__: in_utc(q) for q in (
     pair_turns, assemble_conversations, encode_nested, encode_bytes, encode_oneturn, render_chat, decode_labels,
-    sft_examples, sft_rejects, encode_documents, corpus_stats, shard_plan, assign_batches, collate,
+    word_ids, sft_examples, sft_rejects, encode_documents, corpus_stats, shard_plan, assign_batches, collate,
     resolve_splits, features, resolve_runs, merge_overrides, run_configs, missing_deps, validate_runs, checkpoints,
-    create_if_absent, references, drop_reference, with_owner, first_by,
+    create_if_absent, references, drop_reference, with_owner, first_by, text_functions,
+    map_functions,
     rollup_runs, rollup_jobs, rollup_experiments, rank_jobs, top_runs, best_version, job_status_list, apply_pause,
     progress, train_logs, eval_logs, eval_metrics, eval_speed, run_summary, curve, state_changes,
     train_series, eval_series, match_series, select_range, group_series, downsample, run_query, unpivot_metrics,
