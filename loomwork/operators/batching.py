@@ -31,27 +31,22 @@ def assign_batches(df: DataFrame, batch: int, key: str, by: tuple[str, ...] = ("
     """Add ``batch_id``: consecutive runs of ``batch`` rows inside each shard.
 
     Rows are ordered by an integer key, or by the hash of any other key. ``key`` must be unique.
-    A shard beyond ``hot_rows`` rows is numbered in blocks: ``width`` key units each, or a fixed
-    share of the hash range, which spreads any key evenly.
+    A shard beyond ``hot_rows`` rows is numbered in blocks: ``width`` units of an integer key each,
+    sorted blocks when no width is given, or equal shares of the hash range.
     """
-    if _is_int(df, key) and width:
-        position, width = F.col(key), width
-        order: list[str | Column] = [key]
-    elif _is_int(df, key):
-        # Without a width, blocks follow the sorted key itself.
-        tagged = blocks.add_sorted_blocks(df, list(by), [key], hot_rows)
-        return _number(tagged, batch, list(by), [key])
-    else:
+    keys: list[str] = list(by)
+    order: list[str | Column] = [key]
+    if not _is_int(df, key):
         df = df.withColumn("_hash", F.xxhash64(key))
-        position, width = F.col("_hash") / 2.0 + 2.0**62, 2.0**63 / HASH_BLOCKS
         order = ["_hash", key]
-    tagged = blocks.add_blocks(df, list(by), position, width, hot_rows)
-    return _number(tagged, batch, list(by), order).drop("_hash")
-
-
-def _number(tagged: DataFrame, batch: int, by: list[str], order: list) -> DataFrame:
-    numbered = blocks.drop_blocks(blocks.row_index(tagged, by, order, "_row"))
-    return numbered.withColumn("batch_id", F.floor(F.col("_row") / batch)).drop("_row")
+        # Hashes cover the whole signed range; halved and shifted they start at 0.
+        tagged = blocks.add_blocks(df, keys, F.col("_hash") / 2.0 + 2.0**62, 2.0**63 / HASH_BLOCKS, hot_rows)
+    elif width:
+        tagged = blocks.add_blocks(df, keys, F.col(key), width, hot_rows)
+    else:
+        tagged = blocks.add_sorted_blocks(df, keys, order, hot_rows)
+    numbered = blocks.drop_blocks(blocks.row_index(tagged, keys, order, "_row"))
+    return numbered.withColumn("batch_id", F.floor(F.col("_row") / batch)).drop("_row", "_hash")
 
 
 def shard_plan(df: DataFrame, batch: int, by: tuple[str, ...] = ("shard",)) -> DataFrame:

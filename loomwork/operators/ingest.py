@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.functions.text import is_blank
@@ -32,10 +32,6 @@ def build_examples(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     return df.select(*(keep or []), query.alias("query"), "response", *optional)
 
 
-def _faulty(name: str) -> Column:
-    return is_blank(name)
-
-
 def filter_valid(df: DataFrame) -> DataFrame:
     """Rows whose query and response are not empty. Blank-only text passes."""
     return df.filter((F.col("query") != "") & (F.col("response") != ""))
@@ -43,7 +39,7 @@ def filter_valid(df: DataFrame) -> DataFrame:
 
 def rejects(df: DataFrame) -> DataFrame:
     """The rows ``filter_valid`` drops, with the reason."""
-    no_query, no_response = _faulty("query"), _faulty("response")
+    no_query, no_response = is_blank("query"), is_blank("response")
     return df.filter(no_query | no_response).withColumn(
         "reason",
         F.when(no_query & no_response, "empty query and response").when(no_query, "empty query")

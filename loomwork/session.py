@@ -40,9 +40,11 @@ def shared_dir(spark: SparkSession) -> str:
     cluster the setting is required, since a machine-local folder dies with its executor.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.sparkContext.getCheckpointDir()
     if configured:
+        if not current:
+            spark.sparkContext.setCheckpointDir(configured)
         return configured
-    current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     if not spark.sparkContext.master.startswith("local"):

@@ -69,8 +69,9 @@ def stream_state_changes(events: DataFrame, key: str, order: str, cols: list[str
             if terminal:
                 newest = newest.filter(~F.col(cols[0]).isin(terminal))
             if keep_for is not None:
-                now = fresh.agg(F.max(telemetry.seconds(order)).alias("_now"))
-                newest = newest.join(F.broadcast(now), telemetry.seconds(order) >= F.col("_now") - keep_for, "left_semi")
+                now = fresh.agg(F.max(telemetry.seconds(order))).first()[0]
+                if now is not None:
+                    newest = newest.filter(telemetry.seconds(order) >= now - keep_for)
             tables.write_version(newest, f"{out}/state", batch_id)
             tables.drop_versions(spark, f"{out}/state", before=batch_id - 1)
         finally:
