@@ -205,17 +205,18 @@ def turn_struct(template: ChatTemplate, tok: Tokenizer, t: Column, query: Column
                     n_src.cast("int").alias("n_src"), n_tgt.cast("int").alias("n_tgt"))
 
 
-def cut_turn(turn: Column, cutoff: int) -> Column:
-    """Give source and target their share of the cutoff. The share is taken first, then scaled."""
-    total = F.nullif(turn["n_src"] + turn["n_tgt"], F.lit(0))
+def keep_share(n: Column, total: Column, cutoff: int) -> Column:
+    """How many of ``n`` ids stay when a turn of ``total`` ids is cut: the share first, then scaled."""
+    budget = (F.lit(cutoff) * (n / F.nullif(total, F.lit(0)))).cast("int")
+    return F.coalesce(F.least(n, budget), F.lit(0))
 
-    def keep(n: Column) -> Column:
-        budget = (F.lit(cutoff) * (n / total)).cast("int")
-        return F.coalesce(F.least(n, budget), F.lit(0))
 
-    src, tgt = arrays.head(turn["src"], keep(turn["n_src"])), arrays.head(turn["tgt"], keep(turn["n_tgt"]))
-    return F.struct(turn["t"].alias("t"), src.alias("src"), tgt.alias("tgt"),
-                    keep(turn["n_src"]).alias("n_src"), keep(turn["n_tgt"]).alias("n_tgt"))
+def cut_turn(turn: Column, cutoff: int) -> Column:
+    """Give source and target their share of the cutoff."""
+    total = turn["n_src"] + turn["n_tgt"]
+    n_src, n_tgt = (keep_share(turn[name], total, cutoff) for name in ("n_src", "n_tgt"))
+    return F.struct(turn["t"].alias("t"), arrays.head(turn["src"], n_src).alias("src"),
+                    arrays.head(turn["tgt"], n_tgt).alias("tgt"), n_src.alias("n_src"), n_tgt.alias("n_tgt"))
 
 
 def label_turn(turn: Column, template: ChatTemplate, tok: Tokenizer) -> Column:
@@ -451,17 +452,45 @@ def preview(encoded: DataFrame, template: str | ChatTemplate = "llama2", tokeniz
     return decode(shown, "labels", template, tokenizer, out="label_text")
 
 
-def corpus_stats(encoded: DataFrame, by: list[str], cutoff: int = DEFAULT_CUTOFF,
+def count_tokens(df: DataFrame, template: str | ChatTemplate = "llama2", cutoff: int = DEFAULT_CUTOFF,
+                 tokenizer: str | Tokenizer = "codepoint", keep: list[str] | None = None) -> DataFrame:
+    """``n_tokens, n_targets, truncated`` each example would have after ``encode_sft``.
+
+    For examples without history. Works from text lengths, so a JVM tokenizer encodes nothing.
+    """
+    template = get_template(template)
+    tok = get_tokenizer(tokenizer, template)
+    if "history" in df.columns and template.use_history:
+        raise ValueError("count the encoded rows of examples with history")
+    valid = df.filter((F.col("query") != "") & (F.col("response") != "")).withColumn("system", _system(df, template))
+    first = F.lit(0)
+    n_src = source_length(template, tok, first, F.col("query"), F.col("system"))
+    n_tgt = tok.length(F.col("response")) + F.lit(0 if template.efficient_eos else 1)
+    sized = valid.select(*(keep or []), n_src.alias("_src"), n_tgt.alias("_tgt"))
+    total = F.col("_src") + F.col("_tgt")
+    kept = sized.withColumn("_s", keep_share(F.col("_src"), total, cutoff)) \
+        .withColumn("_t", keep_share(F.col("_tgt"), total, cutoff) + F.lit(1 if template.efficient_eos else 0))
+    n = F.least(F.col("_s") + F.col("_t"), F.lit(cutoff))
+    full = total + F.lit(1 if template.efficient_eos else 0)
+    return kept.select(*(keep or []), n.cast("int").alias("n_tokens"),
+                       F.greatest(n - F.col("_s"), F.lit(0)).cast("int").alias("n_targets"), (n < full).alias("truncated"))
+
+
+def corpus_stats(df: DataFrame, by: list[str], cutoff: int = DEFAULT_CUTOFF,
                  quantiles: list[float] | None = None) -> DataFrame:
-    """Examples, ids and targets per group; an example at the cutoff counts as ``n_at_cutoff``."""
-    sized = encoded.select(
-        *by, F.size("input_ids").alias("_n"), arrays.count_unmasked("labels").alias("_targets"))
+    """Examples, ids and targets per group, of encoded rows or of ``count_tokens`` rows.
+
+    An example at the cutoff counts as ``n_at_cutoff``.
+    """
+    if "input_ids" in df.columns:
+        df = df.select(*by, F.size("input_ids").alias("n_tokens"), arrays.count_unmasked("labels").alias("n_targets"))
+    n, targets = F.col("n_tokens").cast("bigint"), F.col("n_targets").cast("bigint")
     aggs = [
         F.count(F.lit(1)).alias("n_examples"),
-        F.sum("_n").alias("n_tokens"), F.max("_n").alias("max_tokens"),
-        F.sum("_targets").alias("n_targets"), F.max("_targets").alias("max_targets"),
-        F.count_if(F.col("_n") >= cutoff).alias("n_at_cutoff"),
+        F.sum(n).alias("n_tokens"), F.max(n).alias("max_tokens"),
+        F.sum(targets).alias("n_targets"), F.max(targets).alias("max_targets"),
+        F.count_if(n >= cutoff).alias("n_at_cutoff"),
     ]
     if quantiles:
-        aggs.append(F.percentile_approx("_n", quantiles).alias("token_quantiles"))
-    return sized.groupBy(*by).agg(*aggs)
+        aggs.append(F.percentile_approx(n, quantiles).alias("token_quantiles"))
+    return df.groupBy(*by).agg(*aggs)

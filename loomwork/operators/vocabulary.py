@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from loomwork.functions.text import col
 from loomwork.functions.tokenizers import PandasTokenizer
 
-# Vocabularies are broadcast, so their size has a limit no caller can lift.
+# Largest vocabulary that is built, broadcast or handed to Python workers.
 MAX_VOCABULARY = 200_000
 UNKNOWN_ID = 0
 
@@ -33,11 +33,19 @@ def build_vocabulary(df: DataFrame, columns: list[str], size: int = 50_000) -> D
         F.col("_p.piece").alias("piece"), (F.col("_pos") + 1).alias("id"), (-F.col("_p.m")).alias("n"))
 
 
+def _is_small(vocabulary: DataFrame) -> bool:
+    return vocabulary.limit(MAX_VOCABULARY + 1).count() <= MAX_VOCABULARY
+
+
 def encode_words(df: DataFrame, key: str, text: str, vocabulary: DataFrame) -> DataFrame:
-    """``(key, ids)``: pieces looked up in a broadcast vocabulary, unknown ones as 0, in text order."""
+    """``(key, ids)``: pieces looked up in the vocabulary, unknown ones as 0, in text order.
+
+    The vocabulary is counted first: up to the limit it is broadcast and no text is shuffled to
+    find its ids; a larger one is joined by piece, where AQE splits the frequent words.
+    """
     placed = df.select(key, F.posexplode_outer(pieces(text)).alias("_pos", "piece"))
-    known = vocabulary.limit(MAX_VOCABULARY).select("piece", F.col("id").alias("_id"))
-    found = placed.join(F.broadcast(known), "piece", "left")
+    known = vocabulary.select("piece", F.col("id").alias("_id"))
+    found = placed.join(F.broadcast(known) if _is_small(vocabulary) else known, "piece", "left")
     entry = F.when(F.col("_pos").isNotNull(), F.struct("_pos", F.coalesce("_id", F.lit(UNKNOWN_ID)).alias("id")))
     return found.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("_e")).select(
         key, F.transform("_e", lambda e: e["id"]).alias("ids"))
@@ -45,7 +53,9 @@ def encode_words(df: DataFrame, key: str, text: str, vocabulary: DataFrame) -> D
 
 def words_tokenizer(spark: SparkSession, vocabulary: DataFrame, **settings) -> PandasTokenizer:
     """The same vocabulary as a tokenizer for the encoder; special tokens follow the vocabulary."""
-    ids = {r["piece"]: r["id"] for r in vocabulary.limit(MAX_VOCABULARY).select("piece", "id").toLocalIterator()}
+    if not _is_small(vocabulary):
+        raise ValueError(f"a vocabulary holds at most {MAX_VOCABULARY} pieces")
+    ids = {r["piece"]: r["id"] for r in vocabulary.select("piece", "id").toLocalIterator()}
     shared = spark.sparkContext.broadcast(ids)
 
     def load():

@@ -34,7 +34,7 @@ def joined(ids: Column | str) -> Column:
 
 def flat_encoded(encoded: DataFrame, key: str) -> DataFrame:
     return encoded.select(
-        key, F.size("input_ids").alias("n"), arrays.count_unmasked("labels").alias("n_target"),
+        key, F.size("input_ids").cast("bigint").alias("n"), arrays.count_unmasked("labels").cast("bigint").alias("n_target"),
         joined("input_ids").alias("ids"), joined("labels").alias("labels"))
 
 
@@ -47,7 +47,7 @@ def pair_turns(spark, sf):
 def assemble_conversations(spark, sf):
     rows = conversations.assemble_conversations(t.messages(spark, sf))
     past = F.transform("history", lambda h: F.concat(h["query"], F.lit("\x1f"), h["response"]))
-    return rows.select("conv_id", "system", F.size("history").alias("n_history"),
+    return rows.select("conv_id", "system", F.size("history").cast("bigint").alias("n_history"),
                        F.array_join(past, "\x1e").alias("history"), "query", "response")
 
 
@@ -100,7 +100,7 @@ def word_ids(spark, sf):
     """Documents in ids of a vocabulary counted from them."""
     docs = t.table(spark, sf, "documents").select("doc_id", "text")
     vocab = vocabulary.build_vocabulary(docs, ["text"], 2000)
-    return vocabulary.encode_words(docs, "doc_id", "text", vocab).select("doc_id", F.size("ids").alias("n"), joined("ids").alias("ids"))
+    return vocabulary.encode_words(docs, "doc_id", "text", vocab).select("doc_id", F.size("ids").cast("bigint").alias("n"), joined("ids").alias("ids"))
 
 
 def sft_examples(spark, sf):
@@ -116,8 +116,8 @@ def encode_documents(spark, sf):
 
 
 def corpus_stats(spark, sf):
-    encoded = encode.encode_sft(sft_rows(spark, sf), "alpaca", keep=["lang", "source"])
-    return encode.corpus_stats(encoded, ["lang", "source"])
+    counts = encode.count_tokens(sft_rows(spark, sf), "alpaca", keep=["lang", "source"])
+    return encode.corpus_stats(counts, ["lang", "source"])
 
 
 # ---------------------------------------------------------------- shards and batches
@@ -409,7 +409,7 @@ def group_series(spark, sf):
     rows = timeseries.group_series(uid_series(spark, sf), chunk=8)
     names = F.transform("labels", lambda x: F.concat(x["name"], F.lit("="), x["value"]))
     points = F.transform("samples", lambda s: F.concat(s["timestamp"].cast("string"), F.lit("="), s["value"].cast("string")))
-    return rows.select(F.array_join(names, ",").alias("labels"), "part", F.size("samples").alias("n"),
+    return rows.select(F.array_join(names, ",").alias("labels"), "part", F.size("samples").cast("bigint").alias("n"),
                        F.array_join(points, ",").alias("samples"))
 
 

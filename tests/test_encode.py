@@ -163,3 +163,33 @@ def test_core_plan_has_no_python_and_no_unpartitioned_window(spark):
     assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan and "SinglePartition" not in plan
     plan = encode.encode_sft(sft(spark), "chatml")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_token_counts_need_no_encoding(spark):
+    rows = sft(spark).drop("history")
+    for name in ("llama2", "chatml", "vanilla", "aquila"):
+        for cutoff in (20, 150, 4096):
+            counts = {r.row: (r.n_tokens, r.n_targets) for r in encode.count_tokens(rows, name, cutoff, keep=["row"]).collect()}
+            encoded = encode.encode_sft(rows, name, cutoff, keep=["row"]).collect()
+            assert counts == {r.row: (len(r.input_ids), sum(x != -100 for x in r.labels)) for r in encoded}
+    encoded = encode.encode_sft(rows, "llama2", 150, keep=["row"]).withColumn("g", F.lit(1))
+    counts = encode.count_tokens(rows, "llama2", 150, keep=["row"]).withColumn("g", F.lit(1))
+    assert encode.corpus_stats(encoded, ["g"], 150, [0.5]).collect() == encode.corpus_stats(counts, ["g"], 150, [0.5]).collect()
+    whole = {r.row: len(r.input_ids) for r in encode.encode_sft(rows, "llama2", 10**6, keep=["row"]).collect()}
+    assert {r.row: r.truncated for r in counts.collect()} == {k: n > 150 for k, n in whole.items()}
+    assert "transform" not in counts._jdf.queryExecution().toString()
+
+
+def test_python_tokenizer_on_message_rows(spark):
+    from loomwork.operators import vocabulary
+    rows = [(1, 0, "user", "a b"), (1, 1, "assistant", "b"), (1, 2, "user", "c"), (1, 3, "assistant", "a a")]
+    df = spark.createDataFrame(rows, MESSAGES)
+    vocab = vocabulary.build_vocabulary(df, ["text"])
+    tok = vocabulary.words_tokenizer(spark, vocab)
+    ids = {r.piece: r.id for r in vocab.collect()}
+    row = encode.encode_conversations(df, "xverse", 64, tok).first()
+    bos, eos = 4, 5
+    # No template word is in the vocabulary: 0 each.
+    assert ids == {"a": 1, "b": 2, "c": 3}
+    assert row.input_ids == [bos, 0, 1, 2, 0, 2, eos, bos, 0, 3, 0, 1, 1, eos]
+    assert row.labels == [-100] * 5 + [2, eos] + [-100] * 4 + [1, 1, eos]
