@@ -80,14 +80,14 @@ def rollup_jobs(jobs: DataFrame, runs: DataFrame) -> DataFrame:
     )
 
 
-def _votes(jobs: DataFrame, *more: Column) -> DataFrame:
-    """Per experiment: are all jobs successful, have all failed, and any further aggregates."""
-    return jobs.groupBy("namespace", F.col("owner_experiment").alias("name")).agg(
-        F.bool_and(F.col("state") == "SUCCESSFUL").alias("_good"),
-        F.bool_and(F.col("state") == "FAILED").alias("_bad"), *more)
-
+def rollup_experiments(experiments: DataFrame, jobs: DataFrame) -> DataFrame:
+    """SUCCESS when all jobs succeeded, FAILED when all failed, otherwise the state as it was.
 
-def _decide(experiments: DataFrame, votes: DataFrame) -> DataFrame:
+    An experiment without jobs keeps its state. A pending one is PENDING.
+    """
+    votes = jobs.groupBy("namespace", F.col("owner_experiment").alias("name")).agg(
+        F.bool_and(F.col("state") == "SUCCESSFUL").alias("_good"),
+        F.bool_and(F.col("state") == "FAILED").alias("_bad"))
     state = (
         F.when(F.coalesce(F.col("pending"), F.lit(False)), F.lit("PENDING"))
         .when(F.col("_good"), F.lit("SUCCESS")).when(F.col("_bad"), F.lit("FAILED"))
@@ -97,14 +97,6 @@ def _decide(experiments: DataFrame, votes: DataFrame) -> DataFrame:
     return experiments.join(votes, ["namespace", "name"], "left").withColumn("state", state).drop("_good", "_bad")
 
 
-def rollup_experiments(experiments: DataFrame, jobs: DataFrame) -> DataFrame:
-    """SUCCESS when all jobs succeeded, FAILED when all failed, otherwise the state as it was.
-
-    An experiment without jobs keeps its state. A pending one is PENDING.
-    """
-    return _decide(experiments, _votes(jobs))
-
-
 def rank_jobs(jobs: DataFrame, hot_rows: int = blocks.HOT_ROWS) -> DataFrame:
     """Add ``points`` (the parsed score) and ``rank`` within the experiment; ties go by name."""
     keys = ["namespace", "owner_experiment"]
@@ -126,16 +118,16 @@ def top_runs(jobs: DataFrame, k: int = 1) -> DataFrame:
 def best_version(experiments: DataFrame, jobs: DataFrame, runs: DataFrame) -> DataFrame:
     """Best job of each successful experiment with the model, hyperparameter and dataset of its run.
 
-    Votes and best job come from one aggregate, combined on the map side.
+    The best jobs are picked before the join: each map task hands on one row per experiment, so
+    an experiment with very many jobs is as cheap as any other.
     """
-    # The complement turns the order of the points around and, unlike a minus sign, cannot overflow.
-    order = F.struct(F.bitwise_not(parse_score("score")), "name")
-    best = F.min_by(F.struct(F.col("name").alias("job"), "score", "image", "run"), order).alias("_best")
-    done = _decide(experiments, _votes(jobs, best)).filter(F.col("state") == "SUCCESS").select(
-        "namespace", F.col("name").alias("experiment"), "_best.*")
+    done = rollup_experiments(experiments, jobs).filter(F.col("state") == "SUCCESS").select(
+        "namespace", F.col("name").alias("owner_experiment"))
+    best = top_runs(jobs.select("namespace", "owner_experiment", "name", "score", "image", "run"), 1)
     side = runs.select("namespace", F.col("name").alias("run"), "model", "hyperparameter", "dataset")
-    return done.join(side, ["namespace", "run"], "left").select(
-        "namespace", "experiment", "job", "score", "image", "model", "hyperparameter", "dataset")
+    return best.join(done, ["namespace", "owner_experiment"]).join(side, ["namespace", "run"], "left").select(
+        "namespace", F.col("owner_experiment").alias("experiment"), F.col("name").alias("job"),
+        "score", "image", "model", "hyperparameter", "dataset")
 
 
 def job_status_list(experiments: DataFrame, jobs: DataFrame, previous: DataFrame | None = None) -> DataFrame:

@@ -194,6 +194,8 @@ coded AS (SELECT doc_id, count(*) AS n, string_agg(CAST(coalesce(id, 0) AS VARCH
   FROM words LEFT JOIN vocab USING (piece) GROUP BY doc_id)
 SELECT doc_id, coalesce(n, 0) AS n, coalesce(ids, '') AS ids FROM documents LEFT JOIN coded USING (doc_id)""",
     "sft_examples": f"WITH {SFT} SELECT doc_id, query, response FROM built WHERE query <> '' AND response <> ''",
+    "read_splits": f"""WITH {SFT} SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'train' ELSE 'evaluation' END AS split,
+  query, response FROM built WHERE query <> '' AND response <> ''""",
     "sft_rejects": f"""WITH {SFT} SELECT doc_id, CASE WHEN query = '' AND response = '' THEN 'empty query and response'
   WHEN query = '' THEN 'empty query' ELSE 'empty response' END AS reason FROM built WHERE query = '' OR response = ''""",
     "encode_documents": encode_sql(DOC_TURNS, "doc_id", "alpaca") + FLAT.format(key="doc_id"),
@@ -329,6 +331,9 @@ SELECT concat(name, '-', substr(sha256(concat('default/', name)), 1, 5)) AS name
   concat('ds-', ds) AS dataset, concat('hp-', hp) AS hyperparameter, CAST(s_nationkey + 1 AS INTEGER) AS base_epochs,
   epochs AS merged_epochs, CASE WHEN l_returnflag = 'N' THEN '' ELSE concat('img-', l_suppkey) END AS image,
   concat('/checkpoint/ckpt/', l_orderkey, '/', l_linenumber) AS checkpoint_path FROM done""",
+    "append_absent": f"""WITH {RUNS} SELECT concat('ds-', ds) AS dataset, count(*) AS n_checkpoints
+FROM runs JOIN part ON p_partkey = ds JOIN supplier ON s_suppkey = hp JOIN nation ON n_nationkey = mo
+WHERE l_linestatus = 'F' GROUP BY ds""",
     "create_if_absent": """SELECT concat('job-', k) AS name FROM (
   SELECT DISTINCT c_custkey * 10 + i AS k FROM customer, range(0, 10) r(i))
 WHERE k NOT IN (SELECT l_orderkey FROM lineitem)""",
@@ -433,6 +438,9 @@ FROM logs WHERE NOT is_eval""",
     "eval_logs": f"""WITH {LOGS} SELECT uid, {STEPS}, value / 100 AS eval_loss, round(exp(value / 100), 9) AS eval_perplexity,
   value / 2 AS eval_rouge_1, NULL::DOUBLE AS eval_rouge_2, NULL::DOUBLE AS eval_rouge_l, value / 4 AS eval_bleu_4,
   epoch, percentage, elapsed_time, remaining_time FROM logs WHERE is_eval""",
+    "log_files": f"""WITH {LOGS} SELECT CASE WHEN is_eval THEN 'eval' ELSE 'train' END AS kind, uid,
+  CAST(current_steps AS INTEGER) AS current_steps, percentage, elapsed_time,
+  CASE WHEN is_eval THEN value / 100 ELSE value END AS value FROM logs""",
     "eval_metrics": """SELECT CAST(user_id AS VARCHAR) AS uid, round(avg(value / 100), 9) AS eval_loss,
   round(exp(avg(value / 100)), 6) AS eval_perplexity FROM events WHERE event_type = 'error' GROUP BY user_id""",
     "eval_speed": f"""WITH {LOGS}, runs AS (SELECT uid, count(*) AS n_samples, max(elapsed) AS runtime FROM logs GROUP BY uid)
@@ -556,6 +564,7 @@ DOC_SCORED = """scored AS (
 
 SCORING = {
     "prediction_texts": f"""WITH {PAIRS} SELECT conv_id, t, {cleaned('response')} AS label, {cleaned('query')} AS predict FROM pairs""",
+    "prediction_files": f"""WITH {PAIRS} SELECT {cleaned('response')} AS label, {cleaned('query')} AS predict FROM pairs""",
     "fit_labels": f"""WITH {PAIRS}, {GENERATED} SELECT conv_id, t,
   array_to_string(label_ids[1:prompt_len], ' ') AS label_ids FROM gen""",
     "pad_generated": f"""WITH {PAIRS}, {GENERATED}, goals AS (

@@ -16,7 +16,7 @@ from loomwork.operators import (batching, conversations, encode, ingest, predict
                                 telemetry, timeseries, vocabulary)
 from loomwork.plans import tables as t
 from loomwork.session import scratch_path
-from loomwork.sources import sft
+from loomwork.sources import logs, sft
 from loomwork.streaming import jobs as streams
 from loomwork.streaming import tables as versions
 
@@ -107,6 +107,18 @@ def sft_examples(spark, sf):
     return ingest.filter_valid(sft_rows(spark, sf)).select("doc_id", "query", "response")
 
 
+def read_splits(spark, sf):
+    """The documents written as CSV, labelled ones as training data, and read back as examples."""
+    folder = scratch_path(spark, "csv")
+    rows = t.instruction_rows(spark, sf)
+    labelled = t.table(spark, sf, "labels").select("doc_id")
+    for split, how in (("train", "left_semi"), ("evaluation", "left_anti")):
+        rows.join(labelled, "doc_id", how).write.options(header=True, escape='"', quoteAll=True).csv(f"{folder}/{split}")
+    back = sft.read_splits(spark, f"{folder}/train", f"{folder}/evaluation", {"instruction": "question", "response": "answer"})
+    examples = ingest.filter_valid(ingest.build_examples(back, ["doc_id", "split"]))
+    return examples.select(F.col("doc_id").cast("bigint").alias("doc_id"), "split", "query", "response")
+
+
 def sft_rejects(spark, sf):
     return ingest.rejects(sft_rows(spark, sf)).select("doc_id", "reason")
 
@@ -216,6 +228,15 @@ def checkpoints(spark, sf):
         text.checkpoint_path(text.strip_bucket("checkpoint_path", "bucket")).alias("checkpoint_path"))
 
 
+def append_absent(spark, sf):
+    """Checkpoints appended to a registry table twice; the second time adds nothing."""
+    path = scratch_path(spark, "checkpoints")
+    rows = checkpoints(spark, sf).withColumn("namespace", F.lit("default"))
+    for _ in range(2):
+        logs.append_absent(spark, rows, path)
+    return spark.read.parquet(path).groupBy("dataset").agg(F.count(F.lit(1)).alias("n_checkpoints"))
+
+
 def create_if_absent(spark, sf):
     """Jobs wanted by the listing experiments that do not exist yet."""
     wanted = t.listed_experiments(spark, sf).select("namespace", F.explode("jobs").alias("name"))
@@ -362,6 +383,19 @@ def state_changes(spark, sf):
     return rows.select("uid", "event_id", "event_type", F.col("previous.event_type").alias("previous"))
 
 
+def log_files(spark, sf):
+    """Log rows written to the two JSON-lines streams in two appends and read back."""
+    folder = scratch_path(spark, "log-files")
+    rows = numbered_logs(spark, sf)
+    half = F.col("current_steps") * 2 <= F.col("total_steps")
+    for part in (half, ~half):
+        logs.write_logs(rows.filter(part), folder)
+    train, evaluation = logs.read_logs(spark, folder)
+    cols = ["uid", "current_steps", "percentage", "elapsed_time"]
+    return train.select(F.lit("train").alias("kind"), *cols, F.col("loss").alias("value")).unionByName(
+        evaluation.select(F.lit("eval").alias("kind"), *cols, F.col("eval_loss").alias("value")))
+
+
 # ---------------------------------------------------------------- time series
 
 def flat_series(series: DataFrame) -> DataFrame:
@@ -375,7 +409,10 @@ def train_series_rows(spark, sf) -> DataFrame:
 
 
 def train_series(spark, sf):
-    return flat_series(train_series_rows(spark, sf))
+    """Train rows as series, written to the series table and read back."""
+    path = scratch_path(spark, "series")
+    logs.write_timeseries(train_series_rows(spark, sf), path)
+    return flat_series(logs.read_timeseries(spark, path))
 
 
 def eval_series(spark, sf):
@@ -460,6 +497,13 @@ def prediction_texts(spark, sf):
     return predictions.prediction_texts(predictions_raw(spark, sf), tok, ["conv_id", "t"])
 
 
+def prediction_files(spark, sf):
+    """The same pairs through the JSON-lines file."""
+    folder = scratch_path(spark, "predictions")
+    logs.write_predictions(prediction_texts(spark, sf), folder)
+    return logs.read_predictions(spark, folder)
+
+
 def fit_labels(spark, sf):
     tok = get_tokenizer("codepoint", "vanilla")
     rows = predictions_raw(spark, sf)
@@ -601,13 +645,13 @@ QUERIES: dict[str, Query] = {
     f"encode_{name}": in_utc(encode_with(name)) for name in TEMPLATES
 } | {q.__name__: in_utc(q) for q in (
     pair_turns, assemble_conversations, encode_nested, encode_bytes, encode_oneturn, render_chat, decode_labels,
-    word_ids, sft_examples, sft_rejects, encode_documents, corpus_stats, shard_plan, assign_batches, collate,
+    word_ids, sft_examples, read_splits, sft_rejects, encode_documents, corpus_stats, shard_plan, assign_batches, collate,
     resolve_splits, features, resolve_runs, merge_overrides, run_configs, missing_deps, validate_runs, checkpoints,
-    create_if_absent, references, drop_reference, with_owner, first_by, text_functions,
+    append_absent, create_if_absent, references, drop_reference, with_owner, first_by, text_functions,
     map_functions,
     rollup_runs, rollup_jobs, rollup_experiments, rank_jobs, top_runs, best_version, job_status_list, apply_pause,
-    progress, train_logs, eval_logs, eval_metrics, eval_speed, run_summary, curve, state_changes,
+    progress, train_logs, eval_logs, log_files, eval_metrics, eval_speed, run_summary, curve, state_changes,
     train_series, eval_series, match_series, select_range, group_series, downsample, run_query, unpivot_metrics,
-    prediction_texts, fit_labels, pad_generated, text_scores, document_scores, document_ngram_scores, score_runs,
+    prediction_texts, prediction_files, fit_labels, pad_generated, text_scores, document_scores, document_ngram_scores, score_runs,
     compare_runs, stream_logs, stream_state_changes, upsert_status, stream_rollup, windowed_loss, stream_curve,
 )}
