@@ -41,7 +41,7 @@ def features_map(features: Column | str) -> Column:
 def features_json(features: Column | str) -> Column:
     """The features map as JSON text with keys in alphabetical order; empty text when there is none."""
     m = features_map(features)
-    ordered = F.map_from_entries(F.array_sort(F.map_entries(m)))
+    ordered = F.map_from_entries(F.sort_array(F.map_entries(m)))
     return F.coalesce(F.to_json(ordered), F.lit(""))
 
 

@@ -74,7 +74,7 @@ def assemble_conversations(messages: DataFrame, key: str = "conv_id", part_turns
     """
     pairs = pair_rows(messages, key, width, hot_rows).withColumn("part", F.floor(F.col("t") / part_turns))
     nested = pairs.groupBy(key, "part").agg(
-        F.array_sort(F.collect_list(F.struct("t", "query", "response"))).alias("_pairs"),
+        F.sort_array(F.collect_list(F.struct("t", "query", "response"))).alias("_pairs"),
         F.max("system").alias("system"))
     turns = nested.withColumn("_turns", F.transform("_pairs", lambda p: F.struct(p["query"], p["response"])))
     return turns.select(

@@ -400,7 +400,7 @@ def encode_conversations(messages: DataFrame, template: str | ChatTemplate = "ll
         placed.filter(counts | F.col("is_last"))
         .select(key, F.when(counts, label_turn(F.col("encoded"), template, tok)).alias("_turn"),
                 (F.col("is_last") & valid).alias("_valid"))
-        .groupBy(key).agg(F.array_sort(F.collect_list("_turn")).alias("labelled"), F.bool_or("_valid").alias("_valid"))
+        .groupBy(key).agg(F.sort_array(F.collect_list("_turn")).alias("labelled"), F.bool_or("_valid").alias("_valid"))
         .filter("_valid")
     )
     return close_example(kept, template, tok, cutoff, [key])

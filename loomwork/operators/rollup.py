@@ -141,7 +141,7 @@ def job_status_list(experiments: DataFrame, jobs: DataFrame, previous: DataFrame
     lists = (
         listed.join(states, ["namespace", "job"], "left")
         .groupBy("namespace", "name")
-        .agg(F.array_sort(F.collect_list(F.struct("_pos", F.col("job").alias("name"), "state"))).alias("_list"))
+        .agg(F.sort_array(F.collect_list(F.struct("_pos", F.col("job").alias("name"), "state"))).alias("_list"))
         .select("namespace", "name", F.transform("_list", lambda x: F.struct(x["name"], x["state"])).alias("jobs_status"))
     )
     if previous is None:

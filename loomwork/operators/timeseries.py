@@ -74,7 +74,7 @@ def select_range(series: DataFrame, start_ms: int, end_ms: int) -> DataFrame:
 
 def samples(series: DataFrame) -> DataFrame:
     """One row per sample, labels in name order."""
-    ordered = F.array_sort("labels")
+    ordered = F.sort_array("labels")
     return series.select(ordered.alias("labels"), F.explode("samples").alias("_s")).select(
         "labels", F.col("_s.timestamp").alias("timestamp"), F.col("_s.value").alias("value"))
 
@@ -90,7 +90,7 @@ def group_series(series: DataFrame, chunk: int = 4096, width_ms: float = 3_600_0
     numbered = blocks.row_index(rows, ["labels"], ["timestamp", "value"], "_i")
     return (
         numbered.groupBy("labels", F.floor(F.col("_i") / chunk).alias("part"))
-        .agg(F.array_sort(F.collect_list(F.struct("timestamp", "value"))).alias("_samples"))
+        .agg(F.sort_array(F.collect_list(F.struct("timestamp", "value"))).alias("_samples"))
         .select("labels", "part", F.transform("_samples", lambda s: F.struct(s["value"], s["timestamp"])).alias("samples"))
     )
 

@@ -28,7 +28,7 @@ def build_vocabulary(df: DataFrame, columns: list[str], size: int = 50_000) -> D
                       .alias("piece"))
     top = words.groupBy("piece").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "piece").limit(size)
     # At most ``size`` rows: one array orders and numbers them.
-    ranked = top.agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), "piece"))).alias("_all"))
+    ranked = top.agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("m"), "piece"))).alias("_all"))
     return ranked.select(F.posexplode("_all").alias("_pos", "_p")).select(
         F.col("_p.piece").alias("piece"), (F.col("_pos") + 1).alias("id"), (-F.col("_p.m")).alias("n"))
 
@@ -47,7 +47,7 @@ def encode_words(df: DataFrame, key: str, text: str, vocabulary: DataFrame) -> D
     known = vocabulary.select("piece", F.col("id").alias("_id"))
     found = placed.join(F.broadcast(known) if _is_small(vocabulary) else known, "piece", "left")
     entry = F.when(F.col("_pos").isNotNull(), F.struct("_pos", F.coalesce("_id", F.lit(UNKNOWN_ID)).alias("id")))
-    return found.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("_e")).select(
+    return found.groupBy(key).agg(F.sort_array(F.collect_list(entry)).alias("_e")).select(
         key, F.transform("_e", lambda e: e["id"]).alias("ids"))
 
 

@@ -170,7 +170,7 @@ def features(spark, sf):
     rows = t.datasets(spark, sf).withColumn("_json", maps.features_json("features"))
     inverse = maps.invert_map(maps.parse_columns("_json"))
     return rows.select("name", F.col("_json").alias("columns_text"),
-                       F.array_join(F.array_sort(F.map_keys(inverse)), ",").alias("sources"))
+                       F.array_join(F.sort_array(F.map_keys(inverse)), ",").alias("sources"))
 
 
 def resolve_runs(spark, sf):
@@ -286,7 +286,7 @@ def map_functions(spark, sf):
     p = t.table(spark, sf, "part")
     fixed = F.create_map(F.lit("brand"), F.col("p_brand"), F.lit("size"), F.col("p_size").cast("string"))
     own = F.create_map(F.lit("brand"), F.lit("own"), F.lit("type"), F.col("p_type"), F.lit("name"), F.col("p_name"))
-    merged = F.array_sort(F.map_entries(maps.merge_maps(fixed, own)))
+    merged = F.sort_array(F.map_entries(maps.merge_maps(fixed, own)))
     return p.select("p_partkey", F.array_join(F.transform(
         merged, lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",").alias("labels"))
 
