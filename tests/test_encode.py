@@ -193,3 +193,9 @@ def test_python_tokenizer_on_message_rows(spark):
     assert ids == {"a": 1, "b": 2, "c": 3}
     assert row.input_ids == [bos, 0, 1, 2, 0, 2, eos, bos, 0, 3, 0, 1, 1, eos]
     assert row.labels == [-100] * 5 + [2, eos] + [-100] * 4 + [1, 1, eos]
+
+
+def test_ordinary_conversations_are_shuffled_once(spark):
+    _, df = messages(spark)
+    plan = encode.encode_conversations(df, "llama2")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(conv_id") == 1 and plan.count("Exchange") == 1
