@@ -71,7 +71,7 @@ class Tokenizer:
         raise NotImplementedError
 
     def literal_ids(self, text: str) -> list[int]:
-        """Ids of a literal, known on the driver; only for tokenizers that join."""
+        """Ids of a literal, known on the driver."""
         raise NotImplementedError
 
     def length(self, text: Column) -> Column:
@@ -176,6 +176,11 @@ def _codec_udfs(load: Callable[[], Codec], hidden: frozenset[int]):
     return encode_batch, decode_batch
 
 
+@lru_cache(maxsize=None)
+def _driver_codec(load: Callable[[], Codec]) -> Codec:
+    return load()
+
+
 @dataclass(frozen=True)
 class PandasTokenizer(Tokenizer):
     """Any tokenizer with a list-in, list-out encoder, run in Arrow batches.
@@ -186,6 +191,9 @@ class PandasTokenizer(Tokenizer):
 
     load: Callable[[], Codec] | None = None
 
+    def literal_ids(self, text: str) -> list[int]:
+        return list(_driver_codec(self.load)[0]([text])[0])
+
     def encode(self, text: Column) -> Column:
         return _codec_udfs(self.load, frozenset())[0](text)
 

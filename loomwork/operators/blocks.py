@@ -1,10 +1,10 @@
 """Ordered per-key work that survives a hot key.
 
 A window over one key sorts that key in one task. ``add_blocks`` looks for keys with more than
-``hot_rows`` rows (one map-side combined count, run at once). Without any, nothing is added and the
-functions below are plain windows, so steps on the same key share one shuffle. Otherwise hot
-keys are cut into blocks along their order, the window runs per block, and one small row per
-block carries the neighbour's edge row or the running total across.
+``hot_rows`` rows or ``HOT_BYTES`` of text (one map-side combined count, run at once). Without any, nothing is
+added and the functions below are plain windows, so steps on the same key share one shuffle.
+Otherwise hot keys are cut into blocks along their order, the window runs per block, and one
+small row per block carries the neighbour's edge row or the running total across. Both ways give the same rows.
 
 The row set is never changed. Orders must be unique within a key.
 """
@@ -19,25 +19,27 @@ from pyspark.sql import functions as F
 from loomwork.session import shared_dir
 
 HOT_ROWS = 1_000_000
+HOT_BYTES = 1 << 30
 BLOCK = "_block"
 
 
 def _hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
-    """Keys above the limit: at most rows / hot_rows of them, which is what makes a broadcast safe."""
-    hot = df.groupBy(*keys).count().filter(F.col("count") > hot_rows).select(*keys, F.lit(True).alias("_hot"))
+    """Keys above a limit: at most rows / hot_rows + bytes / HOT_BYTES of them, which is what makes a broadcast safe."""
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)).cast("bigint") for f in df.schema
+             if f.dataType.typeName() == "string" and f.name not in keys]
+    volume = F.sum(sum(texts, F.lit(0).cast("bigint")))
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), volume.alias("_bytes")).filter(
+        (F.col("_rows") > hot_rows) | (F.col("_bytes") > HOT_BYTES)).select(*keys, F.lit(True).alias("_hot"))
     return None if hot.isEmpty() else hot
 
 
 def add_blocks(df: DataFrame, keys: list[str], order: Column, width: float, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add ``_block`` if there are hot keys: ``floor(order / width)`` for them, -1 for the others."""
+    """Add ``_block`` if there are hot keys: ``floor(order / width)`` for them, null for the others."""
     hot = _hot_keys(df, keys, hot_rows)
     if hot is None:
         return df
-    block = F.greatest(F.floor(order / F.lit(width)).cast("bigint"), F.lit(0))
-    return (
-        df.join(F.broadcast(hot), keys, "left")
-        .withColumn(BLOCK, F.when(F.col("_hot"), block).otherwise(F.lit(-1))).drop("_hot")
-    )
+    block = F.floor(order / F.lit(width)).cast("bigint")
+    return df.join(F.broadcast(hot), keys, "left").withColumn(BLOCK, F.when(F.col("_hot"), block)).drop("_hot")
 
 
 def add_sorted_blocks(df: DataFrame, keys: list[str], order: list[str | Column],
@@ -56,7 +58,7 @@ def add_sorted_blocks(df: DataFrame, keys: list[str], order: list[str | Column],
         tagged.filter(F.col("_hot")).drop("_hot").repartitionByRange(*keys, *order)
         .withColumn(BLOCK, F.spark_partition_id().cast("bigint")).checkpoint()
     )
-    ordinary = tagged.filter(F.col("_hot").isNull()).drop("_hot").withColumn(BLOCK, F.lit(-1).cast("bigint"))
+    ordinary = tagged.filter(F.col("_hot").isNull()).drop("_hot").withColumn(BLOCK, F.lit(None).cast("bigint"))
     return ordinary.unionByName(ranged)
 
 
@@ -64,6 +66,11 @@ def has_blocks(df: DataFrame) -> bool:
     return BLOCK in df.columns
 
 
+def hot_part(df: DataFrame) -> DataFrame:
+    """The rows of hot keys."""
+    return df.filter(F.col(BLOCK).isNotNull())
+
+
 def drop_blocks(df: DataFrame) -> DataFrame:
     return df.drop(BLOCK)
 
@@ -86,7 +93,7 @@ def _neighbour(df: DataFrame, keys: list[str], order: str, cols: list[str], out:
     if not has_blocks(df):
         return inside
     carry = (
-        df.filter(F.col(BLOCK) >= 0).groupBy(*keys, BLOCK).agg(edge(row, F.col(order)).alias("_edge"))
+        hot_part(df).groupBy(*keys, BLOCK).agg(edge(row, F.col(order)).alias("_edge"))
         .withColumn("_carry", step("_edge").over(Window.partitionBy(*keys).orderBy(BLOCK)))
         .filter(F.col("_carry").isNotNull()).drop("_edge")
     )
@@ -111,7 +118,7 @@ def running_total(df: DataFrame, keys: list[str], order: list[str | Column], val
         return inside
     before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     carry = (
-        df.filter(F.col(BLOCK) >= 0).groupBy(*keys, BLOCK).agg(F.sum(value).alias("_total"))
+        hot_part(df).groupBy(*keys, BLOCK).agg(F.sum(value).alias("_total"))
         .withColumn("_carry", F.sum("_total").over(before)).drop("_total")
     )
     return _attach(inside, carry, keys, out, lambda a, b: (a + F.coalesce(b, F.lit(0))).cast("bigint"))

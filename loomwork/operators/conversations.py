@@ -1,9 +1,9 @@
 """Message rows ``(conv_id, turn, role, text)`` to training turns.
 
-The natural unit at scale is the pair row ``(conv_id, t, query, response)``. A conversation is
-brought onto one row only where its size is bounded, see ``encode.encode_conversations`` and
-``assemble_conversations``. Unless a conversation is hot, every step here runs on one shuffle by
-conversation.
+The natural unit at scale is the pair row ``(conv_id, t, query, response)``.
+``encode.encode_conversations`` brings a conversation onto one row only after its cut;
+``assemble_conversations`` does it with the whole texts, for tables that are wanted nested. Unless a conversation
+is hot, every step here runs on one shuffle by conversation.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ def pair_rows(messages: DataFrame, key: str, width: int, hot_rows: int) -> DataF
     if blocks.has_blocks(rows):
         # A hot conversation may have its system message in another block. Joining by number as
         # well spreads its pairs over all tasks.
-        hot = system_texts(rows.filter(F.col(blocks.BLOCK) >= 0), key).withColumnRenamed("system", "_hot_system")
+        hot = system_texts(blocks.hot_part(rows), key).withColumnRenamed("system", "_hot_system")
         numbered = (
             numbered.join(hot.withColumn("t", F.lit(0).cast("bigint")), [key, "t"], "left")
             .withColumn("system", F.coalesce("_hot_system", "system")).drop("_hot_system")
@@ -63,22 +63,20 @@ def system_texts(messages: DataFrame, key: str = "conv_id") -> DataFrame:
     )
 
 
-def assemble_conversations(messages: DataFrame, key: str = "conv_id", part_turns: int = 1024,
-                           width: int = MESSAGE_BLOCK, hot_rows: int = blocks.HOT_ROWS) -> DataFrame:
-    """Pairs nested as ``system, history, query, response``, ready for the nested encoder.
+def assemble_conversations(messages: DataFrame, key: str = "conv_id", width: int = MESSAGE_BLOCK,
+                           hot_rows: int = blocks.HOT_ROWS) -> DataFrame:
+    """One row per conversation: ``system, history, query, response``, ready for the nested encoder.
 
-    The last pair is ``query, response``; the earlier ones are ``history``. No row holds more than
-    ``part_turns`` pairs: a longer conversation goes on in further rows, numbered by ``part``,
-    so that no task ever collects an unbounded group. The parts are pieces of one conversation;
-    the system text is on the first.
+    The last pair is ``query, response``; the earlier ones are ``history``. A nested row is as large as its
+    conversation, by definition; where that may not fit a task, encode the message rows instead.
     """
-    pairs = pair_rows(messages, key, width, hot_rows).withColumn("part", F.floor(F.col("t") / part_turns))
-    nested = pairs.groupBy(key, "part").agg(
+    pairs = pair_rows(messages, key, width, hot_rows)
+    nested = pairs.groupBy(key).agg(
         F.sort_array(F.collect_list(F.struct("t", "query", "response"))).alias("_pairs"),
         F.max("system").alias("system"))
     turns = nested.withColumn("_turns", F.transform("_pairs", lambda p: F.struct(p["query"], p["response"])))
     return turns.select(
-        key, "part", "system",
+        key, "system",
         F.slice("_turns", F.lit(1), F.size("_turns") - 1).alias("history"),
         F.element_at("_turns", -1)["query"].alias("query"),
         F.element_at("_turns", -1)["response"].alias("response"),

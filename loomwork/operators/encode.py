@@ -81,6 +81,8 @@ def _text_ids(parts: list, tok: Tokenizer, limit: int | None) -> Column:
         return tok.encode(tok.head(text, limit) if limit and tok.cuts_text else text)
 
     if not tok.joins:
+        if all(isinstance(p, str) for p in parts):
+            return arrays.literal(tok.literal_ids("".join(parts)))
         return encode(_text(parts))
 
     def one(p) -> Column:
@@ -351,13 +353,12 @@ def encode_turn_rows(pairs: DataFrame, template: str | ChatTemplate, tokenizer:
         template, tok, F.col("t"), F.col("query"), F.col("response"), F.col("system"), limit))
 
 
-def min_turn_ids(template: ChatTemplate, tok: Tokenizer) -> int:
-    """Ids every turn is sure to have, whatever its texts."""
-    sure = len(tok.bos_ids) + (0 if template.efficient_eos else 1)
-    for piece in template.prompt:
-        literal = [] if isinstance(piece, Special) else split_slots(piece, ("query", "idx"))
-        sure += isinstance(piece, Special) or any(isinstance(x, str) for x in literal)
-    return sure
+def cut_length(template: ChatTemplate, tok: Tokenizer, cutoff: int) -> Column:
+    """Ids that a pair row keeps after ``cut_turn``, from lengths alone; for tokenizers that cut text."""
+    n_src = source_length(template, tok, F.col("t"), F.col("query"), F.col("system"))
+    n_tgt = tok.length(F.col("response")) + F.lit(0 if template.efficient_eos else 1)
+    total = n_src + n_tgt
+    return (keep_share(n_src, total, cutoff) + keep_share(n_tgt, total, cutoff)).cast("int")
 
 
 def _only_last(pairs: DataFrame, key: str) -> DataFrame:
@@ -376,28 +377,32 @@ def encode_conversations(messages: DataFrame, template: str | ChatTemplate = "ll
 
     Equal to nesting each conversation and calling ``encode_sft``, but bounded: a turn that starts
     at or behind the cutoff cannot leave a trace in the result, and it is dropped before the turns
-    of a conversation meet in one row. Where every turn has at least one id, turn number ``cutoff``
-    and later ones go first, by their number alone; only the last pair stays, since an example
-    counts only when its current turn has both texts.
+    of a conversation meet in one row; so is one that the cut leaves no ids. Starts are running totals of the
+    lengths after the cut, so a tokenizer that knows lengths encodes nothing that is dropped. The last pair
+    stays, since an example counts only when its current turn has both texts.
     """
     template = get_template(template)
     tok = get_tokenizer(tokenizer, template)
     pairs = conversations.pair_rows(messages, key, width, hot_rows)
     if not template.use_history:
         pairs = _only_last(pairs, key)
-    sure = not template.use_history or min_turn_ids(template, tok) > 0
-    if sure:
-        # At most cutoff + 1 pairs per conversation are left, so blocks are no longer needed.
-        pairs = blocks.drop_blocks(pairs.filter((F.col("t") < cutoff) | F.col("is_last")))
+        pairs = blocks.drop_blocks(pairs)  # one pair per conversation is left
     rows = pairs.withColumn("system", F.coalesce(blank_to_null("system"), F.lit(template.system)))
-    cut = encode_turn_rows(rows, template, tok, cutoff).withColumn("encoded", cut_turn(F.col("encoded"), cutoff))
-    n = F.col("encoded.n_src") + F.col("encoded.n_tgt")
-    placed = blocks.running_total(cut, [key], ["turn"], n, "_start")
-    counts = (F.col("_start") < cutoff) & (n > 0)
+
+    def cut(df: DataFrame) -> DataFrame:
+        return encode_turn_rows(df, template, tok, cutoff).withColumn("encoded", cut_turn(F.col("encoded"), cutoff))
+
+    if tok.cuts_text:
+        sized = rows.withColumn("_n", cut_length(template, tok, cutoff))
+    else:
+        sized = cut(rows).withColumn("_n", F.col("encoded.n_src") + F.col("encoded.n_tgt"))
+    placed = blocks.running_total(sized, [key], ["turn"], F.col("_n"), "_start")
+    counts = (F.col("_start") < cutoff) & (F.col("_n") > 0)
     valid = (F.col("query") != "") & (F.col("response") != "")
+    needed = placed.filter(counts | F.col("is_last"))
     kept = (
         # Rows that only bear witness to the last pair have a null turn, which no list collects.
-        placed.filter(counts | F.col("is_last"))
+        (cut(needed) if tok.cuts_text else needed)
         .select(key, F.when(counts, label_turn(F.col("encoded"), template, tok)).alias("_turn"),
                 (F.col("is_last") & valid).alias("_valid"))
         .groupBy(key).agg(F.sort_array(F.collect_list("_turn")).alias("labelled"), F.bool_or("_valid").alias("_valid"))

@@ -29,6 +29,7 @@ ACCEPTED = {
     "rope_scaling": ["linear", "dynamic"],
 }
 REQUIRED = ["storage_path", "train_path", "model_name_or_path"]
+# Fixed value: where a run finds its model if it names none.
 DEFAULT_MODEL_PATH = "/tmp/llama2-7b/"
 
 
@@ -185,19 +186,25 @@ def with_owner(children: DataFrame, parents: DataFrame, owner: str, keep: list[s
     return children.join(side, ["namespace", owner], "inner")
 
 
+def _exploded(sets: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    """``kind, namespace, name, run`` rows of one array column per kind."""
+    def tagged(kind: str) -> Column:
+        return F.transform(kind, lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("name")))
+
+    uses = F.explode(F.concat(*map(tagged, kinds))).alias("_use")
+    return sets.select("namespace", "run", uses).filter(~is_blank("_use.name")).select(
+        F.col("_use.kind").alias("kind"), "namespace", F.col("_use.name").alias("name"), "run")
+
+
 def references(runs: DataFrame) -> DataFrame:
     """Which runs use which object: distinct ``(kind, namespace, name, run)`` rows.
 
     Kept as rows, not as a list per object: a popular base model is used by any number of runs.
     """
-    uses = F.explode(F.array(*(
-        F.struct(F.lit(kind).alias("kind"), F.col(kind).alias("name")) for kind in ("dataset", "hyperparameter", "model"))))
-    return (
-        runs.select("namespace", F.col("name").alias("run"), uses.alias("_use"))
-        .filter(~is_blank("_use.name"))
-        .select(F.col("_use.kind").alias("kind"), "namespace", F.col("_use.name").alias("name"), "run")
-        .distinct()
-    )
+    kinds = ("dataset", "hyperparameter", "model")
+    # One row per run crosses the shuffle; what is distinct within a run is distinct altogether.
+    sets = runs.groupBy("namespace", F.col("name").alias("run")).agg(*(F.collect_set(kind).alias(kind) for kind in kinds))
+    return _exploded(sets, kinds)
 
 
 def add_references(refs: DataFrame, runs: DataFrame) -> DataFrame:

@@ -59,42 +59,58 @@ def _stage(state: Column) -> Column:
 def rollup_jobs(jobs: DataFrame, runs: DataFrame) -> DataFrame:
     """Jobs moved to the furthest stage their facts allow; a stage once reached is kept.
 
-    Uses ``state, build_completed_at, service_status, deployment_status, score`` of the job and
-    ``state`` of the run named in ``run``. ``stalled`` marks jobs waiting on an image build.
+    Uses ``state, build_completed_at, service_status, deployment_status, score`` of the job and ``state`` and
+    ``checkpoint`` of the run named in ``run``: an image is only built from a run that has recorded a checkpoint
+    object. ``serving`` is a job in state SERVE whose service is up; ``stalled`` marks jobs waiting on an image build.
     """
-    side = runs.select("namespace", F.col("name").alias("run"), F.col("state").alias("run_state"))
+    side = runs.select("namespace", F.col("name").alias("run"), F.col("state").alias("run_state"),
+                       (~is_blank("checkpoint.ref")).alias("_recorded"))
     rows = jobs.join(side, ["namespace", "run"], "left")
     run = F.col("run_state")
     furthest = F.greatest(
         _stage(F.col("state")),
-        F.when(run.isin("INIT", "RUNNING"), 1).when(run == "SUCCESSFUL", 2).otherwise(0),
+        F.when(run.isin("INIT", "RUNNING"), 1).when((run == "SUCCESSFUL") & F.col("_recorded"), 2).otherwise(0),
         F.when(is_built(F.col("build_completed_at")), 3).otherwise(0),
         F.when(is_scored(F.col("score")), 4).otherwise(0),
     )
     state = F.when(run == "FAILED", F.lit("FAILED")).when(F.col("state") == "FAILED", F.lit("FAILED")) \
         .otherwise(F.element_at(F.array(*map(F.lit, JOB_STAGES)), furthest + 1))
     return (
-        rows.withColumn("state", state)
-        .withColumn("serving", is_serving(F.col("service_status"), F.col("deployment_status")))
+        rows.withColumn("state", state).drop("_recorded")
+        .withColumn("serving", (F.col("state") == "SERVE") & is_serving(F.col("service_status"), F.col("deployment_status")))
         .withColumn("stalled", (F.col("state") == "BUILDIMAGE") & ~is_built(F.col("build_completed_at")))
     )
 
 
-def rollup_experiments(experiments: DataFrame, jobs: DataFrame) -> DataFrame:
-    """SUCCESS when all jobs succeeded, FAILED when all failed, otherwise the state as it was.
+def _listed_jobs(experiments: DataFrame, jobs: DataFrame, *cols: str) -> DataFrame:
+    """One row per listed job: ``namespace, name, job`` and ``cols`` of its row, null where there is none."""
+    listed = experiments.select("namespace", "name", F.explode("jobs").alias("job"))
+    return listed.join(jobs.select("namespace", F.col("name").alias("job"), *cols), ["namespace", "job"], "left")
 
-    An experiment without jobs keeps its state. A pending one is PENDING.
-    """
-    votes = jobs.groupBy("namespace", F.col("owner_experiment").alias("name")).agg(
-        F.bool_and(F.col("state") == "SUCCESSFUL").alias("_good"),
-        F.bool_and(F.col("state") == "FAILED").alias("_bad"))
-    state = (
+
+def _votes() -> list[Column]:
+    """A listed job without a row is neither successful nor failed."""
+    return [F.bool_and(F.coalesce(F.col("state") == name, F.lit(False))).alias(out)
+            for name, out in (("SUCCESSFUL", "_good"), ("FAILED", "_bad"))]
+
+
+def _experiment_state() -> Column:
+    return (
         F.when(F.coalesce(F.col("pending"), F.lit(False)), F.lit("PENDING"))
         .when(F.col("_good"), F.lit("SUCCESS")).when(F.col("_bad"), F.lit("FAILED"))
         .when(is_blank("state") | (F.col("state") == "PENDING"), F.lit("PROCESSING"))
         .otherwise(F.col("state"))
     )
-    return experiments.join(votes, ["namespace", "name"], "left").withColumn("state", state).drop("_good", "_bad")
+
+
+def rollup_experiments(experiments: DataFrame, jobs: DataFrame) -> DataFrame:
+    """SUCCESS when all listed jobs succeeded, FAILED when all failed, otherwise the state as it was.
+
+    ``jobs`` of an experiment is the list of job names. A listed job that does not exist keeps the state as it
+    was, and so does an empty list. A pending experiment is PENDING.
+    """
+    votes = _listed_jobs(experiments, jobs, "state").groupBy("namespace", "name").agg(*_votes())
+    return experiments.join(votes, ["namespace", "name"], "left").withColumn("state", _experiment_state()).drop("_good", "_bad")
 
 
 def rank_jobs(jobs: DataFrame, hot_rows: int = blocks.HOT_ROWS) -> DataFrame:
@@ -116,18 +132,18 @@ def top_runs(jobs: DataFrame, k: int = 1) -> DataFrame:
 
 
 def best_version(experiments: DataFrame, jobs: DataFrame, runs: DataFrame) -> DataFrame:
-    """Best job of each successful experiment with the model, hyperparameter and dataset of its run.
+    """Best listed job of each successful experiment with the model, hyperparameter and dataset of its run.
 
-    The best jobs are picked before the join: each map task hands on one row per experiment, so
-    an experiment with very many jobs is as cheap as any other.
+    Votes and the best job come from one aggregate over the listed jobs; equal scores go to the smaller name.
     """
-    done = rollup_experiments(experiments, jobs).filter(F.col("state") == "SUCCESS").select(
-        "namespace", F.col("name").alias("owner_experiment"))
-    best = top_runs(jobs.select("namespace", "owner_experiment", "name", "score", "image", "run"), 1)
+    rows = _listed_jobs(experiments, jobs, "state", "score", "image", "run")
+    best = F.min_by(F.struct("job", "score", "image", "run"), F.struct(-parse_score("score"), F.col("job")))
+    voted = rows.groupBy("namespace", "name").agg(*_votes(), best.alias("_best"))
+    done = experiments.join(voted, ["namespace", "name"]).filter(_experiment_state() == "SUCCESS").select(
+        "namespace", F.col("name").alias("experiment"), "_best.*")
     side = runs.select("namespace", F.col("name").alias("run"), "model", "hyperparameter", "dataset")
-    return best.join(done, ["namespace", "owner_experiment"]).join(side, ["namespace", "run"], "left").select(
-        "namespace", F.col("owner_experiment").alias("experiment"), F.col("name").alias("job"),
-        "score", "image", "model", "hyperparameter", "dataset")
+    return done.join(side, ["namespace", "run"], "left").select(
+        "namespace", "experiment", "job", "score", "image", "model", "hyperparameter", "dataset")
 
 
 def job_status_list(experiments: DataFrame, jobs: DataFrame, previous: DataFrame | None = None) -> DataFrame:

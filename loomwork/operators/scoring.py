@@ -1,6 +1,6 @@
 """Text scores of predictions, scorer plug-ins, side-by-side comparison.
 
-Tokens are the whitespace-separated words, case kept. ROUGE follows Lin (2004) with the F1 of each
+Tokens are the words of ``vocabulary.split_words``, case kept. ROUGE follows Lin (2004) with the F1 of each
 pair averaged per group; BLEU-4 follows Papineni et al. (2002) on the counts of the whole group.
 """
 
@@ -14,12 +14,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomwork.operators.vocabulary import split_words
+
 MAX_NGRAM = 4
 # Rows counted together inside a batch; bounds the memory whole documents may take.
 ROWS_AT_ONCE = 256
 
 OVERLAP = T.StructType([T.StructField(name, T.IntegerType()) for name in
-                        ["n_predict", "n_label", *(f"match_{n}" for n in range(1, MAX_NGRAM + 1)), "lcs"]])
+                        ["n_predict", "n_label", *(f"match_{n}" for n in range(1, MAX_NGRAM + 1))]])
 
 
 def lcs_length(a: list, b: list) -> int:
@@ -37,7 +39,7 @@ def lcs_length(a: list, b: list) -> int:
 
 def _words(texts: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All words of the texts in a row, the text each belongs to, and the number of words per text."""
-    split = [(text or "").split() for text in texts]
+    split = [split_words(text or "") for text in texts]
     lengths = np.array([len(words) for words in split], dtype=np.int64)
     flat = np.array([word for words in split for word in words], dtype=object)
     return flat, np.repeat(np.arange(len(split)), lengths), lengths
@@ -83,10 +85,6 @@ def count_overlap(predict: pd.Series, label: pd.Series) -> pd.DataFrame:
         else:
             starts_of = [np.arange(len(t)) for t in tokens]
         out[f"match_{n}"] = clipped_matches(grams, owners, n_rows)
-    ends = [np.cumsum(s[2]) for s in sides]
-    out["lcs"] = [
-        lcs_length(tokens[0][ea - na:ea].tolist(), tokens[1][eb - nb:eb].tolist())
-        for ea, na, eb, nb in zip(ends[0], sides[0][2], ends[1], sides[1][2])]
     return pd.DataFrame(out, columns=OVERLAP.names)
 
 
@@ -97,11 +95,17 @@ def overlap_counts(predict: pd.Series, label: pd.Series) -> pd.DataFrame:
     return pd.concat(parts, ignore_index=True)
 
 
+@F.pandas_udf(T.IntegerType())
+def common_subsequence(predict: pd.Series, label: pd.Series) -> pd.Series:
+    """Words in the longest common subsequence; its own function, so only those who ask for ROUGE-L pay for it."""
+    return pd.Series([lcs_length(split_words(a or ""), split_words(b or "")) for a, b in zip(predict, label)], dtype="int32")
+
+
 def with_overlap(pairs: DataFrame) -> DataFrame:
-    """Add ``overlap``: word counts, clipped n-gram matches and LCS length of each pair.
+    """Add ``overlap``: word counts and clipped n-gram matches of each pair.
 
-    Both multisets and the LCS need the two whole texts of one row and nothing else, so this is a
-    row-local Arrow step: exploding n-grams would shuffle several times the corpus instead.
+    The multisets need the two whole texts of one row and nothing else, so this is a row-local Arrow
+    step: exploding n-grams would shuffle several times the corpus instead.
     """
     return pairs.withColumn("overlap", overlap_counts("predict", "label"))
 
@@ -112,18 +116,25 @@ def f1(match: Column, n_a: Column, n_b: Column) -> Column:
     return F.coalesce(2.0 * match / F.nullif(total, F.lit(0)), F.lit(0.0))
 
 
-def text_scores(pairs: DataFrame, by: list[str]) -> DataFrame:
-    """``n_pairs, rouge_1, rouge_2, rouge_l, bleu_4`` per group of ``(predict, label)`` rows."""
+def text_scores(pairs: DataFrame, by: list[str], subsequence: bool = True) -> DataFrame:
+    """``n_pairs, exact_match, rouge_1, rouge_2, rouge_l, bleu_4`` per group of ``(predict, label)`` rows.
+
+    ``rouge_l`` is the one measure that is quadratic in a text; leave it out with ``subsequence=False``.
+    """
     o = {name: F.col(f"overlap.{name}") for name in OVERLAP.names}
     sums = [F.sum(o[f"match_{n}"]).alias(f"_m{n}") for n in range(1, MAX_NGRAM + 1)]
     sums += [F.sum(F.greatest(o["n_predict"] - (n - 1), F.lit(0))).alias(f"_g{n}") for n in range(1, MAX_NGRAM + 1)]
-    grouped = with_overlap(pairs).groupBy(*by).agg(
+    counted = with_overlap(pairs)
+    longest = []
+    if subsequence:
+        counted = counted.withColumn("_lcs", common_subsequence("predict", "label"))
+        longest = [F.avg(f1(F.col("_lcs"), o["n_predict"], o["n_label"])).alias("rouge_l")]
+    grouped = counted.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_pairs"),
         F.avg((F.col("predict") == F.col("label")).cast("double")).alias("exact_match"),
         F.avg(f1(o["match_1"], o["n_predict"], o["n_label"])).alias("rouge_1"),
         F.avg(f1(o["match_2"], o["n_predict"] - 1, o["n_label"] - 1)).alias("rouge_2"),
-        F.avg(f1(o["lcs"], o["n_predict"], o["n_label"])).alias("rouge_l"),
-        F.sum(o["n_predict"]).alias("_c"), F.sum(o["n_label"]).alias("_r"), *sums,
+        *longest, F.sum(o["n_predict"]).alias("_c"), F.sum(o["n_label"]).alias("_r"), *sums,
     )
     log_precision = sum((F.log(F.col(f"_m{n}") / F.nullif(F.col(f"_g{n}"), F.lit(0)))
                          for n in range(1, MAX_NGRAM + 1)), F.lit(0.0)) / MAX_NGRAM
@@ -131,7 +142,7 @@ def text_scores(pairs: DataFrame, by: list[str]) -> DataFrame:
     brevity = F.when(F.col("_c") >= F.col("_r"), F.lit(1.0)).otherwise(
         F.exp(1.0 - F.col("_r") / F.nullif(F.col("_c"), F.lit(0))))
     return grouped.withColumn("bleu_4", F.when(any_zero, F.lit(0.0)).otherwise(brevity * F.exp(log_precision))) \
-        .select(*by, "n_pairs", "exact_match", "rouge_1", "rouge_2", "rouge_l", "bleu_4")
+        .select(*by, "n_pairs", "exact_match", "rouge_1", "rouge_2", *["rouge_l"] * subsequence, "bleu_4")
 
 
 # ---------------------------------------------------------------- plug-ins

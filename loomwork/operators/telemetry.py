@@ -121,24 +121,25 @@ def eval_speed(df: DataFrame, by: list[str], batch: int, world: int, runtime: st
 
 
 def run_summary(logs: DataFrame) -> DataFrame:
+    """Counts, extremes and last values per run. A last value is that of the last row that has one."""
+    def last(name: str) -> Column:
+        return F.max_by(name, F.when(F.col(name).isNotNull(), F.col("current_steps"))).alias(f"last_{name}")
+
     return logs.groupBy("uid").agg(
         F.count(F.lit(1)).alias("n_logs"),
-        F.max("current_steps").alias("last_step"),
-        F.max_by("loss", "current_steps").alias("last_loss"),
+        F.max("current_steps").alias("last_step"), last("loss"),
         F.min("loss").alias("min_loss"), F.avg("loss").alias("mean_loss"),
-        F.max_by("learning_rate", "current_steps").alias("last_learning_rate"),
-        F.max_by("epoch", "current_steps").alias("last_epoch"),
+        last("learning_rate"), last("epoch"),
     )
 
 
 def curve(logs: DataFrame, metric: str, every: int, smooth: int = 0, block: int = 65536) -> DataFrame:
     """Mean of a metric per step bucket, and its mean over the bucket and the ``smooth`` before it.
 
-    The trailing window runs inside blocks of buckets; a block is handed the last ``smooth``
-    buckets of the one before, so a run of any length is spread out and no seam shows.
+    The trailing window runs inside blocks of buckets, each longer than the window; a block is handed the last
+    ``smooth`` buckets of the one before, so a run of any length is spread out and no seam shows.
     """
-    if smooth >= block:
-        raise ValueError("the smoothing window must be shorter than a block")
+    block = max(block, 4 * smooth)
     points = (
         logs.withColumn("bucket", F.floor(F.col("current_steps") / every))
         .groupBy("uid", "bucket").agg(F.avg(metric).alias("value"))

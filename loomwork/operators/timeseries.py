@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.functions.text import epoch_ms, label_text
-from loomwork.operators import blocks
 
 # Series names and their labels, in order.
 TRAIN_SERIES = ("train_metrics", ["uid", "total_steps", "current_steps", "loss", "learning_rate", "epoch"])
@@ -79,33 +78,42 @@ def samples(series: DataFrame) -> DataFrame:
         "labels", F.col("_s.timestamp").alias("timestamp"), F.col("_s.value").alias("value"))
 
 
-def group_series(series: DataFrame, chunk: int = 4096, width_ms: float = 3_600_000.0,
-                 hot_rows: int = blocks.HOT_ROWS) -> DataFrame:
-    """Samples of equal label sets together, by time, at most ``chunk`` per row.
+def group_series(series: DataFrame, part_ms: int = 86_400_000) -> DataFrame:
+    """Samples of equal label sets together, by time, one row per label set and stretch of ``part_ms``.
 
-    A short series is one row; a longer one goes on in further rows, numbered by ``part``, so a
-    series of any length never has to fit into one task.
+    ``part_start`` is the first millisecond of the stretch. Rows are bounded by time, whatever the length of a
+    series, so none has to fit into one task.
     """
-    rows = blocks.add_blocks(samples(series), ["labels"], F.col("timestamp"), width_ms, hot_rows)
-    numbered = blocks.row_index(rows, ["labels"], ["timestamp", "value"], "_i")
+    rows = samples(series).withColumn("part_start", F.floor(F.col("timestamp") / part_ms) * part_ms)
     return (
-        numbered.groupBy("labels", F.floor(F.col("_i") / chunk).alias("part"))
+        rows.groupBy("labels", "part_start")
         .agg(F.sort_array(F.collect_list(F.struct("timestamp", "value"))).alias("_samples"))
-        .select("labels", "part", F.transform("_samples", lambda s: F.struct(s["value"], s["timestamp"])).alias("samples"))
+        .select("labels", "part_start", F.transform("_samples", lambda s: F.struct(s["value"], s["timestamp"])).alias("samples"))
     )
 
 
+# Functions of a step, of the value and time columns.
+STEP_FUNCTIONS = {
+    "avg": lambda value, ts: F.avg(value), "min": lambda value, ts: F.min(value), "max": lambda value, ts: F.max(value),
+    "sum": lambda value, ts: F.sum(value), "count": lambda value, ts: F.count(value),
+    "last": lambda value, ts: F.max_by(value, F.struct(ts, value)),
+}
+
+
+def downsample_all(points: DataFrame, by: list[str], step_ms: int, funcs: list[str], start_ms: int = 0,
+                   ts: str = "timestamp", value: str = "value") -> DataFrame:
+    """One column per function and step, from one aggregate."""
+    for func in funcs:
+        if func not in STEP_FUNCTIONS:
+            raise ValueError(f"unknown function {func!r}; known: {', '.join(STEP_FUNCTIONS)}")
+    bucket = (F.floor((F.col(ts) - start_ms) / step_ms) * step_ms + start_ms).alias("bucket_ms")
+    return points.groupBy(*by, bucket).agg(*(STEP_FUNCTIONS[f](value, ts).alias(f) for f in funcs))
+
+
 def downsample(points: DataFrame, by: list[str], step_ms: int, func: str = "avg", start_ms: int = 0,
                ts: str = "timestamp", value: str = "value") -> DataFrame:
     """One value per step: avg, min, max, sum, count or last."""
-    bucket = (F.floor((F.col(ts) - start_ms) / step_ms) * step_ms + start_ms).alias("bucket_ms")
-    aggregates = {
-        "avg": F.avg, "min": F.min, "max": F.max, "sum": F.sum, "count": F.count,
-        "last": lambda c: F.max_by(c, F.struct(ts, value)),
-    }
-    if func not in aggregates:
-        raise ValueError(f"unknown function {func!r}; known: {', '.join(aggregates)}")
-    return points.groupBy(*by, bucket).agg(aggregates[func](value).alias("value"))
+    return downsample_all(points, by, step_ms, [func], start_ms, ts, value).withColumnRenamed(func, "value")
 
 
 @dataclass(frozen=True)

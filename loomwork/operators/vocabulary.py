@@ -1,61 +1,90 @@
-"""The ``words`` tokenizer: whitespace pieces with a vocabulary counted from a corpus."""
+"""The ``words`` tokenizer: pieces between ASCII white space, with a vocabulary counted from a corpus."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwork.functions.text import col
 from loomwork.functions.tokenizers import PandasTokenizer
 
-# Largest vocabulary that is built, broadcast or handed to Python workers.
-MAX_VOCABULARY = 200_000
 UNKNOWN_ID = 0
+# The one definition of a word border, for Column functions and for Python alike.
+BORDER = r"[ \t\n\x0B\f\r]+"
+# A vocabulary up to this size is looked up inside the rows' own tasks; a larger one is joined.
+LOCAL_PIECES = 2_000_000
 
 
 def pieces(text: Column | str) -> Column:
-    return F.filter(F.split(col(text), r"\s+"), lambda w: w != "")
+    return F.filter(F.split(col(text), BORDER), lambda w: w != "")
+
 
+def split_words(text: str) -> list[str]:
+    """The same pieces in Python: bytes split at ASCII white space, and only there."""
+    return [w.decode() for w in text.encode().split()]
 
-def build_vocabulary(df: DataFrame, columns: list[str], size: int = 50_000) -> DataFrame:
-    """``(piece, id, n)``: the most frequent pieces, ids from 1 by count, then by piece.
 
-    Counts combine on the map side, so a word that fills the corpus costs one row per task.
+def build_vocabulary(df: DataFrame, columns: list[str], size: int | None = None) -> DataFrame:
+    """``(piece, id, n)``: all pieces, or the ``size`` most frequent; ids from 1 by count, then by piece.
+
+    Counts combine on the map side, so a word that fills the corpus costs one row per task. Ids are places in
+    a total order: range partitions are sorted and numbered, each behind the rows of those before it.
     """
-    if size > MAX_VOCABULARY:
-        raise ValueError(f"a vocabulary holds at most {MAX_VOCABULARY} pieces")
     words = df.select(F.explode(F.concat(*(F.coalesce(pieces(c), F.array().cast("array<string>")) for c in columns)))
                       .alias("piece"))
-    top = words.groupBy("piece").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "piece").limit(size)
-    # At most ``size`` rows: one array orders and numbers them.
-    ranked = top.agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("m"), "piece"))).alias("_all"))
-    return ranked.select(F.posexplode("_all").alias("_pos", "_p")).select(
-        F.col("_p.piece").alias("piece"), (F.col("_pos") + 1).alias("id"), (-F.col("_p.m")).alias("n"))
+    counted = words.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+    order = [F.col("n").desc(), F.col("piece").asc()]
+    if size is not None:
+        counted = counted.orderBy(*order).limit(size)
+    # zipWithIndex numbers sorted partitions by their sizes: two passes, no row through one task.
+    numbered = counted.orderBy(*order).rdd.zipWithIndex().map(lambda x: (x[0]["piece"], x[1] + 1, x[0]["n"]))
+    return df.sparkSession.createDataFrame(numbered, "piece string, id bigint, n bigint")
 
 
-def _is_small(vocabulary: DataFrame) -> bool:
-    return vocabulary.limit(MAX_VOCABULARY + 1).count() <= MAX_VOCABULARY
+def _pairs(vocabulary: DataFrame, limit: int) -> dict[str, int] | None:
+    """The vocabulary as a dictionary, or None above ``limit`` pieces: never more than that reaches the driver."""
+    rows = vocabulary.select("piece", "id").limit(limit + 1).collect()
+    return None if len(rows) > limit else {r["piece"]: r["id"] for r in rows}
 
 
-def encode_words(df: DataFrame, key: str, text: str, vocabulary: DataFrame) -> DataFrame:
+def encode_words(df: DataFrame, key: str, text: str, vocabulary: DataFrame, local_pieces: int = LOCAL_PIECES) -> DataFrame:
     """``(key, ids)``: pieces looked up in the vocabulary, unknown ones as 0, in text order.
 
-    The vocabulary is counted first: up to the limit it is broadcast and no text is shuffled to
-    find its ids; a larger one is joined by piece, where AQE splits the frequent words.
+    Up to ``local_pieces`` pieces the lookup runs inside the rows' own tasks and no text is shuffled. Beyond, each
+    document's distinct pieces are joined to their ids, and the text is put together from that map.
+    """
+    known = _pairs(vocabulary, local_pieces)
+    if known is not None:
+        shared = df.sparkSession.sparkContext.broadcast(known)
+
+        def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            ids = shared.value
+            for batch in batches:
+                found = [None if t is None else [ids.get(w, UNKNOWN_ID) for w in split_words(t)] for t in batch.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f or [] for f in found], pa.list_(pa.int64()))], [key, "ids"])
+
+        rows = df.select(key, col(text).alias("_text"))
+        kind = rows.schema[key].dataType.simpleString()
+        return rows.mapInArrow(look_up, f"`{key}` {kind}, ids array<bigint>")
+    rows = df.select(key, pieces(text).alias("_w"))
+    distinct = rows.select(key, F.explode(F.array_distinct("_w")).alias("piece"))
+    maps = distinct.join(vocabulary.select("piece", F.col("id").alias("_id")), "piece").groupBy(key).agg(
+        F.map_from_entries(F.collect_list(F.struct("piece", "_id"))).alias("_ids"))
+    found = F.transform("_w", lambda w: F.coalesce(F.col("_ids")[w], F.lit(UNKNOWN_ID)).cast("bigint"))
+    return rows.join(maps, key, "left").select(key, F.coalesce(found, F.array().cast("array<bigint>")).alias("ids"))
+
+
+def words_tokenizer(spark: SparkSession, vocabulary: DataFrame, max_pieces: int = LOCAL_PIECES, **settings) -> PandasTokenizer:
+    """The same vocabulary as a tokenizer for the encoder; special tokens follow the vocabulary.
+
+    A tokenizer's table lives in every Python worker, so it must fit there: ``max_pieces`` is checked, nothing is left out.
     """
-    placed = df.select(key, F.posexplode_outer(pieces(text)).alias("_pos", "piece"))
-    known = vocabulary.select("piece", F.col("id").alias("_id"))
-    found = placed.join(F.broadcast(known) if _is_small(vocabulary) else known, "piece", "left")
-    entry = F.when(F.col("_pos").isNotNull(), F.struct("_pos", F.coalesce("_id", F.lit(UNKNOWN_ID)).alias("id")))
-    return found.groupBy(key).agg(F.sort_array(F.collect_list(entry)).alias("_e")).select(
-        key, F.transform("_e", lambda e: e["id"]).alias("ids"))
-
-
-def words_tokenizer(spark: SparkSession, vocabulary: DataFrame, **settings) -> PandasTokenizer:
-    """The same vocabulary as a tokenizer for the encoder; special tokens follow the vocabulary."""
-    if not _is_small(vocabulary):
-        raise ValueError(f"a vocabulary holds at most {MAX_VOCABULARY} pieces")
-    ids = {r["piece"]: r["id"] for r in vocabulary.select("piece", "id").toLocalIterator()}
+    ids = _pairs(vocabulary, max_pieces)
+    if ids is None:
+        raise ValueError(f"more than {max_pieces} pieces do not fit a worker; count a smaller vocabulary or use encode_words")
     shared = spark.sparkContext.broadcast(ids)
 
     def load():
@@ -63,7 +92,7 @@ def words_tokenizer(spark: SparkSession, vocabulary: DataFrame, **settings) -> P
         names = {i: piece for piece, i in known.items()}
 
         def encode(texts):
-            return [[known.get(w, UNKNOWN_ID) for w in text.split()] for text in texts]
+            return [[known.get(w, UNKNOWN_ID) for w in split_words(text)] for text in texts]
 
         def decode(rows):
             return [" ".join(names.get(i, "") for i in row) for row in rows]

@@ -25,7 +25,7 @@ last_pair AS (SELECT conv_id, max(t) AS last_t FROM pairs GROUP BY conv_id)
 """
 
 
-WORDS = "list_filter(string_split_regex({}, '\\s+'), lambda w: w <> '')"
+WORDS = "list_filter(string_split_regex({}, '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '')"
 
 
 # ---------------------------------------------------------------- encoding
@@ -171,6 +171,27 @@ SELECT conv_id, array_to_string(everything[1:len(everything) - len(answer)], ' '
 
 PAD = get_tokenizer("codepoint", "chatml").pad_id
 
+def long_sql(sql: str) -> str:
+    """The same over all messages chained to three conversations."""
+    return sql.replace("FROM conversations", "FROM (SELECT conv_id % 3 AS conv_id, conv_id * 1000 + turn AS turn, role, text FROM conversations)")
+
+
+# Words in ids by frequency, then the start and the end token; the last pair, cut at 64.
+WORD_EXAMPLES = f"""WITH {PAIRS}, vocab AS (
+  SELECT piece, row_number() OVER (ORDER BY count(*) DESC, encode(piece)) AS id
+  FROM (SELECT unnest({WORDS.format('text')}) AS piece FROM conversations) GROUP BY piece),
+size AS (SELECT count(*) AS v FROM vocab),
+last AS (SELECT conv_id, query, response FROM pairs JOIN last_pair USING (conv_id) WHERE t = last_t AND query <> '' AND response <> ''),
+words AS (SELECT conv_id, 'q' AS side, unnest({WORDS.format('query')}) AS piece, generate_subscripts({WORDS.format('query')}, 1) AS pos FROM last
+  UNION ALL SELECT conv_id, 'r', unnest({WORDS.format('response')}), generate_subscripts({WORDS.format('response')}, 1) FROM last),
+lists AS (SELECT conv_id, list(id ORDER BY pos) FILTER (side = 'q') AS q, list(id ORDER BY pos) FILTER (side = 'r') AS r
+  FROM words JOIN vocab USING (piece) GROUP BY conv_id),
+whole AS (SELECT conv_id, list_concat([v + 1], coalesce(q, [])) AS src, list_concat(coalesce(r, []), [v + 2]) AS tgt
+  FROM last LEFT JOIN lists USING (conv_id), size),
+cut AS (SELECT conv_id, src[1:CAST(trunc(64 * (len(src) / (len(src) + len(tgt)))) AS BIGINT)] AS src,
+  tgt[1:CAST(trunc(64 * (len(tgt) / (len(src) + len(tgt)))) AS BIGINT)] AS tgt FROM whole),
+examples AS (SELECT conv_id, list_concat(src, tgt) AS ids, list_concat(list_transform(src, lambda x: -100), tgt) AS labels FROM cut)"""
+
 ENCODING = {f"encode_{name}": conversation_sql(name) + FLAT.format(key="conv_id") for name in TEMPLATES} | {
     "pair_turns": f"WITH {PAIRS} SELECT conv_id, t, query, response FROM pairs",
     "assemble_conversations": f"""WITH {PAIRS}
@@ -179,6 +200,21 @@ SELECT p.conv_id, any_value(system) AS system, count(*) - 1 AS n_history,
        arg_max(query, t) AS query, arg_max(response, t) AS response
 FROM pairs p JOIN last_pair USING (conv_id) LEFT JOIN systems USING (conv_id) GROUP BY p.conv_id""",
     "encode_nested": conversation_sql("chatml") + FLAT.format(key="conv_id"),
+    "nested_source": "SELECT n, n_target, ids, labels, count(*) AS n_rows FROM (" + conversation_sql("chatml") + FLAT.format(key="conv_id") + ") GROUP BY ALL",
+    "encode_long": long_sql(conversation_sql("chatml")) + FLAT.format(key="conv_id"),
+    "encode_long_nested": long_sql(conversation_sql("chatml")) + FLAT.format(key="conv_id"),
+    "preview": conversation_sql("vanilla") + """, shown AS (
+  SELECT conv_id, list_transform(ids, lambda x: CASE WHEN x < 1114112 THEN chr(x) WHEN x = 1114112 THEN '<s>' ELSE '</s>' END) AS texts, labels
+  FROM examples ORDER BY conv_id LIMIT 1)
+SELECT conv_id, array_to_string(texts, '') AS inputs,
+  array_to_string(list_transform(list_filter(range(1, len(texts) + 1), lambda i: labels[i] <> -100), lambda i: texts[i]), '') AS label_text FROM shown""",
+    "encode_words": WORD_EXAMPLES + FLAT.format(key="conv_id"),
+    "token_quantiles": conversation_sql("llama2") + """
+SELECT conv_id % 4 AS part, count(*) AS n_examples, CAST(sum(len(ids)) AS BIGINT) AS n_tokens,
+  CAST(sum(len(list_filter(labels, lambda x: x <> -100))) AS BIGINT) AS n_targets, count(*) FILTER (len(ids) >= 1024) AS n_at_cutoff,
+  concat(list_sort(list(len(ids)))[CAST(ceil(count(*) * 0.5) AS BIGINT)], ' ', list_sort(list(len(ids)))[CAST(ceil(count(*) * 0.9) AS BIGINT)]) AS quantiles
+FROM examples GROUP BY part""",
+    "dataset_plugin": f"WITH {SFT} SELECT doc_id, query, response FROM built WHERE query <> '' AND response <> ''",
     "encode_bytes": conversation_sql("llama2", 256, "utf8_bytes") + FLAT.format(key="conv_id"),
     "encode_oneturn": oneturn_sql(),
     "render_chat": render_sql(),
@@ -188,8 +224,7 @@ SELECT conv_id, array_to_string(list_transform(list_filter(labels, lambda x: x <
        lambda x: CASE WHEN x < 1114112 THEN chr(x) ELSE '</s>' END), '') AS text FROM examples""",
     "word_ids": f"""WITH words AS (
   SELECT doc_id, unnest({WORDS.format('text')}) AS piece, generate_subscripts({WORDS.format('text')}, 1) AS pos FROM documents),
-vocab AS (SELECT piece, row_number() OVER (ORDER BY count(*) DESC, encode(piece)) AS id FROM words GROUP BY piece
-  ORDER BY count(*) DESC, encode(piece) LIMIT 2000),
+vocab AS (SELECT piece, row_number() OVER (ORDER BY count(*) DESC, encode(piece)) AS id FROM words GROUP BY piece),
 coded AS (SELECT doc_id, count(*) AS n, string_agg(CAST(coalesce(id, 0) AS VARCHAR), ' ' ORDER BY pos) AS ids
   FROM words LEFT JOIN vocab USING (piece) GROUP BY doc_id)
 SELECT doc_id, coalesce(n, 0) AS n, coalesce(ids, '') AS ids FROM documents LEFT JOIN coded USING (doc_id)""",
@@ -251,6 +286,23 @@ MERGED = """
        CAST(4 AS INTEGER) AS batch_size, '0.03' AS warmup_ratio, '0' AS weight_decay, CAST(1 AS INTEGER) AS grad_acc_steps,
        'sft' AS trainer_type, l_linenumber <> 2 AS peft, s_suppkey % 2 = 1 AS fp16
 """
+# The same where there may be no base: only what the line sets is left then.
+MERGED_ALONE = """
+       CASE WHEN l_returnflag = 'R' THEN 'constant' WHEN s_nationkey < 12 THEN 'cosine' WHEN s_nationkey >= 12 THEN 'linear' END AS scheduler,
+       CASE WHEN s_suppkey IS NOT NULL THEN 'adamw_torch' END AS optimizer,
+       CASE WHEN l_returnflag = 'R' THEN false ELSE s_suppkey % 2 = 0 END AS int4,
+       CASE WHEN l_linenumber = 1 THEN true ELSE s_suppkey % 5 = 0 END AS int8,
+       CASE WHEN l_linenumber > 4 THEN CAST(CAST(l_quantity AS INTEGER) AS VARCHAR)
+            ELSE CAST(8 + s_nationkey AS VARCHAR) END AS lora_r,
+       CASE WHEN s_suppkey IS NOT NULL THEN '32' END AS lora_alpha, CASE WHEN s_suppkey IS NOT NULL THEN '0.1' END AS lora_dropout,
+       CASE WHEN l_returnflag = 'A' THEN '' WHEN s_suppkey IS NOT NULL THEN concat(s_nationkey, 'e-5') END AS learning_rate,
+       CAST(CASE WHEN l_linenumber > 1 THEN l_linenumber - 1 ELSE s_nationkey + 1 END AS INTEGER) AS epochs,
+       CAST(CASE WHEN l_linenumber >= 3 THEN 512 WHEN s_suppkey IS NOT NULL THEN 1024 END AS INTEGER) AS block_size,
+       CAST(CASE WHEN s_suppkey IS NOT NULL THEN 4 END AS INTEGER) AS batch_size, CASE WHEN s_suppkey IS NOT NULL THEN '0.03' END AS warmup_ratio,
+       '0' AS weight_decay, CAST(CASE WHEN s_suppkey IS NOT NULL THEN 1 END AS INTEGER) AS grad_acc_steps,
+       CASE WHEN s_suppkey IS NOT NULL THEN 'sft' END AS trainer_type,
+       CASE WHEN l_linenumber = 2 THEN false WHEN s_suppkey IS NOT NULL THEN true END AS peft, s_suppkey % 2 = 1 AS fp16
+"""
 
 FEATURES_TEXT = """CASE WHEN p_size % 4 < 2 OR p_size IS NULL THEN ''
   ELSE concat('{"instruction":"', p_type, '","response":"', p_brand, '"}') END"""
@@ -268,14 +320,15 @@ jobs AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY owner_experiment ORDER BY points DESC, name) AS rank FROM jobs)
 """
 
+# Experiments list up to three orders; a listed one that does not exist is neither successful nor failed.
 EXPERIMENTS = """
-votes AS (SELECT l_orderkey, bool_and(l_linestatus = 'F') AS good, bool_and(l_linestatus <> 'F') AS bad
-          FROM lineitem GROUP BY l_orderkey),
+listed AS (SELECT c_custkey, c_custkey * 11 + i AS job FROM customer, range(0, 3) r(i) WHERE i < c_custkey % 4),
+voted AS (SELECT l.c_custkey, bool_and(o_orderstatus IS NOT DISTINCT FROM 'F') AS good, bool_and(o_orderstatus IS NOT DISTINCT FROM 'O') AS bad
+          FROM listed l LEFT JOIN orders ON o_orderkey = job GROUP BY l.c_custkey),
 states AS (
-  SELECT o_orderkey, concat('exp-', o_orderkey) AS name,
-         CASE WHEN o_orderpriority = '5-LOW' THEN 'PENDING' WHEN good THEN 'SUCCESS' WHEN bad THEN 'FAILED'
-              ELSE 'PROCESSING' END AS state
-  FROM orders LEFT JOIN votes ON l_orderkey = o_orderkey)
+  SELECT customer.c_custkey, concat('exp-', customer.c_custkey) AS name,
+         CASE WHEN c_nationkey = 7 THEN 'PENDING' WHEN good THEN 'SUCCESS' WHEN bad THEN 'FAILED' ELSE 'PROCESSING' END AS state
+  FROM customer LEFT JOIN voted USING (c_custkey))
 """
 
 REFERENCES = f"""
@@ -295,7 +348,7 @@ REGISTRY = {
     "resolve_runs": f"""WITH {RUNS}
 SELECT name, p_partkey IS NOT NULL AS has_dataset, CAST(8 + s_nationkey AS VARCHAR) AS lora_r, n_name AS model_spec
 FROM runs LEFT JOIN part ON p_partkey = ds LEFT JOIN supplier ON s_suppkey = hp LEFT JOIN nation ON n_nationkey = mo""",
-    "merge_overrides": f"WITH {RUNS} SELECT name, {MERGED} FROM runs JOIN supplier ON s_suppkey = hp",
+    "merge_overrides": f"WITH {RUNS} SELECT name, {MERGED_ALONE} FROM runs LEFT JOIN supplier ON s_suppkey = hp",
     "run_configs": f"""WITH {RUNS}, merged AS (
   SELECT name, uid, l_orderkey, l_linenumber, ds, {MERGED}, s_suppkey
   FROM runs LEFT JOIN supplier ON s_suppkey = hp)
@@ -338,6 +391,7 @@ WHERE l_linestatus = 'F' GROUP BY ds""",
   SELECT DISTINCT c_custkey * 10 + i AS k FROM customer, range(0, 10) r(i))
 WHERE k NOT IN (SELECT l_orderkey FROM lineitem)""",
     "references": f"WITH {RUNS}, {REFERENCES} SELECT kind, name, run FROM refs",
+    "add_references": f"WITH {RUNS}, {REFERENCES} SELECT kind, name, count(*) AS n_runs FROM refs GROUP BY kind, name",
     "drop_reference": f"""WITH {RUNS}, {REFERENCES}
 SELECT kind, name, count(*) AS n_runs FROM refs
 WHERE run NOT IN (SELECT name FROM runs WHERE l_returnflag = 'R') GROUP BY kind, name""",
@@ -366,20 +420,24 @@ FROM (SELECT *, CAST(trunc(o_totalprice) AS BIGINT) AS s FROM orders)""",
   WHEN l_returnflag = 'A' AND l_linestatus = 'F' THEN 'SUCCESSFUL'
   ELSE 'RUNNING' END AS state FROM runs""",
     "rollup_jobs": f"""WITH facts AS (SELECT concat('job-', {LINE_KEY}) AS name, l_returnflag AS flag,
-  l_quantity > 30 AND l_tax > 0.03 AS serving, l_quantity > 25 AS built,
-  greatest(CASE l_linenumber WHEN 1 THEN 0 WHEN 2 THEN 3 ELSE 1 END, CASE l_returnflag WHEN 'A' THEN 2 WHEN 'N' THEN 1 ELSE 0 END,
+  l_quantity > 30 AND l_tax > 0.03 AS up, l_quantity > 25 AS built,
+  greatest(CASE l_linenumber WHEN 1 THEN 0 WHEN 2 THEN 3 ELSE 1 END,
+           CASE WHEN l_returnflag = 'A' AND l_linenumber NOT IN (5, 6) THEN 2 WHEN l_returnflag = 'N' THEN 1 ELSE 0 END,
            CASE WHEN l_quantity > 25 THEN 3 ELSE 0 END, CASE WHEN l_quantity > 45 THEN 4 ELSE 0 END) AS stage FROM lineitem),
 named AS (SELECT *, CASE WHEN flag = 'R' THEN 'FAILED'
   ELSE ['INIT', 'FINETUNE', 'BUILDIMAGE', 'SERVE', 'SUCCESSFUL'][stage + 1] END AS state FROM facts)
-SELECT name, state, serving, state = 'BUILDIMAGE' AND NOT built AS stalled FROM named""",
+SELECT name, state, state = 'SERVE' AND up AS serving, state = 'BUILDIMAGE' AND NOT built AS stalled FROM named""",
     "rollup_experiments": f"WITH {EXPERIMENTS} SELECT name, state FROM states",
     "rank_jobs": f"WITH {JOBS} SELECT owner_experiment, name, points, rank FROM ranked",
     "top_runs": f"WITH {JOBS} SELECT owner_experiment, name, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 2",
-    "best_version": f"""WITH {JOBS}, {EXPERIMENTS}
-SELECT owner_experiment AS experiment, r.name AS job, score, image, concat('m-', l_orderkey % 27) AS model,
-  concat('hp-', CASE WHEN l_linenumber = 7 THEN l_suppkey + 10 ELSE l_suppkey END) AS hyperparameter,
-  concat('ds-', CASE WHEN l_returnflag = 'R' THEN l_partkey + 100 ELSE l_partkey END) AS dataset
-FROM ranked r JOIN states s ON s.name = owner_experiment AND s.state = 'SUCCESS' WHERE rank = 1""",
+    "best_version": f"""WITH {EXPERIMENTS}, placed AS (
+  SELECT s.name AS experiment, o.*, row_number() OVER (PARTITION BY s.name ORDER BY
+           CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE o_orderkey % 3 END DESC, concat('job-', o_orderkey)) AS place
+  FROM states s JOIN listed l USING (c_custkey) JOIN orders o ON o_orderkey = job WHERE s.state = 'SUCCESS')
+SELECT experiment, concat('job-', o_orderkey) AS job, CASE WHEN o_orderkey % 5 = 0 THEN 'n/a' ELSE CAST(o_orderkey % 3 AS VARCHAR) END AS score,
+  concat('img-', o_orderkey) AS image, CASE WHEN o_orderkey % 9 <> 0 THEN concat('m-', o_custkey % 27) END AS model,
+  CASE WHEN o_orderkey % 9 <> 0 THEN concat('hp-', o_custkey) END AS hyperparameter,
+  CASE WHEN o_orderkey % 9 <> 0 THEN concat('ds-', o_orderpriority) END AS dataset FROM placed WHERE place = 1""",
     "job_status_list": """SELECT concat('exp-', c_custkey) AS name,
   string_agg(concat('job-', c_custkey * 10 + 9 - i, '=', coalesce(o_orderstatus, '')), ',' ORDER BY i) AS jobs_status
 FROM customer, range(0, 10) r(i) LEFT JOIN orders ON o_orderkey = c_custkey * 10 + 9 - i GROUP BY c_custkey""",
@@ -447,8 +505,9 @@ FROM logs WHERE NOT is_eval""",
 SELECT uid, n_samples, runtime, CAST(ceil(n_samples / 8) AS BIGINT) AS n_steps,
   round(n_samples / nullif(runtime, 0), 3) AS samples_per_second,
   round(ceil(n_samples / 8) / nullif(runtime, 0), 3) AS steps_per_second FROM runs""",
-    "run_summary": f"""WITH {LOGS}, losses AS (SELECT *, CASE WHEN is_eval THEN 0.0 ELSE value END AS loss FROM logs)
-SELECT uid, count(*) AS n_logs, max(current_steps) AS last_step, arg_max(loss, current_steps) AS last_loss, min(loss) AS min_loss,
+    "run_summary": f"""WITH {LOGS}, losses AS (SELECT *, CASE WHEN NOT is_eval THEN value END AS loss FROM logs)
+SELECT uid, count(*) AS n_logs, max(current_steps) AS last_step,
+  arg_max(loss, current_steps) FILTER (WHERE loss IS NOT NULL) AS last_loss, min(loss) AS min_loss,
   round(avg(loss), 9) AS mean_loss, arg_max(learning_rate, current_steps) AS last_learning_rate,
   arg_max(epoch, current_steps) AS last_epoch FROM losses GROUP BY uid""",
     "curve": f"""WITH {LOGS}, buckets AS (
@@ -458,17 +517,17 @@ SELECT uid, bucket, bucket * 5 AS step, round(v, 9) AS value,
     "state_changes": f"SELECT CAST(user_id AS VARCHAR) AS uid, event_id, event_type, previous FROM ({CHANGES})",
     "train_series": f"WITH {LOGS} {SERIES}",
     "eval_series": f"""WITH {LOGS} SELECT concat('__name__=eval_metrics,uid=', uid, ',total_steps=', total_steps,
-  ',current_steps=', current_steps, ',eval_loss=', value / 100 * 100, ',eval_perplexity=None,epoch=', epoch) AS labels,
+  ',current_steps=', current_steps, ',eval_loss=', value / 100 * 100, ',eval_perplexity=',
+  CASE WHEN event_id % 2 = 0 THEN CAST(event_id / 100 AS VARCHAR) ELSE 'None' END, ',epoch=', epoch) AS labels,
   epoch_us(ts) // 1000000 * 1000 AS timestamp, 1.0::DOUBLE AS value FROM logs WHERE is_eval""",
     "match_series": f"""WITH {LOGS} {SERIES} AND regexp_full_match(uid, '1|[2-5][0-9]?')
   AND current_steps % 10 <> 0 AND total_steps <> 60""",
     "select_range": f"""WITH {LOGS} {SERIES}
   AND epoch_us(ts) // 1000000 * 1000 BETWEEN 1704326400000 AND 1704844800000""",
     "group_series": """WITH points AS (
-  SELECT concat('kind=', event_type, ',uid=', user_id) AS labels, epoch_us(ts) // 1000000 * 1000 AS timestamp, value,
-    (row_number() OVER (PARTITION BY event_type, user_id ORDER BY epoch_us(ts) // 1000000, value) - 1) // 8 AS part FROM events)
-SELECT labels, part, count(*) AS n, string_agg(concat(timestamp, '=', value), ',' ORDER BY timestamp, value) AS samples
-FROM points GROUP BY labels, part""",
+  SELECT concat('kind=', event_type, ',uid=', user_id) AS labels, epoch_us(ts) // 1000000 * 1000 AS timestamp, value FROM events)
+SELECT labels, timestamp // 432000000 * 432000000 AS part_start, count(*) AS n,
+  string_agg(concat(timestamp, '=', value), ',' ORDER BY timestamp, value) AS samples FROM points GROUP BY ALL""",
     "downsample": f"""WITH {POINTS}, wide AS (
   SELECT uid, bucket_ms, avg(value) AS a, min(value) AS b, max(value) AS c, sum(value) AS d, count(*)::DOUBLE AS e,
          last(value ORDER BY timestamp, value) AS f FROM points GROUP BY uid, bucket_ms)
@@ -485,15 +544,18 @@ UNION ALL SELECT uid, timestamp, 'eval_loss', value / 100 FROM wide WHERE is_eva
 UNION ALL SELECT uid, timestamp, 'learning_rate', event_id / 100 FROM wide""",
     "stream_logs": f"""WITH {LOGS} SELECT uid, {STEPS}, value AS loss, learning_rate, epoch, percentage, elapsed_time, remaining_time
 FROM logs WHERE NOT is_eval""",
+    "stream_eval_logs": f"""WITH {LOGS} SELECT uid, {STEPS}, value / 100 AS eval_loss, round(exp(value / 100), 9) AS eval_perplexity, epoch,
+  percentage, elapsed_time, remaining_time FROM logs WHERE is_eval""",
     "stream_state_changes": f"SELECT user_id, epoch_us(ts) AS us, event_type, previous FROM ({CHANGES})",
     "upsert_status": """SELECT user_id, arg_max(event_type, ts) AS event_type, arg_max(value, ts) AS value
 FROM events GROUP BY user_id""",
-    "stream_rollup": """WITH latest AS (SELECT user_id, arg_max(event_type, ts) AS e FROM events GROUP BY user_id)
-SELECT concat('exp-', user_id // 3) AS name, CASE WHEN bool_and(e NOT IN ('error', 'view')) THEN 'SUCCESS'
-  WHEN bool_and(e IN ('error', 'view')) THEN 'FAILED' ELSE 'PROCESSING' END AS state FROM latest GROUP BY user_id // 3""",
+    "stream_rollup": """WITH latest AS (SELECT user_id, arg_max(event_type, ts) AS e FROM events GROUP BY user_id),
+listed AS (SELECT DISTINCT user_id // 3 AS x, user_id // 3 * 3 + i AS job FROM events, range(0, 4) r(i) WHERE i < 3 OR user_id // 3 % 5 = 0),
+jobs AS (SELECT x, e FROM listed LEFT JOIN latest ON user_id = job AND job < x * 3 + 3)
+SELECT concat('exp-', x) AS name, CASE WHEN bool_and(coalesce(e NOT IN ('error', 'view'), false)) THEN 'SUCCESS'
+  WHEN bool_and(coalesce(e IN ('error', 'view'), false)) THEN 'FAILED' ELSE 'PROCESSING' END AS state FROM jobs GROUP BY x""",
     "windowed_loss": WINDOWS,
-    # A window is closed once the newest event is an hour past its end.
-    "stream_curve": f"SELECT * FROM ({WINDOWS}) WHERE end_s * 1000000 <= (SELECT max(epoch_us(ts)) FROM events) - 3600000000",
+    "stream_curve": WINDOWS,
 }
 
 
@@ -560,7 +622,7 @@ FROM rows GROUP BY {by}"""
 CONV_SCORED = PAIRS + """, scored AS (
   SELECT conv_id * 100000 + t AS id, concat('run-', conv_id % 8) AS run, response AS predict, query AS label FROM pairs)"""
 DOC_SCORED = """scored AS (
-  SELECT d.doc_id AS id, d.lang, d.text AS predict, n.text AS label FROM documents d JOIN documents n ON n.doc_id = d.doc_id + 1)"""
+  SELECT d.doc_id AS id, d.lang, d.text AS predict, coalesce(n.text, '') AS label FROM documents d LEFT JOIN documents n ON n.doc_id = d.doc_id + 1)"""
 
 SCORING = {
     "prediction_texts": f"""WITH {PAIRS} SELECT conv_id, t, {cleaned('response')} AS label, {cleaned('query')} AS predict FROM pairs""",
@@ -576,6 +638,8 @@ SELECT conv_id, t, CAST(g AS INTEGER) AS n_generated, CAST(l AS INTEGER) AS n_la
     "document_ngram_scores": score_sql(DOC_SCORED, "lang", False),
     "score_runs": f"""SELECT run, CAST(CAST(round(rouge_l * 100) AS INTEGER) AS VARCHAR) AS score
 FROM ({score_sql(CONV_SCORED, "run", True)})""",
+    "plugin_scores": f"""WITH {CONV_SCORED} SELECT run, CAST(CAST(floor(100 * avg(CASE WHEN length(predict) >= 40 THEN 1.0 ELSE 0.0 END)) AS BIGINT) AS VARCHAR) AS score
+FROM scored GROUP BY run""",
     "compare_runs": f"""WITH {PAIRS} SELECT concat(conv_id, '-', t) AS example_id, response AS answer, query AS echo FROM pairs""",
 }
 

@@ -16,7 +16,7 @@ from loomwork.operators import (batching, conversations, encode, ingest, predict
                                 telemetry, timeseries, vocabulary)
 from loomwork.plans import tables as t
 from loomwork.session import scratch_path
-from loomwork.sources import logs, sft
+from loomwork.sources import logs, plugins, sft
 from loomwork.streaming import jobs as streams
 from loomwork.streaming import tables as versions
 
@@ -63,6 +63,61 @@ def encode_nested(spark, sf):
     return flat_encoded(encode.encode_sft(rows, "chatml", keep=["conv_id"]), "conv_id")
 
 
+def nested_source(spark, sf):
+    """Assembled conversations written as a nested table, read back with the declared schema and encoded."""
+    path = scratch_path(spark, "nested")
+    rows = conversations.assemble_conversations(t.messages(spark, sf))
+    rows.select(F.lit(None).cast("string").alias("instruction"), "query", "history", "system", "response",
+                F.col("conv_id")).write.parquet(path)
+    back = sft.read_sft_table(spark, path)
+    encoded = flat_encoded(encode.encode_sft(back.select("query", "response", "history", "system"), "chatml", keep=["query"]), "query")
+    return encoded.groupBy("n", "n_target", "ids", "labels").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def long_conversations(spark, sf) -> DataFrame:
+    """All messages chained to three conversations."""
+    return t.messages(spark, sf).select(
+        F.pmod("conv_id", F.lit(3)).alias("conv_id"), (F.col("conv_id") * 1000 + F.col("turn")).alias("turn"), "role", "text")
+
+
+def encode_long(spark, sf):
+    """Very long conversations, from message rows."""
+    return flat_encoded(encode.encode_conversations(long_conversations(spark, sf), "chatml"), "conv_id")
+
+
+def encode_long_nested(spark, sf):
+    """The same through the nested form."""
+    rows = conversations.assemble_conversations(long_conversations(spark, sf))
+    return flat_encoded(encode.encode_sft(rows, "chatml", keep=["conv_id"]), "conv_id")
+
+
+def preview(spark, sf):
+    """The first example with its texts."""
+    encoded = encode.encode_conversations(t.messages(spark, sf), "vanilla").orderBy("conv_id")
+    return encode.preview(encoded, "vanilla", n=1).select("conv_id", "inputs", "label_text")
+
+
+def encode_words(spark, sf):
+    """Conversations in ids of a vocabulary counted from all messages."""
+    rows = t.messages(spark, sf)
+    tok = vocabulary.words_tokenizer(spark, vocabulary.build_vocabulary(rows, ["text"]))
+    return flat_encoded(encode.encode_conversations(rows, "vanilla", 64, tok), "conv_id")
+
+
+def token_quantiles(spark, sf):
+    """Lengths of encoded conversations."""
+    rows = encode.encode_conversations(t.messages(spark, sf), "llama2").withColumn("part", F.pmod("conv_id", F.lit(4)))
+    stats = encode.corpus_stats(rows, ["part"], quantiles=[0.5, 0.9])
+    return stats.select("part", "n_examples", "n_tokens", "n_targets", "n_at_cutoff", joined("token_quantiles").alias("quantiles"))
+
+
+def dataset_plugin(spark, sf):
+    """Instruction rows through a plug-in that takes the folder as its parameters."""
+    plugins.register_dataset("documents", lambda session, folder: t.instruction_rows(session, folder))
+    rows = ingest.map_columns(plugins.load_dataset(spark, "documents", sf), {"instruction": "question", "response": "answer"})
+    return ingest.filter_valid(ingest.build_examples(rows, ["doc_id"])).select("doc_id", "query", "response")
+
+
 def encode_bytes(spark, sf):
     return flat_encoded(
         encode.encode_conversations(t.messages(spark, sf), "llama2", 256, "utf8_bytes"), "conv_id")
@@ -99,7 +154,7 @@ def sft_rows(spark, sf) -> DataFrame:
 def word_ids(spark, sf):
     """Documents in ids of a vocabulary counted from them."""
     docs = t.table(spark, sf, "documents").select("doc_id", "text")
-    vocab = vocabulary.build_vocabulary(docs, ["text"], 2000)
+    vocab = vocabulary.build_vocabulary(docs, ["text"])
     return vocabulary.encode_words(docs, "doc_id", "text", vocab).select("doc_id", F.size("ids").cast("bigint").alias("n"), joined("ids").alias("ids"))
 
 
@@ -114,7 +169,8 @@ def read_splits(spark, sf):
     labelled = t.table(spark, sf, "labels").select("doc_id")
     for split, how in (("train", "left_semi"), ("evaluation", "left_anti")):
         rows.join(labelled, "doc_id", how).write.options(header=True, escape='"', quoteAll=True).csv(f"{folder}/{split}")
-    back = sft.read_splits(spark, f"{folder}/train", f"{folder}/evaluation", {"instruction": "question", "response": "answer"})
+    back = sft.read_splits(spark, f"{folder}/train", f"{folder}/evaluation", {"instruction": "question", "response": "answer"},
+                           columns=rows.columns)
     examples = ingest.filter_valid(ingest.build_examples(back, ["doc_id", "split"]))
     return examples.select(F.col("doc_id").cast("bigint").alias("doc_id"), "split", "query", "response")
 
@@ -183,7 +239,7 @@ def resolve_runs(spark, sf):
 
 def merge_overrides(spark, sf):
     rows = t.runs(spark, sf).join(
-        t.hyperparameters(spark, sf).withColumnRenamed("name", "hyperparameter"), ["namespace", "hyperparameter"])
+        t.hyperparameters(spark, sf).withColumnRenamed("name", "hyperparameter"), ["namespace", "hyperparameter"], "left")
     return registry.merge_overrides(rows).select("name", "merged.*")
 
 
@@ -248,6 +304,13 @@ def references(spark, sf):
     return registry.references(t.runs(spark, sf)).select("kind", "name", "run")
 
 
+def add_references(spark, sf):
+    """References of runs that did not fail, and then those of all runs."""
+    runs = t.runs(spark, sf)
+    refs = registry.add_references(registry.references(runs.filter("state <> 'FAILED'")), runs)
+    return registry.reference_counts(refs).select("kind", "name", "n_runs")
+
+
 def drop_reference(spark, sf):
     refs = registry.references(t.runs(spark, sf))
     failed = t.run_states(spark, sf).filter(F.col("state") == "FAILED")
@@ -303,7 +366,7 @@ def rollup_jobs(spark, sf):
 
 
 def rollup_experiments(spark, sf):
-    return rollup.rollup_experiments(t.experiments(spark, sf), t.jobs(spark, sf)).select("name", "state")
+    return rollup.rollup_experiments(t.experiments_of_orders(spark, sf), t.scored_orders(spark, sf)).select("name", "state")
 
 
 def rank_jobs(spark, sf):
@@ -315,7 +378,8 @@ def top_runs(spark, sf):
 
 
 def best_version(spark, sf):
-    return rollup.best_version(t.experiments(spark, sf), t.jobs(spark, sf), t.runs(spark, sf)).drop("namespace")
+    rows = rollup.best_version(t.experiments_of_orders(spark, sf), t.scored_orders(spark, sf), t.runs_of_orders(spark, sf))
+    return rows.drop("namespace")
 
 
 def job_status_list(spark, sf):
@@ -369,7 +433,7 @@ def eval_speed(spark, sf):
 
 
 def run_summary(spark, sf):
-    rows = telemetry.run_summary(numbered_logs(spark, sf).withColumn("loss", F.coalesce("loss", F.lit(0.0))))
+    rows = telemetry.run_summary(numbered_logs(spark, sf))
     return rows.withColumn("mean_loss", F.round("mean_loss", 9))
 
 
@@ -417,7 +481,9 @@ def train_series(spark, sf):
 
 def eval_series(spark, sf):
     rows = numbered_logs(spark, sf).filter("eval_loss IS NOT NULL").withColumn("eval_loss", F.col("eval_loss") * 100)
-    return flat_series(timeseries.eval_series(rows.withColumn("eval_perplexity", F.lit(None).cast("double"))))
+    # A perplexity that both engines print alike: every other row has none.
+    perplexity = F.when(F.col("event_id") % 2 == 0, F.col("event_id") / 100)
+    return flat_series(timeseries.eval_series(rows.withColumn("eval_perplexity", perplexity)))
 
 
 def match_series(spark, sf):
@@ -443,10 +509,10 @@ def select_range(spark, sf):
 
 
 def group_series(spark, sf):
-    rows = timeseries.group_series(uid_series(spark, sf), chunk=8)
+    rows = timeseries.group_series(uid_series(spark, sf), 5 * DAY_MS)
     names = F.transform("labels", lambda x: F.concat(x["name"], F.lit("="), x["value"]))
     points = F.transform("samples", lambda s: F.concat(s["timestamp"].cast("string"), F.lit("="), s["value"].cast("string")))
-    return rows.select(F.array_join(names, ",").alias("labels"), "part", F.size("samples").cast("bigint").alias("n"),
+    return rows.select(F.array_join(names, ",").alias("labels"), "part_start", F.size("samples").cast("bigint").alias("n"),
                        F.array_join(points, ",").alias("samples"))
 
 
@@ -457,13 +523,10 @@ def sample_points(spark, sf) -> DataFrame:
 
 def downsample(spark, sf):
     """Every aggregate of the same steps, side by side."""
-    points = sample_points(spark, sf)
-    out = None
-    for func in ("avg", "min", "max", "sum", "count", "last"):
-        one = timeseries.downsample(points, ["uid"], DAY_MS // 2, func, FIRST_MS)
-        one = one.select("uid", "bucket_ms", F.lit(func).alias("func"), F.round(F.col("value").cast("double"), 6).alias("value"))
-        out = one if out is None else out.unionByName(one)
-    return out
+    funcs = list(timeseries.STEP_FUNCTIONS)
+    wide = timeseries.downsample_all(sample_points(spark, sf), ["uid"], DAY_MS // 2, funcs, FIRST_MS)
+    return wide.select("uid", "bucket_ms", *(F.round(F.col(f).cast("double"), 6).alias(f) for f in funcs)) \
+        .unpivot(["uid", "bucket_ms"], funcs, "func", "value")
 
 
 def run_query(spark, sf):
@@ -533,23 +596,33 @@ def text_scores(spark, sf):
     return rounded(scoring.text_scores(pairs_to_score(spark, sf), ["run"]))
 
 
-def document_scores(spark, sf):
-    """Each document against the next one by id, whole texts, grouped by language."""
+def document_pairs(spark, sf) -> DataFrame:
+    """Each document against the next one by id, whole texts; the last one against nothing."""
     docs = t.table(spark, sf, "documents")
     labels = docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("label"))
-    # Both sides are the corpus: a shuffle join whatever the size estimate says.
-    pairs = docs.select("doc_id", "lang", F.col("text").alias("predict")).join(labels.hint("merge"), "doc_id")
-    return rounded(scoring.text_scores(pairs, ["lang"]))
+    return docs.select("doc_id", "lang", F.col("text").alias("predict")).join(labels, "doc_id", "left") \
+        .withColumn("label", F.coalesce("label", F.lit("")))
+
+
+def document_scores(spark, sf):
+    return rounded(scoring.text_scores(document_pairs(spark, sf), ["lang"]))
 
 
 def document_ngram_scores(spark, sf):
-    return document_scores(spark, sf).drop("rouge_l")
+    return rounded(scoring.text_scores(document_pairs(spark, sf), ["lang"], subsequence=False))
 
 
 def score_runs(spark, sf):
     return scoring.score_runs(pairs_to_score(spark, sf))
 
 
+def plugin_scores(spark, sf):
+    """A named scorer: the share of answers that are at least as long as the parameter says, in percent."""
+    scoring.register_scorer("longer", lambda pairs, parameters: pairs.groupBy("run").agg(F.floor(
+        100 * F.avg((F.length("predict") >= int(parameters)).cast("double"))).cast("string").alias("score")))
+    return scoring.score_runs(pairs_to_score(spark, sf), "longer", "40")
+
+
 def compare_runs(spark, sf):
     outputs = pair_turns(spark, sf).select(
         F.concat_ws("-", "conv_id", "t").alias("example_id"),
@@ -564,54 +637,77 @@ EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,
 
 
 def event_stream(spark, sf) -> DataFrame:
-    return spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf)
+    """The events as six files, each with rows from the whole time span, read one file per micro-batch."""
+    folder = scratch_path(spark, "event-files")
+    events = t.table(spark, sf, "events")
+    events.repartition(6, F.xxhash64("event_id")).write.parquet(folder)
+    return spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
 def _drain(query) -> None:
     query.awaitTermination()
 
 
-def stream_logs(spark, sf):
-    """Log lines written as JSON text, ingested as a stream; the train table of the result."""
+def _ingested(spark, sf) -> str:
+    """Log lines written as JSON text and ingested as a stream; the folder of the result."""
     folder = scratch_path(spark, "stream-logs")
     lines = numbered_logs(spark, sf).select(F.to_json(F.struct(
         "uid", "current_steps", "total_steps", "started_at", "ts", "loss", "learning_rate", "epoch",
         *(F.when(F.col("eval_loss").isNotNull(), F.col(c)).alias(c) for c in ("eval_loss", "eval_perplexity"))),
         {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}).alias("value"))
-    lines.write.text(f"{folder}/in")
+    lines.repartition(4).write.text(f"{folder}/in")
     _drain(streams.stream_logs(streams.read_lines(spark, f"{folder}/in", 1), f"{folder}/out", f"{folder}/checkpoint"))
-    rows = versions.read_appended(spark, f"{folder}/out/train", schemas.TRAIN_LOG)
+    return f"{folder}/out"
+
+
+def stream_logs(spark, sf):
+    """The train table of ingested log lines."""
+    rows = versions.read_appended(spark, f"{_ingested(spark, sf)}/train", schemas.TRAIN_LOG)
     return rows.select("uid", "current_steps", "total_steps", "loss", "learning_rate", "epoch", "percentage",
                        "elapsed_time", "remaining_time")
 
 
+def stream_eval_logs(spark, sf):
+    """The evaluation table of the same."""
+    rows = versions.read_appended(spark, f"{_ingested(spark, sf)}/eval", schemas.EVAL_LOG)
+    return rows.select("uid", "current_steps", "total_steps", "eval_loss", F.round("eval_perplexity", 9).alias("eval_perplexity"),
+                       "epoch", "percentage", "elapsed_time", "remaining_time")
+
+
 def stream_state_changes(spark, sf):
     folder = scratch_path(spark, "stream-changes")
     events = event_stream(spark, sf)
-    _drain(streams.stream_state_changes(events, "user_id", "ts", ["event_type"], folder, f"{folder}/checkpoint"))
-    schema = streams.changes_schema(events.schema, "user_id", "ts", ["event_type"])
-    rows = versions.read_appended(spark, f"{folder}/changes", schema)
-    return rows.select("user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), "event_type",
-                       F.col("previous.event_type").alias("previous"))
+    what = ("user_id", "ts", ["event_type"])
+    _drain(streams.stream_state_changes(events, *what, f"{folder}/out", f"{folder}/checkpoint", "400 days"))
+    rows, _ = streams.read_changes(spark, f"{folder}/out", events.schema, *what)
+    return rows.select("user_id", F.unix_micros("ts").alias("us"), "event_type", F.col("previous_event_type").alias("previous"))
 
 
 def upsert_status(spark, sf):
     folder = scratch_path(spark, "stream-status")
     events = event_stream(spark, sf).select("user_id", "ts", "event_type", "value")
     _drain(streams.stream_status(events, f"{folder}/table", f"{folder}/checkpoint", ["user_id"], "ts"))
-    return versions.read_state(spark, f"{folder}/table", events.schema).select("user_id", "event_type", "value")
+    return streams.read_status(spark, f"{folder}/table", events.schema, ["user_id"]).select("user_id", "event_type", "value")
+
+
+def user_experiments(spark, sf) -> DataFrame:
+    """Three users to an experiment as its jobs; every fifth lists one more that does not exist."""
+    users = t.table(spark, sf, "events").select(F.floor(F.col("user_id") / 3).alias("e")).distinct()
+    return users.select(
+        F.lit("default").alias("namespace"), F.concat(F.lit("exp-"), "e").alias("name"), F.lit("").alias("state"), F.lit(False).alias("pending"),
+        F.transform(F.sequence(F.lit(0), F.when(F.col("e") % 5 == 0, F.lit(3)).otherwise(F.lit(2))),
+                    lambda i: F.when(i < 3, F.concat(F.lit("job-"), F.col("e") * 3 + i)).otherwise(F.lit("job-none"))).alias("jobs"))
 
 
 def stream_rollup(spark, sf):
-    """Users as jobs, three to an experiment; the latest event of a user is the job's state."""
+    """Users as jobs; the latest event of a user is the job's state."""
     folder = scratch_path(spark, "stream-rollup")
     events = event_stream(spark, sf).select(
         F.lit("default").alias("namespace"), F.concat(F.lit("job-"), "user_id").alias("name"),
-        F.concat(F.lit("exp-"), F.floor(F.col("user_id") / 3)).alias("owner_experiment"),
         F.when(F.col("event_type").isin("error", "view"), "FAILED").otherwise("SUCCESSFUL").alias("state"), "ts")
-    _drain(streams.stream_rollup(events, folder, f"{folder}/checkpoint"))
-    schema = T.StructType.fromDDL("namespace string, name string, state string")
-    return versions.read_state(spark, f"{folder}/experiments", schema).select("name", "state")
+    experiments = user_experiments(spark, sf)
+    _drain(streams.stream_rollup(experiments, events, folder, f"{folder}/checkpoint"))
+    return streams.read_rollup(spark, folder, experiments).select("name", "state")
 
 
 def windowed_loss(spark, sf):
@@ -625,11 +721,12 @@ def _flat_windows(rows: DataFrame) -> DataFrame:
 
 
 def stream_curve(spark, sf):
-    """Closed two-day windows of the event stream; those the watermark has not passed stay open."""
+    """The same windows from the stream of events."""
     folder = scratch_path(spark, "stream-curve")
     events = event_stream(spark, sf).select(F.col("user_id").cast("string").alias("uid"), "ts", F.col("value").alias("loss"))
+    schema = streams.windowed_loss(events, "2 days", "1 day").schema
     _drain(streams.stream_curve(events, f"{folder}/out", f"{folder}/checkpoint", "2 days", "1 day"))
-    return _flat_windows(spark.read.parquet(f"{folder}/out"))
+    return _flat_windows(streams.read_curve(spark, f"{folder}/out", schema))
 
 
 def in_utc(query: Query) -> Query:
@@ -644,14 +741,15 @@ def in_utc(query: Query) -> Query:
 QUERIES: dict[str, Query] = {
     f"encode_{name}": in_utc(encode_with(name)) for name in TEMPLATES
 } | {q.__name__: in_utc(q) for q in (
-    pair_turns, assemble_conversations, encode_nested, encode_bytes, encode_oneturn, render_chat, decode_labels,
+    pair_turns, assemble_conversations, encode_nested, nested_source, encode_long, encode_long_nested, preview, encode_words, token_quantiles,
+    dataset_plugin, encode_bytes, encode_oneturn, render_chat, decode_labels,
     word_ids, sft_examples, read_splits, sft_rejects, encode_documents, corpus_stats, shard_plan, assign_batches, collate,
     resolve_splits, features, resolve_runs, merge_overrides, run_configs, missing_deps, validate_runs, checkpoints,
-    append_absent, create_if_absent, references, drop_reference, with_owner, first_by, text_functions,
+    append_absent, create_if_absent, references, add_references, drop_reference, with_owner, first_by, text_functions,
     map_functions,
     rollup_runs, rollup_jobs, rollup_experiments, rank_jobs, top_runs, best_version, job_status_list, apply_pause,
     progress, train_logs, eval_logs, log_files, eval_metrics, eval_speed, run_summary, curve, state_changes,
     train_series, eval_series, match_series, select_range, group_series, downsample, run_query, unpivot_metrics,
-    prediction_texts, prediction_files, fit_labels, pad_generated, text_scores, document_scores, document_ngram_scores, score_runs,
-    compare_runs, stream_logs, stream_state_changes, upsert_status, stream_rollup, windowed_loss, stream_curve,
+    prediction_texts, prediction_files, fit_labels, pad_generated, text_scores, document_scores, document_ngram_scores, score_runs, plugin_scores,
+    compare_runs, stream_logs, stream_eval_logs, stream_state_changes, upsert_status, stream_rollup, windowed_loss, stream_curve,
 )}

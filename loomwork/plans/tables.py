@@ -141,7 +141,9 @@ def jobs_in_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").selectExpr(
         "'default' AS namespace", f"concat('run-', {LINE_KEY}) AS name",
-        "CASE WHEN l_returnflag = 'R' THEN 'FAILED' WHEN l_returnflag = 'A' THEN 'SUCCESSFUL' ELSE 'RUNNING' END AS state")
+        "CASE WHEN l_returnflag = 'R' THEN 'FAILED' WHEN l_returnflag = 'A' THEN 'SUCCESSFUL' ELSE 'RUNNING' END AS state",
+        f"""named_struct('ref', CASE WHEN l_linenumber = 5 THEN '' WHEN l_linenumber <> 6 THEN concat('ckpt-', {LINE_KEY}) END,
+                         'path', 'bucket/ckpt') AS checkpoint""")
 
 
 def experiments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,6 +159,29 @@ def listed_experiments(spark: SparkSession, sf_dir: str) -> DataFrame:
         "transform(sequence(0, 9), i -> concat('job-', c_custkey * 10 + 9 - i)) AS jobs")
 
 
+def experiments_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as experiments of none to three orders; some of those do not exist."""
+    return table(spark, sf_dir, "customer").selectExpr(
+        "'default' AS namespace", "concat('exp-', c_custkey) AS name", "c_nationkey = 7 AS pending",
+        "CASE WHEN c_nationkey < 8 THEN '' WHEN c_nationkey < 12 THEN 'PENDING' ELSE 'PROCESSING' END AS state",
+        "transform(slice(array(0, 1, 2), 1, cast(c_custkey % 4 AS int)), i -> concat('job-', c_custkey * 11 + i)) AS jobs")
+
+
+def scored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as jobs with a result."""
+    return table(spark, sf_dir, "orders").selectExpr(
+        "'default' AS namespace", "concat('job-', o_orderkey) AS name", "concat('run-', o_orderkey) AS run",
+        "CASE WHEN o_orderstatus = 'F' THEN 'SUCCESSFUL' WHEN o_orderstatus = 'O' THEN 'FAILED' ELSE 'SERVE' END AS state",
+        "CASE WHEN o_orderkey % 5 = 0 THEN 'n/a' ELSE cast(o_orderkey % 3 AS string) END AS score", "concat('img-', o_orderkey) AS image")
+
+
+def runs_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of those jobs; every ninth is gone."""
+    return table(spark, sf_dir, "orders").filter("o_orderkey % 9 <> 0").selectExpr(
+        "'default' AS namespace", "concat('run-', o_orderkey) AS name", "concat('m-', o_custkey % 27) AS model",
+        "concat('hp-', o_custkey) AS hyperparameter", "concat('ds-', o_orderpriority) AS dataset")
+
+
 def order_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").selectExpr(
         "'default' AS namespace", "concat('job-', o_orderkey) AS name", "o_orderstatus AS state",

@@ -1,18 +1,27 @@
-"""The streaming jobs. Each returns the started query; pass ``available_now`` to drain and stop."""
+"""The streaming jobs. Each returns the started query; pass ``available_now`` to drain and stop.
+
+State lives in Spark's state store: keyed aggregates for statuses and windows, a short buffer per key for state
+changes. Results do not depend on how the input is cut into micro-batches or in which order rows arrive.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import pickle
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from loomwork.operators import rollup, telemetry
 from loomwork.streaming import tables
 
 
-def _start(stream: DataFrame, handle, checkpoint: str, available_now: bool) -> StreamingQuery:
-    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+def _start(stream: DataFrame, handle, checkpoint: str, available_now: bool, mode: str = "append") -> StreamingQuery:
+    writer = stream.writeStream.outputMode(mode).foreachBatch(handle).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
@@ -45,120 +54,165 @@ def stream_logs(lines: DataFrame, out: str, checkpoint: str, available_now: bool
 
 # ---------------------------------------------------------------- state changes
 
-def stream_state_changes(events: DataFrame, key: str, order: str, cols: list[str], out: str, checkpoint: str,
-                         available_now: bool = True, include_first: bool = False,
-                         terminal: list[str] | None = None, keep_for: float | None = None) -> StreamingQuery:
-    """Change rows to ``out/changes``; the last row of each key is kept in ``out/state``.
+# Where an output row belongs: settled changes, changes among rows that later ones may still precede, rows that came too late.
+FINAL, OPEN, LATE = "final", "open", "late"
+
+
+def _change_row(event: tuple, previous: tuple | None, n_cols: int) -> tuple:
+    return (*event, *(previous[1:] if previous else [None] * n_cols))
+
+
+def _changes(events: list[tuple], last: tuple | None, include_first: bool, n_cols: int) -> list[tuple]:
+    """Rows of time-ordered events (time, values) that differ from the one before, ``last`` standing before the first."""
+    out = []
+    for event in events:
+        if include_first if last is None else event[1:] != last[1:]:
+            out.append(_change_row(event, last, n_cols))
+        last = event
+    return out
+
 
-    A batch is read behind the kept rows of its keys and goes through the batch operator, so the
-    stream finds the changes the batch job finds. A key whose state is ``terminal``, or that has
-    been silent for ``keep_for`` seconds of event time, is forgotten, which bounds the state.
+def _rows_schema(events_schema: T.StructType, key: str, cols: list[str]) -> T.StructType:
+    kinds = {c: events_schema[c].dataType for c in [key, *cols]}
+    return T.StructType([
+        T.StructField("kind", T.StringType()), T.StructField(key, kinds[key]), T.StructField("_us", T.LongType()),
+        *(T.StructField(c, kinds[c]) for c in cols), *(T.StructField(f"previous_{c}", kinds[c]) for c in cols)])
+
+
+def stream_state_changes(events: DataFrame, key: str, order: str, cols: list[str], out: str, checkpoint: str, delay: str,
+                         available_now: bool = True, include_first: bool = False) -> StreamingQuery:
+    """Rows whose ``cols`` differ from the row before of the same key, to ``out``; read them with ``read_changes``.
+
+    Rows of a key wait in its state, in time order, until the watermark (newest event less ``delay``) has passed
+    them. Changes among settled rows are written once; those among waiting rows are written anew whenever the key gets
+    rows, the newest version counting. A row older than a settled one of its key cannot be placed any more and goes to ``out/late``.
+    Rows of equal time are ordered by their values. ``order`` is a timestamp.
     """
-    names = [key, order, *cols]
-    schema = T.StructType([events.schema[n] for n in names])
+    output = _rows_schema(events.schema, key, cols)
+    n_cols = len(cols)
+
+    def step(keys: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last, waiting = pickle.loads(state.get[0]) if state.exists else (None, [])
+        settled_to = state.getCurrentWatermarkMs() * 1000
+        # pandas turns missing numbers into NaN, which equals nothing.
+        fresh = [tuple(None if v != v else v for v in row) for frame in frames
+                 for row in frame[["_us", *cols]].itertuples(index=False, name=None)]
+        late = [e for e in fresh if last is not None and e[0] < last[0]]
+        waiting = sorted([*waiting, *(e for e in fresh if last is None or e[0] >= last[0])],
+                         key=lambda e: (e[0], *((v is not None, v) for v in e[1:])))
+        settled = [e for e in waiting if e[0] < settled_to]
+        waiting = waiting[len(settled):]
+        rows = [(FINAL, keys[0], *r) for r in _changes(settled, last, include_first, n_cols)]
+        last = settled[-1] if settled else last
+        # One row without a time marks the version, also when nothing is open.
+        rows += [(OPEN, keys[0], *([None] * (1 + 2 * n_cols)))]
+        rows += [(OPEN, keys[0], *r) for r in _changes(waiting, last, include_first, n_cols)]
+        rows += [(LATE, keys[0], *_change_row(e, None, n_cols)) for e in late]
+        state.update((pickle.dumps((last, waiting)),))
+        yield pd.DataFrame(rows, columns=output.names)
+
+    # Times go through Python as microseconds, so its time zone plays no part.
+    timed = events.select(key, F.col(order).cast("timestamp").alias("_ts"), telemetry.micros(order).alias("_us"), *cols).withWatermark("_ts", delay)
+    stepped = timed.groupBy(key).applyInPandasWithState(step, output, "held binary", "append", GroupStateTimeout.NoTimeout)
+    tables.create(events.sparkSession, f"{out}/rows", output)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        last = tables.read_state(spark, f"{out}/state", schema, before=batch_id)
-        fresh = batch.select(*names).persist()
-        try:
-            both = last.withColumn("_kept", F.lit(True)).unionByName(fresh.withColumn("_kept", F.lit(False)))
-            changes = telemetry.state_changes(both, key, order, cols, include_first)
-            tables.write_version(changes.filter(~F.col("_kept")).drop("_kept"), f"{out}/changes", batch_id)
-            newest = both.groupBy(key).agg(F.max_by(F.struct(order, *cols), order).alias("_last")).select(key, "_last.*")
-            if terminal:
-                newest = newest.filter(~F.col(cols[0]).isin(terminal))
-            if keep_for is not None:
-                now = fresh.agg(F.max(telemetry.seconds(order))).first()[0]
-                if now is not None:
-                    newest = newest.filter(telemetry.seconds(order) >= now - keep_for)
-            tables.write_version(newest, f"{out}/state", batch_id)
-            tables.drop_versions(spark, f"{out}/state", before=batch_id - 1)
-        finally:
-            fresh.unpersist()
-    return _start(events, handle, checkpoint, available_now)
+        tables.write_version(batch, f"{out}/rows", batch_id)
+    return _start(stepped, handle, checkpoint, available_now)
 
 
-def changes_schema(events_schema: T.StructType, key: str, order: str, cols: list[str]) -> T.StructType:
-    picked = [events_schema[n] for n in [key, order, *cols]]
-    return T.StructType([*picked, T.StructField("previous", T.StructType([events_schema[c] for c in cols]))])
+def read_changes(spark: SparkSession, out: str, events_schema: T.StructType, key: str, order: str, cols: list[str]) -> tuple[DataFrame, DataFrame]:
+    """``(changes, late rows)`` of ``stream_state_changes`` as they stand now: key, time, values, ``previous_<name>``."""
+    rows = tables.read_versions(spark, f"{out}/rows", _rows_schema(events_schema, key, cols))
+    newest = rows.filter(F.col("kind") == OPEN).groupBy(key).agg(F.max(tables.BATCH).alias("_newest"))
+    still = rows.filter((F.col("kind") == OPEN) & F.col("_us").isNotNull()).join(newest, key).filter(F.col(tables.BATCH) == F.col("_newest"))
+    time, before = F.timestamp_micros("_us").alias(order), [f"previous_{c}" for c in cols]
+    changes = rows.filter(F.col("kind") == FINAL).drop(tables.BATCH).unionByName(still.drop(tables.BATCH, "_newest"))
+    return changes.select(key, time, *cols, *before), rows.filter(F.col("kind") == LATE).select(key, time, *cols)
 
 
 # ---------------------------------------------------------------- status upsert
 
-def upsert_status(spark: SparkSession, batch: DataFrame, batch_id: int, path: str, schema: T.StructType,
-                  keys: list[str], order: str) -> DataFrame:
-    """Merge the newest row per key into the table at ``path`` and return the rows that changed.
-
-    A row equal to the stored one, or older than it, is not a change.
-    """
-    cols = [f.name for f in schema if f.name not in keys and f.name != order]
-    target = tables.read_state(spark, path, schema, before=batch_id)
-    names = [f.name for f in schema]
-    newest = batch.groupBy(*keys).agg(F.max_by(F.struct(order, *cols), order).alias("_n")).select(*keys, "_n.*")
-    stored = target.select(*keys, F.struct(order, *cols).alias("_old"))
-    same = F.col("_old").isNotNull() & (
-        F.struct(*cols).eqNullSafe(F.struct(*(F.col(f"_old.{c}").alias(c) for c in cols)))
-        | (F.col("_old")[order] >= F.col(order)))
-    changed = newest.join(stored, keys, "left").filter(~same).select(*names)
-    merged = target.join(changed.select(*keys), keys, "left_anti").select(*names).unionByName(changed)
-    tables.write_version(merged, path, batch_id)
-    return changed
+def latest_status(events: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """The newest row per key, of a table or a stream; rows of equal time are decided by their values."""
+    cols = [c for c in events.columns if c not in keys]
+    ranked = F.struct(F.col(order), *(F.col(c) for c in cols if c != order))
+    return events.groupBy(*keys).agg(F.max(ranked).alias("_n")).select(*keys, "_n.*").select(*events.columns)
 
 
 def stream_status(events: DataFrame, path: str, checkpoint: str, keys: list[str], order: str,
                   available_now: bool = True) -> StreamingQuery:
-    """Keep the latest status per key at ``path``."""
-    schema = events.schema
+    """Keep the latest status per key at ``path``; read it with ``read_status``.
+
+    The state store holds one row per key; a micro-batch writes the keys it has changed and nothing else.
+    """
+    tables.create(events.sparkSession, path, events.schema)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        upsert_status(batch.sparkSession, batch, batch_id, path, schema, keys, order)
-        tables.drop_versions(batch.sparkSession, path, before=batch_id - 1)
-    return _start(events, handle, checkpoint, available_now)
+        tables.write_version(batch, path, batch_id)
+    return _start(latest_status(events, keys, order), handle, checkpoint, available_now, "update")
+
+
+def read_status(spark: SparkSession, path: str, schema: T.StructType, keys: list[str]) -> DataFrame:
+    return tables.read_latest(spark, path, schema, keys)
 
 
 # ---------------------------------------------------------------- live roll-up
 
-def stream_rollup(job_events: DataFrame, out: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Job events ``(namespace, name, owner_experiment, state, ts)`` to experiment states.
+STATE = "namespace string, name string, state string"
 
-    ``out/jobs`` holds the latest job rows, ``out/experiments`` the states. Only experiments with a
-    changed job are computed again.
+
+def stream_rollup(experiments: DataFrame, job_events: DataFrame, out: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Job events ``(namespace, name, state, ts)`` to experiment states, for experiments that list their jobs.
+
+    ``out/jobs`` gets the jobs a batch has changed, ``out/experiments`` the states of the experiments that list one
+    of them; read those with ``read_rollup``. A state is computed from the listed jobs as they stand and from
+    the experiment's own row, never from a state computed before, so batches may be cut anywhere.
     """
-    job_schema = job_events.schema
-    state_schema = T.StructType([job_schema["namespace"], T.StructField("name", T.StringType()),
-                                 T.StructField("state", T.StringType())])
-    keys = ["namespace", "owner_experiment", "name"]
+    spark = experiments.sparkSession
+    schema = job_events.schema
+    state_schema = T.StructType.fromDDL(STATE)
+    keys = ["namespace", "name"]
+    tables.create(spark, f"{out}/jobs", schema)
+    tables.create(spark, f"{out}/experiments", state_schema)
+    listing = experiments.select("namespace", F.col("name").alias("experiment"), F.explode("jobs").alias("name"))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        changed = upsert_status(spark, batch, batch_id, f"{out}/jobs", job_schema, keys, "ts")
-        touched = changed.select("namespace", F.col("owner_experiment").alias("name")).distinct()
-        jobs = tables.read_state(spark, f"{out}/jobs", job_schema)
-        before = tables.read_state(spark, f"{out}/experiments", state_schema, before=batch_id)
-        again = touched.join(before, ["namespace", "name"], "left").withColumn("pending", F.lit(False))
-        mine = jobs.join(touched.withColumnRenamed("name", "owner_experiment"),
-                         ["namespace", "owner_experiment"], "left_semi")
-        states = rollup.rollup_experiments(again, mine).select("namespace", "name", "state")
-        rest = before.join(touched, ["namespace", "name"], "left_anti")
-        tables.write_version(rest.unionByName(states), f"{out}/experiments", batch_id)
-        for name in ("jobs", "experiments"):
-            tables.drop_versions(spark, f"{out}/{name}", before=batch_id - 1)
-    return _start(job_events, handle, checkpoint, available_now)
+        session = batch.sparkSession
+        tables.write_version(batch, f"{out}/jobs", batch_id)
+        changed = session.read.schema(schema).parquet(f"{out}/jobs/{tables.BATCH}={batch_id}")
+        touched = listing.join(changed.select(*keys), keys, "left_semi").select("namespace", F.col("experiment").alias("name")).distinct()
+        again = experiments.join(touched, keys, "left_semi")
+        wanted = again.select("namespace", F.explode("jobs").alias("name")).distinct()
+        known = tables.read_latest(session, f"{out}/jobs", schema, keys, before=batch_id + 1).join(wanted, keys, "left_semi")
+        tables.write_version(rollup.rollup_experiments(again, known).select(*state_schema.names), f"{out}/experiments", batch_id)
+    return _start(latest_status(job_events, keys, "ts"), handle, checkpoint, available_now, "update")
+
+
+def read_rollup(spark: SparkSession, out: str, experiments: DataFrame) -> DataFrame:
+    """State of every experiment: the streamed one, or what its own row gives while no event has touched it."""
+    schema = T.StructType.fromDDL(STATE)
+    streamed = tables.read_latest(spark, f"{out}/experiments", schema, ["namespace", "name"]).withColumnRenamed("state", "_streamed")
+    none = spark.createDataFrame([], "namespace string, name string, state string")
+    return rollup.rollup_experiments(experiments, none).join(streamed, ["namespace", "name"], "left").withColumn(
+        "state", F.coalesce("_streamed", "state")).drop("_streamed")
 
 
 # ---------------------------------------------------------------- loss windows
 
-def windowed_loss(events: DataFrame, window: str, slide: str | None = None, delay: str = "1 hour") -> DataFrame:
-    """Rows, mean and extremes of the loss per run and time window.
+WINDOW_KEYS = ["uid", "window_start", "window_end"]
+
 
-    Runs on a stream or a table. The watermark bounds the state of the stream: a window is closed,
-    and emitted in append mode, once the newest event is ``delay`` past its end.
+def windowed_loss(events: DataFrame, window: str, slide: str | None = None, delay: str | None = None) -> DataFrame:
+    """Rows, mean and extremes of the loss per run and time window, of a stream or a table.
+
+    On a stream ``delay`` bounds the state: windows that ended more than ``delay`` before the newest event are
+    forgotten and rows for them are dropped, which the query's progress counts. Without it every window stays open.
     """
     timed = events.withColumn("ts", F.col("ts").cast("timestamp"))
-    if events.isStreaming:
+    if events.isStreaming and delay:
         timed = timed.withWatermark("ts", delay)
-    frame = F.window("ts", window, slide) if slide else F.window("ts", window)
+    frame: Column = F.window("ts", window, slide) if slide else F.window("ts", window)
     return timed.groupBy("uid", frame.alias("w")).agg(
         F.count(F.lit(1)).alias("n"), F.avg("loss").alias("mean_loss"),
         F.min("loss").alias("min_loss"), F.max("loss").alias("max_loss"),
@@ -167,10 +221,15 @@ def windowed_loss(events: DataFrame, window: str, slide: str | None = None, dela
 
 
 def stream_curve(events: DataFrame, out: str, checkpoint: str, window: str, slide: str | None = None,
-                 delay: str = "1 hour", available_now: bool = True) -> StreamingQuery:
-    """Closed windows appended to parquet at ``out``."""
-    writer = (
-        windowed_loss(events, window, slide, delay).writeStream.outputMode("append").format("parquet")
-        .option("path", out).option("checkpointLocation", checkpoint)
-    )
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+                 delay: str | None = None, available_now: bool = True) -> StreamingQuery:
+    """Every window a batch has changed, appended to ``out``; read them with ``read_curve``, also those still open."""
+    windows = windowed_loss(events, window, slide, delay)
+    tables.create(events.sparkSession, out, windows.schema)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        tables.write_version(batch, out, batch_id)
+    return _start(windows, handle, checkpoint, available_now, "update")
+
+
+def read_curve(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
+    return tables.read_latest(spark, out, schema, WINDOW_KEYS)

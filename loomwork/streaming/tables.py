@@ -1,52 +1,43 @@
-"""A small versioned table for ``foreachBatch`` sinks.
+"""Tables that micro-batches append to.
 
-Every micro-batch writes one folder named by its batch id, so replaying a batch after a failure
-overwrites its own output and nothing else. The latest state is the newest complete folder
-older than the batch.
+Every micro-batch writes one folder named by its batch id, so replaying a batch after a failure overwrites
+its own output and nothing else. Rows of a keyed table are never rewritten: the newest batch of a key wins
+when the table is read.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+BATCH = "batch"
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    jvm, hadoop = spark._jvm, spark._jsc.hadoopConfiguration()
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(hadoop)
-    if not fs.exists(folder):
-        return []
-    found = []
-    for status in fs.listStatus(folder):
-        name = status.getPath().getName()
-        done = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if name.startswith("batch=") and fs.exists(done):
-            found.append(int(name.split("=")[1]))
-    return sorted(found)
 
-
-def write_version(df: DataFrame, path: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+def create(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """An empty version behind all others, so that a table no batch has reached can be read."""
+    write_version(spark.createDataFrame([], schema), path, -1)
 
 
-def drop_versions(spark: SparkSession, path: str, before: int) -> None:
-    """Remove state versions no replay can ask for any more."""
-    jvm = spark._jvm
-    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    for v in _versions(spark, path)[:-2]:
-        if v < before:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/batch={v}"), True)
+def write_version(df: DataFrame, path: str, batch_id: int) -> None:
+    df.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
 
-def read_state(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None) -> DataFrame:
-    """The newest version, or the newest one before a batch; empty when there is none."""
-    versions = [v for v in _versions(spark, path) if before is None or v < before]
-    if not versions:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/batch={versions[-1]}")
+def read_versions(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All rows with the number of their batch in ``batch``."""
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])).parquet(path)
 
 
 def read_appended(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """All versions together: the rows appended batch by batch."""
-    return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
+    return read_versions(spark, path, schema).drop(BATCH)
+
+
+def read_latest(spark: SparkSession, path: str, schema: T.StructType, keys: list[str], before: int | None = None) -> DataFrame:
+    """The row each key got last; ``before`` leaves out later batches, for a batch that is run again."""
+    rows = read_versions(spark, path, schema)
+    if before is not None:
+        rows = rows.filter(F.col(BATCH) < before)
+    others = [f.name for f in schema if f.name not in keys]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*others), BATCH).alias("_n"))
+    return newest.select(*keys, "_n.*").select(*schema.names)

@@ -63,14 +63,14 @@ def test_changes_and_curves_do_not_show_the_seams(skewed):
     assert collected(telemetry.curve(logs, "loss", 4, 3, block=5), *cols) == collected(want, *cols)
 
 
-def test_long_series_are_split_into_parts(skewed):
+def test_series_come_in_stretches_of_time(skewed):
     series = skewed.select(
         F.array(F.struct(F.lit("uid").alias("name"), F.col("k").cast("string").alias("value"))).alias("labels"),
         F.array(F.struct(F.col("v").cast("double").alias("value"), F.col("o").alias("timestamp"))).alias("samples"))
-    rows = timeseries.group_series(series, chunk=64, width_ms=100.0, hot_rows=200).collect()
+    rows = timeseries.group_series(series, part_ms=64).collect()
     merged = {}
-    for r in sorted(rows, key=lambda r: r.part):
-        assert 0 < len(r.samples) <= 64
+    for r in sorted(rows, key=lambda r: r.part_start):
+        assert r.part_start % 64 == 0 and all(0 <= s.timestamp - r.part_start < 64 for s in r.samples)
         merged.setdefault(int(r.labels[0].value), []).extend((s.timestamp, s.value) for s in r.samples)
     want = {}
     for r in skewed.collect():

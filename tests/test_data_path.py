@@ -112,5 +112,23 @@ def test_words_tokenizer(spark):
     examples = spark.createDataFrame([("a b", "b z")], "query string, response string")
     row = encode.encode_sft(examples, "vanilla", 16, tok).first()
     assert row.input_ids == [2, 1, 1, 0, 3] and row.labels == [-100, -100, 1, 0, 3]
+    whole = vocabulary.build_vocabulary(df, ["text"])
+    assert sorted(map(tuple, whole.collect())) == [("a", 2, 2), ("b", 1, 3), ("c", 3, 1)]
+    joined = {r.id: r.ids for r in vocabulary.encode_words(df, "id", "text", whole, local_pieces=1).collect()}
+    assert joined == {1: [1, 2, 1], 2: [3, 2, 1], 3: [], 4: []}
     with pytest.raises(ValueError):
-        vocabulary.build_vocabulary(df, ["text"], 10**9)
+        vocabulary.words_tokenizer(spark, whole, max_pieces=2)
+
+
+def test_a_word_is_the_same_everywhere(spark):
+    texts = ["a\u3000b a\u00a0b", "\x0ba\x0cb\x1cc\x85d\re", " é  漢 \n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    words = {i: vocabulary.split_words(t) for i, t in enumerate(texts)}
+    assert {r.id: r.w for r in df.select("id", vocabulary.pieces("text").alias("w")).collect()} == words
+    vocab = vocabulary.build_vocabulary(df, ["text"])
+    ids = {r.piece: r.id for r in vocab.collect()}
+    tok = vocabulary.words_tokenizer(spark, vocab, bos=None)
+    by_tokenizer = {r.id: r.ids for r in df.select("id", tok.encode(F.col("text")).alias("ids")).collect()}
+    for local in (100, 1):
+        by_column = {r.id: r.ids for r in vocabulary.encode_words(df, "id", "text", vocab, local_pieces=local).collect()}
+        assert by_column == by_tokenizer == {i: [ids[w] for w in found] for i, found in words.items()}

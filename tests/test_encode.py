@@ -71,7 +71,6 @@ def test_empty_turns_fall_back_to_the_running_length(spark):
     from loomwork.functions.templates import ChatTemplate
     bare = ChatTemplate("bare", (), ("{{query}}",), (), "", efficient_eos=True)
     tok = get_tokenizer(CodepointTokenizer(bos=None), bare)
-    assert encode.min_turn_ids(bare, tok) == 0
     talk = []
     for i in range(40):
         talk += [("user", "" if i % 3 else "ab"), ("assistant", "" if i % 2 else "c")]
@@ -142,19 +141,37 @@ def test_preview_and_string_history(spark):
         encode.encode_sft(sft(spark).withColumn("history", F.lit("[]")), "llama2")
 
 
-def test_assembled_parts_hold_all_pairs_in_order(spark):
+def test_assembled_conversations_hold_all_pairs_in_order(spark):
     rows, df = messages(spark)
-    parts = conversations.assemble_conversations(df, part_turns=1, width=2, hot_rows=2).orderBy("conv_id", "part").collect()
     by_conv = {}
     for c, turn, role, text in rows:
         by_conv.setdefault(c, []).append((turn, role, text))
-    got = {}
-    for r in parts:
-        got.setdefault(r.conv_id, []).append((r.query, r.response))
-        assert r.history == []
-    assert got == {c: plain.pair_up(t)[1] for c, t in by_conv.items()}
-    nested = conversations.assemble_conversations(df).collect()
-    assert {r.conv_id: [tuple(h) for h in r.history] + [(r.query, r.response)] for r in nested} == got
+    want = {c: plain.pair_up(t)[1] for c, t in by_conv.items()}
+    for nested in (conversations.assemble_conversations(df), conversations.assemble_conversations(df, width=2, hot_rows=2)):
+        assert {r.conv_id: [tuple(h) for h in r.history] + [(r.query, r.response)] for r in nested.collect()} == want
+
+
+def test_a_long_conversation_is_one_example_on_every_path(spark):
+    n = 1100
+    rows = [(7, 0, "system", "sys")] + [(7, i + 1, "assistant" if i % 2 else "user", chr(97 + i % 20)) for i in range(2 * n)]
+    df = spark.createDataFrame(rows, MESSAGES)
+    nested = conversations.assemble_conversations(df)
+    row = nested.first()
+    assert nested.count() == 1 and len(row.history) == n - 1
+    # Turns of four ids: the cutoff lies behind turn 1024.
+    by_rows = encode.encode_conversations(df, "vanilla", 5000).collect()
+    by_nest = encode.encode_sft(nested, "vanilla", 5000, keep=["conv_id"]).collect()
+    assert len(by_rows) == len(by_nest) == 1 and by_rows[0].input_ids == by_nest[0].input_ids and by_rows[0].labels == by_nest[0].labels
+    assert encode.encode_oneturn(nested, "default", keep=["conv_id"]).count() == 1
+
+
+@pytest.mark.parametrize("cutoff", [1, 2])
+@pytest.mark.parametrize("name", ["chatglm3", "llama2", "intern", "vanilla"])
+def test_tiny_cutoffs_give_the_same_on_every_path(spark, name, cutoff):
+    _, df = messages(spark)
+    by_rows = encode.encode_conversations(df, name, cutoff).collect()
+    by_nest = encode.encode_sft(conversations.assemble_conversations(df), name, cutoff, keep=["conv_id"]).collect()
+    assert {r.conv_id: (r.input_ids, r.labels) for r in by_rows} == {r.conv_id: (r.input_ids, r.labels) for r in by_nest}
 
 
 def test_core_plan_has_no_python_and_no_unpartitioned_window(spark):

@@ -2,6 +2,7 @@
 
 import json
 import math
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -84,7 +85,7 @@ def test_series_and_matchers(spark, tmp_path):
     assert inside.count() == 2 and timeseries.select_range(series, 0, 1).count() == 0
     logs.write_timeseries(series, str(tmp_path / "series"))
     assert logs.read_timeseries(spark, str(tmp_path / "series")).count() == 4
-    grouped = timeseries.group_series(series.unionByName(series)).collect()
+    grouped = timeseries.group_series(series.unionByName(series), 10 ** 12).collect()
     assert len(grouped) == 4 and all(len(r.samples) == 2 for r in grouped)
 
 
@@ -101,70 +102,78 @@ def test_downsampling(spark):
 EVENTS = "key string, ts timestamp, state string, value int"
 
 
-def event_files(spark, folder, batches):
-    """One file per micro-batch, in order."""
-    for i, rows in enumerate(batches):
-        df = spark.createDataFrame([(k, T0 + timedelta(minutes=m), s, v) for k, m, s, v in rows], EVENTS)
+def event_files(spark, folder, rows, n_files, seed=0):
+    """The rows dealt to files at random; one file per micro-batch."""
+    order = random.Random(seed).sample(rows, len(rows))
+    for i in range(n_files):
+        df = spark.createDataFrame([(k, T0 + timedelta(minutes=m), s, v) for k, m, s, v in order[i::n_files]], EVENTS)
         df.coalesce(1).write.mode("append").parquet(str(folder))
     return spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(str(folder))
 
 
-BATCHES = [
-    [("a", 1, "x", 1), ("a", 2, "x", 2), ("b", 1, "x", 3)],
-    [("a", 3, "y", 4), ("b", 2, "x", 5), ("c", 2, "z", 6)],
-    [("a", 4, "y", 7), ("b", 3, "z", 8), ("a", 5, "x", 9), ("c", 3, "z", 10)],
-]
+def event_rows(n=60, seed=1):
+    rng = random.Random(seed)
+    return [(rng.choice("abc"), m, rng.choice("xyz"), rng.randrange(100)) for m in range(n)] + [("d", 5, "x", 1)]
+
+
+CUTS = pytest.mark.parametrize("n_files, delay", [(1, "1 second"), (2, "2 hours"), (5, "2 hours")])
 
 
-def test_streamed_changes_equal_batch_changes(spark, tmp_path):
-    stream = event_files(spark, tmp_path / "in", BATCHES)
-    for name, first in (("later", False), ("all", True)):
-        out = str(tmp_path / name)
-        streams.stream_state_changes(stream, "key", "ts", ["state"], out, f"{out}-checkpoint", include_first=first).awaitTermination()
-        schema = streams.changes_schema(stream.schema, "key", "ts", ["state"])
-        got = tables.read_appended(spark, f"{out}/changes", schema)
-        want = telemetry.state_changes(spark.read.parquet(str(tmp_path / "in")), "key", "ts", ["state"], first)
-        assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect()))
-    state = tables.read_state(spark, f"{tmp_path}/later/state", "key string, ts timestamp, state string")
-    assert {r.key: r.state for r in state.collect()} == {"a": "x", "b": "z", "c": "z"}
-    out = str(tmp_path / "forget")
-    streams.stream_state_changes(stream, "key", "ts", ["state"], out, f"{out}-checkpoint", terminal=["z"], keep_for=60.0).awaitTermination()
-    state = tables.read_state(spark, f"{out}/state", "key string, ts timestamp, state string")
-    assert {r.key for r in state.collect()} == {"a"}
-
-
-def test_replaying_a_batch_changes_nothing(spark, tmp_path):
+@CUTS
+@pytest.mark.parametrize("first", [False, True])
+def test_streamed_changes_equal_batch_changes(spark, tmp_path, n_files, delay, first):
+    stream = event_files(spark, tmp_path / "in", event_rows(), n_files)
+    out, what = str(tmp_path / "out"), ("key", "ts", ["state"])
+    streams.stream_state_changes(stream, *what, out, f"{out}-checkpoint", delay, include_first=first).awaitTermination()
+    got, late = streams.read_changes(spark, out, stream.schema, *what)
+    want = telemetry.state_changes(spark.read.parquet(str(tmp_path / "in")), *what, first)
+    want = want.select("key", "ts", "state", F.col("previous.state").alias("previous_state"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and late.count() == 0
+
+
+def test_rows_too_late_to_be_placed_are_kept_apart(spark, tmp_path):
+    batches = [[("a", 300, "x", 1)], [("a", 60, "x", 1)], [("a", 600, "y", 1)], [("a", 620, "y", 1)], [("a", 10, "z", 1)]]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame([(k, T0 + timedelta(minutes=m), s, v) for k, m, s, v in rows], EVENTS).coalesce(1).write.parquet(f"{tmp_path}/in/{i}")
+    stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in/*")
+    out, what = str(tmp_path / "out"), ("key", "ts", ["state"])
+    streams.stream_state_changes(stream, *what, out, f"{out}-checkpoint", "2 hours").awaitTermination()
+    changes, late = streams.read_changes(spark, out, stream.schema, *what)
+    assert [(r.ts, r.state, r.previous_state) for r in changes.collect()] == [(T0 + timedelta(minutes=600), "y", "x")]
+    assert late.count() == 1
+
+
+def test_reading_takes_the_newest_batch_of_a_key(spark, tmp_path):
     path, schema = str(tmp_path / "t"), spark.createDataFrame([], EVENTS).schema
-    def batch(i):
-        return spark.createDataFrame([(k, T0 + timedelta(minutes=m), s, v) for k, m, s, v in BATCHES[i]], EVENTS)
-    for i in (0, 1, 1, 2, 2):
-        changed = streams.upsert_status(spark, batch(i), i, path, schema, ["key"], "ts")
-        n = changed.count()
-    assert n == 3
-    assert {r.key: (r.state, r.value) for r in tables.read_state(spark, path, schema).collect()} == {"a": ("x", 9), "b": ("z", 8), "c": ("z", 10)}
-    same = streams.upsert_status(spark, batch(0), 3, path, schema, ["key"], "ts")
-    assert same.count() == 0 and tables.read_state(spark, path, schema).count() == 3
-    tables.drop_versions(spark, path, before=3)
-    assert tables.read_state(spark, path, schema).count() == 3
-
-
-def test_streamed_status_and_rollup(spark, tmp_path):
-    stream = event_files(spark, tmp_path / "in", BATCHES)
+    tables.create(spark, path, schema)
+    assert tables.read_latest(spark, path, schema, ["key"]).count() == 0
+    for i, state in ((0, "x"), (1, "y"), (1, "y"), (2, "z")):  # batch 1 is run twice
+        keys = "ab" if i == 0 else "a"
+        tables.write_version(spark.createDataFrame([(k, T0, state, i) for k in keys], EVENTS), path, i)
+    read = lambda **k: {r.key: r.state for r in tables.read_latest(spark, path, schema, ["key"], **k).collect()}
+    assert read() == {"a": "z", "b": "x"} and read(before=2) == {"a": "y", "b": "x"}
+    assert tables.read_appended(spark, path, schema).count() == 4
+
+
+@CUTS
+def test_streamed_status_and_rollup_equal_the_batch(spark, tmp_path, n_files, delay):
+    stream = event_files(spark, tmp_path / "in", event_rows(), n_files)
+    table = spark.read.parquet(str(tmp_path / "in"))
     streams.stream_status(stream, str(tmp_path / "s"), str(tmp_path / "s-checkpoint"), ["key"], "ts").awaitTermination()
-    assert tables.read_state(spark, str(tmp_path / "s"), stream.schema).count() == 3
-    events = stream.select(F.lit("ns").alias("namespace"), F.col("key").alias("name"),
-                           F.when(F.col("key") == "c", "e2").otherwise("e1").alias("owner_experiment"),
-                           F.when(F.col("state") == "z", "SUCCESSFUL").otherwise("FAILED").alias("state"), "ts")
+    got = streams.read_status(spark, str(tmp_path / "s"), stream.schema, ["key"])
+    assert sorted(map(str, got.collect())) == sorted(map(str, streams.latest_status(table, ["key"], "ts").collect()))
+
+    def jobs(df):
+        return df.select(F.lit("ns").alias("namespace"), F.col("key").alias("name"),
+                         F.when(F.col("state") == "z", "FAILED").otherwise("SUCCESSFUL").alias("state"), "ts")
+    experiments = spark.createDataFrame(
+        [("ns", f"e{i}", "", False, listed) for i, listed in enumerate([["a"], ["b", "c"], ["c"], ["a", "missing"], ["missing"], [], ["a", "b", "c", "d"]])]
+        + [("ns", "p", "", True, ["a"])], "namespace string, name string, state string, pending boolean, jobs array<string>")
     out = str(tmp_path / "r")
-    streams.stream_rollup(events, out, f"{out}-checkpoint").awaitTermination()
-    got = tables.read_state(spark, f"{out}/experiments", "namespace string, name string, state string").collect()
-    # After the last batch e1 has one good and one failed job, so it keeps the state it had.
-    assert {r.name: r.state for r in got} == {"e1": "FAILED", "e2": "SUCCESS"}
-    jobs = tables.read_state(spark, f"{out}/jobs", events.schema)
-    exps = jobs.select("namespace", F.col("owner_experiment").alias("name")).distinct() \
-        .withColumn("pending", F.lit(False)).withColumn("state", F.lit(""))
-    votes = {r.name: r.state for r in rollup.rollup_experiments(exps, jobs).collect()}
-    assert votes["e2"] == "SUCCESS"
+    streams.stream_rollup(experiments, jobs(stream), out, f"{out}-checkpoint").awaitTermination()
+    got = streams.read_rollup(spark, out, experiments).select("name", "state")
+    want = rollup.rollup_experiments(experiments, streams.latest_status(jobs(table), ["namespace", "name"], "ts")).select("name", "state")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == 8
 
 
 def test_streamed_logs_equal_batch_logs(spark, tmp_path):
@@ -179,15 +188,25 @@ def test_streamed_logs_equal_batch_logs(spark, tmp_path):
         assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
-def test_closed_windows_equal_batch_windows(spark, tmp_path):
+def test_streamed_windows_equal_batch_windows(spark, tmp_path):
     rows = [("u", T0 + timedelta(minutes=10 * i), float(i)) for i in range(60)]
+    shuffled = random.Random(3).sample(rows, len(rows))
     df = spark.createDataFrame(rows, "uid string, ts timestamp, loss double")
     for i in range(4):
-        spark.createDataFrame(rows[15 * i:15 * i + 15], df.schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        spark.createDataFrame(shuffled[i::4], df.schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    out = str(tmp_path / "out")
-    streams.stream_curve(stream, out, f"{out}-checkpoint", "1 hour", "30 minutes", "30 minutes").awaitTermination()
-    limit = rows[-1][1] - timedelta(minutes=30)
-    want = [r for r in streams.windowed_loss(df, "1 hour", "30 minutes").collect() if r.window_end <= limit]
-    got = spark.read.parquet(out).collect()
-    assert len(want) == 18 and sorted(map(str, got)) == sorted(map(str, want))
+    want = streams.windowed_loss(df, "1 hour", "30 minutes")
+    for delay in (None, "1 day"):
+        out = str(tmp_path / f"out-{delay}")
+        streams.stream_curve(stream, out, f"{out}-checkpoint", "1 hour", "30 minutes", delay).awaitTermination()
+        got = streams.read_curve(spark, out, want.schema)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_last_values_are_those_of_the_last_row_that_has_one(spark):
+    rows = [("1", i, loss, lr, i / 10) for i, loss, lr in [(1, 3.0, 0.1), (2, 2.0, 0.2), (3, None, None)]] + [("2", 1, None, None, 0.1)]
+    df = spark.createDataFrame(rows, "uid string, current_steps int, loss double, learning_rate double, epoch double")
+    got = {r.uid: r for r in telemetry.run_summary(df).collect()}
+    assert (got["1"].last_loss, got["1"].min_loss, got["1"].mean_loss, got["1"].last_learning_rate, got["1"].last_epoch) == (2.0, 2.0, 2.5, 0.2, 0.3)
+    assert got["2"].last_loss is None and got["2"].last_step == 1
+    assert telemetry.curve(df.fillna(0.0), "loss", 1, smooth=70_000).count() == 4
