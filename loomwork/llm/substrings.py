@@ -202,7 +202,8 @@ def repeated_intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     source = docs.select(F.coalesce(docs[id_col].cast("bigint"), F.lit(_LEAST)).alias("id"), docs[text_col].alias("text"))
     # Segments are cut twice rather than stored: they are as large as the corpus, and cutting them is cheap.
     found = segments(source, window, anchor)
-    shared = found.groupBy("anchor").agg(F.count("*").alias("times")).filter("times > 1").select("anchor")
+    # Written, so that both sides of the join come from a shuffle and Spark can split an anchor that very many segments share.
+    shared = stored(found.groupBy("anchor").agg(F.count("*").alias("times")).filter("times > 1").select("anchor"), "shared")
     candidates = stored(found.join(shared, "anchor"), "candidates")
     firsts = candidates.groupBy("anchor", "content").agg(F.min(F.struct("id", "start")).alias("first"), F.first("n").alias("n"))
     firsts = stored(firsts, "firsts")
