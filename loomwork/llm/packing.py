@@ -94,11 +94,11 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
 
 
 def _pack_partitions(items: DataFrame, length_col: str, level: int, capacity: int, slack: int) -> DataFrame:
-    """Add ``bin``, ``at``, ``fill`` and ``done`` to each item, packing every partition by itself."""
+    """Add ``_bin``, ``_at``, ``_fill`` and ``_done`` to each item, packing every partition by itself."""
     columns = items.columns
     place = columns.index(length_col)
     tagged = items.withColumn("_part", F.spark_partition_id().cast("bigint"))
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in items.schema.fields)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]  # lengths and keys of one partition only
@@ -109,11 +109,11 @@ def _pack_partitions(items: DataFrame, length_col: str, level: int, capacity: in
         bins, offsets, fills = best_fit(table.column(place).to_numpy(), capacity)
         fill = fills[bins]
         table = table.select(columns)
-        for name, values in (("bin", (level << 58) + (part << 34) + bins), ("at", offsets), ("fill", fill), ("done", fill >= capacity - slack)):
+        for name, values in (("_bin", (level << 58) + (part << 34) + bins), ("_at", offsets), ("_fill", fill), ("_done", fill >= capacity - slack)):
             table = table.append_column(name, pa.array(values))
         yield from table.to_batches(max_chunksize=50_000)
 
-    return tagged.mapInArrow(run, f"{kinds}, bin bigint, at bigint, fill bigint, done boolean")
+    return tagged.mapInArrow(run, f"{kinds}, _bin bigint, _at bigint, _fill bigint, _done boolean")
 
 
 def _written(df: DataFrame, path: str) -> DataFrame:
@@ -132,24 +132,23 @@ def pack(pieces: DataFrame, length_col: str = "length", capacity: int = CAPACITY
     n_tasks = None
     while True:
         level += 1
-        open_bins = current.filter(~F.col("done")).select("bin", "fill").distinct()
+        open_bins = current.filter(~F.col("_done")).select("_bin", "_fill").distinct()
         n = open_bins.count()
         if n == 0 or level > 15:
             break
         least = max(1, -(-n // task_items))
         n_tasks = max(least, -(-(n_tasks or max(1, pieces.rdd.getNumPartitions())) // merge))
-        items = open_bins.withColumnsRenamed({"bin": "item", "fill": "size"}).repartition(n_tasks, F.xxhash64("item", F.lit(level)))
+        items = open_bins.withColumnsRenamed({"_bin": "_item", "_fill": "_size"}).repartition(n_tasks, F.xxhash64("_item", F.lit(level)))
         last = n_tasks == 1
-        current = _written(_pack_partitions(items, "size", level, capacity, slack), f"{folder}/level-{level}")
+        current = _written(_pack_partitions(items, "_size", level, capacity, slack), f"{folder}/level-{level}")
         levels.append(current)
         if last:
             break
-        if n_tasks == least and current.select("bin").distinct().count() > 0.99 * n:
+        if n_tasks == least and current.select("_bin").distinct().count() > 0.99 * n:
             break
-    out = placed.withColumnsRenamed({"bin": "sequence_id", "at": "offset"}).drop("fill", "done")
+    out = placed.select(*pieces.columns, F.col("_bin").alias("_sequence"), F.col("_at").alias("_offset"))
     for step in levels:
-        moved = step.select("item", "bin", "at")
-        out = out.join(moved, out["sequence_id"] == moved["item"], "left").select(
-            *pieces.columns, F.coalesce("bin", "sequence_id").alias("sequence_id"),
-            (F.col("offset") + F.coalesce("at", F.lit(0))).alias("offset"))
-    return out
+        out = out.join(step.select("_item", "_bin", "_at"), F.col("_sequence") == F.col("_item"), "left").select(
+            *pieces.columns, F.coalesce("_bin", "_sequence").alias("_sequence"),
+            (F.col("_offset") + F.coalesce("_at", F.lit(0))).alias("_offset"))
+    return out.withColumnsRenamed({"_sequence": "sequence_id", "_offset": "offset"})
