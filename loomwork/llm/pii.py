@@ -2,9 +2,9 @@
 
 1. ``base_spans`` finds e-mail addresses, IPv4 addresses, card and telephone numbers with their places. Spark gives the matches of
    an expression and the pieces between them; summed lengths of both are the places.
-2. The words before these seeds induce lexical patterns: (kind, previous word, shape). An instance is a token that has a digit or an at sign;
-   its shape maps letters, digits and marks to classes and squeezes runs. Every instance outside the base spans stands in the same
-   graph as a candidate, joined to the patterns by the word before it.
+2. The words before these seeds induce lexical patterns of two sorts: the two words before, whatever follows; and the word before together
+   with the shape of what follows, letters and digits squeezed to one sign per run. An instance is a token that has a digit or
+   an at sign. Every instance outside the base spans stands in the same graph as a candidate, under the patterns of its place.
 3. Patterns and instances score each other for some rounds: a pattern is as good as the mean score of its instances (seeds are 1) with
    ``prior`` empty instances against it; an instance as good as its best pattern. Patterns with at least ``min_seeds`` different
    seeds and a score of ``min_score`` are applied, and their candidates become spans of kind ``ctx``.
@@ -40,6 +40,7 @@ NEEDS = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "p
 SPAN = "array<struct<kind:string,start:bigint,end:bigint,value:string>>"
 TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 LAST_WORD = r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]++)[\x20\x09-\x0D]++$"
+LAST_TWO = r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]++[\x20\x09-\x0D]++[^\x20\x09-\x0D]++)[\x20\x09-\x0D]++$"
 
 
 def _digits(value: Column) -> Column:
@@ -57,17 +58,19 @@ def _valid(kind: str, value: Column) -> Column:
 
 
 def located(text: Column, pattern: str) -> Column:
-    """All matches, leftmost and non-overlapping, as array of (start, end, value, gap), in code points; gap is the text since the last one."""
+    """All matches, leftmost and non-overlapping, as array of (start, end, value, gap), in code points; gap is the match before and the
+    text since it."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pieces = F.split(text, pattern, -1)
-    zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(
+    zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("last"), F.array().cast(
         "array<struct<start:bigint,end:bigint,value:string,gap:string>>").alias("spans"))
 
     def step(state, x):
         begin = state["at"] + F.length(x["gap"])
         end = begin + F.length(x["value"])
-        return F.struct(end.cast("bigint").alias("at"), F.concat(state["spans"], F.array(F.struct(
-            begin.cast("bigint").alias("start"), end.cast("bigint").alias("end"), x["value"].alias("value"), x["gap"].alias("gap")))).alias("spans"))
+        return F.struct(end.cast("bigint").alias("at"), x["value"].alias("last"), F.concat(state["spans"], F.array(F.struct(
+            begin.cast("bigint").alias("start"), end.cast("bigint").alias("end"), x["value"].alias("value"),
+            F.concat(state["last"], x["gap"]).alias("gap")))).alias("spans"))
 
     pairs = F.zip_with(found, F.slice(pieces, 1, F.size(found)), lambda v, p: F.struct(v.alias("value"), p.alias("gap")))
     return F.aggregate(pairs, zero, step, lambda s: s["spans"])
@@ -89,12 +92,17 @@ def shape(token: Column) -> Column:
 
 
 def contexts(text: Column) -> Column:
-    """Array of (before, token, start, end) of all words with a digit or at sign; ``before`` is the word before it or ''."""
-    found = located(text, TOKEN)
-    last = F.concat(F.array(F.lit("")), F.transform(found, lambda s: s["value"]))
-    return F.transform(found, lambda s, i: F.struct(
-        F.lower(F.regexp_extract(F.concat(F.get(last, i), s["gap"]), LAST_WORD, 1)).alias("before"), s["value"].alias("token"),
-        s["start"].alias("start"), s["end"].alias("end")))
+    """Array of (patterns, token, start, end) of all words with a digit or at sign; no pattern where there are no words before."""
+    words = F.transform(located(text, TOKEN), lambda s: F.struct(
+        F.regexp_extract(F.lower(s["gap"]), LAST_WORD, 1).alias("one"),
+        F.regexp_replace(F.regexp_extract(F.lower(s["gap"]), LAST_TWO, 1), r"[\x20\x09-\x0D]+", " ").alias("two"),
+        s["value"].alias("token"), s["start"].alias("start"), s["end"].alias("end")))
+
+    def described(s: Column) -> Column:
+        patterns = F.array(F.when(s["one"] != "", F.concat(s["one"], F.lit("  "), shape(s["token"]))), F.when(s["two"] != "", s["two"]))
+        return F.struct(F.array_compact(patterns).alias("patterns"), s["token"].alias("token"), s["start"].alias("start"), s["end"].alias("end"))
+
+    return F.transform(words, described)
 
 
 def score_patterns(edges: DataFrame, rounds: int, prior: float) -> DataFrame:
@@ -109,8 +117,8 @@ def score_patterns(edges: DataFrame, rounds: int, prior: float) -> DataFrame:
     return current.groupBy("pattern").agg((F.sum("instance_score") / (F.count("*") + F.lit(prior))).alias("score")).join(seeds, "pattern")
 
 
-def extract(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 2, prior: float = 1.0, min_seeds: int = 3,
-            min_score: float = 0.5) -> DataFrame:
+def extract(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 2, prior: float = 1.0, min_seeds: int = 4,
+            min_score: float = 0.6) -> DataFrame:
     """``id_col`` and ``spans``: array of (kind, start, end, value), base kinds as listed, then ``ctx``, each by start."""
     spark = docs.sparkSession
     folder = scratch_path(spark, "pii")
@@ -121,11 +129,12 @@ def extract(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rou
         F.when(F.col("text").isNotNull(), contexts(F.col("text"))).alias("tokens"))
     inside = lambda t, s: (s["start"] < t["end"]) & (t["start"] < s["end"])
     tagged = found.select("id", "spans", F.transform("tokens", lambda t: F.struct(
-        F.concat_ws(" ", t["before"], shape(t["token"])).alias("pattern"), t["token"].alias("token"), t["start"].alias("start"), t["end"].alias("end"),
+        t["patterns"].alias("patterns"), t["token"].alias("token"), t["start"].alias("start"), t["end"].alias("end"),
         F.exists("spans", lambda s: inside(t, s)).alias("seed"))).alias("tokens"))
     tagged.write.mode("overwrite").parquet(folder)
     tagged = spark.read.schema(tagged.schema).parquet(folder)
-    edges = tagged.select(F.explode("tokens").alias("t")).select("t.pattern", F.xxhash64("t.token").alias("instance"), "t.seed").groupBy(
+    edges = tagged.select(F.explode("tokens").alias("t")).select(
+        F.explode("t.patterns").alias("pattern"), F.xxhash64("t.token").alias("instance"), "t.seed").groupBy(
         "pattern", "instance").agg(F.max("seed").alias("seed"))
     # Only patterns with seeds enough can be applied; the others never enter the rounds.
     known = edges.groupBy("pattern").agg(F.sum(F.col("seed").cast("bigint")).alias("n")).filter(F.col("n") >= min_seeds).select("pattern")
@@ -140,8 +149,8 @@ def _apply(tagged: DataFrame, good: DataFrame, id_col: str) -> DataFrame:
     """Turn the candidates of good patterns into spans. Rows are told apart by place, so equal ids stay apart."""
     keyed = tagged.withColumn("row", F.monotonically_increasing_id())
     hits = keyed.select("row", F.explode("tokens").alias("t")).filter(~F.col("t.seed")).select(
-        "row", F.col("t.pattern").alias("pattern"), "t.start", "t.end", F.col("t.token").alias("value")).join(good, "pattern")
-    per_row = hits.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "value"))).alias("more"))
+        "row", F.explode("t.patterns").alias("pattern"), "t.start", "t.end", F.col("t.token").alias("value")).join(good, "pattern")
+    per_row = hits.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", "end", "value"))).alias("more"))
     more = F.transform("more", lambda s: F.struct(F.lit(DISCOVERED).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")))
     return keyed.join(per_row, "row", "left").select(
         F.col("id").alias(id_col), F.concat("spans", F.coalesce(more, F.array().cast(SPAN))).alias("spans"))
