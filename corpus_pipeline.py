@@ -28,10 +28,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of every class of near copies; of repeated rows one. All rows without an id stay if their class has one."""
-    first = jaccard.join(docs).filter(F.col("class_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("_first")).distinct()
-    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi")
-    return kept.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).select(*docs.columns)
+    """The first document of every class of near copies; of repeated rows one. Texts without an id cannot be named and stay, once each."""
+    first = jaccard.join(docs).filter("class_id = doc_id").select("doc_id").distinct()
+    marked = docs.withColumn("_text", F.xxhash64("text"))
+    # One shuffle by doc_id serves the join and the search for repeated rows.
+    kept = marked.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "_text"])
+    nameless = marked.filter(F.col("doc_id").isNull()).dropDuplicates(["_text"])
+    return kept.unionByName(nameless).select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
