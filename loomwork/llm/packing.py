@@ -32,7 +32,7 @@ CAPACITY = 2048
 SLACK = 8
 MERGE = 8
 TASK_ITEMS = 100_000
-_TEXT_PART = 4 << 20
+_TEXT_PART = 1 << 20
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 

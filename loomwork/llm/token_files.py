@@ -36,7 +36,7 @@ FRAME_BYTES = 1 << 20
 _SKIPPABLE, _SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 _ENTRY = struct.Struct("<QIIIQqq")
 _NO_ID = -(1 << 63)
-_TEXT_PART = 4 << 20
+_TEXT_PART = 1 << 20
 
 FILES = "path string, part int, n_docs bigint, n_ids bigint, n_frames int, n_bytes bigint"
 DOCS = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
