@@ -60,21 +60,26 @@ def target_shares(cells: DataFrame, dimensions: list[str], temper: float = TEMPE
 
 
 def rake(cells: DataFrame, targets: DataFrame, dimensions: list[str], iterations: int = ITERATIONS) -> DataFrame:
-    """``cells`` with ``weight``; the weighted tokens of all cells sum to 1. Each iteration is written, which cuts its lineage."""
+    """``cells`` with ``weight``; the weighted tokens of all cells sum to 1.
+
+    Targets are written once and weights after each dimension, so every step is one small plan over two small tables.
+    """
     spark = cells.sparkSession
     folder = scratch_path(spark, "raking")
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    targets = stored(targets.select("dimension", F.col("value").alias("_value"), "share"), "targets")
     current = cells.withColumn("weight", F.lit(1.0))
     for i in range(iterations):
         for d in dimensions:
-            want = targets.filter(F.col("dimension") == d).select(F.col("value").alias("_value"), "share")
-            have = current.groupBy(F.col(d).alias("_have")).agg(F.sum(F.col("weight") * F.col("tokens")).alias("mass"))
-            factor = have.join(want, F.col("_have").eqNullSafe(F.col("_value"))).select(
-                "_have", F.when(F.col("mass") > 0, F.col("share") / F.col("mass")).otherwise(F.lit(0.0)).alias("_factor"))
-            current = current.join(factor, F.col(d).eqNullSafe(F.col("_have"))).withColumn(
-                "weight", F.col("weight") * F.col("_factor")).drop("_have", "_factor")
-        path = f"{folder}/iteration-{i}"
-        current.write.mode("overwrite").parquet(path)
-        current = spark.read.schema(current.schema).parquet(path)
+            mass = current.groupBy(F.col(d).alias("_have")).agg(F.sum(F.col("weight") * F.col("tokens")).alias("_mass"))
+            factor = mass.join(targets.filter(F.col("dimension") == d), F.col("_have").eqNullSafe(F.col("_value"))).select(
+                "_have", F.when(F.col("_mass") > 0, F.col("share") / F.col("_mass")).otherwise(F.lit(0.0)).alias("_factor"))
+            current = stored(current.join(factor, F.col(d).eqNullSafe(F.col("_have"))).select(
+                *cells.columns, (F.col("weight") * F.col("_factor")).alias("weight")), f"{i}-{d}")
     return current
 
 
