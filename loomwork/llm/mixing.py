@@ -23,20 +23,29 @@ DIMENSIONS = ["source", "lang", "topic"]
 TEMPER = 0.7
 ITERATIONS = 8
 
-# Fixed topic rules, first match wins; the last is for everything else.
+# Fixed topic rules, first match wins: what the lower-case text contains, and then an expression that it is searched for if it
+# contains one of the signs before it (always, if there are none). The last topic is for everything else.
 TOPICS = [
-    ("legal", r"(?i)licen[sc]e|copyright|rights reserved"),
-    ("contact", r"@[A-Za-z0-9-]+\.|\+[0-9]"),
-    ("technical", r"(?i)password|token|AKIA|https?://|[0-9a-f]{24}"),
+    ("legal", ["license", "licence", "copyright", "rights reserved"], [], None),
+    ("contact", [], ["@", "+"], r"@[a-z0-9-]+\.|\+[0-9]"),
+    ("technical", ["password", "token", "akia", "http://", "https://"], [], r"[0-9a-f]{24}"),
 ]
 OTHER_TOPIC = "prose"
 
 
-def topic(text: Column) -> Column:
-    """Topic by the rules of ``TOPICS``."""
-    out = None
-    for name, pattern in TOPICS:
-        out = F.when(text.rlike(pattern), name) if out is None else out.when(text.rlike(pattern), name)
+def topic(lowered: Column) -> Column:
+    """Topic of a text in lower case by the rules of ``TOPICS``."""
+    out = F.when(lowered.isNull(), OTHER_TOPIC)
+    for name, words, signs, pattern in TOPICS:
+        hit = F.lit(False)
+        for word in words:
+            hit = hit | lowered.contains(word)
+        if pattern:
+            near = F.lit(not signs)
+            for sign in signs:
+                near = near | lowered.contains(sign)
+            hit = hit | (near & lowered.rlike(pattern))
+        out = out.when(hit, name)
     return out.otherwise(OTHER_TOPIC)
 
 
@@ -92,18 +101,22 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         targets: DataFrame | None = None, temper: float = TEMPER, iterations: int = ITERATIONS, keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (default: all) and ``_tokens, _topic, _weight, _probability, _drawn`` for every row."""
     keep = docs.columns if keep is None else keep
-    text = docs[text_col]
-    facts = [docs[source_col].alias("_source"), docs[lang_col].alias("_lang"), F.coalesce(topic(text), F.lit(OTHER_TOPIC)).alias("_topic"),
-             n_tokens(text).alias("_tokens")]
-    cells = docs.select(*facts).groupBy(F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic")).agg(
-        F.sum("_tokens").alias("tokens"), F.count("*").alias("n_docs"))
-    folder = scratch_path(docs.sparkSession, "cells")
-    cells.write.mode("overwrite").parquet(folder)
-    cells = docs.sparkSession.read.schema(cells.schema).parquet(folder)
+    named = [f"_k{i}" for i in range(len(keep))]
+    read = docs.select(*[docs[c].alias(n) for c, n in zip(keep, named)], docs[source_col].alias("_source"), docs[lang_col].alias("_lang"),
+                       draw(docs[id_col]).alias("_draw"), docs[text_col].alias("_text"), F.lower(docs[text_col]).alias("_lowered"))
+    folder = scratch_path(docs.sparkSession, "mixing")
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        return docs.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    # Texts are read for topics and tokens once.
+    rows = stored(read.select(*named, "_source", "_lang", "_draw", topic(F.col("_lowered")).alias("_topic"), n_tokens(F.col("_text")).alias("_tokens")), "rows")
+    cells = stored(rows.groupBy(F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic")).agg(
+        F.sum("_tokens").alias("tokens"), F.count("*").alias("n_docs")), "cells")
     fitted = rake(cells, target_shares(cells, DIMENSIONS, temper) if targets is None else targets, DIMENSIONS, iterations)
     top = fitted.agg(F.max("weight")).first()[0] or 1.0
     weights = fitted.select(F.col("source").alias("_s"), F.col("lang").alias("_l"), F.col("topic").alias("_t"), F.col("weight").alias("_weight"))
-    rows = docs.select(*[docs[c] for c in keep], draw(docs[id_col]).alias("_draw"), *facts)
     joined = rows.join(weights, F.col("_source").eqNullSafe(F.col("_s")) & F.col("_lang").eqNullSafe(F.col("_l")) & (F.col("_topic") == F.col("_t")), "left")
     probability = F.col("_weight") / F.lit(float(top))
-    return joined.select(*keep, "_tokens", "_topic", "_weight", probability.alias("_probability"), (F.col("_draw") < probability).alias("_drawn"))
+    return joined.select(*[F.col(n).alias(c) for n, c in zip(named, keep)], "_tokens", "_topic", "_weight", probability.alias("_probability"), (F.col("_draw") < probability).alias("_drawn"))

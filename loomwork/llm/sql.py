@@ -63,7 +63,11 @@ SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 10
 
 
 def _mixing() -> str:
-    topic = " ".join(f"WHEN regexp_matches(text, {_quoted(p)}) THEN '{name}'" for name, p in mixing.TOPICS)
+    def rule(words, signs, pattern):
+        hits = [f"contains(lower(text), {_quoted(w)})" for w in words]
+        return " OR ".join(hits + ([f"regexp_matches(lower(text), {_quoted(pattern)})"] if pattern else []))
+
+    topic = " ".join(f"WHEN {rule(*rest)} THEN '{name}'" for name, *rest in mixing.TOPICS)
     steps = [f"""
  facts AS (SELECT doc_id, source, lang, CASE {topic} ELSE '{mixing.OTHER_TOPIC}' END AS topic,
                   CAST(coalesce(len(regexp_extract_all(text, '{WORD}')), 0) AS BIGINT) AS n_tokens FROM documents),
