@@ -14,7 +14,8 @@ document and earlier start). Every word under a repeated window is removed.
 4. Intervals meet their documents, words under them go.
 
 An anchor with more than ``hot`` different segments (a phrase used everywhere) would make one large shard: its segments are cut into single
-windows, routed by the hash of the window itself, so equal windows still meet. Shards are numbered by the volume of words.
+windows, routed by the hash of the window itself, so equal windows still meet; a task sends on one of equal ones. Shards are
+numbered by the volume of words.
 
 Words are compared by 64-bit hashes; a wrong match would need two different windows whose words collide one by one.
 
@@ -125,28 +126,46 @@ def _segment_batch(held: list) -> pa.RecordBatch:
 
 
 def _routed(firsts: DataFrame, docs: DataFrame, window: int) -> DataFrame:
-    """The words of first segments: route, id, start, n, words. Hot segments as single windows, routed by their own hash."""
+    """The words of first segments: route, id, start, n, words. Hot segments as single windows, routed by their own hash.
+
+    Equal hot windows are combined before the shuffle: a task sends on the first of each, the others as rows without words,
+    routed by place, which are repeated for certain.
+    """
     per_doc = firsts.groupBy("id").agg(F.collect_list(F.struct("start", "n", "anchor", "is_hot")).alias("parts"))
 
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["route", "id", "start", "n", "words"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot: dict[int, tuple] = {}
         for batch in batches:
+            rows = []
             for doc_id, parts, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary())):
                 words = hash_words(text.as_py() or b"")
-                routes, starts, counts, runs = [], [], [], []
                 whole = run_hashes(words, window).view(np.int64) if any(p["is_hot"] for p in parts) else None
                 for p in parts:
-                    if p["start"] + p["n"] + window - 1 > len(words):
+                    begin, end = p["start"], p["start"] + p["n"]
+                    if end + window - 1 > len(words):
                         continue  # of another text under the same id
-                    pieces = [(s, 1, int(whole[s])) for s in range(p["start"], p["start"] + p["n"])] if p["is_hot"] else [(p["start"], p["n"], p["anchor"])]
-                    for start, n, route in pieces:
-                        routes.append(route)
-                        starts.append(start)
-                        counts.append(n)
-                        runs.append(words[start:start + n + window - 1].tobytes())
-                if routes:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(routes, pa.int64()), pa.array([doc_id] * len(routes), pa.int64()), pa.array(starts, pa.int32()),
-                         pa.array(counts, pa.int32()), pa.array(runs, pa.binary())], ["route", "id", "start", "n", "words"])
+                    if not p["is_hot"]:
+                        rows.append((p["anchor"], doc_id, begin, p["n"], words[begin:end + window - 1].tobytes()))
+                        continue
+                    for at in range(begin, end):
+                        found = (int(whole[at]), doc_id, at, 1, words[at:at + window].tobytes())
+                        first = hot.get(found[0], found)
+                        late = max(first, found, key=lambda r: r[1:3])
+                        hot[found[0]] = min(first, found, key=lambda r: r[1:3])
+                        if first[1:3] != found[1:3]:
+                            rows.append((late[1] ^ late[2], late[1], late[2], 1, None))
+                if len(rows) > 50_000:
+                    yield batch_of(rows)
+                    rows = []
+            if rows:
+                yield batch_of(rows)
+        left = list(hot.values())
+        for begin in range(0, len(left), 50_000):
+            yield batch_of(left[begin:begin + 50_000])
 
     return per_doc.join(docs, "id").select("id", "parts", "text").mapInArrow(run, "route bigint, id bigint, start int, n int, words binary")
 
@@ -218,8 +237,11 @@ def repeated_intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     def search(table: pa.Table) -> pa.Table:
         ids, starts = table.column("id").to_numpy(), table.column("start").to_numpy().astype(np.int64)
-        texts = [np.frombuffer(w, np.uint64) for w in table.column("words").to_pylist()]
-        rows = repeated_in_shard(ids, starts, texts, window)
+        words = table.column("words").to_pylist()
+        rows = [(i, s, s + window) for i, s, w in zip(ids.tolist(), starts.tolist(), words) if w is None]
+        kept = np.array([w is not None for w in words], bool)
+        if kept.any():
+            rows += repeated_in_shard(ids[kept], starts[kept], [np.frombuffer(w, np.uint64) for w in words if w is not None], window)
         columns = list(zip(*rows)) if rows else [[], [], []]
         return pa.table({"id": pa.array(columns[0], pa.int64()), "start": pa.array(columns[1], pa.int32()), "end": pa.array(columns[2], pa.int32())})
 

@@ -191,6 +191,9 @@ def test_substring_rows_without_a_defined_id(spark):
     assert rows == [(False, 0, 0), (True, 0, 40), (True, 2, 0)]
     twice = documents(spark, [text]).union(documents(spark, [text]))
     assert [r["n_removed"] for r in substrings.remove_repeats(twice).collect()] == [0, 0]
+    other = documents(spark, [f"x {text} y", f"z {text} u"])
+    removed = [(r["doc_id"], r["n_removed"]) for r in substrings.remove_repeats(other.union(other), hot=1).collect()]
+    assert sorted(removed) == [(0, 0), (0, 0), (1, 40), (1, 40)]
     assert substrings.remove_repeats(docs.filter("false")).count() == 0
 
 
