@@ -30,7 +30,7 @@ ORDER = 4
 UNDETERMINED = "und"
 _EVIDENCE = 16  # bytes whose code length counts in the score
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_PART = 1 << 20
+_PART = 1 << 18
 
 
 @dataclass

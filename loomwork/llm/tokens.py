@@ -10,7 +10,7 @@ import struct
 import numpy as np
 
 END_ID = 0
-_CACHE_WORDS = 700_000
+_CACHE_WORDS = 300_000
 _LETTERS = "".join(c for c in map(chr, range(65, 256)) if c.isalpha() and c not in "ªº")
 _MARKS = ".,;:!?"
 _PLAIN = re.compile(f" ([{_LETTERS}]+)([{_MARKS}]?)")
