@@ -334,3 +334,21 @@ def test_mixing_awkward_rows(spark):
     assert len(rows) == len(AWKWARD) and all(0 <= r["_probability"] <= 1 for r in rows)
     assert mixing.mix(docs.filter("false")).count() == 0
     assert len(mixing.mix(documents(spark, [None, ""])).collect()) == 2
+
+
+def test_a_rare_cell_does_not_decide_what_is_kept(spark):
+    rng = random.Random(6)
+    rows = [(i, " ".join(["w"] * rng.randint(5, 60)), rng.choice(["en", "en", "de"]), rng.choice("abbb")) for i in range(2000)]
+    docs = spark.createDataFrame([*rows, (-1, "two words", "zz", "rare")], "doc_id bigint, text string, lang string, source string")
+    mixed = mixing.mix(docs, kept=0.9, temper=0.5, iterations=4).toPandas()
+    expected = mixed["_probability"] * mixed["_tokens"]
+    assert expected.sum() == pytest.approx(0.9 * mixed["_tokens"].sum()) and mixed["_drawn"].mean() > 0.85
+    assert mixed["_probability"].between(0, 1).all() and mixed.loc[mixed["source"] == "rare", "_drawn"].all()
+    # Targets in reach of the kept share are met, although cells that are taken whole stand in their way.
+    reach = spark.createDataFrame([("source", "a", 0.3), ("source", "b", 0.7), ("lang", "en", 0.6), ("lang", "de", 0.4), ("topic", "prose", 1.0)],
+                                  "dimension string, value string, share double")
+    mixed = mixing.mix(spark.createDataFrame(rows, docs.schema), targets=reach, kept=0.8, iterations=6).toPandas()
+    mixed["mass"] = mixed["_probability"] * mixed["_tokens"]
+    assert mixed["mass"].sum() == pytest.approx(0.8 * mixed["_tokens"].sum()) and mixed["_probability"].max() == 1
+    assert mixed.groupby("source")["mass"].sum()["a"] / mixed["mass"].sum() == pytest.approx(0.3, abs=1e-2)
+    assert mixed.groupby("lang")["mass"].sum()["de"] / mixed["mass"].sum() == pytest.approx(0.4, abs=1e-2)
