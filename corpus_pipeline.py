@@ -14,17 +14,21 @@ from pyspark.sql import functions as F
 from loomwork.llm import jaccard, language, mixing, packing, secrets
 from loomwork.session import scratch_path
 
-#: A text that its best language codes no better than this, in bits a byte, is no language the model knows.
-MAX_BITS_PER_BYTE = 7.0
+#: A text whose words are this long, in bytes, and cost this many bits a byte more in the best language than by the frequencies of
+#: their own bytes is in no language the model knows. Below the length there is too little to tell.
+MIN_BYTES, MAX_EXCESS_BITS = 100, 2.0
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language; a missing label is filled in. Without anything to learn from none can be told apart and all stay."""
-    model = language.fit(docs.filter(~language.held_out(F.col("doc_id"))))
+    # Words alone are learned and judged: digits, marks, capitals and secrets cost much in every language and say nothing.
+    model = language.fit(docs.filter(~language.held_out(F.col("doc_id"))), words_only=True)
     if model is None:
         return docs
-    known = language.identify(docs, model).filter((F.col("lang_pred") != language.UNDETERMINED) & (F.col("bits_per_byte") <= MAX_BITS_PER_BYTE))
-    return known.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    foreign = (F.col("_bytes") >= MIN_BYTES) & (F.col("_bits") > F.col("_own_bits") + MAX_EXCESS_BITS)
+    named = language.identify(docs, model, words_only=True).toDF(*docs.columns, "_pred", "_score", "_bits", "_own_bits", "_bytes")
+    known = named.filter((F.col("_pred") != language.UNDETERMINED) & ~foreign)
+    return known.withColumn("lang", F.coalesce("lang", "_pred")).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,6 +16,7 @@ learned; equal code lengths go to the smaller language name; equal texts get equ
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -31,6 +32,8 @@ UNDETERMINED = "und"
 _EVIDENCE = 16  # bytes whose code length counts in the score
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _PART = 1 << 18
+_NUMBERED = re.compile(r"(?<!\S)[^\s\d]*+\d\S*+")
+_LETTERS = re.compile(r"[^\W\d_]+")
 
 
 @dataclass
@@ -153,8 +156,8 @@ def train(texts: dict[str, list[bytes]], order: int = ORDER) -> Model:
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 200,
-        max_chars: int = 20_000, max_languages: int = 1000, order: int = ORDER) -> Model | None:
-    """Learn from rows with text and label; None if there are none. Runs two small jobs."""
+        max_chars: int = 20_000, max_languages: int = 1000, order: int = ORDER, words_only: bool = False) -> Model | None:
+    """Learn from rows with text and label, or from their ``words_of``; None if there are none. Runs two small jobs."""
     rows = labelled.select(labelled[lang_col].alias("lang"), labelled[text_col].alias("text"),
                            F.xxhash64(labelled[id_col].cast("string"), labelled[text_col]).alias("h")).filter(
         F.col("lang").isNotNull() & (F.length("text") > 0) & (F.length("text") <= max_chars))
@@ -168,7 +171,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     some = rows.filter((F.col("h").cast("double") / 2.0 ** 64 + 0.5) <= share[F.col("lang")])
     texts: dict[str, list[tuple[int, bytes]]] = {}
     for row in some.collect():
-        texts.setdefault(row["lang"], []).append((row["h"], row["text"].encode()))
+        texts.setdefault(row["lang"], []).append((row["h"], (words_of(row["text"]) if words_only else row["text"]).encode()))
     return train({name: [t for _, t in sorted(found)[:per_language]] for name, found in texts.items()}, order)
 
 
@@ -178,8 +181,22 @@ def score(bits: np.ndarray, n_bytes: np.ndarray) -> np.ndarray:
     return 1 / np.exp2(-excess).sum(axis=1)
 
 
-def identify(docs: DataFrame, model: Model | None, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns (default: all) and ``lang_pred``, ``score`` (0 to 1), ``bits_per_byte`` of the whole text."""
+def words_of(text: str) -> str:
+    """The words of a text in lower case without marks and without words that hold a digit; those too if there are no others."""
+    lowered = text.lower()
+    return " ".join(_LETTERS.findall(_NUMBERED.sub(" ", lowered)) or _LETTERS.findall(lowered))
+
+
+def own_bits(data: np.ndarray) -> float:
+    """Bits a byte of a text whose bytes are coded one by one by their own frequencies."""
+    counts = np.bincount(data)
+    share = counts[counts > 0] / max(1, len(data))
+    return float(-(share * np.log2(share)).sum())
+
+
+def identify(docs: DataFrame, model: Model | None, text_col: str = "text", keep: list[str] | None = None, words_only: bool = False) -> DataFrame:
+    """``keep`` columns (default: all) and ``lang_pred``, ``score`` (0 to 1), ``bits_per_byte`` of the whole text or of its ``words_of``,
+    ``own_bits_per_byte``, what those cost without any language, and ``n_bytes``, how many they are."""
     keep = docs.columns if keep is None else keep
     has_letter: Column = F.coalesce(docs[text_col].rlike(r"\p{L}"), F.lit(False))
     chosen = docs.select(*[docs[c].alias(f"k{i}") for i, c in enumerate(keep)], F.when(has_letter, docs[text_col]).alias("t"))
@@ -190,29 +207,34 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text", keep:
         known = shared.value
         for batch in batches:
             texts = batch.column(batch.num_columns - 1).cast(pa.binary()).to_pylist()
-            names, points, rates = [], [], []
+            if words_only:
+                texts = [None if t is None else words_of(t.decode()).encode() for t in texts]
+            names, points, rates, plain, lengths = [], [], [], [], [None if t is None else len(t) for t in texts]
             for begin, end in slices([len(t or b"") for t in texts], _PART):
                 part = texts[begin:end]
                 if known is None:
                     names += [UNDETERMINED] * len(part)
                     points += [0.0] * len(part)
                     rates += [None] * len(part)
+                    plain += [None] * len(part)
                     continue
                 sizes = np.array([len(t or b"") for t in part])
                 borders = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-                bits = known.code_lengths(np.frombuffer(b"".join(t or b"" for t in part), np.uint8), borders)
+                data = np.frombuffer(b"".join(t or b"" for t in part), np.uint8)
+                bits = known.code_lengths(data, borders)
                 best, sure = bits.argmin(axis=1), score(bits, sizes)
                 for i, t in enumerate(part):
                     names.append(UNDETERMINED if t is None else known.languages[best[i]])
                     points.append(0.0 if t is None else float(sure[i]))
-                    rates.append(None if t is None else float(bits[i, best[i]] / sizes[i]))
+                    rates.append(None if t is None else float(bits[i, best[i]] / max(1, sizes[i])))
+                    plain.append(None if t is None else own_bits(data[borders[i]:borders[i + 1]]))
             columns = [batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(names, pa.string()), pa.array(points, pa.float64()), pa.array(rates, pa.float64())],
-                [*batch.schema.names[:-1], "lang_pred", "score", "bits_per_byte"])
+                [*columns, pa.array(names, pa.string()), pa.array(points, pa.float64()), pa.array(rates, pa.float64()), pa.array(plain, pa.float64()), pa.array(lengths, pa.int64())],
+                [*batch.schema.names[:-1], "lang_pred", "score", "bits_per_byte", "own_bits_per_byte", "n_bytes"])
 
-    out = chosen.mapInArrow(run, ", ".join([*kept, "lang_pred string", "score double", "bits_per_byte double"]))
-    return out.toDF(*keep, "lang_pred", "score", "bits_per_byte")
+    out = chosen.mapInArrow(run, ", ".join([*kept, "lang_pred string", "score double", "bits_per_byte double", "own_bits_per_byte double", "n_bytes bigint"]))
+    return out.toDF(*keep, "lang_pred", "score", "bits_per_byte", "own_bits_per_byte", "n_bytes")
 
 
 def held_out(id_col: Column) -> Column:

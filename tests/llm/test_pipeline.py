@@ -3,6 +3,8 @@
 import re
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from loomwork.llm import mixing
 from test_corpus import check_packed, crc, plain_ids, plain_join
@@ -58,3 +60,14 @@ def test_stages_take_awkward_and_empty_tables(spark):
             assert table is docs or rows == [], name
     kept = corpus_pipeline.near_duplicates(spark, docs, SF).collect()
     assert [r["doc_id"] for r in kept if r["text"] == text] == [9] and [r["text"] for r in kept].count("same row") == 1
+
+
+def test_language_stage_judges_words_only(spark):
+    words = "the cat and the dog run in the park all day long while a small bird sings over the old house near the river".split()
+    learned = [" ".join(words[(i * j) % len(words)] for j in range(3, 60)) + "." for i in range(1, 40)]
+    clean = ["Cat. 19.37.233.111", 'token = "2abc3ff2ca8fb1e4c565a0eb63815530a948bdde" +1 (168) 555-5254 bird', learned[4].upper(), "A.", "B2 x9"]
+    foreign = ["быстрая коричневая лиса прыгает через ленивую собаку и убегает в лес", "nopea ruskea kettu hyppaa laiskan koiran yli ja juoksee metsaan kun aurinko laskee ja kuu nousee taivaalle"]
+    docs = documents(spark, [*learned, *clean, *foreign, "12 + 34"])
+    docs = docs.withColumn("lang", F.when(F.col("doc_id") < len(learned), F.col("lang")))
+    kept = {r["doc_id"]: r["lang"] for r in corpus_pipeline.language_id(spark, docs, SF).collect()}
+    assert kept == {i: "en" for i in range(len(learned) + len(clean))}
