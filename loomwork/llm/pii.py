@@ -41,6 +41,7 @@ SPAN = "array<struct<kind:string,start:bigint,end:bigint,value:string>>"
 TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 LAST_WORD = r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]++)[\x20\x09-\x0D]++$"
 LAST_TWO = r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]++[\x20\x09-\x0D]++[^\x20\x09-\x0D]++)[\x20\x09-\x0D]++$"
+LAST_WORDS = r"(?<![^\x20\x09-\x0D])(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]++)?+[^\x20\x09-\x0D]++$"
 
 
 def _digits(value: Column) -> Column:
@@ -58,8 +59,8 @@ def _valid(kind: str, value: Column) -> Column:
 
 
 def located(text: Column, pattern: str) -> Column:
-    """All matches, leftmost and non-overlapping, as array of (start, end, value, gap), in code points; gap is the match before and the
-    text since it."""
+    """All matches, leftmost and non-overlapping, as array of (start, end, value, gap), in code points; gap is the text since the
+    match before, with the last two words up to that match before it."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pieces = F.split(text, pattern, -1)
     zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("last"), F.array().cast(
@@ -68,9 +69,11 @@ def located(text: Column, pattern: str) -> Column:
     def step(state, x):
         begin = state["at"] + F.length(x["gap"])
         end = begin + F.length(x["value"])
-        return F.struct(end.cast("bigint").alias("at"), x["value"].alias("last"), F.concat(state["spans"], F.array(F.struct(
-            begin.cast("bigint").alias("start"), end.cast("bigint").alias("end"), x["value"].alias("value"),
-            F.concat(state["last"], x["gap"]).alias("gap")))).alias("spans"))
+        gap = F.concat(state["last"], x["gap"])
+        # Two words reach back as far as the patterns do; a blank before them still tells where the first begins.
+        last = F.regexp_extract(F.concat(gap, x["value"]), LAST_WORDS, 0)
+        return F.struct(end.cast("bigint").alias("at"), last.alias("last"), F.concat(state["spans"], F.array(F.struct(
+            begin.cast("bigint").alias("start"), end.cast("bigint").alias("end"), x["value"].alias("value"), gap.alias("gap")))).alias("spans"))
 
     pairs = F.zip_with(found, F.slice(pieces, 1, F.size(found)), lambda v, p: F.struct(v.alias("value"), p.alias("gap")))
     return F.aggregate(pairs, zero, step, lambda s: s["spans"])

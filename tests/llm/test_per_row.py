@@ -248,3 +248,11 @@ def test_patterns_learned_from_seeds_find_unseen_identifiers(spark):
     found = {r["doc_id"]: r["spans"] for r in pii.extract(documents(spark, cards * 2 + ["card no 4539148803436468 ok"])).collect()}
     assert [(s["kind"], s["value"]) for s in found[8]] == [("ctx", "4539148803436468")]
     assert pii.extract(documents(spark, ["x"]).filter("false")).count() == 0
+
+
+def test_patterns_of_two_words_reach_over_a_token_before(spark):
+    texts = [f"see account 4711 {n} ok" for n in ("ann@host.example", "+49 30 123456", "10.0.0.1", "bob@host.example")] + ["the account 4711 AB34xy ok", "a 4711 AB34xy"]
+    rows = {r["doc_id"]: r["spans"] for r in pii.extract(documents(spark, texts)).collect()}
+    assert [(s["kind"], s["value"]) for s in rows[4]] == [("ctx", "AB34xy")] and rows[5] == []
+    found = spark.createDataFrame([("x no. 12 AB34 7 @q  r 5",)], "t string").select(pii.contexts(F.col("t")).alias("c")).first()["c"]
+    assert [[p for p in c["patterns"] if "  " not in p] for c in found] == [["x no."], ["no. 12"], ["12 ab34"], ["ab34 7"], ["@q r"]]
