@@ -56,8 +56,8 @@ class Encoder:
     the ids of a text are those of its first word and of every further word with its blank. Words of a batch are told apart
     by a 64-bit hash of their bytes in vector steps; only words not met before reach the library. Those of Latin letters,
     with a mark behind or not, go straight to its BPE model (letters and marks are pre-tokens of their own), all others in one
-    call, as one text, and are separated by their byte lengths. Texts with other white space next to a blank are encoded
-    whole. The cache is emptied when it is full.
+    call, as one text, and are separated by their byte lengths. Texts with other white space next to a blank, and those that contain
+    one of the vocabulary's added tokens, are encoded whole. The cache is emptied when it is full.
     """
 
     def __init__(self, path: str):
@@ -66,7 +66,8 @@ class Encoder:
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(re.escape(t) for t in added).encode(), re.IGNORECASE) if added else None
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.width = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for piece, i in vocabulary.items():
@@ -130,6 +131,10 @@ class Encoder:
             return [b""] * len(texts)
         blanks = np.flatnonzero(data == _BLANK)
         loose = _loose(data, borders, blanks)
+        if self.added is not None:
+            for m in self.added.finditer(joined):
+                # A match across a border marks two texts, which does no harm.
+                loose[np.searchsorted(borders, [m.start(), m.end() - 1], side="right") - 1] = True
         starts = np.unique(np.concatenate([blanks, borders[:-1][np.diff(borders) > 0]]))
         ends = np.append(starts[1:], len(data))
         text = np.searchsorted(borders, starts, side="right") - 1

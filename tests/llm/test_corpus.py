@@ -8,6 +8,7 @@ import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from loomwork.llm import fm_index, jaccard, mixing, packing, substrings, token_files, tokens, topk
 from loomwork.llm.queries import QUERIES
@@ -45,6 +46,13 @@ ODD_TEXTS = [*AWKWARD, "double  blank", " lead", "trail ", "tab\t x", "new\n lin
 
 # ---------------------------------------------------------------- tokens and files
 
+def test_added_tokens_in_a_text_equal_the_plain_library():
+    fresh = Tokenizer.from_file(tokens.default_vocabulary())
+    asked = ["<|endoftext|>", "a <|endoftext|> b", "x<|endoftext|>", "plain words", "<|endof", "text|> y", " <|endoftext|><|endoftext|>", "it's <|endoftext", ""]
+    got = tokens.Encoder(tokens.default_vocabulary()).encode(asked)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [fresh.encode(t, add_special_tokens=False).ids for t in asked]
+    assert fresh.encode(asked[1], add_special_tokens=False).ids.count(50256) == 1
+
 def test_encoder_equals_the_tokenizer():
     encoder = tokens.Encoder(tokens.default_vocabulary())
     for _ in range(2):  # with an empty and a full cache
