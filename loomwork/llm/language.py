@@ -7,8 +7,8 @@ then coded in the context without its oldest byte; below order 0 every byte cost
 texts past these trees and takes the language with the shortest code.
 
 The sample: of each language the ``per_language`` rows with the smallest hash of their id among those of at most
-``max_chars`` characters. That bounds what reaches the driver by languages x per_language x max_chars; the number
-of languages is bounded by ``max_languages``. Everything else runs in the rows' own partitions, without a shuffle.
+``max_chars`` characters, or its shortest text if all are longer. That bounds what reaches the driver by languages x per_language x
+max_chars and those shortest texts; the number of languages is bounded by ``max_languages``. Everything else runs in the rows' own partitions, without a shuffle.
 
 Defined results: ``und`` with score 0 for a null text or one without a letter, and for every row if nothing could be
 learned; equal code lengths go to the smaller language name; equal texts get equal results.
@@ -158,17 +158,24 @@ def train(texts: dict[str, list[bytes]], order: int = ORDER) -> Model:
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 200,
         max_chars: int = 20_000, max_languages: int = 1000, order: int = ORDER, words_only: bool = False) -> Model | None:
     """Learn from rows with text and label, or from their ``words_of``; None if there are none. Runs two small jobs."""
-    rows = labelled.select(labelled[lang_col].alias("lang"), labelled[text_col].alias("text"),
-                           F.xxhash64(labelled[id_col].cast("string"), labelled[text_col]).alias("h")).filter(
-        F.col("lang").isNotNull() & (F.length("text") > 0) & (F.length("text") <= max_chars))
-    counts = rows.groupBy("lang").count().limit(max_languages + 1).collect()
+    rows = labelled.select(labelled[lang_col].alias("lang"), labelled[text_col].alias("text"), F.length(labelled[text_col]).alias("n"),
+                           F.xxhash64(labelled[id_col].cast("string"), labelled[text_col]).alias("h")).filter(F.col("lang").isNotNull() & (F.col("n") > 0))
+    short = F.col("n") <= max_chars
+    counts = rows.groupBy("lang").agg(F.count_if(short).alias("count"), F.min(F.struct("n", "h")).alias("shortest")).limit(max_languages + 1).collect()
     if not counts:
         return None
     if len(counts) > max_languages:
         raise ValueError(f"more than {max_languages} languages")
     # A share of the hash range that holds about twice the rows wanted, then the smallest hashes of each language.
-    share = F.create_map(*[x for c in counts for x in (F.lit(c["lang"]), F.lit(min(1.0, (2 * per_language + 50) / c["count"])))])
-    some = rows.filter((F.col("h").cast("double") / 2.0 ** 64 + 0.5) <= share[F.col("lang")])
+    sampled = F.lit(False)
+    if any(c["count"] for c in counts):
+        share = F.create_map(*[x for c in counts if c["count"] for x in (F.lit(c["lang"]), F.lit(min(1.0, (2 * per_language + 50) / c["count"])))])
+        sampled = short & ((F.col("h").cast("double") / 2.0 ** 64 + 0.5) <= share[F.col("lang")])
+    # Languages with long texts only: of each the shortest.
+    for c in counts:
+        if not c["count"]:
+            sampled = sampled | ((F.col("lang") == c["lang"]) & (F.col("n") == c["shortest"]["n"]) & (F.col("h") == c["shortest"]["h"]))
+    some = rows.filter(sampled)
     texts: dict[str, list[tuple[int, bytes]]] = {}
     for row in some.collect():
         texts.setdefault(row["lang"], []).append((row["h"], (words_of(row["text"]) if words_only else row["text"]).encode()))

@@ -256,3 +256,12 @@ def test_patterns_of_two_words_reach_over_a_token_before(spark):
     assert [(s["kind"], s["value"]) for s in rows[4]] == [("ctx", "AB34xy")] and rows[5] == []
     found = spark.createDataFrame([("x no. 12 AB34 7 @q  r 5",)], "t string").select(pii.contexts(F.col("t")).alias("c")).first()["c"]
     assert [[p for p in c["patterns"] if "  " not in p] for c in found] == [["x no."], ["no. 12"], ["12 ab34"], ["ab34 7"], ["@q r"]]
+
+
+def test_a_language_with_long_texts_only_is_learned(spark):
+    docs = documents(spark, ["the cat and the dog ran " * 3, "le chat et le chien ont couru " * 9, "le chat et le chien ont couru vite " * 8, "le chien et le chat"])
+    docs = docs.withColumn("lang", F.when(F.col("doc_id").isin(1, 2), "fr").when(F.col("doc_id") == 0, "en"))
+    model = language.fit(docs, max_chars=100)
+    assert model.languages == ["en", "fr"]
+    assert {r["doc_id"]: r["lang_pred"] for r in language.identify(docs, model, keep=["doc_id"]).collect()} == {0: "en", 1: "fr", 2: "fr", 3: "fr"}
+    assert language.fit(docs, max_chars=10).languages == ["en", "fr"]  # a table of long texts only
