@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,10 +51,10 @@ def cut_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for begin, end in slices([len(t or "") for t in texts], _TEXT_PART):
+            for begin, end in slices(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist(), _TEXT_PART):
+                ids, texts = (batch.column(i).slice(begin, end - begin).to_pylist() for i in (0, 1))
                 rows = []
-                for doc_id, raw in zip(ids[begin:end], encode_documents(texts[begin:end], vocabulary)):
+                for doc_id, raw in zip(ids, encode_documents(texts, vocabulary)):
                     at = 0
                     for i, n in enumerate(cut_lengths(len(raw) // 4, capacity)):
                         rows.append((doc_id, i, at, n, zlib.crc32(raw[4 * at:4 * (at + n)])))

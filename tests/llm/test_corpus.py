@@ -60,6 +60,20 @@ def test_encoder_equals_the_tokenizer():
         assert [np.frombuffer(g, "<u4").tolist() + [0] for g in got] == [plain_ids(t) for t in ODD_TEXTS]
 
 
+@pytest.mark.parametrize("room, long_", [(3, 1 << 20), (40, 30), (500_000, 7)])
+def test_encoder_with_small_generations_and_cut_texts(monkeypatch, room, long_):
+    """Words move from one generation of the cache to the next; long texts are cut between words."""
+    monkeypatch.setattr(tokens, "_CACHE_WORDS", room)
+    monkeypatch.setattr(tokens, "_LONG", long_)
+    encoder = tokens.Encoder(tokens.default_vocabulary())
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice(["word", "x1", "Ünder,", "a.b", "the", f"w{rng.randrange(60)}", "<|endoftext|>"]) for _ in range(40)) for _ in range(60)]
+    for _ in range(2):
+        for part in (ODD_TEXTS, texts[:20], texts[20:], *([t] for t in texts)):
+            got = encoder.encode([t or "" for t in part])
+            assert [np.frombuffer(g, "<u4").tolist() + [0] for g in got] == [plain_ids(t) for t in part]
+
+
 def test_token_files_round_trip(spark, tmp_path):
     docs = documents(spark, ODD_TEXTS, id="x", part=3, start="y").union(documents(spark, ["again"]).selectExpr("*", "'x'", "3", "'y'"))
     docs = docs.union(docs.filter("doc_id = 9").withColumn("doc_id", F.lit(None).cast("bigint")))
