@@ -1,22 +1,17 @@
 """The streaming jobs. Each returns the started query; pass ``available_now`` to drain and stop.
 
-State lives in Spark's state store: keyed aggregates for statuses and windows, a short buffer per key for state
-changes. Results do not depend on how the input is cut into micro-batches or in which order rows arrive.
+State lives in Spark's state store (keyed aggregates for statuses and windows) or, for state changes, in tables that
+batches append to. Results do not depend on how the input is cut into micro-batches or in which order rows arrive.
 """
 
 from __future__ import annotations
 
-import pickle
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from loomwork.operators import rollup, telemetry
+from loomwork.operators import blocks, rollup, telemetry
 from loomwork.streaming import tables
 
 
@@ -54,81 +49,114 @@ def stream_logs(lines: DataFrame, out: str, checkpoint: str, available_now: bool
 
 # ---------------------------------------------------------------- state changes
 
-# Where an output row belongs: settled changes, changes among rows that later ones may still precede, rows that came too late.
-FINAL, OPEN, LATE = "final", "open", "late"
+US = "_us"
+MARK = "settled_to bigint, first bigint, include_first boolean"
+
+
+def _kinds(events_schema: T.StructType, key: str, cols: list[str]) -> dict[str, T.StructType]:
+    """Schemas of the tables of a stream of changes: rows as they came, the newest settled row per key, changes."""
+    field = lambda name, of: T.StructField(name, events_schema[of].dataType)
+    row = [field(key, key), T.StructField(US, T.LongType()), *(field(c, c) for c in cols)]
+    before = [field(f"previous_{c}", c) for c in cols]
+    return {"rows": T.StructType(row), "late": T.StructType(row), "last": T.StructType(row), "changes": T.StructType(row + before)}
+
 
+def _micros_of(spark: SparkSession, delay: str) -> int:
+    start = F.timestamp_seconds(F.lit(0))
+    return spark.range(1).select(F.unix_micros(start + F.expr(f"INTERVAL {delay}")) - F.unix_micros(start)).first()[0]
 
-def _change_row(event: tuple, previous: tuple | None, n_cols: int) -> tuple:
-    return (*event, *(previous[1:] if previous else [None] * n_cols))
 
+def _after_last(rows: DataFrame, last: DataFrame, key: str, cols: list[str]) -> DataFrame:
+    """Add ``_last``, the newest settled row of the key, null without one."""
+    settled = last.select(F.col(key), F.struct(US, *cols).alias("_last"))
+    return rows.join(settled, key, "left")
 
-def _changes(events: list[tuple], last: tuple | None, include_first: bool, n_cols: int) -> list[tuple]:
-    """Rows of time-ordered events (time, values) that differ from the one before, ``last`` standing before the first."""
-    out = []
-    for event in events:
-        if include_first if last is None else event[1:] != last[1:]:
-            out.append(_change_row(event, last, n_cols))
-        last = event
-    return out
 
+def _changes(rows: DataFrame, key: str, cols: list[str], include_first: Column, hot_rows: int) -> DataFrame:
+    """Rows (key, time, values, ``_last``) that differ from the row before; before a key's first one stands ``_last``."""
+    rows = rows.withColumn("_at", F.struct(US, *cols))
+    cut = blocks.add_blocks(rows, [key], F.col(US), telemetry.HOUR * 1e6, hot_rows)
+    seen = blocks.drop_blocks(blocks.previous_row(cut, [key], "_at", cols, "_before"))
+    before = F.coalesce("_before", F.when(F.col("_last").isNotNull(), F.struct(*(F.col(f"_last.{c}").alias(c) for c in cols))))
+    changed = F.when(before.isNull(), include_first).otherwise(~before.eqNullSafe(F.struct(*cols)))
+    return seen.filter(changed).select(key, US, *cols, *(before[c].alias(f"previous_{c}") for c in cols))
 
-def _rows_schema(events_schema: T.StructType, key: str, cols: list[str]) -> T.StructType:
-    kinds = {c: events_schema[c].dataType for c in [key, *cols]}
-    return T.StructType([
-        T.StructField("kind", T.StringType()), T.StructField(key, kinds[key]), T.StructField("_us", T.LongType()),
-        *(T.StructField(c, kinds[c]) for c in cols), *(T.StructField(f"previous_{c}", kinds[c]) for c in cols)])
+
+def _waiting(spark: SparkSession, out: str, schema: T.StructType, first: int, upto: int) -> DataFrame:
+    """Rows of the batches from ``first`` on, with the number of their batch. Earlier batches hold settled rows only."""
+    paths = [f"{out}/rows/{tables.BATCH}={i}" for i in range(first, upto + 1)]
+    whole = T.StructType([*schema.fields, T.StructField(tables.BATCH, T.LongType())])
+    return spark.read.schema(whole).option("basePath", f"{out}/rows").parquet(*paths)
 
 
 def stream_state_changes(events: DataFrame, key: str, order: str, cols: list[str], out: str, checkpoint: str, delay: str,
-                         available_now: bool = True, include_first: bool = False) -> StreamingQuery:
-    """Rows whose ``cols`` differ from the row before of the same key, to ``out``; read them with ``read_changes``.
+                         available_now: bool = True, include_first: bool = False, hot_rows: int = blocks.HOT_ROWS) -> StreamingQuery:
+    """Rows whose ``cols`` differ from the row before of the same key, to tables under ``out``; read them with ``read_changes``.
+
+    Batches append their rows to a table. Once the newest time less ``delay`` has passed a row, it is settled: its
+    change, if it is one, is written once, and of each key only the newest settled row is kept as state. Rows not yet settled
+    are read again from the batches that hold some, which ``delay`` bounds, whatever the length of a key's history. Windows run
+    over blocks of a key's rows, so a hot key is many tasks.
 
-    Rows of a key wait in its state, in time order, until the watermark (newest event less ``delay``) has passed
-    them. Changes among settled rows are written once; those among waiting rows are written anew whenever the key gets
-    rows, the newest version counting. A row older than a settled one of its key cannot be placed any more and goes to ``out/late``.
-    Rows of equal time are ordered by their values. ``order`` is a timestamp.
+    Rows of equal time are ordered by their values. A row older than a settled one of its key cannot be placed any
+    more and goes to ``out/late``, and so does a row without a time. ``order`` is a timestamp.
     """
-    output = _rows_schema(events.schema, key, cols)
-    n_cols = len(cols)
-
-    def step(keys: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, waiting = pickle.loads(state.get[0]) if state.exists else (None, [])
-        settled_to = state.getCurrentWatermarkMs() * 1000
-        # pandas turns missing numbers into NaN, which equals nothing.
-        fresh = [tuple(None if v != v else v for v in row) for frame in frames
-                 for row in frame[["_us", *cols]].itertuples(index=False, name=None)]
-        late = [e for e in fresh if last is not None and e[0] < last[0]]
-        waiting = sorted([*waiting, *(e for e in fresh if last is None or e[0] >= last[0])],
-                         key=lambda e: (e[0], *((v is not None, v) for v in e[1:])))
-        settled = [e for e in waiting if e[0] < settled_to]
-        waiting = waiting[len(settled):]
-        rows = [(FINAL, keys[0], *r) for r in _changes(settled, last, include_first, n_cols)]
-        last = settled[-1] if settled else last
-        # One row without a time marks the version, also when nothing is open.
-        rows += [(OPEN, keys[0], *([None] * (1 + 2 * n_cols)))]
-        rows += [(OPEN, keys[0], *r) for r in _changes(waiting, last, include_first, n_cols)]
-        rows += [(LATE, keys[0], *_change_row(e, None, n_cols)) for e in late]
-        state.update((pickle.dumps((last, waiting)),))
-        yield pd.DataFrame(rows, columns=output.names)
-
-    # Times go through Python as microseconds, so its time zone plays no part.
-    timed = events.select(key, F.col(order).cast("timestamp").alias("_ts"), telemetry.micros(order).alias("_us"), *cols).withWatermark("_ts", delay)
-    stepped = timed.groupBy(key).applyInPandasWithState(step, output, "held binary", "append", GroupStateTimeout.NoTimeout)
-    tables.create(events.sparkSession, f"{out}/rows", output)
+    spark = events.sparkSession
+    kinds, reach = _kinds(events.schema, key, cols), _micros_of(spark, delay)
+    for name in ("rows", "late", "changes"):
+        tables.create(spark, f"{out}/{name}", kinds[name])
+    tables.create_keyed(spark, f"{out}/last", kinds["last"])
+    mark = lambda session, *values: session.createDataFrame([values], MARK)
+    tables.write_version(mark(spark, None, 0, include_first), f"{out}/marks", -1)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        tables.write_version(batch, f"{out}/rows", batch_id)
-    return _start(stepped, handle, checkpoint, available_now)
-
-
-def read_changes(spark: SparkSession, out: str, events_schema: T.StructType, key: str, order: str, cols: list[str]) -> tuple[DataFrame, DataFrame]:
-    """``(changes, late rows)`` of ``stream_state_changes`` as they stand now: key, time, values, ``previous_<name>``."""
-    rows = tables.read_versions(spark, f"{out}/rows", _rows_schema(events_schema, key, cols))
-    newest = rows.filter(F.col("kind") == OPEN).groupBy(key).agg(F.max(tables.BATCH).alias("_newest"))
-    still = rows.filter((F.col("kind") == OPEN) & F.col("_us").isNotNull()).join(newest, key).filter(F.col(tables.BATCH) == F.col("_newest"))
-    time, before = F.timestamp_micros("_us").alias(order), [f"previous_{c}" for c in cols]
-    changes = rows.filter(F.col("kind") == FINAL).drop(tables.BATCH).unionByName(still.drop(tables.BATCH, "_newest"))
-    return changes.select(key, time, *cols, *before), rows.filter(F.col("kind") == LATE).select(key, time, *cols)
+        session = batch.sparkSession
+        rows = batch.select(key, telemetry.micros(order).alias(US), *cols)
+        tables.write_version(rows, f"{out}/rows", batch_id)
+        # Batches are numbered without gaps, so the state before this one stands under the number before.
+        former = session.read.schema(MARK).parquet(f"{out}/marks/{tables.BATCH}={batch_id - 1}").first()
+        rows = _waiting(session, out, kinds["rows"], former["first"], batch_id)
+        newest = rows.filter(F.col(tables.BATCH) == batch_id).agg(F.max(US)).first()[0]
+        times = [t for t in (former["settled_to"], None if newest is None else newest - reach) if t is not None]
+        settled_to = max(times) if times else None
+        last = tables.read_keyed(session, f"{out}/last", kinds["last"], [key], batch_id - 1)
+        fresh = F.col(tables.BATCH) == batch_id
+        still = rows.filter(fresh | (F.lit(True) if former["settled_to"] is None else F.col(US) >= former["settled_to"]))
+        late = fresh & F.coalesce(F.col(US) < F.col("_last")[US], F.col(US).isNull())
+        placed = _after_last(still, last, key, cols).withColumn("_late", late)
+        due = placed.filter(~F.col("_late") & (F.col(US) < settled_to)) if settled_to is not None else placed.filter(F.lit(False))
+        due = due.persist()
+        try:
+            tables.write_version(placed.filter("_late").select(key, US, *cols), f"{out}/late", batch_id)
+            tables.write_version(_changes(due, key, cols, F.lit(include_first), hot_rows), f"{out}/changes", batch_id)
+            tables.write_keyed(due.groupBy(key).agg(F.max(F.struct(US, *cols)).alias("_n")).select(key, "_n.*"), f"{out}/last", batch_id, [key])
+        finally:
+            due.unpersist()
+        first = rows.filter(F.lit(True) if settled_to is None else F.col(US) >= settled_to).agg(F.min(tables.BATCH)).first()[0]
+        tables.write_version(mark(session, settled_to, batch_id + 1 if first is None else first, include_first), f"{out}/marks", batch_id)
+    return _start(events, handle, checkpoint, available_now)
+
+
+def read_changes(spark: SparkSession, out: str, events_schema: T.StructType, key: str, order: str, cols: list[str],
+                 hot_rows: int = blocks.HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+    """``(changes, late rows)`` of ``stream_state_changes`` as they stand now: key, time, values, ``previous_<name>``.
+
+    Changes among rows that are not settled yet are derived here, from those rows alone.
+    """
+    kinds = _kinds(events_schema, key, cols)
+    marks = tables.read_versions(spark, f"{out}/marks", T.StructType.fromDDL(MARK))
+    newest = marks.orderBy(F.col(tables.BATCH).desc()).first()
+    batch_id = newest[tables.BATCH]
+    changes = tables.read_appended(spark, f"{out}/changes", kinds["changes"]).select(*kinds["changes"].names)
+    if batch_id >= newest["first"]:
+        rows = _waiting(spark, out, kinds["rows"], newest["first"], batch_id)
+        settled_to = F.lit(newest["settled_to"])
+        open_ = rows.filter(F.col(US).isNotNull() & F.coalesce(F.col(US) >= settled_to, F.lit(True)))
+        last = tables.read_keyed(spark, f"{out}/last", kinds["last"], [key], batch_id)
+        changes = changes.unionByName(_changes(_after_last(open_, last, key, cols), key, cols, F.lit(newest["include_first"]), hot_rows))
+    late = tables.read_appended(spark, f"{out}/late", kinds["late"])
+    time = F.timestamp_micros(US).alias(order)
+    return changes.select(key, time, *cols, *(f"previous_{c}" for c in cols)), late.select(key, time, *cols)
 
 
 # ---------------------------------------------------------------- status upsert

@@ -41,3 +41,35 @@ def read_latest(spark: SparkSession, path: str, schema: T.StructType, keys: list
     others = [f.name for f in schema if f.name not in keys]
     newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*others), BATCH).alias("_n"))
     return newest.select(*keys, "_n.*").select(*schema.names)
+
+
+# ---------------------------------------------------------------- keyed tables that are folded now and then
+
+FOLD_EVERY = 16
+
+
+def write_keyed(df: DataFrame, path: str, batch_id: int, keys: list[str]) -> None:
+    """One version of a keyed table; every ``FOLD_EVERY``-th one is followed by a whole copy, so that reading never
+    looks at more than one copy and the versions behind it."""
+    write_version(df, path, batch_id)
+    if batch_id >= 0 and (batch_id + 1) % FOLD_EVERY == 0:
+        write_version(read_keyed(df.sparkSession, path, df.schema, keys, batch_id), f"{path}-folded", batch_id)
+
+
+def create_keyed(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    create(spark, path, schema)
+    create(spark, f"{path}-folded", schema)
+
+
+def read_keyed(spark: SparkSession, path: str, schema: T.StructType, keys: list[str], upto: int) -> DataFrame:
+    """The row each key got last, up to version ``upto``."""
+    folded = (upto + 1) // FOLD_EVERY * FOLD_EVERY - 1
+    if folded == upto and upto >= 0:  # the copy of this very version may not stand yet
+        folded -= FOLD_EVERY
+    parts = [f"{path}-folded/{BATCH}={folded}", *(f"{path}/{BATCH}={i}" for i in range(folded + 1, upto + 1))]
+    read = spark.read.schema(schema).parquet
+    rows = read(parts[0]).withColumn(BATCH, F.lit(folded).cast("bigint"))
+    for i, part in enumerate(parts[1:], folded + 1):
+        rows = rows.unionByName(read(part).withColumn(BATCH, F.lit(i).cast("bigint")))
+    others = [f.name for f in schema if f.name not in keys]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*others), BATCH).alias("_n")).select(*keys, "_n.*").select(*schema.names)

@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomwork import schemas
 from loomwork.operators import rollup, telemetry, timeseries
@@ -131,6 +132,42 @@ def test_streamed_changes_equal_batch_changes(spark, tmp_path, n_files, delay, f
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and late.count() == 0
 
 
+@pytest.mark.parametrize("n_files, hot_rows", [(1, 10 ** 6), (4, 10), (20, 10)])
+def test_changes_of_a_long_history_and_a_hot_user(spark, tmp_path, n_files, hot_rows):
+    """Twelve days that arrive up to two hours late, a third of the rows of one user: delay of hours, one row of state per key."""
+    rng = random.Random(11)
+    rows = sorted((m + rng.randrange(120), rng.choice(["hot", rng.choice("abcdef"), rng.choice("abcdef")]), m, rng.choice(["x", "y", "y", None]))
+                  for m in range(0, 12 * 24 * 60, 29))
+    rows += [(rows[-1][0], "a", None, "x")]
+    size = -(-len(rows) // n_files)
+    for i in range(n_files):
+        part = [(k, None if m is None else T0 + timedelta(minutes=m), s, 0) for _, k, m, s in rows[i * size:(i + 1) * size]]
+        spark.createDataFrame(part, EVENTS).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    out, what = str(tmp_path / "out"), ("key", "ts", ["state"])
+    streams.stream_state_changes(stream, *what, out, f"{out}-checkpoint", "3 hours", hot_rows=hot_rows).awaitTermination()
+    got, late = streams.read_changes(spark, out, stream.schema, *what, hot_rows=hot_rows)
+    table = spark.read.parquet(str(tmp_path / "in")).filter("ts IS NOT NULL")
+    want = telemetry.state_changes(table, *what).select("key", "ts", "state", F.col("previous.state").alias("previous_state"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() > 100
+    assert [(r.key, r.ts) for r in late.collect()] == [("a", None)]
+    # The state: one row per key; batches that hold settled rows only are not read again.
+    state = tables.read_keyed(spark, f"{out}/last", spark.read.parquet(f"{out}/last").drop("batch").schema, ["key"], n_files - 1)
+    assert state.count() == 7
+    newest = tables.read_versions(spark, f"{out}/marks", T.StructType.fromDDL(streams.MARK)).orderBy(F.col("batch").desc()).first()
+    assert newest["first"] >= n_files - 2
+
+
+def test_a_batch_run_again_changes_nothing(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), spark.createDataFrame([], EVENTS).schema
+    tables.create_keyed(spark, path, schema)
+    for i in [*range(16), 15, 16, 16, *range(17, 34)]:
+        tables.write_keyed(spark.createDataFrame([("a", T0, "x", i), (f"k{i}", T0, "y", i)], EVENTS), path, i, ["key"])
+    read = lambda upto: {r.key: r.value for r in tables.read_keyed(spark, path, schema, ["key"], upto).collect()}
+    for upto in (-1, 0, 15, 16, 31, 33):
+        assert read(upto) == ({"a": upto} if upto >= 0 else {}) | {f"k{i}": i for i in range(upto + 1)}
+
+
 def test_rows_too_late_to_be_placed_are_kept_apart(spark, tmp_path):
     batches = [[("a", 300, "x", 1)], [("a", 60, "x", 1)], [("a", 600, "y", 1)], [("a", 620, "y", 1)], [("a", 10, "z", 1)]]
     for i, rows in enumerate(batches):
