@@ -16,6 +16,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomwork.functions import arrays
 from loomwork.functions.templates import ChatTemplate, get_template
 
 # Fixed value: the end token of a tokenizer that comes without one.
@@ -74,6 +75,17 @@ class Tokenizer:
         """Ids of a literal, known on the driver."""
         raise NotImplementedError
 
+    def constant(self, ids: list[int]) -> Column:
+        """Known ids, special ones and masks, in the form ``encode`` gives ids."""
+        return arrays.literal(ids)
+
+    def one(self, i: int) -> Column:
+        """One known id in that form."""
+        return F.lit(i)
+
+    def literal(self, text: str) -> Column:
+        return self.constant(self.literal_ids(text))
+
     def length(self, text: Column) -> Column:
         return F.size(self.encode(text))
 

@@ -82,17 +82,17 @@ def _text_ids(parts: list, tok: Tokenizer, limit: int | None) -> Column:
 
     if not tok.joins:
         if all(isinstance(p, str) for p in parts):
-            return arrays.literal(tok.literal_ids("".join(parts)))
+            return tok.literal("".join(parts))
         return encode(_text(parts))
 
     def one(p) -> Column:
         if isinstance(p, str):
-            return arrays.literal(tok.literal_ids(p))
+            return tok.literal(p)
         if isinstance(p, Known):
-            usual = arrays.literal(tok.literal_ids(p.usual))
+            usual = tok.literal(p.usual)
             return F.when(p.column == p.usual, usual).otherwise(encode(p.column))
         if isinstance(p, FirstTurn):
-            return F.when(p.t == 0, _text_ids(p.parts, tok, limit)).otherwise(arrays.literal([]))
+            return F.when(p.t == 0, _text_ids(p.parts, tok, limit)).otherwise(tok.constant([]))
         return encode(p)
     return F.concat(*map(one, parts))
 
@@ -125,9 +125,9 @@ def part_text(rendered: list) -> Column:
 
 def part_ids(rendered: list, tok: Tokenizer, limit: int | None) -> Column:
     """Rendered part as ids; with a limit, at least the first ``limit`` ids of it."""
-    out = [arrays.literal([tok.special_id(p.token)]) if isinstance(p, Special) else _text_ids(p, tok, limit)
+    out = [tok.constant([tok.special_id(p.token)]) if isinstance(p, Special) else _text_ids(p, tok, limit)
            for p in rendered]
-    return F.concat(*out) if out else arrays.literal([])
+    return F.concat(*out) if out else tok.constant([])
 
 
 def part_length(rendered: list, tok: Tokenizer) -> Column:
@@ -156,7 +156,7 @@ def _only_system(prefix: list) -> bool:
 
 def source_ids(template: ChatTemplate, tok: Tokenizer, t: Column, query: Column, system: Column,
                limit: int | None = None) -> Column:
-    bos = arrays.literal(tok.bos_ids)
+    bos = tok.constant(tok.bos_ids)
     prefix, sep, prompt = _turn_parts(template, t, query, system)
     asked = part_ids(prompt, tok, limit)
     if template.system_in_query:
@@ -183,7 +183,7 @@ def source_length(template: ChatTemplate, tok: Tokenizer, t: Column, query: Colu
 
 def _target(template: ChatTemplate, tok: Tokenizer, response: Column, limit: int | None) -> Column:
     ids = tok.encode(tok.head(response, limit) if limit and tok.cuts_text else response)
-    return ids if template.efficient_eos else F.concat(ids, arrays.literal([tok.eos_id]))
+    return ids if template.efficient_eos else F.concat(ids, tok.constant([tok.eos_id]))
 
 
 def turn_struct(template: ChatTemplate, tok: Tokenizer, t: Column, query: Column, response: Column,
@@ -224,9 +224,9 @@ def cut_turn(turn: Column, cutoff: int) -> Column:
 def label_turn(turn: Column, template: ChatTemplate, tok: Tokenizer) -> Column:
     """``struct<t, ids, labels>``: the source is ignored by the loss, the target is kept."""
     n = F.size(turn["src"])
-    mask = F.array_repeat(F.lit(IGNORE_INDEX), n)
+    mask = F.array_repeat(tok.one(IGNORE_INDEX), n)
     if template.efficient_eos:
-        eos_first = F.concat(arrays.literal([tok.eos_id]), F.array_repeat(F.lit(IGNORE_INDEX), n - 1))
+        eos_first = F.concat(tok.constant([tok.eos_id]), F.array_repeat(tok.one(IGNORE_INDEX), n - 1))
         mask = F.when((turn["t"] != 0) & (n > 0), eos_first).otherwise(mask)
     return F.struct(turn["t"].alias("t"), F.concat(turn["src"], turn["tgt"]).alias("ids"),
                     F.concat(mask, turn["tgt"]).alias("labels"))
@@ -281,7 +281,7 @@ def mask_labels(df: DataFrame, template: str | ChatTemplate, tokenizer: str | To
 
 def close_example(df: DataFrame, template: ChatTemplate, tok: Tokenizer, cutoff: int, keep: list[str]) -> DataFrame:
     """Join the turns of ``labelled``, add the closing end token, cut, add the attention mask."""
-    tail = arrays.literal([tok.eos_id] if template.efficient_eos else [])
+    tail = tok.constant([tok.eos_id] if template.efficient_eos else [])
 
     def joined(name: str) -> Column:
         return arrays.head(F.concat(F.flatten(F.transform("labelled", lambda x: x[name])), tail), cutoff)

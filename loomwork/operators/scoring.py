@@ -1,6 +1,6 @@
 """Text scores of predictions, scorer plug-ins, side-by-side comparison.
 
-Tokens are the words of ``vocabulary.split_words``, case kept. ROUGE follows Lin (2004) with the F1 of each
+Tokens are the words of ``vocabulary.pieces``, case kept. ROUGE follows Lin (2004) with the F1 of each
 pair averaged per group; BLEU-4 follows Papineni et al. (2002) on the counts of the whole group.
 """
 
@@ -8,91 +8,43 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomwork.operators.vocabulary import split_words
+from loomwork.operators.vocabulary import pieces, split_words
 
 MAX_NGRAM = 4
-# Rows counted together inside a batch; bounds the memory whole documents may take.
-ROWS_AT_ONCE = 256
-
-OVERLAP = T.StructType([T.StructField(name, T.IntegerType()) for name in
-                        ["n_predict", "n_label", *(f"match_{n}" for n in range(1, MAX_NGRAM + 1))]])
-
-
-def lcs_length(a: list, b: list) -> int:
-    """Longest common subsequence, one machine word of ``b`` at a time (bit-parallel)."""
-    where: dict = {}
-    for i, token in enumerate(b):
-        where[token] = where.get(token, 0) | (1 << i)
-    full = (1 << len(b)) - 1
-    row = full
-    for token in a:
-        hit = row & where.get(token, 0)
-        row = ((row + hit) | (row - hit)) & full
-    return len(b) - row.bit_count()
-
-
-def _words(texts: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All words of the texts in a row, the text each belongs to, and the number of words per text."""
-    split = [split_words(text or "") for text in texts]
-    lengths = np.array([len(words) for words in split], dtype=np.int64)
-    flat = np.array([word for words in split for word in words], dtype=object)
-    return flat, np.repeat(np.arange(len(split)), lengths), lengths
-
-
-def clipped_matches(codes: list[np.ndarray], rows: list[np.ndarray], n_rows: int) -> np.ndarray:
-    """Per row, the n-grams of one side found in the other, each at most as often as that has it."""
-    _, grams = np.unique(np.concatenate(codes), return_inverse=True)
-    first = len(codes[0])
-    width = int(grams.max(initial=0)) + 1
-    counted = [np.unique(r * width + g, return_counts=True) for r, g in zip(rows, (grams[:first], grams[first:]))]
-    shared, at_a, at_b = np.intersect1d(counted[0][0], counted[1][0], assume_unique=True, return_indices=True)
-    hits = np.minimum(counted[0][1][at_a], counted[1][1][at_b])
-    return np.bincount(shared // width, weights=hits, minlength=n_rows).astype(np.int64)
-
-
-def count_overlap(predict: pd.Series, label: pd.Series) -> pd.DataFrame:
-    """The overlap columns for a slice of rows; n-grams of all rows are counted together."""
-    sides = [_words(predict), _words(label)]
-    n_rows, first = len(predict), len(sides[0][0])
-    words, _ = pd.factorize(np.concatenate([s[0] for s in sides]))
-    words = words.astype(np.int64)
-    base = int(words.max(initial=0)) + 1
-    tokens = [words[:first], words[first:]]
-    rows = [s[1] for s in sides]
-    out = {"n_predict": sides[0][2], "n_label": sides[1][2]}
-    grams, owners = tokens, rows
-    for n in range(1, MAX_NGRAM + 1):
-        if n > 1:
-            # Number the shorter n-grams, then append the next word where it is of the same text.
-            _, numbers = np.unique(np.concatenate(grams), return_inverse=True)
-            numbered = [numbers[:len(grams[0])], numbers[len(grams[0]):]]
-            longer, kept = [], []
-            for side in (0, 1):
-                last = len(tokens[side]) - n + 1
-                same = rows[side][:max(last, 0)] == rows[side][n - 1:]
-                starts = starts_of[side][:0] if last <= 0 else np.flatnonzero(same)
-                position = np.searchsorted(starts_of[side], starts)
-                longer.append(numbered[side][position] * base + tokens[side][starts + n - 1])
-                kept.append(starts)
-            grams, starts_of = longer, kept
-            owners = [rows[side][kept[side]] for side in (0, 1)]
-        else:
-            starts_of = [np.arange(len(t)) for t in tokens]
-        out[f"match_{n}"] = clipped_matches(grams, owners, n_rows)
-    return pd.DataFrame(out, columns=OVERLAP.names)
-
-
-@F.pandas_udf(OVERLAP)
-def overlap_counts(predict: pd.Series, label: pd.Series) -> pd.DataFrame:
-    parts = [count_overlap(predict[i:i + ROWS_AT_ONCE], label[i:i + ROWS_AT_ONCE])
-             for i in range(0, len(predict), ROWS_AT_ONCE)]
-    return pd.concat(parts, ignore_index=True)
+# Words of one side compared at once: a table of bit sets of this many bits is what a pair needs besides its words.
+LCS_BLOCK = 8192
+
+
+# ---------------------------------------------------------------- longest common subsequence
+
+def lcs_length(a: list, b: list, block: int = LCS_BLOCK) -> int:
+    """Longest common subsequence, bit-parallel (Crochemore et al., 2001), a block of ``b`` at a time.
+
+    A block is one integer that every word of ``a`` updates by an addition. What the addition carries out of the
+    block, one bit per word of ``a``, goes into the next one, so the memory is that of ``a`` and one block.
+    """
+    carried, length = bytearray(len(a)), 0
+    for begin in range(0, len(b), block):
+        part = b[begin:begin + block]
+        where: dict = {}
+        for i, token in enumerate(part):
+            where[token] = where.get(token, 0) | (1 << i)
+        width = len(part)
+        full = (1 << width) - 1
+        row = full
+        for i, token in enumerate(a):
+            hit = where.get(token, 0) & row
+            if hit or carried[i]:
+                total = row + hit + carried[i]
+                carried[i] = total >> width
+                row = (total & full) | (row & ~where.get(token, 0))
+        length += width - row.bit_count()
+    return length
 
 
 @F.pandas_udf(T.IntegerType())
@@ -101,13 +53,61 @@ def common_subsequence(predict: pd.Series, label: pd.Series) -> pd.Series:
     return pd.Series([lcs_length(split_words(a or ""), split_words(b or "")) for a, b in zip(predict, label)], dtype="int32")
 
 
+# ---------------------------------------------------------------- n-grams
+
+def longer(grams: Column, words: Column, n: int) -> Column:
+    """Hashes of the runs of ``n`` words from those of ``n - 1`` and of the single words."""
+    many = F.greatest(F.size(words) - (n - 1), F.lit(0))
+    return F.zip_with(F.slice(grams, F.lit(1), many), F.slice(words, F.lit(n), many), lambda g, w: F.xxhash64(g, w))
+
+
+def repeats(ordered: Column) -> Column:
+    """Of items in order those that equal the one before: every item once less than it was there."""
+    return F.when(F.size(F.array_distinct(ordered)) < F.size(ordered), F.filter(ordered, lambda x, i: x == F.get(ordered, i - 1))) \
+        .otherwise(F.array().cast("array<bigint>"))
+
+
+def clipped_matches(a: Column, b: Column) -> Column:
+    """Items of one array found in the other, each at most as often as that has it, in one pass over both in order.
+
+    The lowest bit of an item tells its side, so equal items of ``a`` stand right before those of ``b``. The pass counts
+    those of ``a`` that are still free and takes one for every one of ``b``.
+    """
+    tagged = lambda items, side: F.transform(items, lambda x: x.bitwiseAND(F.lit(-2)).bitwiseOR(F.lit(side)))
+    both = F.sort_array(F.concat(tagged(a, 0), tagged(b, 1)))
+    start = F.struct(F.lit(0).cast("bigint").alias("item"), F.lit(0).alias("free"), F.lit(0).alias("found"))
+
+    def step(state: Column, x: Column) -> Column:
+        item, of_a = x.bitwiseAND(F.lit(-2)), x.bitwiseAND(F.lit(1)) == 0
+        free = F.when(state["item"] == item, state["free"]).otherwise(F.lit(0))
+        taken = ~of_a & (free > 0)
+        return F.struct(item.alias("item"), F.when(of_a, free + 1).when(taken, free - 1).otherwise(free).alias("free"),
+                        F.when(taken, state["found"] + 1).otherwise(state["found"]).alias("found"))
+    # Most texts share no repeated n-gram.
+    return F.when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0)).otherwise(F.aggregate(both, start, step, lambda state: state["found"]))
+
+
 def with_overlap(pairs: DataFrame) -> DataFrame:
     """Add ``overlap``: word counts and clipped n-gram matches of each pair.
 
-    The multisets need the two whole texts of one row and nothing else, so this is a row-local Arrow
-    step: exploding n-grams would shuffle several times the corpus instead.
+    The multisets need the two whole texts of one row and nothing else, so they are array expressions of the row:
+    exploding n-grams would shuffle several times the corpus instead. N-grams are 64-bit hashes; two of one pair are
+    taken for one by a chance of their number squared in 2^64. A match is a common n-gram, counted once by an
+    intersection of sets, and once more for each repeat that both sides have left.
     """
-    return pairs.withColumn("overlap", overlap_counts("predict", "label"))
+    sides = {"a": "predict", "b": "label"}
+    # One step after another, since Spark evaluates a column once that several later ones use.
+    rows = pairs.select("*", *(F.transform(F.coalesce(pieces(text), F.array().cast("array<string>")), lambda w: F.xxhash64(w)).alias(f"_1{side}")
+                               for side, text in sides.items()))
+    for n in range(2, MAX_NGRAM + 1):
+        rows = rows.select("*", *(longer(F.col(f"_{n - 1}{side}"), F.col(f"_1{side}"), n).alias(f"_{n}{side}") for side in sides))
+    each = range(1, MAX_NGRAM + 1)
+    rows = rows.select(*pairs.columns, F.size("_1a").alias("_na"), F.size("_1b").alias("_nb"),
+                       *(F.size(F.array_intersect(f"_{n}a", f"_{n}b")).alias(f"_m{n}") for n in each),
+                       *(F.sort_array(f"_{n}{side}").alias(f"_{n}{side}") for n in each for side in sides))
+    rows = rows.select(*pairs.columns, "_na", "_nb", *(f"_m{n}" for n in each), *(repeats(F.col(f"_{n}{side}")).alias(f"_{n}{side}") for n in each for side in sides))
+    matches = [(F.col(f"_m{n}") + clipped_matches(F.col(f"_{n}a"), F.col(f"_{n}b"))).alias(f"match_{n}") for n in each]
+    return rows.select(*pairs.columns, F.struct(F.col("_na").alias("n_predict"), F.col("_nb").alias("n_label"), *matches).alias("overlap"))
 
 
 def f1(match: Column, n_a: Column, n_b: Column) -> Column:
@@ -121,7 +121,7 @@ def text_scores(pairs: DataFrame, by: list[str], subsequence: bool = True) -> Da
 
     ``rouge_l`` is the one measure that is quadratic in a text; leave it out with ``subsequence=False``.
     """
-    o = {name: F.col(f"overlap.{name}") for name in OVERLAP.names}
+    o = {name: F.col(f"overlap.{name}") for name in ["n_predict", "n_label", *(f"match_{n}" for n in range(1, MAX_NGRAM + 1))]}
     sums = [F.sum(o[f"match_{n}"]).alias(f"_m{n}") for n in range(1, MAX_NGRAM + 1)]
     sums += [F.sum(F.greatest(o["n_predict"] - (n - 1), F.lit(0))).alias(f"_g{n}") for n in range(1, MAX_NGRAM + 1)]
     counted = with_overlap(pairs)

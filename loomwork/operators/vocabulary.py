@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
+from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwork.functions.text import col
-from loomwork.functions.tokenizers import PandasTokenizer
+from loomwork.functions.tokenizers import PandasTokenizer, Tokenizer
+from loomwork.operators.numbering import number_rows
 
 UNKNOWN_ID = 0
 # The one definition of a word border, for Column functions and for Python alike.
 BORDER = r"[ \t\n\x0B\f\r]+"
-# A vocabulary up to this size is looked up inside the rows' own tasks; a larger one is joined.
-LOCAL_PIECES = 2_000_000
+# The most frequent pieces, if short, are looked up in a broadcast table: at most FREQUENT x (FREQUENT_BYTES + 8) bytes.
+# None of the others can make a hot key.
+FREQUENT, FREQUENT_BYTES = 4096, 64
+# A dictionary up to this size may live in every Python worker.
+LOCAL_PIECES, LOCAL_BYTES = 200_000, 16 << 20
 
 
 def pieces(text: Column | str) -> Column:
@@ -31,60 +35,103 @@ def build_vocabulary(df: DataFrame, columns: list[str], size: int | None = None)
     """``(piece, id, n)``: all pieces, or the ``size`` most frequent; ids from 1 by count, then by piece.
 
     Counts combine on the map side, so a word that fills the corpus costs one row per task. Ids are places in
-    a total order: range partitions are sorted and numbered, each behind the rows of those before it.
+    a total order over range partitions; the numbered table is written down.
     """
     words = df.select(F.explode(F.concat(*(F.coalesce(pieces(c), F.array().cast("array<string>")) for c in columns)))
                       .alias("piece"))
     counted = words.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
-    order = [F.col("n").desc(), F.col("piece").asc()]
-    if size is not None:
-        counted = counted.orderBy(*order).limit(size)
-    # zipWithIndex numbers sorted partitions by their sizes: two passes, no row through one task.
-    numbered = counted.orderBy(*order).rdd.zipWithIndex().map(lambda x: (x[0]["piece"], x[1] + 1, x[0]["n"]))
-    return df.sparkSession.createDataFrame(numbered, "piece string, id bigint, n bigint")
+    numbered = number_rows(counted, [F.col("n").desc(), F.col("piece").asc()], "id").select("piece", F.col("id").cast("bigint"), "n")
+    return numbered if size is None else numbered.filter(F.col("id") <= size)
 
 
-def _pairs(vocabulary: DataFrame, limit: int) -> dict[str, int] | None:
-    """The vocabulary as a dictionary, or None above ``limit`` pieces: never more than that reaches the driver."""
-    rows = vocabulary.select("piece", "id").limit(limit + 1).collect()
-    return None if len(rows) > limit else {r["piece"]: r["id"] for r in rows}
+# ---------------------------------------------------------------- ids by join
 
+def _with_ids(rows: DataFrame, keys: list[str], vocabulary: DataFrame) -> DataFrame:
+    """Add ``_id`` to rows ``(keys, _pos, _piece)``. A piece that begins with a blank, which no word does, is a number as it is.
 
-def encode_words(df: DataFrame, key: str, text: str, vocabulary: DataFrame, local_pieces: int = LOCAL_PIECES) -> DataFrame:
-    """``(key, ids)``: pieces looked up in the vocabulary, unknown ones as 0, in text order.
+    The dictionary is joined, never held: its most frequent pieces as a broadcast table of bounded size, all others by a shuffle.
+    Rows that need none of the others go through that under names no piece has, evenly spread.
+    """
+    often = (F.col("id") <= FREQUENT) & (F.octet_length("piece") <= FREQUENT_BYTES)
+    first = vocabulary.filter(often).select(F.col("piece").alias("_often"), F.col("id").alias("_of_often"))
+    others = vocabulary.filter(~often).select(F.col("piece").alias("_other"), F.col("id").alias("_of_other"))
+    number = F.when(F.startswith("_piece", F.lit(" ")), F.substr("_piece", F.lit(2)).cast("bigint"))
+    known = rows.join(F.broadcast(first), F.col("_piece") == F.col("_often"), "left").withColumn("_id", F.coalesce("_of_often", number))
+    spread = F.concat(F.lit(" "), F.pmod(F.xxhash64(*keys, "_pos"), F.lit(1 << 16)))
+    wanted = known.withColumn("_wanted", F.when(F.col("_id").isNull() & F.col("_piece").isNotNull(), F.col("_piece")).otherwise(spread))
+    return wanted.join(others, F.col("_wanted") == F.col("_other"), "left").withColumn(
+        "_id", F.coalesce("_id", "_of_other", F.lit(UNKNOWN_ID)))
+
+
+def _in_order(*fields: str | Column) -> Column:
+    """The rows of a group by position; rows of texts without a piece have none."""
+    row = F.struct("_pos", *fields)
+    return F.sort_array(F.collect_list(F.when(F.col("_piece").isNotNull(), row)))
+
+
+def encode_words(df: DataFrame, key: str, text: str, vocabulary: DataFrame) -> DataFrame:
+    """``(key, ids)``: pieces looked up in the vocabulary, unknown ones as 0, in text order. ``key`` must be unique."""
+    rows = df.select(key, F.posexplode_outer(pieces(text)).alias("_pos", "_piece"))
+    found = _with_ids(rows, [key], vocabulary).groupBy(key).agg(_in_order("_id").alias("_rows"))
+    return found.select(key, F.transform("_rows", lambda r: r["_id"]).alias("ids"))
+
+
+@dataclass(frozen=True)
+class PieceTokenizer(Tokenizer):
+    """Pieces stand for their ids until ``look_up``; numbers of special tokens and masks are texts that begin with a blank."""
+
+    def constant(self, ids: list[int]) -> Column:
+        return F.array(*map(self.one, ids)) if ids else F.array().cast("array<string>")
+
+    def one(self, i: int) -> Column:
+        return F.lit(f" {i}")
+
+    def literal(self, text: str) -> Column:
+        words = split_words(text)
+        return F.array(*map(F.lit, words)) if words else F.array().cast("array<string>")
+
+    def encode(self, text: Column) -> Column:
+        return pieces(text)
 
-    Up to ``local_pieces`` pieces the lookup runs inside the rows' own tasks and no text is shuffled. Beyond, each
-    document's distinct pieces are joined to their ids, and the text is put together from that map.
+
+def look_up(encoded: DataFrame, keys: list[str], vocabulary: DataFrame) -> DataFrame:
+    """Examples of a ``PieceTokenizer`` with real ids. ``keys`` name an example; the cutoff bounds the rows it comes to.
+
+    Only pieces that are left after the cut are looked up. A label is a number or the id at its position.
+    """
+    both = F.transform(F.col("input_ids"), lambda p, i: F.struct(p.alias("piece"), F.get("labels", i).alias("label")))
+    rows = encoded.select(*keys, F.posexplode_outer(both).alias("_pos", "_both"))
+    label = F.when(F.startswith("_both.label", F.lit(" ")), F.substr("_both.label", F.lit(2)).cast("bigint"))
+    rows = rows.select(*keys, "_pos", F.col("_both.piece").alias("_piece"), label.alias("_label"))
+    found = _with_ids(rows, keys, vocabulary).groupBy(*keys).agg(_in_order("_id", F.coalesce("_label", "_id").alias("_label")).alias("_rows"))
+    return found.select(
+        *keys, F.transform("_rows", lambda r: r["_id"].cast("int")).alias("input_ids"),
+        F.transform("_rows", lambda r: r["_label"].cast("int")).alias("labels")).withColumn(
+        "attention_mask", F.array_repeat(F.lit(1), F.size("input_ids")))
+
+
+def encode_examples(encode: Callable[[Tokenizer], DataFrame], keys: list[str], vocabulary: DataFrame, **settings) -> DataFrame:
+    """``encode(tokenizer)`` with the ids of a vocabulary of any size, which no worker and no driver holds.
+
+    ``encode`` calls ``encode_sft`` or ``encode_conversations`` and keeps ``keys``. Special tokens follow the vocabulary.
     """
-    known = _pairs(vocabulary, local_pieces)
-    if known is not None:
-        shared = df.sparkSession.sparkContext.broadcast(known)
-
-        def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            ids = shared.value
-            for batch in batches:
-                found = [None if t is None else [ids.get(w, UNKNOWN_ID) for w in split_words(t)] for t in batch.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f or [] for f in found], pa.list_(pa.int64()))], [key, "ids"])
-
-        rows = df.select(key, col(text).alias("_text"))
-        kind = rows.schema[key].dataType.simpleString()
-        return rows.mapInArrow(look_up, f"`{key}` {kind}, ids array<bigint>")
-    rows = df.select(key, pieces(text).alias("_w"))
-    distinct = rows.select(key, F.explode(F.array_distinct("_w")).alias("piece"))
-    maps = distinct.join(vocabulary.select("piece", F.col("id").alias("_id")), "piece").groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct("piece", "_id"))).alias("_ids"))
-    found = F.transform("_w", lambda w: F.coalesce(F.col("_ids")[w], F.lit(UNKNOWN_ID)).cast("bigint"))
-    return rows.join(maps, key, "left").select(key, F.coalesce(found, F.array().cast("array<bigint>")).alias("ids"))
-
-
-def words_tokenizer(spark: SparkSession, vocabulary: DataFrame, max_pieces: int = LOCAL_PIECES, **settings) -> PandasTokenizer:
-    """The same vocabulary as a tokenizer for the encoder; special tokens follow the vocabulary.
-
-    A tokenizer's table lives in every Python worker, so it must fit there: ``max_pieces`` is checked, nothing is left out.
+    base = (vocabulary.agg(F.max("id")).first()[0] or 0) + 1
+    return look_up(encode(PieceTokenizer(base=base, **settings)), keys, vocabulary)
+
+
+# ---------------------------------------------------------------- ids by dictionary
+
+def words_tokenizer(spark: SparkSession, vocabulary: DataFrame, max_pieces: int = LOCAL_PIECES, max_bytes: int = LOCAL_BYTES,
+                    **settings) -> PandasTokenizer:
+    """A small vocabulary as a tokenizer that also decodes; special tokens follow the vocabulary.
+
+    Its table lives in every Python worker, so pieces and bytes are counted before any reach the driver; larger ones are
+    for ``encode_examples``.
     """
-    ids = _pairs(vocabulary, max_pieces)
-    if ids is None:
-        raise ValueError(f"more than {max_pieces} pieces do not fit a worker; count a smaller vocabulary or use encode_words")
+    n, size = vocabulary.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("piece")), F.lit(0))).first()
+    if n > max_pieces or size > max_bytes:
+        raise ValueError(f"{n} pieces of {size} bytes do not fit a worker; use encode_examples")
+    ids = {r["piece"]: r["id"] for r in vocabulary.select("piece", "id").collect()}
     shared = spark.sparkContext.broadcast(ids)
 
     def load():

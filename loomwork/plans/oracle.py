@@ -581,7 +581,21 @@ gen AS (
 """
 
 
-def score_sql(ctes: str, by: str, with_lcs: bool) -> str:
+# Longest common subsequences of long texts: for every length so far, the earliest end in b of a common subsequence of that length,
+# moved on word by word of a through the places of that word in b.
+LCS_BY_ENDS = """,
+places AS (SELECT id, word, list(place ORDER BY place) AS places FROM (
+  SELECT id, unnest(b) AS word, generate_subscripts(b, 1) AS place FROM tokens) GROUP BY id, word),
+asked AS (SELECT id, unnest(a) AS word, generate_subscripts(a, 1) AS i FROM tokens),
+steps AS (SELECT id, list(places ORDER BY i) AS steps FROM asked JOIN places USING (id, word) GROUP BY id),
+ends AS (SELECT id, len(list_reduce(list_concat([[]::BIGINT[]], steps), lambda ends, places: list_filter(
+  list_transform(range(1, len(ends) + 2), lambda k: least(coalesce(ends[k], 1000000000),
+    coalesce(list_min(list_filter(places, lambda p: p > coalesce(ends[k - 1], 0))), 1000000000))),
+  lambda e: e < 1000000000))) AS lcs FROM steps),
+lcs AS (SELECT id, coalesce(lcs, 0) AS lcs FROM tokens LEFT JOIN ends USING (id))"""
+
+
+def score_sql(ctes: str, by: str, with_lcs: bool, long_texts: bool = False) -> str:
     """``ctes`` must end in ``scored(id, by, predict, label)``."""
     grams = " UNION ALL ".join(
         f"SELECT id, {n} AS n, side, unnest(list_transform(range(1, len(words) - {n} + 2), lambda i: "
@@ -597,6 +611,8 @@ steps AS (
              CASE WHEN j > 1 AND b[j - 1] = a[i + 1] THEN row[j - 1] + 1 ELSE row[j] END) AS cand
     FROM steps WHERE i < len(a))),
 lcs AS (SELECT id, row[len(row)] AS lcs FROM steps WHERE i = len(a))"""
+    if long_texts:
+        lcs = LCS_BY_ENDS
     rouge_l = ("round(avg(coalesce(2.0 * lcs / nullif(np + nl, 0), 0)), 9) AS rouge_l," if with_lcs else "")
     lcs_join = "JOIN lcs USING (id)" if with_lcs else ""
     return f"""WITH {'RECURSIVE' if with_lcs else ''} {ctes},
@@ -635,6 +651,7 @@ SCORING = {
 SELECT conv_id, t, CAST(g AS INTEGER) AS n_generated, CAST(l AS INTEGER) AS n_labels,
   array_to_string(list_concat(generated, list_transform(range(len(generated), g), lambda i: {TOK.pad_id})), ' ') AS generated FROM goals""",
     "text_scores": score_sql(CONV_SCORED, "run", True),
+    "document_scores": score_sql(DOC_SCORED, "lang", True, long_texts=True),
     "document_ngram_scores": score_sql(DOC_SCORED, "lang", False),
     "score_runs": f"""SELECT run, CAST(CAST(round(rouge_l * 100) AS INTEGER) AS VARCHAR) AS score
 FROM ({score_sql(CONV_SCORED, "run", True)})""",

@@ -16,7 +16,7 @@ from loomwork.operators import (batching, conversations, encode, ingest, predict
                                 telemetry, timeseries, vocabulary)
 from loomwork.plans import tables as t
 from loomwork.session import scratch_path
-from loomwork.sources import logs, plugins, sft
+from loomwork.sources import appends, logs, plugins, sft
 from loomwork.streaming import jobs as streams
 from loomwork.streaming import tables as versions
 
@@ -100,8 +100,9 @@ def preview(spark, sf):
 def encode_words(spark, sf):
     """Conversations in ids of a vocabulary counted from all messages."""
     rows = t.messages(spark, sf)
-    tok = vocabulary.words_tokenizer(spark, vocabulary.build_vocabulary(rows, ["text"]))
-    return flat_encoded(encode.encode_conversations(rows, "vanilla", 64, tok), "conv_id")
+    vocab = vocabulary.build_vocabulary(rows, ["text"])
+    encoded = vocabulary.encode_examples(lambda tok: encode.encode_conversations(rows, "vanilla", 64, tok), ["conv_id"], vocab)
+    return flat_encoded(encoded, "conv_id")
 
 
 def token_quantiles(spark, sf):
@@ -289,8 +290,8 @@ def append_absent(spark, sf):
     path = scratch_path(spark, "checkpoints")
     rows = checkpoints(spark, sf).withColumn("namespace", F.lit("default"))
     for _ in range(2):
-        logs.append_absent(spark, rows, path)
-    return spark.read.parquet(path).groupBy("dataset").agg(F.count(F.lit(1)).alias("n_checkpoints"))
+        appends.append_absent(spark, rows, path)
+    return appends.read_table(spark, path, rows.schema).groupBy("dataset").agg(F.count(F.lit(1)).alias("n_checkpoints"))
 
 
 def create_if_absent(spark, sf):
@@ -674,11 +675,24 @@ def stream_eval_logs(spark, sf):
                        "epoch", "percentage", "elapsed_time", "remaining_time")
 
 
+def arriving_events(spark, sf, hours: int = 12) -> DataFrame:
+    """The events in six files by the time they arrive, which is up to ``hours`` behind their own time; one file per micro-batch."""
+    folder = scratch_path(spark, "arriving-events")
+    arrival = F.unix_micros(F.col("ts").cast("timestamp")) + F.pmod(F.xxhash64("event_id"), F.lit(hours * 3_600_000_000))
+    events = t.table(spark, sf, "events").withColumn("_arrival", arrival)
+    begin, end = events.agg(F.min("_arrival"), F.max("_arrival")).first()
+    step = ((end or 0) - (begin or 0)) // 6 + 1
+    for i in range(6):  # files are read in the order they were written
+        part = events.filter(F.floor((F.col("_arrival") - F.lit(begin)) / step) == i).drop("_arrival")
+        part.coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
 def stream_state_changes(spark, sf):
     folder = scratch_path(spark, "stream-changes")
-    events = event_stream(spark, sf)
+    events = arriving_events(spark, sf)
     what = ("user_id", "ts", ["event_type"])
-    _drain(streams.stream_state_changes(events, *what, f"{folder}/out", f"{folder}/checkpoint", "400 days"))
+    _drain(streams.stream_state_changes(events, *what, f"{folder}/out", f"{folder}/checkpoint", "13 hours"))
     rows, _ = streams.read_changes(spark, f"{folder}/out", events.schema, *what)
     return rows.select("user_id", F.unix_micros("ts").alias("us"), "event_type", F.col("previous_event_type").alias("previous"))
 

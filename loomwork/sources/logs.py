@@ -1,12 +1,11 @@
-"""Log streams, predictions and time series on disk; idempotent registry appends."""
+"""Log streams, predictions and time series on disk."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from loomwork import schemas
-from loomwork.operators import registry, telemetry
-from loomwork.session import path_exists
+from loomwork.operators import telemetry
 
 # Folder and names of the two log streams and of the predictions.
 WATCH = "watch"
@@ -47,10 +46,3 @@ def write_timeseries(series: DataFrame, path: str, mode: str = "append") -> None
 
 def read_timeseries(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.TIME_SERIES).parquet(path)
-
-
-def append_absent(spark: SparkSession, desired: DataFrame, path: str, keys: list[str] = registry.KEY) -> None:
-    """Append the registry rows whose key is not in the table at ``path``; running it twice adds nothing."""
-    existing = spark.read.schema(desired.schema).parquet(path) if path_exists(spark, path) \
-        else spark.createDataFrame([], desired.schema)
-    registry.create_if_absent(existing, desired, keys).write.mode("append").parquet(path)

@@ -1,6 +1,7 @@
 """Sources, ingest, shards, batches, predictions."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -114,10 +115,55 @@ def test_words_tokenizer(spark):
     assert row.input_ids == [2, 1, 1, 0, 3] and row.labels == [-100, -100, 1, 0, 3]
     whole = vocabulary.build_vocabulary(df, ["text"])
     assert sorted(map(tuple, whole.collect())) == [("a", 2, 2), ("b", 1, 3), ("c", 3, 1)]
-    joined = {r.id: r.ids for r in vocabulary.encode_words(df, "id", "text", whole, local_pieces=1).collect()}
+    joined = {r.id: r.ids for r in vocabulary.encode_words(df, "id", "text", whole).collect()}
     assert joined == {1: [1, 2, 1], 2: [3, 2, 1], 3: [], 4: []}
+    for limit in ({"max_pieces": 2}, {"max_bytes": 2}):
+        with pytest.raises(ValueError):
+            vocabulary.words_tokenizer(spark, whole, **limit)
+
+
+@pytest.mark.parametrize("frequent", [0, 3, 4096])
+@pytest.mark.parametrize("template", ["vanilla", "chatml", "baichuan2", "xverse"])
+def test_a_dictionary_nobody_holds_gives_the_same_examples(spark, monkeypatch, template, frequent):
+    """Over ten pieces no worker may hold them; with the join the ids are those of the tokenizer that does."""
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(40)] + ["Human:", "wörter", "x" * 200]
+    rows = [(c, t, "user" if t % 2 == 0 else "assistant", " ".join(rng.choice(words) for _ in range(rng.randrange(30))) or "w1")
+            for c in range(12) for t in range(2 * rng.randrange(1, 5))]
+    rows += [(99, 0, "user", "\t \n"), (99, 1, "assistant", "a third of all rows has this word " + "w0 " * 300)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string")
+    monkeypatch.setattr(vocabulary, "FREQUENT", frequent)
+    vocab = vocabulary.build_vocabulary(df.filter("conv_id % 3 <> 1"), ["text"])  # the others hold unknown pieces
     with pytest.raises(ValueError):
-        vocabulary.words_tokenizer(spark, whole, max_pieces=2)
+        vocabulary.words_tokenizer(spark, vocab, max_pieces=10)
+    encoded = lambda tok: encode.encode_conversations(df, template, 48, tok)
+    as_rows = lambda out: sorted(map(str, out.select("conv_id", "input_ids", "labels", "attention_mask").collect()))
+    assert as_rows(vocabulary.encode_examples(encoded, ["conv_id"], vocab)) == as_rows(encoded(vocabulary.words_tokenizer(spark, vocab)))
+
+
+def test_examples_of_nested_rows_and_of_nothing(spark):
+    df = spark.createDataFrame([(1, "a b", "b z", [("b", "a")]), (2, " \n", "a", []), (3, "a", "a", None)],
+                               "id int, query string, response string, history array<struct<query:string,response:string>>")
+    vocab = vocabulary.build_vocabulary(df, ["query", "response"])
+    for settings in ({}, {"bos": None}):
+        encoded = lambda tok: encode.encode_sft(df.drop("history"), "vanilla", 16, tok, keep=["id"])
+        want = encoded(vocabulary.words_tokenizer(spark, vocab, **settings)).collect()
+        got = vocabulary.encode_examples(encoded, ["id"], vocab, **settings).collect()
+        assert sorted((r.id, r.input_ids, r.labels) for r in got) == sorted((r.id, r.input_ids, r.labels) for r in want)
+    nested = vocabulary.encode_examples(lambda tok: encode.encode_sft(df, "llama2", 64, tok, keep=["id"]), ["id"], vocab).collect()
+    assert sorted(r.id for r in nested) == [1, 2, 3] and all(len(r.input_ids) == len(r.labels) for r in nested)
+    empty = vocabulary.build_vocabulary(df.limit(0), ["query"])
+    assert empty.count() == 0 and vocabulary.encode_words(df, "id", "query", empty).filter("exists(ids, x -> x <> 0)").count() == 0
+
+
+def test_vocabulary_is_numbered_in_order_without_rdds(spark):
+    rows = [(" ".join(f"w{i}" for i in range(200) if k % (i + 1) == 0),) for k in range(1, 400)]
+    df = spark.createDataFrame(rows, "text string").repartition(6)
+    vocab = vocabulary.build_vocabulary(df, ["text"])
+    got = [(r.n, r.piece) for r in sorted(vocab.collect(), key=lambda r: r.id)]
+    assert got == sorted(got, key=lambda r: (-r[0], r[1])) and sorted(r.id for r in vocab.collect()) == list(range(1, len(got) + 1))
+    assert vocabulary.build_vocabulary(df, ["text"], 5).count() == 5
+    assert "ExistingRDD" not in vocab.select("piece")._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_a_word_is_the_same_everywhere(spark):
@@ -129,6 +175,5 @@ def test_a_word_is_the_same_everywhere(spark):
     ids = {r.piece: r.id for r in vocab.collect()}
     tok = vocabulary.words_tokenizer(spark, vocab, bos=None)
     by_tokenizer = {r.id: r.ids for r in df.select("id", tok.encode(F.col("text")).alias("ids")).collect()}
-    for local in (100, 1):
-        by_column = {r.id: r.ids for r in vocabulary.encode_words(df, "id", "text", vocab, local_pieces=local).collect()}
-        assert by_column == by_tokenizer == {i: [ids[w] for w in found] for i, found in words.items()}
+    by_column = {r.id: r.ids for r in vocabulary.encode_words(df, "id", "text", vocab).collect()}
+    assert by_column == by_tokenizer == {i: [ids[w] for w in found] for i, found in words.items()}

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from loomwork.operators import registry, rollup, scoring
 from loomwork.schemas import DATASETS, EXPERIMENTS, HYPERPARAMETERS, JOBS, MODELS, RUNS
-from loomwork.sources import logs
+from loomwork.sources import appends
 
 BASE = dict(scheduler="cosine", optimizer="adamw", int4=True, int8=True, lora_r="8", lora_alpha="32", lora_dropout="0.1",
             learning_rate="1e-4", epochs=3, block_size=512, batch_size=4, warmup_ratio="0", weight_decay="0",
@@ -61,11 +61,46 @@ def test_checkpoints_are_created_once(spark, tables, tmp_path):
     assert made.first().hyperparameter.spec.parameters.epochs == 3
     path = str(tmp_path / "checkpoints")
     for _ in range(2):
-        logs.append_absent(spark, made, path)
-        assert spark.read.parquet(path).count() == 2
+        appends.append_absent(spark, made, path)
+        assert appends.read_table(spark, path, made.schema).count() == 2
     more = made.unionByName(made.withColumn("name", F.concat("name", F.lit("x"))))
-    logs.append_absent(spark, more.unionByName(more), path)
-    assert spark.read.parquet(path).count() == 4
+    appends.append_absent(spark, more.unionByName(more), path)
+    assert appends.read_table(spark, path, made.schema).count() == 4
+
+
+def named(spark, names):
+    return spark.createDataFrame([("ns", n, i) for i, n in enumerate(names)], "namespace string, name string, value int")
+
+
+@pytest.mark.parametrize("others", [["b", "c"], ["x"], ["a", "b"]])
+def test_interleaved_appends_add_each_key_once(spark, tmp_path, monkeypatch, others):
+    """The second writer runs from start to end between the first one's rows and its claim, twice."""
+    path, plain = str(tmp_path / "t"), appends.claim
+    appends.append_absent(spark, named(spark, ["old"]), path)
+    rounds = [others, ["late"]]
+
+    def claim(session, *what):
+        monkeypatch.setattr(appends, "claim", plain)
+        if rounds:
+            appends.append_absent(session, named(session, rounds.pop(0)), path)
+            if rounds:
+                monkeypatch.setattr(appends, "claim", claim)
+        return plain(session, *what)
+    monkeypatch.setattr(appends, "claim", claim)
+    wanted = named(spark, ["a", "b", "old", "late"])
+    assert appends.append_absent(spark, wanted, path) == 3
+    rows = [r.name for r in appends.read_table(spark, path, wanted.schema).collect()]
+    assert sorted(rows) == sorted({"old", "a", "b", "late", *others})
+
+
+def test_a_number_is_claimed_once_and_lost_writers_leave_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    named(spark, ["lost"]).write.parquet(f"{path}/rows/lost")
+    appends.claim(spark, path, 0, "x")
+    with pytest.raises(appends.Taken):
+        appends.claim(spark, path, 0, "y")
+    assert [p.rsplit("/", 1)[1] for p in appends.committed(spark, path)] == ["x"]
+    assert [p.name for p in (tmp_path / "t" / "_commits").iterdir()] == ["000000000000"]
 
 
 def test_references(spark, tables):
@@ -198,17 +233,38 @@ def test_lcs_and_matches_against_brute_force():
         assert scoring.lcs_length(a, b) == slow_lcs(a, b)
 
 
-def test_matches_against_brute_force():
+@pytest.mark.parametrize("block", [1, 7, 64, 1000])
+def test_lcs_does_not_depend_on_the_blocks(block):
+    import random
+    rng = random.Random(4)
+    for _ in range(60):
+        a, b = ([rng.choice("abcde") for _ in range(rng.randrange(120))] for _ in range(2))
+        assert scoring.lcs_length(a, b, block) == slow_lcs(a, b)
+
+
+def test_lcs_of_two_long_texts_needs_one_block_at_a_time():
     import random
+    import tracemalloc
+    rng = random.Random(5)
+    a, b = ([rng.randrange(40_000) for _ in range(40_000)] for _ in range(2))
+    tracemalloc.start()
+    length = scoring.lcs_length(a, b)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert length == scoring.lcs_length(a, b, 50_000) and peak < 16 << 20
+
 
-    import pandas as pd
+def test_matches_against_brute_force(spark):
+    import random
     rng = random.Random(2)
     texts = [" ".join(rng.choice("abc") for _ in range(rng.randrange(12))) for _ in range(400)]
-    pred, label = pd.Series([None, "", "a", *texts[:200]]), pd.Series(["a", "", "a", *texts[200:]])
-    got = scoring.count_overlap(pred, label)
-    for i, (p, r) in enumerate(zip(pred, label)):
+    pairs = list(zip([None, "", "a", *texts[:200]], ["a", "", "a", *texts[200:]]))
+    df = spark.createDataFrame([(i, p, r) for i, (p, r) in enumerate(pairs)], "id int, predict string, label string")
+    rows = scoring.with_overlap(df).orderBy("id").collect()
+    for row, (p, r) in zip(rows, pairs):
+        got = row.overlap
         a, b = (p or "").split(), (r or "").split()
-        assert (got.n_predict[i], got.n_label[i]) == (len(a), len(b))
+        assert (got.n_predict, got.n_label) == (len(a), len(b))
         for n in range(1, 5):
             left = [tuple(b[j:j + n]) for j in range(len(b) - n + 1)]
             hits = 0
@@ -216,9 +272,7 @@ def test_matches_against_brute_force():
                 if tuple(a[j:j + n]) in left:
                     left.remove(tuple(a[j:j + n]))
                     hits += 1
-            assert got[f"match_{n}"][i] == hits
-    empty = scoring.count_overlap(pd.Series([""]), pd.Series([None]))
-    assert empty.iloc[0].tolist() == [0] * 6
+            assert got[f"match_{n}"] == hits
 
 
 def test_document_scores_against_brute_force(spark):
