@@ -215,6 +215,7 @@ SELECT conv_id % 4 AS part, count(*) AS n_examples, CAST(sum(len(ids)) AS BIGINT
   concat(list_sort(list(len(ids)))[CAST(ceil(count(*) * 0.5) AS BIGINT)], ' ', list_sort(list(len(ids)))[CAST(ceil(count(*) * 0.9) AS BIGINT)]) AS quantiles
 FROM examples GROUP BY part""",
     "dataset_plugin": f"WITH {SFT} SELECT doc_id, query, response FROM built WHERE query <> '' AND response <> ''",
+    "feed_source": f"WITH {SFT} SELECT doc_id, query, response FROM built WHERE query <> '' AND response <> ''",
     "encode_bytes": conversation_sql("llama2", 256, "utf8_bytes") + FLAT.format(key="conv_id"),
     "encode_oneturn": oneturn_sql(),
     "render_chat": render_sql(),
@@ -320,15 +321,17 @@ jobs AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY owner_experiment ORDER BY points DESC, name) AS rank FROM jobs)
 """
 
-# Experiments list up to three orders; a listed one that does not exist is neither successful nor failed.
-EXPERIMENTS = """
-listed AS (SELECT c_custkey, c_custkey * 11 + i AS job FROM customer, range(0, 3) r(i) WHERE i < c_custkey % 4),
-voted AS (SELECT l.c_custkey, bool_and(o_orderstatus IS NOT DISTINCT FROM 'F') AS good, bool_and(o_orderstatus IS NOT DISTINCT FROM 'O') AS bad
-          FROM listed l LEFT JOIN orders ON o_orderkey = job GROUP BY l.c_custkey),
+# Orders list all their line items; a listed job that does not exist is neither successful nor failed.
+EXPERIMENTS = f"""
+{JOBS.strip()},
+listed AS (SELECT l_orderkey AS o_orderkey, concat('job-', {LINE_KEY}) AS job FROM lineitem
+           UNION ALL SELECT o_orderkey, 'job-none' FROM orders WHERE o_orderkey % 11 = 0),
+voted AS (SELECT l.o_orderkey, bool_and(state IS NOT DISTINCT FROM 'SUCCESSFUL') AS good, bool_and(state IS NOT DISTINCT FROM 'FAILED') AS bad
+          FROM listed l LEFT JOIN jobs ON jobs.name = job GROUP BY l.o_orderkey),
 states AS (
-  SELECT customer.c_custkey, concat('exp-', customer.c_custkey) AS name,
-         CASE WHEN c_nationkey = 7 THEN 'PENDING' WHEN good THEN 'SUCCESS' WHEN bad THEN 'FAILED' ELSE 'PROCESSING' END AS state
-  FROM customer LEFT JOIN voted USING (c_custkey))
+  SELECT orders.o_orderkey, concat('exp-', orders.o_orderkey) AS name,
+         CASE WHEN o_orderpriority = '5-LOW' THEN 'PENDING' WHEN good THEN 'SUCCESS' WHEN bad THEN 'FAILED' ELSE 'PROCESSING' END AS state
+  FROM orders LEFT JOIN voted USING (o_orderkey))
 """
 
 REFERENCES = f"""
@@ -430,14 +433,13 @@ SELECT name, state, state = 'SERVE' AND up AS serving, state = 'BUILDIMAGE' AND
     "rollup_experiments": f"WITH {EXPERIMENTS} SELECT name, state FROM states",
     "rank_jobs": f"WITH {JOBS} SELECT owner_experiment, name, points, rank FROM ranked",
     "top_runs": f"WITH {JOBS} SELECT owner_experiment, name, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 2",
-    "best_version": f"""WITH {EXPERIMENTS}, placed AS (
-  SELECT s.name AS experiment, o.*, row_number() OVER (PARTITION BY s.name ORDER BY
-           CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE o_orderkey % 3 END DESC, concat('job-', o_orderkey)) AS place
-  FROM states s JOIN listed l USING (c_custkey) JOIN orders o ON o_orderkey = job WHERE s.state = 'SUCCESS')
-SELECT experiment, concat('job-', o_orderkey) AS job, CASE WHEN o_orderkey % 5 = 0 THEN 'n/a' ELSE CAST(o_orderkey % 3 AS VARCHAR) END AS score,
-  concat('img-', o_orderkey) AS image, CASE WHEN o_orderkey % 9 <> 0 THEN concat('m-', o_custkey % 27) END AS model,
-  CASE WHEN o_orderkey % 9 <> 0 THEN concat('hp-', o_custkey) END AS hyperparameter,
-  CASE WHEN o_orderkey % 9 <> 0 THEN concat('ds-', o_orderpriority) END AS dataset FROM placed WHERE place = 1""",
+    "best_version": f"""WITH {EXPERIMENTS}, {RUNS}, placed AS (
+  SELECT s.name AS experiment, jobs.name AS job, jobs.score, jobs.image, concat('run-', substr(jobs.name, 5)) AS run,
+         row_number() OVER (PARTITION BY s.name ORDER BY points DESC, jobs.name) AS place
+  FROM states s JOIN listed l USING (o_orderkey) JOIN jobs ON jobs.name = l.job WHERE s.state = 'SUCCESS')
+SELECT experiment, job, score, image, CASE WHEN mo <> 0 THEN concat('m-', mo) END AS model,
+  CASE WHEN mo <> 0 THEN concat('hp-', hp) END AS hyperparameter, CASE WHEN mo <> 0 THEN concat('ds-', ds) END AS dataset
+FROM placed JOIN runs ON runs.name = run WHERE place = 1""",
     "job_status_list": """SELECT concat('exp-', c_custkey) AS name,
   string_agg(concat('job-', c_custkey * 10 + 9 - i, '=', coalesce(o_orderstatus, '')), ',' ORDER BY i) AS jobs_status
 FROM customer, range(0, 10) r(i) LEFT JOIN orders ON o_orderkey = c_custkey * 10 + 9 - i GROUP BY c_custkey""",

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow.dataset as pa_dataset
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -119,6 +121,27 @@ def dataset_plugin(spark, sf):
     return ingest.filter_valid(ingest.build_examples(rows, ["doc_id"])).select("doc_id", "query", "response")
 
 
+def _row_groups(path: str) -> list:
+    """A feed's parts: row groups of a Parquet table that Python opens, cut so that no part has more than 256 rows."""
+    files = pa_dataset.dataset(path, format="parquet").files
+    return [[f, g, at] for f in files for g in range(pq.ParquetFile(f).num_row_groups)
+            for at in range(0, pq.ParquetFile(f).metadata.row_group(g).num_rows, 256)]
+
+
+def _read_row_group(path: str, part: list):
+    name, group, at = part
+    table = pq.ParquetFile(name).read_row_group(group, columns=["doc_id", "text", "lang", "source"])
+    yield from table.slice(at, 256).to_batches()
+
+
+def feed_source(spark, sf):
+    """Documents through a feed, a format of the session's own with a partitioned reader, to instruction rows."""
+    plugins.register_feed(spark, "row_groups", plugins.Feed("doc_id bigint, text string, lang string, source string", _row_groups, _read_row_group))
+    docs = spark.read.format("row_groups").option("parameters", f"{sf}/documents.parquet").load()
+    rows = ingest.map_columns(t.instructions(docs), {"instruction": "question", "response": "answer"})
+    return ingest.filter_valid(ingest.build_examples(rows, ["doc_id"])).select("doc_id", "query", "response")
+
+
 def encode_bytes(spark, sf):
     return flat_encoded(
         encode.encode_conversations(t.messages(spark, sf), "llama2", 256, "utf8_bytes"), "conv_id")
@@ -367,7 +390,7 @@ def rollup_jobs(spark, sf):
 
 
 def rollup_experiments(spark, sf):
-    return rollup.rollup_experiments(t.experiments_of_orders(spark, sf), t.scored_orders(spark, sf)).select("name", "state")
+    return rollup.rollup_experiments(t.experiments_of_orders(spark, sf), t.jobs(spark, sf)).select("name", "state")
 
 
 def rank_jobs(spark, sf):
@@ -379,7 +402,8 @@ def top_runs(spark, sf):
 
 
 def best_version(spark, sf):
-    rows = rollup.best_version(t.experiments_of_orders(spark, sf), t.scored_orders(spark, sf), t.runs_of_orders(spark, sf))
+    runs = t.runs(spark, sf).filter("model <> 'm-0'")  # the runs of some jobs are gone
+    rows = rollup.best_version(t.experiments_of_orders(spark, sf), t.jobs(spark, sf), runs)
     return rows.drop("namespace")
 
 
@@ -756,7 +780,7 @@ QUERIES: dict[str, Query] = {
     f"encode_{name}": in_utc(encode_with(name)) for name in TEMPLATES
 } | {q.__name__: in_utc(q) for q in (
     pair_turns, assemble_conversations, encode_nested, nested_source, encode_long, encode_long_nested, preview, encode_words, token_quantiles,
-    dataset_plugin, encode_bytes, encode_oneturn, render_chat, decode_labels,
+    dataset_plugin, feed_source, encode_bytes, encode_oneturn, render_chat, decode_labels,
     word_ids, sft_examples, read_splits, sft_rejects, encode_documents, corpus_stats, shard_plan, assign_batches, collate,
     resolve_splits, features, resolve_runs, merge_overrides, run_configs, missing_deps, validate_runs, checkpoints,
     append_absent, create_if_absent, references, add_references, drop_reference, with_owner, first_by, text_functions,

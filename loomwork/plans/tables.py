@@ -21,7 +21,11 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def instruction_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First line as the question, the rest as the answer, the source as extra text unless English."""
-    return table(spark, sf_dir, "documents").selectExpr(
+    return instructions(table(spark, sf_dir, "documents"))
+
+
+def instructions(docs: DataFrame) -> DataFrame:
+    return docs.selectExpr(
         "doc_id", "lang", "source",
         "substring_index(text, '\n', 1) AS question",
         "substr(text, length(substring_index(text, '\n', 1)) + 2) AS answer",
@@ -160,26 +164,12 @@ def listed_experiments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def experiments_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers as experiments of none to three orders; some of those do not exist."""
-    return table(spark, sf_dir, "customer").selectExpr(
-        "'default' AS namespace", "concat('exp-', c_custkey) AS name", "c_nationkey = 7 AS pending",
-        "CASE WHEN c_nationkey < 8 THEN '' WHEN c_nationkey < 12 THEN 'PENDING' ELSE 'PROCESSING' END AS state",
-        "transform(slice(array(0, 1, 2), 1, cast(c_custkey % 4 AS int)), i -> concat('job-', c_custkey * 11 + i)) AS jobs")
-
-
-def scored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as jobs with a result."""
-    return table(spark, sf_dir, "orders").selectExpr(
-        "'default' AS namespace", "concat('job-', o_orderkey) AS name", "concat('run-', o_orderkey) AS run",
-        "CASE WHEN o_orderstatus = 'F' THEN 'SUCCESSFUL' WHEN o_orderstatus = 'O' THEN 'FAILED' ELSE 'SERVE' END AS state",
-        "CASE WHEN o_orderkey % 5 = 0 THEN 'n/a' ELSE cast(o_orderkey % 3 AS string) END AS score", "concat('img-', o_orderkey) AS image")
-
-
-def runs_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The runs of those jobs; every ninth is gone."""
-    return table(spark, sf_dir, "orders").filter("o_orderkey % 9 <> 0").selectExpr(
-        "'default' AS namespace", "concat('run-', o_orderkey) AS name", "concat('m-', o_custkey % 27) AS model",
-        "concat('hp-', o_custkey) AS hyperparameter", "concat('ds-', o_orderpriority) AS dataset")
+    """Orders as experiments that list all their line items as jobs; every eleventh lists one more that does not exist."""
+    lists = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.expr(f"sort_array(collect_list(concat('job-', {LINE_KEY})))").alias("jobs"))
+    return table(spark, sf_dir, "orders").join(lists, F.col("o_orderkey") == F.col("l_orderkey"), "left").selectExpr(
+        "'default' AS namespace", "concat('exp-', o_orderkey) AS name", "o_orderpriority = '5-LOW' AS pending",
+        "CASE WHEN o_orderstatus = 'O' THEN '' WHEN o_orderstatus = 'P' THEN 'PENDING' ELSE 'PROCESSING' END AS state",
+        "concat(coalesce(jobs, array()), CASE WHEN o_orderkey % 11 = 0 THEN array('job-none') ELSE array() END) AS jobs")
 
 
 def order_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,6 +35,17 @@ def build_session(app: str = "loomwork", master: str | None = None, shuffle_part
     return builder.getOrCreate()
 
 
+def bound_batches(spark: SparkSession, size: int = 4 << 20) -> None:
+    """Let rows cross to Python workers at most ``size`` bytes at a time, for this session, unless it asks for less.
+
+    Spark counts rows only unless told otherwise, and ten thousand whole texts are a large part of a worker's memory, on both sides.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    given = spark.conf.get(name).lower().removesuffix("b")
+    if not given.isdigit() or int(given) > size:
+        spark.conf.set(name, str(size))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -103,6 +103,42 @@ def test_predictions(spark, tmp_path):
     assert logs.read_predictions(spark, str(tmp_path)).count() == 2
 
 
+def test_a_feed_is_read_in_parts_and_followed(spark, tmp_path):
+    def parts(folder):  # inside, so that workers get them by value
+        from pathlib import Path
+        return sorted(str(p) for p in Path(folder).glob("*.log"))
+
+    def lines(folder, name):
+        import pyarrow as pa
+        with open(name) as f:
+            found = f.read().splitlines()
+        yield pa.RecordBatch.from_pydict({"uid": [name.rsplit("/", 1)[1]] * len(found), "line": found})
+
+    plugins.register_feed(spark, "log_folder", plugins.Feed("uid string, line string", parts, lines))
+    for i in range(3):
+        (tmp_path / f"{i}.log").write_text(f"first {i}\nsecond {i}\n")
+    rows = plugins.load_dataset(spark, "log_folder", str(tmp_path))
+    assert rows.rdd.getNumPartitions() == 3 and sorted(r.line for r in rows.collect()) == sorted(f"{w} {i}" for w in ("first", "second") for i in range(3))
+    assert rows.filter("uid = '1.log'").select("line").count() == 2
+    empty = tmp_path / "empty"
+    empty.mkdir()
+    assert plugins.load_dataset(spark, "log_folder", str(empty)).count() == 0
+    stream = spark.readStream.format("log_folder").option("parameters", str(tmp_path)).option("maxPartsPerTrigger", 2).load()
+    seen = []
+
+    def follow():
+        # Python sources know no trigger that drains and stops.
+        query = stream.writeStream.foreachBatch(lambda df, i: seen.append(sorted(r.line for r in df.collect()))) \
+            .option("checkpointLocation", str(tmp_path / "checkpoint")).start()
+        query.processAllAvailable()
+        query.stop()
+    follow()
+    (tmp_path / "3.log").write_text("late\n")
+    follow()
+    assert sorted(x for batch in seen for x in batch) == sorted(["late", *(f"{w} {i}" for w in ("first", "second") for i in range(3))])
+    assert max(map(len, seen)) <= 4
+
+
 def test_words_tokenizer(spark):
     df = spark.createDataFrame([(1, "b a  b"), (2, "c a b"), (3, ""), (4, None)], "id int, text string")
     vocab = vocabulary.build_vocabulary(df, ["text"], 2).persist()

@@ -10,6 +10,8 @@ SF = "/root/testdata/sf0.001"
 
 # The longest common subsequence alone runs in Python.
 SCORED = {"text_scores", "document_scores", "score_runs"}
+# Its reader is Python; what follows is not.
+FED = {"feed_source"}
 # One row, or one row per list of queries that is at most as long as its limit.
 ONE_ROW = {"preview"}
 
@@ -19,7 +21,7 @@ def test_plan(spark, name):
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert name in ONE_ROW or "SinglePartition" not in plan
-    assert name in SCORED or not any(x in plan for x in ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "MapInArrow"))
+    assert name in SCORED | FED or not any(x in plan for x in ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "MapInArrow"))
 
 
 @pytest.mark.parametrize("name", ["word_ids", "downsample", "best_version", "references"])
