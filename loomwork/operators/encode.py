@@ -499,3 +499,36 @@ def corpus_stats(df: DataFrame, by: list[str], cutoff: int = DEFAULT_CUTOFF,
     if quantiles:
         aggs.append(F.percentile_approx(n, quantiles).alias("token_quantiles"))
     return df.groupBy(*by).agg(*aggs)
+
+
+# ---------------------------------------------------------------- statistics that add up
+
+# Fixed value: the size parameter of the length sketches; ranks are off by about 1.33 % of the rows at most, with 99 % certainty.
+SKETCH_K, RANK_ERROR = 200, 0.0133
+
+
+def shard_stats(df: DataFrame, by: list[str], cutoff: int = DEFAULT_CUTOFF) -> DataFrame:
+    """``corpus_stats`` of one shard in a form that adds up: counts, maxima and a quantile sketch of the lengths per group.
+
+    Written beside each shard, it lets ``merge_stats`` tell the statistics of any set of shards without reading them again.
+    """
+    if "input_ids" in df.columns:
+        df = df.select(*by, F.size("input_ids").alias("n_tokens"), arrays.count_unmasked("labels").alias("n_targets"))
+    n, targets = F.col("n_tokens").cast("bigint"), F.col("n_targets").cast("bigint")
+    return df.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_examples"), F.sum(n).alias("n_tokens"), F.max(n).alias("max_tokens"), F.sum(targets).alias("n_targets"),
+        F.max(targets).alias("max_targets"), F.count_if(n >= cutoff).alias("n_at_cutoff"), F.kll_sketch_agg_bigint(n, F.lit(SKETCH_K)).alias("lengths"))
+
+
+def merge_stats(stats: DataFrame, by: list[str]) -> DataFrame:
+    """Rows of ``shard_stats`` together, per ``by``, in the same form, so that merged ones can be merged again."""
+    total = lambda c: F.sum(c).alias(c)
+    return stats.groupBy(*by).agg(
+        total("n_examples"), total("n_tokens"), F.max("max_tokens").alias("max_tokens"), total("n_targets"), F.max("max_targets").alias("max_targets"),
+        total("n_at_cutoff"), F.kll_merge_agg_bigint("lengths").alias("lengths"))
+
+
+def length_quantiles(stats: DataFrame, quantiles: list[float]) -> DataFrame:
+    """``shard_stats`` or merged rows with ``token_quantiles`` in place of the sketch, within ``RANK_ERROR`` in rank."""
+    found = [F.kll_sketch_get_quantile_bigint("lengths", F.lit(float(q))) for q in quantiles]
+    return stats.withColumn("token_quantiles", F.array(*found)).drop("lengths")

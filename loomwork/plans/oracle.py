@@ -241,6 +241,11 @@ SELECT lang, source, count(*) AS n_examples, CAST(sum(len(ids)) AS BIGINT) AS n_
        max(len(list_filter(labels, lambda x: x <> -100))) AS max_targets,
        count(*) FILTER (len(ids) >= 1024) AS n_at_cutoff
 FROM examples JOIN documents USING (doc_id) GROUP BY lang, source""",
+    "merged_stats": encode_sql(DOC_TURNS, "doc_id", "alpaca") + """
+SELECT lang, count(*) AS n_examples, CAST(sum(len(ids)) AS BIGINT) AS n_tokens, max(len(ids)) AS max_tokens,
+       CAST(sum(len(list_filter(labels, lambda x: x <> -100))) AS BIGINT) AS n_targets,
+       count(*) FILTER (len(ids) >= 1024) AS n_at_cutoff, true AS near
+FROM examples JOIN documents USING (doc_id) GROUP BY lang""",
     "shard_plan": f"""WITH {PAIRS}
 SELECT CAST(conv_id % 4 AS INTEGER) AS shard, count(*) AS n_rows, CAST(ceil(count(*) / 8) AS BIGINT) AS steps_per_epoch
 FROM last_pair GROUP BY conv_id % 4""",

@@ -219,6 +219,19 @@ def shards(spark, sf) -> DataFrame:
     return batching.assign_shards(encoded, SHARDS, "conv_id")
 
 
+def merged_stats(spark, sf):
+    """Statistics written per shard and merged per language; the sketched median must stand within its error of the true one."""
+    path = scratch_path(spark, "shard-stats")
+    counts = encode.count_tokens(sft_rows(spark, sf), "alpaca", keep=["doc_id", "lang"])
+    encode.shard_stats(batching.assign_shards(counts, 8, "doc_id"), ["shard", "lang"]).write.parquet(path)
+    merged = encode.length_quantiles(encode.merge_stats(spark.read.parquet(path), ["lang"]), [0.5])
+    median = F.get("token_quantiles", F.lit(0))
+    ranks = counts.join(merged.select("lang", median.alias("median")), "lang").groupBy("lang").agg(
+        F.avg((F.col("n_tokens") < F.col("median")).cast("double")).alias("below"), F.avg((F.col("n_tokens") <= F.col("median")).cast("double")).alias("upto"))
+    near = (F.col("below") <= 0.5 + 2 * encode.RANK_ERROR) & (F.col("upto") >= 0.5 - 2 * encode.RANK_ERROR)
+    return merged.join(ranks, "lang").select("lang", "n_examples", "n_tokens", "max_tokens", "n_targets", "n_at_cutoff", near.alias("near"))
+
+
 def shard_plan(spark, sf):
     return batching.shard_plan(shards(spark, sf), BATCH)
 
@@ -781,7 +794,7 @@ QUERIES: dict[str, Query] = {
 } | {q.__name__: in_utc(q) for q in (
     pair_turns, assemble_conversations, encode_nested, nested_source, encode_long, encode_long_nested, preview, encode_words, token_quantiles,
     dataset_plugin, feed_source, encode_bytes, encode_oneturn, render_chat, decode_labels,
-    word_ids, sft_examples, read_splits, sft_rejects, encode_documents, corpus_stats, shard_plan, assign_batches, collate,
+    word_ids, sft_examples, read_splits, sft_rejects, encode_documents, corpus_stats, merged_stats, shard_plan, assign_batches, collate,
     resolve_splits, features, resolve_runs, merge_overrides, run_configs, missing_deps, validate_runs, checkpoints,
     append_absent, create_if_absent, references, add_references, drop_reference, with_owner, first_by, text_functions,
     map_functions,

@@ -197,6 +197,24 @@ def test_token_counts_need_no_encoding(spark):
     assert "transform" not in counts._jdf.queryExecution().toString()
 
 
+def test_merged_statistics_are_those_of_one_pass(spark):
+    counts = spark.range(30_000).select(
+        (F.col("id") % 3).alias("g"), (F.col("id") % 7).alias("shard"), F.pmod(F.xxhash64("id"), F.lit(5000)).alias("n_tokens"), (F.col("id") % 11).alias("n_targets"))
+    once = {r.g: r for r in encode.corpus_stats(counts, ["g"], 4000).collect()}
+    stored = encode.shard_stats(counts, ["shard", "g"], 4000)
+    few = encode.merge_stats(stored.filter("shard < 3"), ["g"])
+    merged = encode.merge_stats(few.unionByName(encode.merge_stats(stored.filter("shard >= 3"), ["g"])), ["g"])
+    quantiles = [0.01, 0.5, 0.9, 1.0]
+    lengths = {g: sorted(r.n_tokens for r in rows) for g, rows in ((g, counts.filter(f"g = {g}").collect()) for g in range(3))}
+    for row in encode.length_quantiles(merged, quantiles).collect():
+        exact = once[row.g]
+        assert all(row[c] == exact[c] for c in ("n_examples", "n_tokens", "max_tokens", "n_targets", "max_targets", "n_at_cutoff"))
+        for q, found in zip(quantiles, row.token_quantiles):
+            ranks = [sum(x < found for x in lengths[row.g]), sum(x <= found for x in lengths[row.g])]
+            assert ranks[0] / exact.n_examples - 2 * encode.RANK_ERROR <= q <= ranks[1] / exact.n_examples + 2 * encode.RANK_ERROR
+    assert encode.merge_stats(encode.shard_stats(counts.limit(0), ["shard", "g"]), ["g"]).count() == 0
+
+
 def test_python_tokenizer_on_message_rows(spark):
     from loomwork.operators import vocabulary
     rows = [(1, 0, "user", "a b"), (1, 1, "assistant", "b"), (1, 2, "user", "c"), (1, 3, "assistant", "a a")]
