@@ -20,7 +20,8 @@ numbered by the volume of words.
 Words are compared by 64-bit hashes; a wrong match would need two different windows whose words collide one by one.
 
 Defined results: a null or empty text has no words; ids are expected to name one text, equal rows are one document to each other and get the same
-result each; a null id is smaller than all others; texts of any length are one stream of words; an empty table gives no rows.
+result each; texts without an id are documents of their own, before all others in the order of their hashes; texts of any length are one
+stream of words; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.llm.fm_index import FMIndex
@@ -208,6 +209,11 @@ def repeated_in_shard(ids: np.ndarray, starts: np.ndarray, texts: list[np.ndarra
             for t, a, b in zip(text[opened], begin[opened], begin[closed])]
 
 
+def _key(id_col: Column, text: Column) -> Column:
+    """The id; texts without one stand before all ids in the order of their hashes, each a document of its own."""
+    return F.coalesce(id_col.cast("bigint"), F.lit(_LEAST) + F.pmod(F.xxhash64(text), F.lit(1 << 61)))
+
+
 def repeated_intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, anchor: int = ANCHOR,
                        hot: int = HOT, shard_words: int = SHARD_WORDS) -> DataFrame:
     """id, start, end: intervals of words (they may overlap) that cover exactly the repeated windows."""
@@ -218,7 +224,7 @@ def repeated_intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         df.write.mode("overwrite").parquet(f"{folder}/{name}")
         return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
-    source = docs.select(F.coalesce(docs[id_col].cast("bigint"), F.lit(_LEAST)).alias("id"), docs[text_col].alias("text"))
+    source = docs.select(_key(docs[id_col], docs[text_col]).alias("id"), docs[text_col].alias("text"))
     # Segments are cut twice rather than stored: they are as large as the corpus, and cutting them is cheap.
     found = segments(source, window, anchor)
     # Written, so that both sides of the join come from a shuffle and Spark can split an anchor that very many segments share.
@@ -254,7 +260,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """``id_col``, ``n_words``, ``n_removed``, ``kept_sha256`` of every row, and ``kept_text`` (kept words joined by one blank)."""
     intervals = repeated_intervals(docs, id_col, text_col, window, **options)
     per_doc = intervals.groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("gone"))
-    rows = docs.select(docs[id_col].cast("bigint").alias("doc"), docs[text_col].alias("text")).withColumn("id", F.coalesce("doc", F.lit(_LEAST)))
+    rows = docs.select(docs[id_col].cast("bigint").alias("doc"), docs[text_col].alias("text")).withColumn("id", _key(F.col("doc"), F.col("text")))
     names = [id_col, "n_words", "n_removed", "kept_sha256", *["kept_text"] * with_text]
     kinds = ["bigint", "bigint", "bigint", "string", "string"]
 

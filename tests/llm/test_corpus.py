@@ -219,6 +219,17 @@ def test_substring_rows_without_a_defined_id(spark):
     assert substrings.remove_repeats(docs.filter("false")).count() == 0
 
 
+def test_different_texts_without_an_id_keep_their_own_words(spark):
+    """A passage at one word offset in two texts without an id goes from the second one; nothing else goes from either."""
+    passage = " ".join(f"w{i}" for i in range(30))
+    texts = [f"{passage} ends here alone", f"{passage} and goes on otherwise", "clean words of a third text " * 3, passage]
+    docs = documents(spark, texts).withColumn("doc_id", F.when(F.col("doc_id") < 3, None).otherwise(F.col("doc_id")))
+    rows = substrings.remove_repeats(docs).collect()
+    kept = sorted(r["kept_text"] for r in rows if r["doc_id"] is None)
+    assert kept[2 if kept[2].startswith("w0") else 1].startswith("w0") and sum(k.startswith("w0") for k in kept) == 1
+    assert sorted(r["n_removed"] for r in rows) == [0, 0, 30, 30] and " ".join(texts[2].split()) in kept
+
+
 def test_fm_index_matching_statistics():
     rng = np.random.default_rng(2)
     texts = [rng.integers(10, 14, rng.integers(1, 60)).astype(np.uint64) for _ in range(30)]
