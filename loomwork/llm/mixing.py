@@ -108,6 +108,10 @@ def _room(cells: DataFrame, targets: DataFrame, dimensions: list[str], budget: f
         values = cells.groupBy(F.col(d).alias("_have")).agg(F.sum("tokens").alias("_all")).join(
             targets.filter(F.col("dimension") == d), F.col("_have").eqNullSafe(F.col("value"))).select("dimension", "value", "share", "_all")
         parts = values if parts is None else parts.unionByName(values)
+    # Every step below is one small job over this table.
+    path = scratch_path(cells.sparkSession, "room")
+    parts.write.parquet(path)
+    parts = cells.sparkSession.read.schema(parts.schema).parquet(path)
     levels = dict.fromkeys(dimensions, 0.0)
 
     def wanted() -> Column:
@@ -123,6 +127,8 @@ def _room(cells: DataFrame, targets: DataFrame, dimensions: list[str], budget: f
         if all(found[d] <= levels[d] * (1 + 1e-12) for d in dimensions):
             break
         levels = found
+    else:
+        raise ArithmeticError(f"levels still rise after {_STEPS} steps")
     return parts.select("dimension", "value", F.least(wanted(), F.col("_all").cast("double")).alias("share"))
 
 
@@ -134,9 +140,9 @@ def _scale(cells: DataFrame, budget: float) -> float:
         full, rest = cells.agg(F.sum(F.when(whole, F.col("tokens")).otherwise(0)), F.sum(F.when(whole, 0.0).otherwise(F.col("weight") * F.col("tokens")))).first()
         found = (budget - (full or 0)) / rest if rest else factor
         if found <= factor * (1 + 1e-12):
-            break
+            return factor
         factor = found
-    return factor
+    raise ArithmeticError(f"the scale still rises after {_STEPS} steps")
 
 
 def probabilities(cells: DataFrame, targets: DataFrame, dimensions: list[str], kept: float = KEPT, iterations: int = ITERATIONS) -> DataFrame:

@@ -84,9 +84,39 @@ def _mixing() -> str:
  {name} AS MATERIALIZED (SELECT x.source, x.lang, x.topic, x.tokens, x.weight * t.share / sum(x.weight * x.tokens) OVER (PARTITION BY x.{d}) AS weight
                          FROM {last} x JOIN t_{d} t ON x.{d} IS NOT DISTINCT FROM t.value)""")
             last = name
+    # The weights at which a least share is kept: levels up to which each dimension's values can give what is asked of them, weights raked to
+    # those with probabilities of at most 1, and one scale for all. A level is the first, in the order in which values are used up, that
+    # the next value still can give.
+    steps.append(f"""
+ fitted AS (SELECT *, {mixing.KEPT} * sum(tokens) OVER () AS budget, sum(weight * tokens) OVER () AS mass, max(weight) OVER () AS top FROM {last}),
+ k0 AS (SELECT source, lang, topic, tokens, weight * budget / mass AS weight FROM fitted)""")
+    for d in mixing.DIMENSIONS:
+        steps.append(f"""
+ r_{d} AS (SELECT value, share, total, total / share AS used_up FROM t_{d} JOIN (SELECT {d} AS v, sum(tokens) AS total FROM c0 GROUP BY {d})
+           ON value IS NOT DISTINCT FROM v WHERE share > 0),
+ l_{d} AS (SELECT arg_min(level, place) AS level FROM (
+   SELECT used_up, row_number() OVER (ORDER BY used_up, value) AS place, ((SELECT max(budget) FROM fitted) - coalesce(sum(total) OVER (ORDER BY used_up, value ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+          / sum(share) OVER (ORDER BY used_up, value ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM r_{d}) WHERE level <= used_up),
+ w_{d} AS (SELECT value, least(share * level, total) AS wanted FROM r_{d}, l_{d})""")
+    last = "k0"
+    for i in range(mixing.ITERATIONS):
+        for d in mixing.DIMENSIONS:
+            name = f"k{i}_{d}"
+            steps.append(f"""
+ {name} AS MATERIALIZED (SELECT x.source, x.lang, x.topic, x.tokens, coalesce(x.weight * w.wanted
+                           / nullif(sum(least(x.weight, 1) * x.tokens) OVER (PARTITION BY x.{d}), 0), 0) AS weight
+                         FROM {last} x LEFT JOIN w_{d} w ON x.{d} IS NOT DISTINCT FROM w.value)""")
+            last = name
+    steps.append(f"""
+ scale AS (SELECT arg_min(factor, place) AS factor FROM (
+   SELECT weight, row_number() OVER (ORDER BY weight DESC, source, lang, topic) AS place, ((SELECT max(budget) FROM fitted) - coalesce(sum(tokens) OVER (ORDER BY weight DESC, source, lang, topic ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+          / sum(weight * tokens) OVER (ORDER BY weight DESC, source, lang, topic ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS factor
+   FROM {last} WHERE weight > 0 AND tokens > 0) WHERE weight * factor <= 1),
+ c AS (SELECT x.source, x.lang, x.topic, CASE WHEN f.mass / f.top >= f.budget THEN f.weight / f.top ELSE least(1.0, x.weight * factor) END AS probability
+       FROM {last} x JOIN fitted f ON x.source IS NOT DISTINCT FROM f.source AND x.lang IS NOT DISTINCT FROM f.lang AND x.topic = f.topic, scale)""")
     return f"""WITH {','.join(steps)},
- p AS (SELECT f.doc_id, f.source, f.lang, f.topic, f.n_tokens, c.weight / (SELECT max(weight) FROM {last}) AS probability
-       FROM facts f JOIN {last} c ON f.source IS NOT DISTINCT FROM c.source AND f.lang IS NOT DISTINCT FROM c.lang AND f.topic = c.topic)
+ p AS (SELECT f.doc_id, f.source, f.lang, f.topic, f.n_tokens, c.probability
+       FROM facts f JOIN c ON f.source IS NOT DISTINCT FROM c.source AND f.lang IS NOT DISTINCT FROM c.lang AND f.topic = c.topic)
 SELECT doc_id, source, lang, topic, n_tokens, round(probability, 6) AS probability,
        CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0 < probability AS drawn
 FROM p
