@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.session import scratch_path
@@ -11,18 +11,20 @@ from loomwork.session import scratch_path
 def number_rows(df: DataFrame, order: list[Column], out: str) -> DataFrame:
     """Add ``out``: 1, 2, 3 ... in the given order, which must be total.
 
-    Rows go to range partitions, which are written down with their numbers, so that neither a lost executor nor a second look
-    changes them. A row's place is its place in its partition behind the sizes of the partitions before, one small row each.
+    Rows go to range partitions, are sorted there and written down with the number of their partition and their place in it, so that
+    neither a lost executor nor a second look changes them. Before a row stand the rows of the partitions before its own: one small number each.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "ranges")
-    df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()).write.parquet(path)
-    ranged = spark.read.parquet(path)
+    # An increasing id holds the partition in its upper bits and counts the rows of it in the lower 33.
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    placed.write.parquet(path)
+    ranged = spark.read.parquet(path).withColumn("_range", F.shiftright("_at", 33))
     sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).orderBy("_range").collect()
     before, total = [], 0
     for row in sizes:
         before.append((row["_range"], total))
         total += row["n"]
-    offsets = spark.createDataFrame(before, "_range int, _before bigint")
-    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) + F.col("_before")
-    return ranged.join(F.broadcast(offsets), "_range").withColumn(out, place).drop("_range", "_before")
+    offsets = spark.createDataFrame(before, "_range bigint, _before bigint")
+    place = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("_before") + 1
+    return ranged.join(F.broadcast(offsets), "_range").withColumn(out, place).drop("_at", "_range", "_before")

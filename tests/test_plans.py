@@ -27,8 +27,9 @@ def test_plan(spark, name):
 @pytest.mark.parametrize("name", ["word_ids", "downsample", "best_version", "references"])
 def test_shuffles_and_scans_are_as_few_as_planned(spark, name):
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    # The documents once, the vocabulary for its frequent and its other pieces.
     scans, exchanges = plan.count("FileScan"), plan.count("Exchange hashpartitioning")
-    most_scans, most_exchanges = {"word_ids": (1, 0), "downsample": (1, 1), "best_version": (4, 5), "references": (1, 1)}[name]
+    most_scans, most_exchanges = {"word_ids": (3, 3), "downsample": (1, 1), "best_version": (5, 5), "references": (1, 1)}[name]
     assert scans <= most_scans and exchanges <= most_exchanges
 
 
