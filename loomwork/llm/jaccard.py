@@ -27,9 +27,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomwork.llm.tokens import slices
 from loomwork.session import scratch_path
 
 WORDS = 5
@@ -43,6 +45,8 @@ BLOCK = 192
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _COLUMNS = 4096
+_TOKENS = 1 << 16  # tokens of a set hashed at once
+_PART = 1 << 20
 
 
 def runs_for(recall: float, threshold: float, depth: int) -> int:
@@ -70,11 +74,20 @@ def paths(tokens: np.ndarray, runs: int, depth: int) -> np.ndarray:
     seeds = (np.arange(1, runs + 1, dtype=np.uint64) * _MIX)[:, None]
     keys = np.empty((runs, depth), np.uint64)
     for level in range(depth):
-        hashed = (tokens[None, :] ^ seeds) * _ODD
-        hashed ^= hashed >> np.uint64(32)
-        hashed *= _MIX
-        hashed ^= hashed >> np.uint64(29)
-        chosen = tokens[hashed.argmin(axis=1)]
+        least, chosen = None, None
+        for begin in range(0, len(tokens), _TOKENS):
+            some = tokens[begin:begin + _TOKENS]
+            hashed = (some[None, :] ^ seeds) * _ODD
+            hashed ^= hashed >> np.uint64(32)
+            hashed *= _MIX
+            hashed ^= hashed >> np.uint64(29)
+            first = hashed.argmin(axis=1)
+            value, token = hashed[np.arange(runs), first], some[first]
+            if least is None:
+                least, chosen = value, token
+            else:
+                less = value < least
+                least, chosen = np.where(less, value, least), np.where(less, token, chosen)
         keys[:, level] = ((seeds[:, 0] ^ chosen) * _MIX) ^ (chosen >> np.uint64(17)) ^ np.uint64(level + 1)
         seeds = (keys[:, level] * _ODD)[:, None]
     return keys
@@ -120,10 +133,18 @@ def _stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose texts, in the last column, hold about ``_PART`` bytes together."""
+    for batch in batches:
+        texts = batch.column(batch.num_columns - 1).cast(pa.binary())
+        for begin, end in slices(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), _PART):
+            yield batch.slice(begin, end - begin)
+
+
 def describe(docs: DataFrame, id_col: str, text_col: str, runs: int, depth: int) -> DataFrame:
     """One row per document: id, member, size of its set, node keys and sketch (null without shingles)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             members, sizes, keys, sketches = [], [], [], []
             for text in batch.column(1).cast(pa.binary()):
                 data = text.as_py() or b""
@@ -220,7 +241,7 @@ def exact_links(families: DataFrame, texts: DataFrame, threshold: float, block:
     placed = families.withColumn("n_blocks", n_blocks).withColumn("own", own)
 
     def tokens_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             sets = []
             for member, text in zip(batch.column(0).to_pylist(), batch.column(batch.num_columns - 1).cast(pa.binary())):
                 data = text.as_py() or b""

@@ -8,7 +8,8 @@ texts past these trees and takes the language with the shortest code.
 
 The sample: of each language the ``per_language`` rows with the smallest hash of their id among those of at most
 ``max_chars`` characters, or its shortest text if all are longer. That bounds what reaches the driver by languages x per_language x
-max_chars and those shortest texts; the number of languages is bounded by ``max_languages``. Everything else runs in the rows' own partitions, without a shuffle.
+max_chars and those shortest texts; the number of languages is bounded by ``max_languages``. Everything else runs in the rows' own partitions,
+without a shuffle, a bounded number of bytes at a time.
 
 Defined results: ``und`` with score 0 for a null text or one without a letter, and for every row if nothing could be
 learned; equal code lengths go to the smaller language name; equal texts get equal results.
@@ -22,6 +23,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +36,7 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 _PART = 1 << 18
 _NUMBERED = re.compile(r"(?<!\S)[^\s\d]*+\d\S*+")
 _LETTERS = re.compile(r"[^\W\d_]+")
+_BLANK = re.compile(r"\s")
 
 
 @dataclass
@@ -82,10 +85,24 @@ class Model:
     escapes: list[Table]
 
     def code_lengths(self, data: np.ndarray, borders: np.ndarray) -> np.ndarray:
-        """Bits of each text under each language; text i is ``data[borders[i]:borders[i + 1]]``."""
-        grams = context_keys(data, borders, self.order)
-        bits = np.zeros((len(data), len(self.languages)), np.float32)
-        rest = np.arange(len(data))
+        """Bits of each text under each language; text i is ``data[borders[i]:borders[i + 1]]``.
+
+        A stretch of ``_PART`` bytes at a time, so that one long text takes no more memory than many short ones.
+        """
+        total = np.zeros((len(borders) - 1, len(self.languages)))
+        for begin in range(0, len(data), _PART):
+            end = min(begin + _PART, len(data))
+            first = int(np.searchsorted(borders, begin, side="right")) - 1
+            last = int(np.searchsorted(borders, end, side="left"))
+            inside = np.clip(borders[first:last + 1], begin, end) - begin
+            bits = self._bits(context_keys(data, borders, self.order, begin, end))
+            full = np.flatnonzero(np.diff(inside) > 0)
+            total[first + full] += np.add.reduceat(bits, inside[full], axis=0, dtype=np.float64)
+        return total
+
+    def _bits(self, grams: np.ndarray) -> np.ndarray:
+        bits = np.zeros((len(grams), len(self.languages)), np.float32)
+        rest = np.arange(len(grams))
         for k in range(self.order, -1, -1):
             key = grams[rest] & np.uint64((1 << 8 * (k + 1)) - 1)
             row = self.codes[k].find(key)
@@ -98,24 +115,21 @@ class Model:
             hit = row >= 0
             bits[rest[hit]] += self.escapes[k].values[row[hit]]
         bits[rest] += 8
-        total = np.zeros((len(borders) - 1, len(self.languages)))
-        full = np.flatnonzero(np.diff(borders) > 0)
-        if len(full):
-            total[full] = np.add.reduceat(bits, borders[full], axis=0, dtype=np.float64)
-        return total
+        return bits
 
 
-def context_keys(data: np.ndarray, borders: np.ndarray, order: int) -> np.ndarray:
-    """For each byte a number: the byte itself above the bytes before it, the nearest lowest but one.
+def context_keys(data: np.ndarray, borders: np.ndarray, order: int, begin: int = 0, end: int | None = None) -> np.ndarray:
+    """For each byte from ``begin`` to ``end`` a number: the byte itself above the bytes before it, the nearest lowest but one.
 
     Bits 0 to 7 hold the byte, bits 8 to 15 the one before and so on; zeros stand before the text.
     """
-    place = np.arange(len(data)) - np.repeat(borders[:-1], np.diff(borders))
-    wide = data.astype(np.uint64)
-    keys = wide.copy()
+    end = len(data) if end is None else end
+    at = np.arange(begin, end)
+    place = at - borders[np.searchsorted(borders, at, side="right") - 1]
+    keys = data[begin:end].astype(np.uint64)
     for back in range(1, order + 1):
-        former = np.zeros_like(wide)
-        former[back:] = wide[:-back]
+        former = np.zeros(end - begin, np.uint64)
+        former[max(0, back - begin):] = data[max(0, begin - back):end - back]
         former[place < back] = 0
         keys |= former << np.uint64(8 * back)
     return keys
@@ -188,10 +202,22 @@ def score(bits: np.ndarray, n_bytes: np.ndarray) -> np.ndarray:
     return 1 / np.exp2(-excess).sum(axis=1)
 
 
+def _blank_cuts(text: str, size: int) -> Iterator[str]:
+    """A text in pieces of about ``size`` characters, cut at blanks."""
+    begin = 0
+    while begin < len(text):
+        blank = _BLANK.search(text, begin + size)
+        end = blank.start() if blank else len(text)
+        yield text[begin:end]
+        begin = end
+
+
 def words_of(text: str) -> str:
     """The words of a text in lower case without marks and without words that hold a digit; those too if there are no others."""
-    lowered = text.lower()
-    return " ".join(_LETTERS.findall(_NUMBERED.sub(" ", lowered)) or _LETTERS.findall(lowered))
+    parts = [" ".join(_LETTERS.findall(_NUMBERED.sub(" ", part.lower()))) for part in _blank_cuts(text, _PART)]
+    if not any(parts):
+        parts = [" ".join(_LETTERS.findall(part.lower())) for part in _blank_cuts(text, _PART)]
+    return " ".join(filter(None, parts))
 
 
 def own_bits(data: np.ndarray) -> float:
@@ -206,39 +232,41 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text", keep:
     ``own_bits_per_byte``, what those cost without any language, and ``n_bytes``, how many they are."""
     keep = docs.columns if keep is None else keep
     has_letter: Column = F.coalesce(docs[text_col].rlike(r"\p{L}"), F.lit(False))
-    chosen = docs.select(*[docs[c].alias(f"k{i}") for i, c in enumerate(keep)], F.when(has_letter, docs[text_col]).alias("t"))
-    kept = [f"{f.name} {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1]]
+    # A text that is kept crosses to Python once.
+    own = keep.index(text_col) if text_col in keep else len(keep)
+    chosen = docs.select(*[docs[c].alias(f"k{i}") for i, c in enumerate([*keep, *[text_col] * (own == len(keep))])], has_letter.alias("l"))
+    kept = [f"{f.name} {f.dataType.simpleString()}" for f in chosen.schema.fields[:len(keep)]]
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).cast(pa.binary()).to_pylist()
-            if words_only:
-                texts = [None if t is None else words_of(t.decode()).encode() for t in texts]
-            names, points, rates, plain, lengths = [], [], [], [], [None if t is None else len(t) for t in texts]
-            for begin, end in slices([len(t or b"") for t in texts], _PART):
-                part = texts[begin:end]
-                if known is None:
-                    names += [UNDETERMINED] * len(part)
-                    points += [0.0] * len(part)
-                    rates += [None] * len(part)
-                    plain += [None] * len(part)
-                    continue
-                sizes = np.array([len(t or b"") for t in part])
-                borders = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-                data = np.frombuffer(b"".join(t or b"" for t in part), np.uint8)
-                bits = known.code_lengths(data, borders)
-                best, sure = bits.argmin(axis=1), score(bits, sizes)
-                for i, t in enumerate(part):
-                    names.append(UNDETERMINED if t is None else known.languages[best[i]])
-                    points.append(0.0 if t is None else float(sure[i]))
-                    rates.append(None if t is None else float(bits[i, best[i]] / max(1, sizes[i])))
-                    plain.append(None if t is None else own_bits(data[borders[i]:borders[i + 1]]))
-            columns = [batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(names, pa.string()), pa.array(points, pa.float64()), pa.array(rates, pa.float64()), pa.array(plain, pa.float64()), pa.array(lengths, pa.int64())],
-                [*batch.schema.names[:-1], "lang_pred", "score", "bits_per_byte", "own_bits_per_byte", "n_bytes"])
+            column = batch.column(own).cast(pa.binary())
+            column = pc.if_else(batch.column(batch.num_columns - 1), column, pa.scalar(None, pa.binary()))
+            for begin, end in slices(pc.fill_null(pc.binary_length(column), 0).to_pylist(), _PART):
+                part = column.slice(begin, end - begin).to_pylist()
+                if words_only:
+                    part = [None if t is None else words_of(t.decode()).encode() for t in part]
+                sizes = np.array([len(t or b"") for t in part], np.int64)
+                names, points = [UNDETERMINED] * len(part), [0.0] * len(part)
+                rates: list[float | None] = [None] * len(part)
+                plain: list[float | None] = [None] * len(part)
+                if known is not None:
+                    borders = np.concatenate([[0], np.cumsum(sizes)])
+                    data = np.frombuffer(b"".join(t or b"" for t in part), np.uint8)
+                    bits = known.code_lengths(data, borders)
+                    best, sure = bits.argmin(axis=1), score(bits, sizes)
+                    for i, t in enumerate(part):
+                        if t is not None:
+                            names[i], points[i] = known.languages[best[i]], float(sure[i])
+                            rates[i] = float(bits[i, best[i]] / max(1, sizes[i]))
+                            plain[i] = own_bits(data[borders[i]:borders[i + 1]])
+                lengths = [None if t is None else len(t) for t in part]
+                columns = [batch.column(i).slice(begin, end - begin) for i in range(len(keep))]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, pa.array(names, pa.string()), pa.array(points, pa.float64()), pa.array(rates, pa.float64()),
+                     pa.array(plain, pa.float64()), pa.array(lengths, pa.int64())],
+                    [*batch.schema.names[:len(keep)], "lang_pred", "score", "bits_per_byte", "own_bits_per_byte", "n_bytes"])
 
     out = chosen.mapInArrow(run, ", ".join([*kept, "lang_pred string", "score double", "bits_per_byte double", "own_bits_per_byte double", "n_bytes bigint"]))
     return out.toDF(*keep, "lang_pred", "score", "bits_per_byte", "own_bits_per_byte", "n_bytes")
