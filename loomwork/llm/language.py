@@ -129,7 +129,7 @@ def context_keys(data: np.ndarray, borders: np.ndarray, order: int, begin: int =
     keys = data[begin:end].astype(np.uint64)
     for back in range(1, order + 1):
         former = np.zeros(end - begin, np.uint64)
-        former[max(0, back - begin):] = data[max(0, begin - back):end - back]
+        former[max(0, back - begin):] = data[max(0, begin - back):max(0, end - back)]
         former[place < back] = 0
         keys |= former << np.uint64(8 * back)
     return keys

@@ -344,6 +344,13 @@ def test_recall_at_the_threshold():
     assert found >= 0.99 * n
 
 
+def test_paths_do_not_depend_on_how_many_tokens_are_hashed_at_once(monkeypatch):
+    sets = [jaccard.shingles(" ".join(f"w{i % k}" for i in range(n)).encode()) for k, n in ((7, 30), (500, 400), (90, 1000))]
+    whole = [jaccard.paths(s, 14, 4) for s in sets]
+    monkeypatch.setattr(jaccard, "_TOKENS", 13)
+    assert all((jaccard.paths(s, 14, 4) == w).all() for s, w in zip(sets, whole))
+
+
 # ---------------------------------------------------------------- mixing
 
 def test_marginals_meet_their_targets(spark):

@@ -56,6 +56,20 @@ def plain_code_length(texts, text, order):
     return bits
 
 
+@pytest.mark.parametrize("part", [1, 7, 64])
+def test_code_lengths_and_words_do_not_depend_on_the_parts(monkeypatch, part):
+    model = language.train({"a": [b"abracadabra abra", b"cadabra"], "b": [b"hocus pocus", b"pocus hocus hocus"]})
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("abrchous pé1 ,") for _ in range(rng.randrange(60))) for _ in range(40)] + ["", "x1 22", "1a 2b, 3c-d"]
+    raw = [t.encode() for t in texts]
+    borders = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    whole, words = model.code_lengths(data, borders), [language.words_of(t) for t in texts]
+    monkeypatch.setattr(language, "_PART", part)
+    assert np.allclose(model.code_lengths(data, borders), whole, rtol=1e-5)
+    assert [language.words_of(t) for t in texts] == words and words[-1] == "a b c d"
+
+
 def test_code_lengths_are_those_of_the_plain_model():
     texts = {"a": [b"abracadabra abra", b"cadabra"], "b": [b"hocus pocus", b"pocus hocus hocus"]}
     model = language.train(texts, order=3)
