@@ -14,6 +14,8 @@ from loomwork.functions.text import blank_to_null, checkpoint_key, is_blank
 from loomwork.schemas import PARAMETERS
 
 KEY = ["namespace", "name"]
+# The kinds of objects a run names.
+KINDS = ("dataset", "hyperparameter", "model")
 
 # What counts as "not overridden" per parameter; the others use null.
 EMPTY_TEXT_IS_UNSET = ["scheduler", "optimizer"]
@@ -201,14 +203,25 @@ def references(runs: DataFrame) -> DataFrame:
 
     Kept as rows, not as a list per object: a popular base model is used by any number of runs.
     """
-    kinds = ("dataset", "hyperparameter", "model")
     # One row per run crosses the shuffle; what is distinct within a run is distinct altogether.
-    sets = runs.groupBy("namespace", F.col("name").alias("run")).agg(*(F.collect_set(kind).alias(kind) for kind in kinds))
-    return _exploded(sets, kinds)
+    sets = runs.groupBy("namespace", F.col("name").alias("run")).agg(*(F.collect_set(kind).alias(kind) for kind in KINDS))
+    return _exploded(sets, KINDS)
 
 
 def add_references(refs: DataFrame, runs: DataFrame) -> DataFrame:
-    return refs.unionByName(references(runs)).distinct()
+    """The references there are and those of the runs, each once.
+
+    Both meet as rows of a run, combined on the map side, so its name crosses the shuffle once and not with every object.
+    """
+    use = F.struct("kind", "name")
+    one = refs.select("namespace", "run", F.array(use).alias("_uses"))
+    uses = F.array(*(F.struct(F.lit(kind).alias("kind"), F.col(kind).alias("name")) for kind in KINDS))
+    # Objects without a name are no references, but a stored one stays as it is.
+    named = runs.select("namespace", F.col("name").alias("run"), F.filter(uses, lambda x: ~is_blank(x["name"])).alias("_uses"))
+    sets = one.unionByName(named).groupBy("namespace", "run").agg(F.collect_set("_uses").alias("_sets"))
+    # All rows of a run are in one task now, so telling them apart needs no further shuffle.
+    rows = sets.select("namespace", "run", F.explode("_sets").alias("_uses")).select("namespace", "run", F.explode("_uses").alias("_use"))
+    return rows.select("_use.kind", "namespace", "_use.name", "run").distinct().select(*refs.columns)
 
 
 def drop_reference(refs: DataFrame, removed: DataFrame) -> DataFrame:

@@ -114,6 +114,20 @@ def test_references(spark, tables):
     assert registry.add_references(left, rows).count() == refs.count()
 
 
+def test_added_references_are_those_of_the_plain_union(spark):
+    rows = spark.createDataFrame(
+        [run("a"), run("b"), run("b", dataset="other"), run("c", dataset="", model=None), run(None), run(None, dataset="other")], RUNS)
+    given = spark.createDataFrame(
+        [("r1", "other-kind", "ns", "x"), ("a", "dataset", "ns", "same"), ("a", "dataset", "ns", "same"), ("b", "model", None, ""),
+         (None, "model", "ns", None)], "run string, kind string, namespace string, name string")
+    added = registry.add_references(given, rows)
+    # One shuffle by run, besides any that the given references need.
+    assert added._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert added.columns == given.columns
+    plain = given.unionByName(registry.references(rows)).distinct()
+    assert sorted(map(str, added.collect())) == sorted(map(str, plain.collect()))
+
+
 def test_validation(spark):
     df = spark.createDataFrame(
         [("int4", 4, "lora", "s", "t", False, True, "SUCCESSFUL", "p"), ("int2", 3, "x", "", None, True, True, "SUCCESSFUL", ""),
