@@ -47,26 +47,29 @@ def build_vocabulary(df: DataFrame, columns: list[str], size: int | None = None)
 # ---------------------------------------------------------------- ids by join
 
 def _with_ids(rows: DataFrame, keys: list[str], vocabulary: DataFrame) -> DataFrame:
-    """Add ``_id`` to rows ``(keys, _pos, _piece)``. A piece that begins with a blank, which no word does, is a number as it is.
+    """Rows ``(keys, _pos, _piece, ...)`` with ``_id`` in place of ``_piece``. A piece that begins with a blank, which no word does, is a
+    number as it is.
 
     The dictionary is joined, never held: its most frequent pieces as a broadcast table of bounded size, all others by a shuffle.
-    Rows that need none of the others go through that under names no piece has, evenly spread.
+    Rows that need none of the others go through that under names no piece has, one name per text: side by side they take little room,
+    and one task makes them a single row of the text again.
     """
+    rest = [c for c in rows.columns if c != "_piece"]
     often = (F.col("id") <= FREQUENT) & (F.octet_length("piece") <= FREQUENT_BYTES)
     first = vocabulary.filter(often).select(F.col("piece").alias("_often"), F.col("id").alias("_of_often"))
     others = vocabulary.filter(~often).select(F.col("piece").alias("_other"), F.col("id").alias("_of_other"))
     number = F.when(F.startswith("_piece", F.lit(" ")), F.substr("_piece", F.lit(2)).cast("bigint"))
     known = rows.join(F.broadcast(first), F.col("_piece") == F.col("_often"), "left").withColumn("_id", F.coalesce("_of_often", number))
-    spread = F.concat(F.lit(" "), F.pmod(F.xxhash64(*keys, "_pos"), F.lit(1 << 16)))
-    wanted = known.withColumn("_wanted", F.when(F.col("_id").isNull() & F.col("_piece").isNotNull(), F.col("_piece")).otherwise(spread))
-    return wanted.join(others, F.col("_wanted") == F.col("_other"), "left").withColumn(
-        "_id", F.coalesce("_id", "_of_other", F.lit(UNKNOWN_ID)))
+    spread = F.concat(F.lit(" "), F.pmod(F.xxhash64(*keys), F.lit(1 << 16)))
+    wanted = F.when(F.col("_id").isNull() & F.col("_piece").isNotNull(), F.col("_piece")).otherwise(spread)
+    return known.select(*rest, "_id", wanted.alias("_wanted")).join(others, F.col("_wanted") == F.col("_other"), "left").select(
+        *rest, F.coalesce("_id", "_of_other", F.lit(UNKNOWN_ID)).alias("_id"))
 
 
 def _in_order(*fields: str | Column) -> Column:
     """The rows of a group by position; rows of texts without a piece have none."""
     row = F.struct("_pos", *fields)
-    return F.sort_array(F.collect_list(F.when(F.col("_piece").isNotNull(), row)))
+    return F.sort_array(F.collect_list(F.when(F.col("_pos").isNotNull(), row)))
 
 
 def encode_words(df: DataFrame, key: str, text: str, vocabulary: DataFrame) -> DataFrame:

@@ -234,3 +234,26 @@ def test_ordinary_conversations_are_shuffled_once(spark):
     _, df = messages(spark)
     plan = encode.encode_conversations(df, "llama2")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(conv_id") == 1 and plan.count("Exchange") == 1
+
+
+def test_frequent_words_of_a_text_stay_together(spark):
+    from loomwork.operators import vocabulary
+
+    df = spark.createDataFrame([(k, " ".join(f"w{i % 50}" for i in range(400))) for k in range(8)] + [(8, ""), (9, None)], "k int, text string")
+    vocab = vocabulary.build_vocabulary(df, ["text"])
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        rows = df.select("k", F.posexplode_outer(vocabulary.pieces("text")).alias("_pos", "_piece"))
+        found = vocabulary._with_ids(rows, ["k"], vocab)
+        tasks = found.withColumn("_task", F.spark_partition_id()).select("k", "_task").distinct().collect()
+        ids = {r.k: r.ids for r in vocabulary.encode_words(df, "k", "text", vocab).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    # Ids are known before the shuffle by piece; there neither the words nor more than one task a text are needed.
+    assert "_piece" not in found.columns and sorted(r.k for r in tasks) == list(range(10))
+    known = {r.piece: r.id for r in vocab.collect()}
+    assert ids == {**{k: [known[f"w{i % 50}"] for i in range(400)] for k in range(8)}, 8: [], 9: []}
