@@ -39,16 +39,18 @@ def quantization(int8: Column, int4: Column) -> Column:
     return F.when(int8, F.lit("int8")).when(int4, F.lit("int4"))
 
 
+def merged_parameter(base: Column, overrides: Column, name: str) -> Column:
+    o = overrides[name]
+    if name in EMPTY_TEXT_IS_UNSET:
+        o = F.nullif(o, F.lit(""))
+    elif name in ZERO_IS_UNSET:
+        o = F.nullif(o, F.lit(0))
+    return F.coalesce(o, base[name])
+
+
 def merged_parameters(base: Column, overrides: Column) -> Column:
     """Base parameters with the overrides laid on top, each field by its own unset rule."""
-    def field(name: str) -> Column:
-        o = overrides[name]
-        if name in EMPTY_TEXT_IS_UNSET:
-            o = F.nullif(o, F.lit(""))
-        elif name in ZERO_IS_UNSET:
-            o = F.nullif(o, F.lit(0))
-        return F.coalesce(o, base[name]).alias(name)
-    return F.struct(*(field(f.name) for f in PARAMETERS))
+    return F.struct(*(merged_parameter(base, overrides, f.name).alias(f.name) for f in PARAMETERS))
 
 
 def merge_overrides(df: DataFrame, base: str = "parameters", overrides: str = "overrides",
@@ -78,17 +80,24 @@ def _side(table: DataFrame, ref: str, out: str) -> DataFrame:
     return table.select(F.col("namespace"), F.col("name").alias(ref), F.struct(*rest).alias(out))
 
 
+def _attach(runs: DataFrame, table: DataFrame, kind: str, how: str = "left") -> DataFrame:
+    """Runs with ``<kind>_row``, the object they name in ``kind``."""
+    return runs.join(_side(table, kind, f"{kind}_row"), ["namespace", kind], how)
+
+
 def resolve_runs(runs: DataFrame, datasets: DataFrame, hyperparameters: DataFrame, models: DataFrame,
                  how: str = "left") -> DataFrame:
     """Runs with ``dataset_row``, ``hyperparameter_row`` and ``model_row``, null where missing.
 
-    Three separate joins: objects of different kinds may share one name.
+    Three separate joins: objects of different kinds may share one name. The widest rows come last, so that no further join
+    shuffles them.
     """
-    return (
-        runs.join(_side(datasets, "dataset", "dataset_row"), ["namespace", "dataset"], how)
-        .join(_side(hyperparameters, "hyperparameter", "hyperparameter_row"), ["namespace", "hyperparameter"], how)
-        .join(_side(models, "model", "model_row"), ["namespace", "model"], how)
-    )
+    found = runs
+    for kind, table in (("model", models), ("hyperparameter", hyperparameters), ("dataset", datasets)):
+        found = _attach(found, table, kind, how)
+    # Nested joins put their keys first.
+    refs = ["namespace", "model", "hyperparameter", "dataset"]
+    return found.select(*refs, *(c for c in runs.columns if c not in refs), "dataset_row", "hyperparameter_row", "model_row")
 
 
 def run_configs(runs: DataFrame, datasets: DataFrame, hyperparameters: DataFrame, models: DataFrame) -> DataFrame:
@@ -99,20 +108,26 @@ def run_configs(runs: DataFrame, datasets: DataFrame, hyperparameters: DataFrame
         .withColumn("columns_text", features_json("features"))
         .select(*KEY, "train_path", "evaluation_path", "columns", "columns_text")
     )
-    resolved = resolve_runs(runs, described, hyperparameters, models)
-    merged = resolved.withColumn(
-        "_p", merged_parameters(F.col("hyperparameter_row.parameters"), F.col("overrides")))
-    return merged.select(
+    # Everything but the datasets' part is settled field by field before they are joined. The struct below then only names columns, so
+    # fields nobody asks for are pruned and cross no shuffle.
+    known = runs.select(*KEY, "uid", "dataset", "hyperparameter", "model", "overrides", F.col("image.path").alias("_path"), "node")
+    known = _attach(_attach(known, models, "model"), hyperparameters, "hyperparameter")
+    base, overrides = F.col("hyperparameter_row.parameters"), F.col("overrides")
+    merged = {f.name: merged_parameter(base, overrides, f.name) for f in PARAMETERS}
+    known = known.select(
+        *KEY, "uid", "dataset", "_path", quantization(merged["int8"], merged["int4"]).alias("_quantization"),
+        F.when(F.col("node") > 0, F.col("node")).otherwise(F.lit(1)).alias("_workers"), *(c.alias(f"_{name}") for name, c in merged.items()))
+    return _attach(known, described, "dataset").select(
         *KEY, "uid",
         F.struct(
-            F.col("image.path").alias("model_name_or_path"),
+            F.col("_path").alias("model_name_or_path"),
             F.col("dataset_row.train_path").alias("train_path"),
             F.col("dataset_row.evaluation_path").alias("evaluation_path"),
             F.col("dataset_row.columns").alias("columns"),
             F.coalesce(F.col("dataset_row.columns_text"), F.lit("")).alias("columns_text"),
-            quantization(F.col("_p.int8"), F.col("_p.int4")).alias("quantization"),
-            F.when(F.col("node") > 0, F.col("node")).otherwise(F.lit(1)).alias("num_workers"),
-            F.col("_p").alias("parameters"),
+            F.col("_quantization").alias("quantization"),
+            F.col("_workers").alias("num_workers"),
+            F.struct(*(F.col(f"_{name}").alias(name) for name in merged)).alias("parameters"),
         ).alias("config"),
     )
 

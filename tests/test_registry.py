@@ -44,6 +44,13 @@ def test_overrides_use_three_unset_rules(spark, tables):
     assert configs["a"].columns == {"instruction": "q"} and configs["a"].model_name_or_path == "/tmp/llama2-7b/"
 
 
+def test_parameters_nobody_asks_for_cross_no_shuffle(spark, tables):
+    rows = spark.createDataFrame([run("a"), run("b", dataset="x", hyperparameter="x")], RUNS)
+    configs = registry.run_configs(rows, *tables).select("name", "config.quantization", "config.parameters.epochs")
+    assert "lora_r" not in configs._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, configs.collect())) == [("a", "int8", 3), ("b", None, None)]
+
+
 def test_missing_dependencies_and_same_names(spark, tables):
     rows = spark.createDataFrame([run("ok"), run("nods", dataset="x"), run("nomodel", model="x"), run("bare", dataset="bare")], RUNS)
     got = {r.name: (r.missing, r.state) for r in registry.missing_deps(rows, *tables).collect()}
