@@ -171,11 +171,14 @@ def apply_pause(experiments: DataFrame, jobs: DataFrame) -> tuple[DataFrame, Dat
     """``(experiments, kept jobs, removed jobs)`` after pausing the experiments marked pending.
 
     A paused experiment becomes PENDING and loses its status list; one that is PENDING
-    already is left alone; one no longer marked goes back to PROCESSING.
+    already is left alone; one no longer marked goes back to PROCESSING. Kept and removed jobs share one shuffle of the jobs.
     """
     fresh = F.coalesce(F.col("pending"), F.lit(False)) & ~F.col("state").eqNullSafe(F.lit("PENDING"))
-    paused = experiments.filter(fresh).select("namespace", F.col("name").alias("owner_experiment"))
-    on = ["namespace", "owner_experiment"]
+    paused = experiments.filter(fresh & F.col("namespace").isNotNull() & F.col("name").isNotNull()).select(
+        F.col("namespace").alias("_namespace"), F.col("name").alias("_name"))
+    # Jobs without an owner are kept, since no null is among the paused. An equality that is true for nulls leaves the jobs of both
+    # joins unfiltered, so that Spark sees one shuffle in them.
+    on = F.col("namespace").eqNullSafe(F.col("_namespace")) & F.col("owner_experiment").eqNullSafe(F.col("_name"))
     after = experiments.withColumn(
         "state",
         F.when(F.coalesce(F.col("pending"), F.lit(False)), F.lit("PENDING"))

@@ -208,6 +208,28 @@ def test_experiment_states_and_best_version(spark):
     assert [(r.experiment, r.job, r.score, r.dataset) for r in best] == [("good", "a", "7", "d1")]
 
 
+def test_kept_and_removed_jobs_share_a_shuffle(spark):
+    nameless = [{**r.asDict(), "name": None} for r in experiments(spark).filter("name = 'paused'").collect()]
+    orphan = [{**r.asDict(), "name": "orphan", "owner_experiment": None} for r in jobs(spark).filter("name = 'f'").collect()]
+    listed = spark.createDataFrame(experiments(spark).collect() + nameless, EXPERIMENTS)
+    owned = spark.createDataFrame(jobs(spark).collect() + orphan, JOBS)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        _, kept, removed = rollup.apply_pause(listed, owned)
+        both = kept.withColumn("_kept", F.lit(True)).unionByName(removed.withColumn("_kept", F.lit(False)))
+        plan = both._jdf.queryExecution().executedPlan().toString()
+        rows = both.collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert plan.count("ReusedExchange") == 2 and kept.columns == removed.columns == owned.columns
+    # Nobody is paused for being null: a job without an owner stays.
+    assert sorted((r.name, r._kept) for r in rows) == sorted([(n, True) for n in "abcdez"] + [("f", False), ("orphan", True)])
+
+
 def test_status_list_and_pause(spark):
     lists = {r.name: [tuple(x) for x in r.jobs_status] for r in rollup.job_status_list(experiments(spark), jobs(spark)).collect()}
     assert lists["good"] == [("a", "SUCCESSFUL"), ("b", "SUCCESSFUL")] and "empty" not in lists
