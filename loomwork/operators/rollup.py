@@ -137,10 +137,11 @@ def best_version(experiments: DataFrame, jobs: DataFrame, runs: DataFrame) -> Da
     Votes and the best job come from one aggregate over the listed jobs; equal scores go to the smaller name.
     """
     rows = _listed_jobs(experiments, jobs, "state", "score", "image", "run")
-    best = F.min_by(F.struct("job", "score", "image", "run"), F.struct(-parse_score("score"), F.col("job")))
+    # The order comes first in the row itself, so a name crosses the shuffle once.
+    best = F.min(F.struct((-parse_score("score")).alias("_order"), "job", "score", "image", "run"))
     voted = rows.groupBy("namespace", "name").agg(*_votes(), best.alias("_best"))
     done = experiments.join(voted, ["namespace", "name"]).filter(_experiment_state() == "SUCCESS").select(
-        "namespace", F.col("name").alias("experiment"), "_best.*")
+        "namespace", F.col("name").alias("experiment"), "_best.*").drop("_order")
     side = runs.select("namespace", F.col("name").alias("run"), "model", "hyperparameter", "dataset")
     return done.join(side, ["namespace", "run"], "left").select(
         "namespace", "experiment", "job", "score", "image", "model", "hyperparameter", "dataset")

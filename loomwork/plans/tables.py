@@ -165,7 +165,13 @@ def listed_experiments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def experiments_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as experiments that list all their line items as jobs; every eleventh lists one more that does not exist."""
-    lists = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.expr(f"sort_array(collect_list(concat('job-', {LINE_KEY})))").alias("jobs"))
+    # Numbers cross the shuffle, names are made of them behind it.
+    parts = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    name = LINE_KEY
+    for part in parts:
+        name = name.replace(part, f"x.{part}")
+    lists = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct(*parts)).alias("_lines")).select(
+        "l_orderkey", F.expr(f"sort_array(transform(_lines, x -> concat('job-', {name})))").alias("jobs"))
     return table(spark, sf_dir, "orders").join(lists, F.col("o_orderkey") == F.col("l_orderkey"), "left").selectExpr(
         "'default' AS namespace", "concat('exp-', o_orderkey) AS name", "o_orderpriority = '5-LOW' AS pending",
         "CASE WHEN o_orderstatus = 'O' THEN '' WHEN o_orderstatus = 'P' THEN 'PENDING' ELSE 'PROCESSING' END AS state",

@@ -208,6 +208,13 @@ def test_experiment_states_and_best_version(spark):
     assert [(r.experiment, r.job, r.score, r.dataset) for r in best] == [("good", "a", "7", "d1")]
 
 
+def test_best_version_shuffles_a_name_once(spark):
+    runs = spark.createDataFrame([run("r-a"), run("r-b")], RUNS)
+    best = rollup.best_version(experiments(spark), jobs(spark).withColumn("score", F.lit("n/a")), runs)
+    assert "min_by" not in best._jdf.queryExecution().executedPlan().toString()
+    assert [(r.experiment, r.job, r.score, r.image) for r in best.collect()] == [("good", "a", "n/a", jobs(spark).filter("name = 'a'").first().image)]
+
+
 def test_kept_and_removed_jobs_share_a_shuffle(spark):
     nameless = [{**r.asDict(), "name": None} for r in experiments(spark).filter("name = 'paused'").collect()]
     orphan = [{**r.asDict(), "name": "orphan", "owner_experiment": None} for r in jobs(spark).filter("name = 'f'").collect()]
