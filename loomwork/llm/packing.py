@@ -33,7 +33,8 @@ CAPACITY = 2048
 SLACK = 8
 MERGE = 8
 TASK_ITEMS = 100_000
-_TEXT_PART = 1 << 20
+# Encoding takes some hundred bytes of arrays per byte of text at a time.
+_TEXT_PART = 1 << 18
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 

@@ -190,7 +190,8 @@ class Encoder:
 
     def _know(self, keys: np.ndarray, text_of: Callable[[np.ndarray], list[str]]) -> np.ndarray:
         """Rows of distinct words, learning those not met before; ``text_of`` gives the words at some places."""
-        if self.words.count > _CACHE_WORDS:
+        # Before the tables grow, not behind it.
+        if self.words.count + len(keys) > _CACHE_WORDS and self.words.count:
             self.words, self.old = Words(_CACHE_WORDS), self.words
         absent = np.flatnonzero(self.words.find(keys) < 0)
         if self.old is not None and len(absent):
