@@ -272,6 +272,32 @@ def test_topk_with_ties_and_bad_vectors(spark):
     assert topk.search(index, vectors.filter("false"), "vec_id", "v").count() == 0
 
 
+def test_the_sample_of_an_index_reaches_the_driver_once(spark):
+    many = spark.range(0, 64 * 200, 1, 64).select("id", F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: (F.col("id") * 31 + i * i) % 97).alias("v"))
+    equal = spark.range(3000).select(F.lit(-1).cast("bigint").alias("id"), F.array_repeat(F.lit(5).cast("bigint"), 64).alias("v"))
+    vectors = many.union(equal)
+    conf = spark.sparkContext._jsc.sc().conf()
+    before = conf.get("spark.driver.maxResultSize", "1g")
+    conf.set("spark.driver.maxResultSize", "2m")  # 200 rows are 0.1 MB; 200 of each task are 6.7 MB
+    try:
+        index = topk.build(vectors, "id", "v", n_pivots=4, n_rings=2, sample=200)
+        got = topk.smallest_hashes(vectors, 200)
+    finally:
+        conf.set("spark.driver.maxResultSize", before)
+    assert int(index.rings["n"].sum()) == 64 * 200 + 3000
+    hashed = sorted(map(tuple, vectors.select(F.xxhash64("id", "v"), "v").collect()))
+    assert got == [v for _, v in hashed[:200]]
+
+
+def test_the_sample_counts_equal_rows(spark):
+    rows = [(i % 3, [i % 3, 1]) for i in range(300)] + [(i, [i, 2]) for i in range(20)]
+    table = spark.createDataFrame(rows, "id bigint, v array<bigint>").repartition(5)
+    hashed = sorted(map(tuple, table.select(F.xxhash64("id", "v"), "v").collect()))
+    for n in (0, 1, 7, 110, 250, 319, 320, 500):
+        assert topk.smallest_hashes(table, n) == [v for _, v in hashed[:n]]
+    assert topk.smallest_hashes(table.filter("false"), 5) == []
+
+
 # ---------------------------------------------------------------- Jaccard join
 
 def plain_join(texts, threshold=0.8):
